@@ -1,0 +1,167 @@
+"""Upserting staged rows into a master table.
+
+A row with a null in its key matches nothing, as in SQL: staged ones are inserted, and
+master ones stay. Upserts are associative, ``(m + a) + b = m + (a + b)``, so several staged
+tables are merged with each other first and the master is joined only once.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+from ferry.functions.columns import column, comparable
+
+UPDATE = "update"
+IGNORE = "ignore"
+
+_SPREAD = "__spread"
+
+
+class DuplicateKeys(ValueError):
+    """Staged rows share a key and nothing says which of them is the latest."""
+
+
+def _whole(keys: Sequence[str]) -> Column:
+    return reduce(and_, [column(k).isNotNull() for k in keys])
+
+
+def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
+    """Raise if two rows share a key. Only keys are read and only their counts are shuffled."""
+    again = (
+        df.where(_whole(keys))
+        .groupBy(*[column(k) for k in keys])
+        .agg(F.count(F.lit(1)).alias("__n"))
+        .where(F.col("__n") > 1)
+        .first()
+    )
+    if again is not None:
+        raise DuplicateKeys(f"{again['__n']} staged rows share the key {again[:-1]}")
+
+
+def latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """The last row of each key by ``order_by``; ties go to the greater row.
+
+    An aggregate rather than a window: every task reduces its rows of a key to one before
+    the shuffle, so a key that holds much of the table arrives as one row per task.
+    """
+    ties = [f.name for f in df.schema.fields if f.name not in order_by and comparable(f.dataType)]
+    rank = F.struct(*[column(c) for c in [*order_by, *ties]])
+    row = F.struct(*[column(c) for c in df.columns])
+    kept = (
+        df.where(_whole(keys))
+        .groupBy(*[column(k).alias(f"__k{i}") for i, k in enumerate(keys)])
+        .agg(F.max_by(row, rank).alias("__row"))
+        .select("__row.*")
+    )
+    return kept.unionByName(df.where(~_whole(keys)))
+
+
+def _spread_nulls(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add a join column that is 0 for whole keys and a hash of the row for null ones.
+
+    Rows with null keys match nothing; without this they would all be shuffled to one task.
+    """
+    parts = [column(f.name) for f in df.schema.fields if comparable(f.dataType)]
+    spread = F.when(_whole(keys), F.lit(0).cast("long")).otherwise(F.xxhash64(*parts))
+    return df.withColumn(_SPREAD, spread)
+
+
+def _keys_of(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.where(_whole(keys)).select(
+        *[column(k) for k in keys], F.lit(0).cast("long").alias(_SPREAD)
+    )
+
+
+def _without(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` whose key is not among those of ``other``."""
+    spread = _spread_nulls(df, keys)
+    on = [*keys, _SPREAD]
+    return spread.join(_keys_of(other, keys), on, "left_anti").select(*[column(c) for c in df.columns])
+
+
+def _unmatched(staging: DataFrame, master: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Staged rows that are new to the master.
+
+    The master's keys are first reduced to those that are staged. When staging is small enough
+    to broadcast, that costs one scan of the master's key columns and no shuffle of them.
+    """
+    known = _keys_of(master, keys).join(_keys_of(staging, keys), [*keys, _SPREAD], "left_semi")
+    return _without(staging, known, keys)
+
+
+def upsert(
+    master: DataFrame | None,
+    staging: DataFrame,
+    keys: Sequence[str],
+    *,
+    on_match: str = UPDATE,
+    set_columns: Sequence[str] | None = None,
+    order_by: Sequence[str] | None = None,
+    check_unique: bool = True,
+) -> DataFrame:
+    """The master after staged rows are merged into it, as a lazy DataFrame.
+
+    ``on_match`` is ``update`` (staged rows replace master rows of the same key) or ``ignore``
+    (master rows stay). ``set_columns`` limits an update to these columns. Staged rows with
+    new keys are inserted either way. An absent master (``None``) is an empty one.
+
+    Staged rows must have unique keys, or ``order_by`` must say which of them is the latest.
+    """
+    if on_match not in (UPDATE, IGNORE):
+        raise ValueError(f"on_match must be {UPDATE} or {IGNORE}")
+    if order_by:
+        staging = latest(staging, keys, order_by)
+    elif check_unique:
+        require_unique(staging, keys)
+    if master is None:
+        return staging
+    staging = staging.select(*[column(c) for c in master.columns])
+    if on_match == IGNORE:
+        return master.unionByName(_unmatched(staging, master, keys))
+    if set_columns is None:
+        return _without(master, staging, keys).unionByName(staging)
+    return _set(master, staging, keys, set_columns).unionByName(
+        _unmatched(staging, master, keys)
+    )
+
+
+def _set(
+    master: DataFrame, staging: DataFrame, keys: Sequence[str], names: Sequence[str]
+) -> DataFrame:
+    unknown = [n for n in names if n not in master.columns]
+    if unknown:
+        raise ValueError(f"the master has no columns {unknown}")
+    # The new values travel as one struct, which is null exactly where nothing matched.
+    new = _keys_of_with(staging, keys, names)
+    joined = _spread_nulls(master, keys).join(new, [*keys, _SPREAD], "left")
+    matched = F.col("__new").isNotNull()
+    return joined.select(
+        *[
+            F.when(matched, F.col("__new")[c]).otherwise(column(c)).alias(c)
+            if c in names
+            else column(c)
+            for c in master.columns
+        ]
+    )
+
+
+def _keys_of_with(df: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    return df.where(_whole(keys)).select(
+        *[column(k) for k in keys],
+        F.lit(0).cast("long").alias(_SPREAD),
+        F.struct(*[column(n).alias(n) for n in names]).alias("__new"),
+    )
+
+
+def upsert_all(
+    master: DataFrame | None, staged: Sequence[DataFrame], keys: Sequence[str], **options
+) -> DataFrame:
+    """Merge several staged tables, oldest first, joining the master only once."""
+    merged = upsert(None, staged[0], keys, **options)
+    for later in staged[1:]:
+        merged = upsert(merged, later, keys, **options)
+    return upsert(master, merged, keys, **(options | {"check_unique": False, "order_by": None}))

@@ -1,0 +1,318 @@
+"""Running a plan: every transfer is scanned, shaped, landed, merged and recorded."""
+
+from __future__ import annotations
+
+import json
+import logging
+import re
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import asdict, dataclass, field, replace
+from datetime import datetime, timezone
+from functools import reduce
+
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+
+from ferry.operators.activity import FAILED, LANDED, STARTED, SUCCESS, ActivityLog
+from ferry.operators.reconcile import reconcile
+from ferry.operators.shape import constrain, day_bucket
+from ferry.operators.upsert import upsert_all
+from ferry.plans.control import expand_control
+from ferry.plans.transfer import Archive, DatabaseMerge, Plan, Route, Transfer, Upsert
+from ferry.sinks.land import BUCKET, Landing, SelfOverwrite, land, read_landing
+from ferry.sources import files, jdbc
+from ferry.sources.lake import Lake
+from ferry.sources.scan import is_subselect, read_files, scan
+from ferry.workspace import new_run_id
+
+log = logging.getLogger(__name__)
+
+MANIFEST_SCHEMA = (
+    T.StructType()
+    .add("source_lake", "string")
+    .add("destination_lake", "string")
+    .add("table", "string")
+    .add("path", "string")
+    .add("format", "string")
+    .add("rows", "long")
+    .add("seconds", "double")
+    .add("run_id", "string")
+)
+
+
+@dataclass
+class Landed:
+    route: Route
+    item: Transfer | Archive
+    landing: Landing
+
+
+@dataclass
+class Run:
+    """What a run landed, in plan order, and what failed."""
+
+    landed: list[Landed] = field(default_factory=list)
+    failures: dict[str, BaseException] = field(default_factory=dict)
+
+    def names(self) -> dict[str, dict[str, list[str]]]:
+        """Source lake → destination lake → places landed."""
+        out: dict[str, dict[str, list[str]]] = {}
+        for one in self.landed:
+            route = one.route
+            places = out.setdefault(route.source_lake, {}).setdefault(route.destination_lake, [])
+            places.append(one.landing.path)
+        return out
+
+    def manifest(self, spark: SparkSession) -> DataFrame:
+        """One row per landing."""
+        rows = [
+            (
+                one.route.source_lake,
+                one.route.destination_lake,
+                one.landing.name,
+                one.landing.path,
+                one.landing.format,
+                one.landing.rows,
+                one.landing.seconds,
+                one.landing.run_id,
+            )
+            for one in self.landed
+        ]
+        return spark.createDataFrame(rows, MANIFEST_SCHEMA)
+
+
+class TransferFailed(RuntimeError):
+    """Some transfers of a run failed; ``run`` holds the others."""
+
+    def __init__(self, run: Run):
+        self.run = run
+        what = "; ".join(f"{k}: {type(e).__name__}: {e}" for k, e in run.failures.items())
+        super().__init__(f"{len(run.failures)} transfers failed: {what}")
+
+
+def run(spark: SparkSession, plan: Plan, max_parallel: int = 4) -> Run:
+    """Run every item of a plan; failures are raised once all items had their turn.
+
+    Routes run in order, since a later one may read what an earlier one wrote. Within a route
+    items run side by side as independent Spark jobs, except that those with one destination
+    keep their order, and so do all items of a route within one lake.
+    """
+    lakes = plan.by_name
+    activity = ActivityLog.of(spark, plan.lakes, plan.name)
+    done = Run()
+    for route in plan.routes:
+        source, destination = lakes[route.source_lake], lakes[route.destination_lake]
+        items = _expanded(spark, plan, route, activity, done)
+
+        def one(item: Transfer | Archive) -> Landed | BaseException:
+            try:
+                landing = _transfer(spark, plan, source, destination, item, activity)
+                return Landed(route, item, landing)
+            except Exception as e:
+                log.exception("%s from %s to %s failed", item.destination, source.name, destination.name)
+                return e
+
+        alone = source.name == destination.name
+        for item, result in zip(items, _side_by_side(spark, items, one, 1 if alone else max_parallel)):
+            if isinstance(result, Landed):
+                done.landed.append(result)
+            else:
+                done.failures[f"{source.name}/{destination.name}/{item.destination}"] = result
+    if done.failures:
+        raise TransferFailed(done)
+    return done
+
+
+def _side_by_side(
+    spark: SparkSession, items: list, one: Callable, threads: int
+) -> Iterable[Landed | BaseException]:
+    """Results in the order of ``items``; those that write one table run one after another."""
+    by_destination: dict[str, list[int]] = {}
+    for i, item in enumerate(items):
+        merge = getattr(item, "merge", None)
+        written = (merge.master if merge else None) or item.destination
+        by_destination.setdefault(written.lower(), []).append(i)
+    if threads < 2 or len(by_destination) < 2:
+        return [one(item) for item in items]
+
+    def in_order(indexes: list[int]) -> list[tuple[int, Landed | BaseException]]:
+        return [(i, one(items[i])) for i in indexes]
+
+    results: dict[int, Landed | BaseException] = {}
+    with ThreadPoolExecutor(threads) as pool:
+        # Spark's job descriptions and scheduler pools follow the threads.
+        task = inheritable_thread_target(spark)(in_order)
+        for part in pool.map(task, by_destination.values()):
+            results.update(part)
+    return [results[i] for i in range(len(items))]
+
+
+def _expanded(
+    spark: SparkSession, plan: Plan, route: Route, activity: ActivityLog | None, done: Run
+) -> list[Transfer | Archive]:
+    """The plain items of a route, then those that its control queries yield."""
+    items = [i for i in route.items if not getattr(i, "control", False)]
+    for item in route.items:
+        if not getattr(item, "control", False):
+            continue
+        try:
+            asked = plan.by_name[item.control_lake or route.destination_lake]
+            items += expand_control(scan(spark, asked, item.source))
+        except Exception as e:
+            log.exception("control query for %s failed", item.destination)
+            done.failures[f"{route.source_lake}/{route.destination_lake}/{item.destination}"] = e
+            if activity:
+                now = datetime.now(timezone.utc)
+                activity.record(item.destination, now, FAILED, run_id=new_run_id(), error=e)
+    return items
+
+
+def source_frame(spark: SparkSession, lake: Lake, item: Transfer | Archive) -> DataFrame:
+    """What an item reads, shaped as it is landed."""
+    df = scan(spark, lake, item.source, item.schema, item.split)
+    if isinstance(item, Archive):
+        df = day_bucket(constrain(df, item.constraints), item.column, item.fmt, lenient=item.lenient)
+    return df
+
+
+def _transfer(
+    spark: SparkSession,
+    plan: Plan,
+    source: Lake,
+    destination: Lake,
+    item: Transfer | Archive,
+    activity: ActivityLog | None,
+) -> Landing:
+    run_id, start = new_run_id(), datetime.now(timezone.utc)
+
+    def record(event: str, **more) -> None:
+        if activity:
+            activity.record(item.destination, start, event, run_id=run_id, **more)
+
+    record(STARTED, configuration=plan.describe())
+    try:
+        guard_self_overwrite(source, item.source, destination, item.destination)
+        df = source_frame(spark, source, item)
+        merge = getattr(item, "merge", None)
+        if merge is not None and isinstance(merge, DatabaseMerge) != destination.is_jdbc:
+            raise ValueError("DatabaseMerge is for databases and Upsert for files")
+        if isinstance(merge, DatabaseMerge) and jdbc.table_exists(spark, destination, item.destination):
+            # Rows that an earlier run landed but could not merge would be overwritten below.
+            _merge_in_database(spark, destination, merge)
+        landing = land(
+            df,
+            destination,
+            item.destination,
+            bucket=BUCKET if isinstance(item, Archive) and not destination.is_jdbc else None,
+            files_per_table=getattr(item, "files", None),
+            column_types=getattr(item, "column_types", None),
+            run_id=run_id,
+        )
+        record(LANDED, landing=json.dumps(asdict(landing)))
+        if isinstance(merge, DatabaseMerge):
+            _merge_in_database(spark, destination, merge)
+        elif merge is not None:
+            _merge_files(spark, destination, item.destination, merge, landing, activity, start)
+        record(SUCCESS, landing=json.dumps(asdict(landing)))
+        return landing
+    except Exception as e:
+        record(FAILED, error=e)
+        raise
+
+
+def guard_self_overwrite(source: Lake, text: str, destination: Lake, table: str) -> None:
+    """Refuse to overwrite the table that is being read: its rows would be gone.
+
+    File sinks check the files themselves when they land. A database cannot be asked that, so
+    a subselect over the same database may not mention the table it overwrites.
+    """
+    same = destination.is_jdbc and source.url == destination.url
+    if not same or destination.write_mode != "overwrite":
+        return
+    bare = table.strip('"`').lower()
+    mentioned = (
+        re.search(rf"(?<!\w){re.escape(bare)}(?!\w)", text.lower()) is not None
+        if is_subselect(text)
+        else text.strip().strip('"`').lower() == bare
+    )
+    if mentioned:
+        raise SelfOverwrite(f"{table} in lake {destination.name} would overwrite its own source")
+
+
+def _merge_in_database(spark: SparkSession, lake: Lake, merge: DatabaseMerge) -> None:
+    if not (merge.create_sql.strip() and merge.merge_sql.strip()):
+        return
+    if merge.master is None or not jdbc.table_exists(spark, lake, merge.master):
+        jdbc.execute(spark, lake, [merge.create_sql])
+    jdbc.execute(spark, lake, [merge.merge_sql])
+
+
+def _merge_files(
+    spark: SparkSession,
+    lake: Lake,
+    table: str,
+    merge: Upsert,
+    landing: Landing,
+    activity: ActivityLog | None,
+    start: datetime,
+) -> None:
+    """Write the next version of a master beside the current one, then commit it.
+
+    Rows of earlier runs that landed but were not merged come first. Until the commit event
+    (without a log, the completion marker of the files) readers see the current version.
+    """
+    master_lake = replace(lake, snapshots=True)
+    leftovers = [Landing(**json.loads(x)) for x in activity.leftovers(table)] if activity else []
+    # This run's own landing is open as well until it succeeds.
+    staged = [x for x in leftovers if x.run_id != landing.run_id] + [landing]
+    frames = [read_landing(spark, lake, x) for x in staged]
+    master = None
+    if activity:
+        committed = activity.latest(merge.master)
+        if committed:
+            master = read_landing(spark, master_lake, Landing(**json.loads(committed)))
+    else:
+        current = files.latest_run(spark, lake.path(merge.master))
+        if current:
+            master = read_files(spark, master_lake, current, frames[-1].schema)
+    merged = upsert_all(
+        master,
+        frames,
+        list(merge.keys),
+        on_match=merge.on_match,
+        set_columns=merge.set_columns,
+        order_by=merge.order_by,
+    )
+    version = land(merged, master_lake, merge.master, run_id=f"{landing.run_id}-master")
+    if activity:
+        activity.record(
+            merge.master,
+            start,
+            SUCCESS,
+            run_id=version.run_id,
+            landing=json.dumps(asdict(version)),
+            must=True,
+        )
+
+
+def reconcile_run(spark: SparkSession, plan: Plan, done: Run, by_position: bool = False) -> DataFrame:
+    """Read both sides of every landing again and compare all rows: one row per landing."""
+    parts = []
+    for one in done.landed:
+        source = plan.by_name[one.route.source_lake]
+        destination = plan.by_name[one.route.destination_lake]
+        src = source_frame(spark, source, one.item)
+        dst = read_landing(spark, destination, one.landing)
+        parts.append(
+            reconcile(src, dst, by_position).select(
+                F.lit(source.name).alias("source_lake"),
+                F.lit(destination.name).alias("destination_lake"),
+                F.lit(one.landing.name).alias("table"),
+                "src_rows",
+                "dst_rows",
+                "missing",
+                "extra",
+            )
+        )
+    return reduce(DataFrame.unionAll, parts)

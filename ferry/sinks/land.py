@@ -1,0 +1,206 @@
+"""Landing a DataFrame in a lake as files or as a database table."""
+
+from __future__ import annotations
+
+import json
+import re
+import time
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+
+from ferry.functions.columns import backticked, column
+from ferry.sources import files, jdbc
+from ferry.sources.lake import Lake
+from ferry.sources.scan import escape_nulls, read_files, scan
+from ferry.workspace import new_run_id
+
+BUCKET = "bucket_val"
+
+
+class SelfOverwrite(ValueError):
+    """A transfer would overwrite the table it reads."""
+
+
+@dataclass(frozen=True)
+class Landing:
+    """What one landing left behind; enough to read it back with its own types."""
+
+    lake: str
+    name: str
+    path: str
+    format: str
+    schema: str
+    rows: int | None
+    seconds: float
+    run_id: str
+
+
+def land(
+    df: DataFrame,
+    lake: Lake,
+    name: str,
+    *,
+    mode: str | None = None,
+    bucket: str | None = None,
+    keep_other_days: bool = True,
+    cluster: bool = True,
+    files_per_table: int | None = None,
+    column_types: str | None = None,
+    run_id: str | None = None,
+) -> Landing:
+    """Write ``df`` to ``lake`` under ``name`` and say where and how many rows.
+
+    ``mode`` defaults to the lake's write mode and holds for files as well as databases. Lakes
+    with snapshots write a new run directory instead, so the mode has nothing to replace.
+
+    ``bucket`` partitions files by that column. Rows are first brought together by day, with
+    adaptive execution cutting days that outgrow a partition and joining small ones;
+    ``cluster=False`` skips that shuffle for input already in day order. Overwriting a
+    bucketed landing replaces only the days at hand unless ``keep_other_days`` is off.
+
+    ``files_per_table`` forces a number of files; 1 puts everything through one task.
+    """
+    run_id = run_id or new_run_id()
+    mode = (mode or lake.write_mode).lower()
+    started = time.monotonic()
+    schema = df.schema
+    if lake.is_jdbc:
+        path, rows = name, _to_database(df, lake, name, mode, column_types, run_id)
+    else:
+        path, rows = _to_files(
+            df, lake, name, mode, bucket, keep_other_days, cluster, files_per_table, run_id
+        )
+        if bucket is not None:
+            # Partition columns come last when files are read back.
+            schema = T.StructType(
+                [f for f in schema.fields if f.name != bucket] + [schema[bucket]]
+            )
+    return Landing(
+        lake.name, name, path, lake.format, schema.json(), rows, time.monotonic() - started, run_id
+    )
+
+
+def read_landing(spark: SparkSession, lake: Lake, landing: Landing) -> DataFrame:
+    """The landed rows with the types they had when they were written."""
+    if lake.is_jdbc:
+        return scan(spark, lake, landing.path)
+    schema = T.StructType.fromJson(json.loads(landing.schema))
+    if lake.format == "csv":
+        # Landed by us, so anything malformed is damage and must not turn into nulls.
+        strict = {"mode": "FAILFAST", "enforceSchema": "false"} | dict(lake.options)
+        lake = Lake(**{**lake.__dict__, "options": strict})
+    return read_files(spark, lake, landing.path, schema)
+
+
+def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+
+def _to_files(
+    df: DataFrame,
+    lake: Lake,
+    name: str,
+    mode: str,
+    bucket: str | None,
+    keep_other_days: bool,
+    cluster: bool,
+    files_per_table: int | None,
+    run_id: str,
+) -> tuple[str, int | None]:
+    spark = df.sparkSession
+    path = lake.path(name, files.RUN + run_id) if lake.snapshots else lake.path(name)
+    if mode == "overwrite" and not lake.snapshots:
+        if files.reads_from(df, path):
+            raise SelfOverwrite(f"{name} in lake {lake.name} would overwrite its own source")
+    if mode == "ignore" and files.exists(spark, path):
+        return path, None
+    if lake.format == "csv":
+        unsupported = [f.name for f in df.schema.fields if not fits_csv(f.dataType)]
+        if unsupported:
+            raise TypeError(f"csv cannot hold the columns {unsupported}")
+        if lake.dialect == "lossless":
+            df = escape_nulls(df)
+    if files_per_table is not None:
+        df = df.repartition(files_per_table)
+    elif bucket is not None and cluster:
+        df = df.hint("rebalance", column(bucket))
+    # Counted in the writing stage itself, whose tasks report once even if they ran twice.
+    counted, seen = _counted(df)
+    writer = counted.write.format(lake.format).options(**lake.write_options()).mode(mode)
+    if bucket is not None:
+        writer = writer.partitionBy(bucket)
+        if mode == "overwrite" and keep_other_days and not lake.snapshots:
+            writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.save(path)
+    return path, seen.get["rows"]
+
+
+def fits_csv(dtype: T.DataType) -> bool:
+    return not isinstance(
+        dtype, (T.ArrayType, T.MapType, T.StructType, T.BinaryType, T.NullType, T.VariantType)
+    )
+
+
+def _to_database(
+    df: DataFrame, lake: Lake, table: str, mode: str, column_types: str | None, run_id: str
+) -> int | None:
+    """Write a table so that a task that ran twice cannot leave its rows twice.
+
+    Each task commits on its own, and one that is lost after its commit runs again. So the
+    rows are counted in the database before they are trusted, and appended rows first go to a
+    table of their own, from which a single statement moves them over.
+    """
+    spark = df.sparkSession
+    there = jdbc.table_exists(spark, lake, table)
+    if there and mode == "ignore":
+        return None
+    if there and mode in ("error", "errorifexists"):
+        raise FileExistsError(f"table {table} in lake {lake.name} exists")
+    if there and mode == "append":
+        stage = f"{table}_{re.sub(r'\W', '', run_id)[-16:]}"
+        try:
+            rows = _write_table(df, lake, stage, column_types)
+            held = {c.lower(): c for c in jdbc.read(spark, lake, table).columns}
+            into = ", ".join(jdbc.quote(spark, lake, held[c.lower()]) for c in df.columns)
+            names = ", ".join(jdbc.quote(spark, lake, c) for c in df.columns)
+            move = f"INSERT INTO {table} ({into}) SELECT {names} FROM {stage}"
+            jdbc.execute(spark, lake, [move])
+        finally:
+            if jdbc.table_exists(spark, lake, stage):
+                jdbc.execute(spark, lake, [f"DROP TABLE {stage}"])
+        return rows
+    return _write_table(df, lake, table, column_types)
+
+
+def _write_table(df: DataFrame, lake: Lake, table: str, column_types: str | None) -> int:
+    counted, seen = _counted(df)
+    options = lake.jdbc_options()
+    if column_types:
+        options["createTableColumnTypes"] = column_types
+    if lake.max_connections:
+        options["numPartitions"] = str(lake.max_connections)
+    # With "truncate" in the lake's options a table keeps its definition when overwritten.
+    writer = counted.write.format("jdbc").options(**options).option("dbtable", table)
+    writer.mode("overwrite").save()
+    rows = seen.get["rows"]
+    landed = jdbc.count(df.sparkSession, lake, table)
+    if landed != rows:
+        raise RuntimeError(f"table {table}: wrote {rows} rows, found {landed}")
+    return rows
+
+
+def varchar_types(df: DataFrame, lengths: dict[str, int]) -> str:
+    """``createTableColumnTypes`` for text columns whose longest value is known."""
+    return ", ".join(f"{backticked(c)} VARCHAR({max(n, 1)})" for c, n in lengths.items())
+
+
+def text_lengths(df: DataFrame, names: Sequence[str] | None = None) -> dict[str, int]:
+    """The longest value of each text column, in one pass and one row."""
+    names = names or [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    if not names:
+        return {}
+    longest = df.agg(*[F.max(F.length(column(n))).alias(n) for n in names]).first()
+    return {n: longest[n] or 1 for n in names}

@@ -1,0 +1,115 @@
+"""Scans: one entry point that turns (lake, source) into a lazy DataFrame."""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Iterator
+from contextlib import contextmanager
+from threading import Lock
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+
+from ferry.functions.columns import column
+from ferry.sources import files, jdbc
+from ferry.sources.lake import Lake, has_text
+
+_SUBSELECT = re.compile(
+    r"""^\(\s*(?P<sql>(?:select|with)\b.*)\)\s*(?:as\s+)?["`]?\w*["`]?$""", re.I | re.S
+)
+
+# Temporary views belong to the whole session, so only one thread names them at a time.
+_views = Lock()
+
+
+def is_subselect(source: str) -> bool:
+    return _SUBSELECT.match(source.strip()) is not None
+
+
+def scan(
+    spark: SparkSession,
+    lake: Lake,
+    source: str,
+    schema: T.StructType | None = None,
+    split: jdbc.Split | None = None,
+) -> DataFrame:
+    """A table, a file, a directory, or ``( select … ) alias`` of a lake, as a DataFrame.
+
+    Nothing but the schema is read here. ``split`` reads a database in parallel.
+    """
+    if lake.is_jdbc:
+        return jdbc.read(spark, lake, source, split)
+    if is_subselect(source):
+        return _sql_over_files(spark, lake, source)
+    return read_files(spark, lake, current_path(spark, lake, lake.path(source)), schema)
+
+
+def current_path(spark: SparkSession, lake: Lake, path: str) -> str:
+    """Where a table's rows are: below its latest completed run, if it has runs."""
+    return (files.latest_run(spark, path) if lake.snapshots else None) or path
+
+
+def read_files(
+    spark: SparkSession, lake: Lake, path: str | list[str], schema: T.StructType | None = None
+) -> DataFrame:
+    reader = spark.read.format(lake.format).options(**lake.read_options(schema))
+    if schema is not None:
+        reader = reader.schema(schema)
+    df = reader.load(path)
+    return unescape_nulls(df) if lake.format == "csv" and lake.dialect == "lossless" else df
+
+
+# Null is written as \N, so text that reads \N itself carries one more backslash.
+def _rewrite_text(df: DataFrame, rewrite) -> DataFrame:
+    def each(f: T.StructField) -> Column:
+        col = column(f.name)
+        return rewrite(col).alias(f.name) if has_text(f.dataType) else col
+
+    return df.select([each(f) for f in df.schema.fields])
+
+
+def escape_nulls(df: DataFrame) -> DataFrame:
+    return _rewrite_text(
+        df, lambda c: F.when(c.rlike(r"^\\+N$"), F.concat(F.lit("\\"), c)).otherwise(c)
+    )
+
+
+def unescape_nulls(df: DataFrame) -> DataFrame:
+    return _rewrite_text(
+        df, lambda c: F.when(c.rlike(r"^\\{2,}N$"), F.substring(c, 2, 2_147_483_647)).otherwise(c)
+    )
+
+
+def _sql_over_files(spark: SparkSession, lake: Lake, source: str) -> DataFrame:
+    """Run a subselect over the tables of a file lake.
+
+    Only the children of the lake that the text mentions are opened. Spark resolves the
+    text at once, so the names are needed no longer than this call.
+    """
+    sql = _SUBSELECT.match(source.strip())["sql"]
+    children = {files.table_name(p): p for p in files.children(spark, lake.url)}
+    mentioned = {
+        name: path
+        for name, path in children.items()
+        if re.search(rf"(?<!\w){re.escape(name)}(?!\w)", sql, re.I)
+    }
+    with _views, _named(spark, lake, mentioned):
+        return spark.sql(sql)
+
+
+@contextmanager
+def _named(spark: SparkSession, lake: Lake, tables: dict[str, str]) -> Iterator[None]:
+    """Temporary views for the tables; views of the same name come back afterwards."""
+    hidden = {}
+    temporary = {t.name.lower() for t in spark.catalog.listTables() if t.isTemporary}
+    try:
+        for name, path in tables.items():
+            if name.lower() in temporary:
+                hidden[name] = spark.table(name)
+            df = read_files(spark, lake, current_path(spark, lake, path))
+            df.createOrReplaceTempView(name)
+        yield
+    finally:
+        for name in tables:
+            spark.catalog.dropTempView(name)
+        for name, df in hidden.items():
+            df.createOrReplaceTempView(name)
