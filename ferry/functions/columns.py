@@ -92,7 +92,9 @@ def fingerprint(df: DataFrame) -> Column:
         _canonical(column(f.name), f.dataType).alias(f"c{i}")
         for i, f in enumerate(df.schema.fields)
     ]
-    return F.unhex(F.sha2(F.to_json(F.struct(*fields), _JSON_OPTIONS), 256))
+    digest = F.unhex(F.sha2(F.to_json(F.struct(*fields), _JSON_OPTIONS), 256))
+    # Never null, and Spark should know it: a null check would digest every row once more.
+    return F.coalesce(digest, F.lit(b""))
 
 
 def rendered(col: Column, dtype: T.DataType) -> Column:

@@ -49,31 +49,36 @@ def latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataF
     the shuffle, so a key that holds much of the table arrives as one row per task.
     """
     ties = [f.name for f in df.schema.fields if f.name not in order_by and comparable(f.dataType)]
-    rank = F.struct(*[column(c) for c in [*order_by, *ties]])
-    row = F.struct(*[column(c) for c in df.columns])
+    rank = F.struct(*[column(c).alias(c) for c in [*order_by, *ties]])
+    if len(order_by) + len(ties) == len(df.columns):
+        last = F.max(rank)
+    else:
+        last = F.max_by(F.struct(*[column(c).alias(c) for c in df.columns]), rank)
     kept = (
         df.where(_whole(keys))
         .groupBy(*[column(k).alias(f"__k{i}") for i, k in enumerate(keys)])
-        .agg(F.max_by(row, rank).alias("__row"))
+        .agg(last.alias("__row"))
         .select("__row.*")
+        .select(*[column(c) for c in df.columns])
     )
     return kept.unionByName(df.where(~_whole(keys)))
 
 
 def _spread_nulls(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add a join column that is 0 for whole keys and a hash of the row for null ones.
+    """Add a join column that hashes the key, or the whole row where the key has a null.
 
-    Rows with null keys match nothing; without this they would all be shuffled to one task.
+    Rows with null keys match nothing, yet a join on the key alone would shuffle all of them
+    to one task. The hash sends each of them elsewhere.
     """
-    parts = [column(f.name) for f in df.schema.fields if comparable(f.dataType)]
-    spread = F.when(_whole(keys), F.lit(0).cast("long")).otherwise(F.xxhash64(*parts))
-    return df.withColumn(_SPREAD, spread)
+    key = [column(k) for k in keys]
+    row = [column(f.name) for f in df.schema.fields if comparable(f.dataType)]
+    return df.withColumn(_SPREAD, F.when(_whole(keys), F.xxhash64(*key)).otherwise(F.xxhash64(*row)))
 
 
-def _keys_of(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.where(_whole(keys)).select(
-        *[column(k) for k in keys], F.lit(0).cast("long").alias(_SPREAD)
-    )
+def _keys_of(df: DataFrame, keys: Sequence[str], *more: Column) -> DataFrame:
+    # Not a literal: Catalyst would fold it, and with it the hash, out of the join keys.
+    key = [column(k) for k in keys]
+    return df.where(_whole(keys)).select(*key, F.xxhash64(*key).alias(_SPREAD), *more)
 
 
 def _without(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -136,7 +141,7 @@ def _set(
     if unknown:
         raise ValueError(f"the master has no columns {unknown}")
     # The new values travel as one struct, which is null exactly where nothing matched.
-    new = _keys_of_with(staging, keys, names)
+    new = _keys_of(staging, keys, F.struct(*[column(n).alias(n) for n in names]).alias("__new"))
     joined = _spread_nulls(master, keys).join(new, [*keys, _SPREAD], "left")
     matched = F.col("__new").isNotNull()
     return joined.select(
@@ -149,14 +154,6 @@ def _set(
     )
 
 
-def _keys_of_with(df: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
-    return df.where(_whole(keys)).select(
-        *[column(k) for k in keys],
-        F.lit(0).cast("long").alias(_SPREAD),
-        F.struct(*[column(n).alias(n) for n in names]).alias("__new"),
-    )
-
-
 def upsert_all(
     master: DataFrame | None, staged: Sequence[DataFrame], keys: Sequence[str], **options
 ) -> DataFrame:

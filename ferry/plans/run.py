@@ -262,7 +262,7 @@ def _merge_files(
     Rows of earlier runs that landed but were not merged come first. Until the commit event
     (without a log, the completion marker of the files) readers see the current version.
     """
-    master_lake = replace(lake, snapshots=True)
+    master_lake = replace(lake, snapshots=True, write_mode="overwrite")
     leftovers = [Landing(**json.loads(x)) for x in activity.leftovers(table)] if activity else []
     # This run's own landing is open as well until it succeeds.
     staged = [x for x in leftovers if x.run_id != landing.run_id] + [landing]

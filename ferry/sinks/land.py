@@ -53,7 +53,7 @@ def land(
     """Write ``df`` to ``lake`` under ``name`` and say where and how many rows.
 
     ``mode`` defaults to the lake's write mode and holds for files as well as databases. Lakes
-    with snapshots write a new run directory instead, so the mode has nothing to replace.
+    with snapshots write a new run directory, which replaces the former ones for readers.
 
     ``bucket`` partitions files by that column. Rows are first brought together by day, with
     adaptive execution cutting days that outgrow a partition and joining small ones;
@@ -64,6 +64,8 @@ def land(
     """
     run_id = run_id or new_run_id()
     mode = (mode or lake.write_mode).lower()
+    if lake.snapshots and mode != "overwrite":
+        raise ValueError(f"lake {lake.name}: snapshots replace, they do not {mode}")
     started = time.monotonic()
     schema = df.schema
     if lake.is_jdbc:
@@ -132,7 +134,7 @@ def _to_files(
     writer = counted.write.format(lake.format).options(**lake.write_options()).mode(mode)
     if bucket is not None:
         writer = writer.partitionBy(bucket)
-        if mode == "overwrite" and keep_other_days and not lake.snapshots:
+        if keep_other_days and mode == "overwrite" and not lake.snapshots:
             writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.save(path)
     return path, seen.get["rows"]

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
+from datetime import date, datetime
+from math import ceil, floor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,6 +15,7 @@ from ferry.sources.lake import Lake
 # A histogram this fine per partition keeps equal-count ranges within a few percent.
 _BINS_PER_PARTITION = 64
 _MAX_BINS = 8192
+_MAX_DEPTH = 4
 
 
 @dataclass(frozen=True)
@@ -34,22 +37,28 @@ class Split:
 
 def read(spark: SparkSession, lake: Lake, source: str, split: Split | None = None) -> DataFrame:
     """A table or ``( select … ) alias``; the text runs in the database."""
+    whole = _reader(spark, lake).option("dbtable", source)
     if split is None or split.partitions < 2:
-        return _reader(spark, lake).option("dbtable", source).load()
+        return whole.load()
     lower, upper = split.lower, split.upper
     if lower is None or upper is None:
         lower, upper = _bounds(spark, lake, source, split.column)
     if lower is None:
-        return _reader(spark, lake).option("dbtable", source).load()
-    if split.balanced:
-        predicates = _equal_count_ranges(spark, lake, source, split, float(lower), float(upper))
+        return whole.load()
+    if split.balanced or isinstance(lower, datetime):
+        if split.balanced:
+            cuts = _equal_counts(spark, lake, source, split, float(lower), float(upper))
+        else:
+            # Spark's own bounds know no timestamps without time zone.
+            step = (upper - lower) / split.partitions
+            cuts = [f"{{ts '{lower + step * i}'}}" for i in range(1, split.partitions)]
+        predicates = _ranges(quote(spark, lake, split.column), cuts)
         options = lake.jdbc_options()
-        url = options.pop("url")
-        return spark.read.jdbc(url, source, predicates=predicates, properties=options)
+        return spark.read.jdbc(options.pop("url"), source, predicates=predicates, properties=options)
+    if not isinstance(lower, (str, date)):
+        lower, upper = floor(lower), ceil(upper)
     return (
-        _reader(spark, lake)
-        .option("dbtable", source)
-        .option("partitionColumn", quote(spark, lake, split.column))
+        whole.option("partitionColumn", quote(spark, lake, split.column))
         .option("lowerBound", str(lower))
         .option("upperBound", str(upper))
         .option("numPartitions", split.partitions)
@@ -73,34 +82,63 @@ def _bounds(spark: SparkSession, lake: Lake, source: str, column: str):
     return row[0], row[1]
 
 
-def _equal_count_ranges(
+def _equal_counts(
     spark: SparkSession, lake: Lake, source: str, split: Split, lo: float, hi: float
 ) -> list[str]:
-    """Predicates over ranges of about equal row counts, from a histogram the database makes.
-
-    At most ``_MAX_BINS`` counts come back, whatever the table holds.
+    """Cuts between ranges of about equal row counts."""
+    target = count(spark, lake, source) / split.partitions
+    cuts, filled = [], 0
+    edges = _histogram(spark, lake, source, split, lo, hi, target, _MAX_DEPTH)
+    for edge, n in edges[:-1]:
+        filled += n
+        if filled >= target:
+            cuts.append(repr(edge))
+            filled = 0
+    return cuts
+
+
+def _histogram(
+    spark: SparkSession,
+    lake: Lake,
+    source: str,
+    split: Split,
+    lo: float,
+    hi: float,
+    target: float,
+    depth: int,
+) -> list[tuple[float, int]]:
+    """(upper edge, rows) of bins, counted by the database; at most ``_MAX_BINS`` come back.
+
+    A bin that alone outgrows a partition is cut again, so clustered values are spread too.
     """
     name = quote(spark, lake, split.column)
     bins = min(split.partitions * _BINS_PER_PARTITION, _MAX_BINS)
-    width = (hi - lo) / bins or 1.0
+    width = (hi - lo) / bins
+    if lo + width <= lo:
+        return [(hi, 0)]
     sql = (
         f"(SELECT b, COUNT(*) AS n FROM (SELECT CAST(FLOOR(({name} - {lo!r}) / {width!r}) "
-        f"AS INTEGER) AS b FROM {_derived(source, 's')} WHERE {name} IS NOT NULL) h GROUP BY b) g"
+        f"AS INTEGER) AS b FROM {_derived(source, 's')} WHERE {name} >= {lo!r} AND {name} <= {hi!r}"
+        f") h GROUP BY b) g"
     )
-    counts = sorted((int(b), int(n)) for b, n in read(spark, lake, sql).toLocalIterator())
-    target = sum(n for _, n in counts) / split.partitions
-    cuts, filled = [], 0
-    for b, n in counts[:-1]:
-        filled += n
-        if filled >= target:
-            cuts.append(lo + (b + 1) * width)
-            filled = 0
+    edges: list[tuple[float, int]] = []
+    for b, n in sorted((int(b), int(n)) for b, n in read(spark, lake, sql).toLocalIterator()):
+        low, high = lo + b * width, lo + (b + 1) * width
+        if n > target and depth > 0:
+            edges += _histogram(spark, lake, source, split, low, high, target, depth - 1)
+        else:
+            edges.append((high, n))
+    return edges
+
+
+def _ranges(name: str, cuts: Sequence[str]) -> list[str]:
+    """Predicates that cover every row once; nulls go with the lowest values."""
     if not cuts:
         return ["1 = 1"]
     return [
-        f"({name} < {cuts[0]!r} OR {name} IS NULL)",
-        *(f"({name} >= {a!r} AND {name} < {b!r})" for a, b in zip(cuts, cuts[1:])),
-        f"({name} >= {cuts[-1]!r})",
+        f"({name} < {cuts[0]} OR {name} IS NULL)",
+        *(f"({name} >= {a} AND {name} < {b})" for a, b in zip(cuts, cuts[1:])),
+        f"({name} >= {cuts[-1]})",
     ]
 
 

@@ -52,7 +52,8 @@ class Lake:
     object stores belong to the Spark session; ``username`` and ``password`` are for databases.
 
     ``snapshots`` makes every landing a new ``run=`` directory, which leaves the last good
-    copy untouched while the next one is written. It is the default on file systems.
+    copy untouched while the next one is written. It is how file systems are overwritten
+    unless turned off; other write modes work on one fixed directory.
 
     ``dialect`` is ``lossless`` (what this library writes to CSV) or ``plain`` (Spark's own
     CSV defaults, for files written elsewhere). ``multiline`` reads quoted line breaks; turn
@@ -95,7 +96,10 @@ class Lake:
         elif self.format not in FILE_FORMATS:
             raise ValueError(f"lake {self.name}: format must be one of {FILE_FORMATS}")
         if self.snapshots is None:
-            set_(self, "snapshots", self.driver == FILESYSTEM)
+            fresh_runs = self.driver == FILESYSTEM and self.write_mode == DEFAULT_WRITE_MODE
+            set_(self, "snapshots", fresh_runs)
+        if self.snapshots and self.write_mode != DEFAULT_WRITE_MODE:
+            raise ValueError(f"lake {self.name}: snapshots replace, they do not {self.write_mode}")
 
     @property
     def is_jdbc(self) -> bool:
