@@ -109,7 +109,10 @@ class ActivityLog:
     def _create_or_upgrade(self) -> None:
         """Create the table, or add the columns it lacks, all or none of them."""
         if not jdbc.table_exists(self.spark, self.lake, ACTIVITY_TABLE):
-            self._append(self.spark.createDataFrame([], EVENT_SCHEMA))
+            # Some databases compare only bounded text.
+            short = ("integration_name", "host_name", "table_name", "event", "run_id")
+            types = ", ".join(f"{c} VARCHAR(512)" for c in short)
+            self._append(self.spark.createDataFrame([], EVENT_SCHEMA), types)
             return
         held = {c.lower() for c in jdbc.read(self.spark, self.lake, ACTIVITY_TABLE).columns}
         jvm = self.spark._jvm
@@ -126,8 +129,10 @@ class ActivityLog:
             ],
         )
 
-    def _append(self, df: DataFrame) -> None:
+    def _append(self, df: DataFrame, column_types: str | None = None) -> None:
         options = self.lake.jdbc_options()
+        if column_types:
+            options["createTableColumnTypes"] = column_types
         df.write.format("jdbc").options(**options).option("dbtable", ACTIVITY_TABLE).mode(
             "append"
         ).save()

@@ -178,12 +178,13 @@ def _to_database(
 
 
 def _write_table(df: DataFrame, lake: Lake, table: str, column_types: str | None) -> int:
-    counted, seen = _counted(df)
     options = lake.jdbc_options()
     if column_types:
         options["createTableColumnTypes"] = column_types
-    if lake.max_connections:
-        options["numPartitions"] = str(lake.max_connections)
+    # Every task holds a connection. Spark's own limit would write a copy of the plan that
+    # does not report its row count.
+    limit = lake.max_connections or options.pop("numPartitions", None)
+    counted, seen = _counted(df.coalesce(int(limit)) if limit else df)
     # With "truncate" in the lake's options a table keeps its definition when overwritten.
     writer = counted.write.format("jdbc").options(**options).option("dbtable", table)
     writer.mode("overwrite").save()

@@ -1,0 +1,139 @@
+from __future__ import annotations
+
+from collections import Counter
+
+import pytest
+from conftest import rows
+from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from ferry.operators import align, reconcile, reconcile_cells, reconcile_rows, reconcile_sample
+
+SCHEMA = "k int, v int, w string"
+
+
+def frame(spark, data):
+    return spark.createDataFrame(data, SCHEMA)
+
+
+def test_summary_counts_duplicates(spark):
+    src = frame(spark, [(1, 1, "a"), (1, 1, "a"), (2, 2, None), (3, 3, "c")])
+    dst = frame(spark, [(1, 1, "a"), (2, 2, None), (2, 2, ""), (3, 3, "c"), (3, 3, "c")])
+    assert reconcile(src, dst).first() == (4, 5, 1, 2)
+    assert reconcile(src, src).first() == (4, 4, 0, 0)
+    none = frame(spark, [])
+    assert reconcile(none, none).first() == (0, 0, 0, 0)
+    assert reconcile(none, src).first() == (0, 4, 0, 4)
+
+
+def test_rows_and_cells(spark):
+    src = frame(spark, [(1, 1, "a"), (2, 2, "b"), (3, 3, "c"), (None, 4, "d"), (5, 5, "x"), (5, 5, "y")])
+    dst = frame(spark, [(1, 1, "a"), (2, 9, None), (4, 4, "e"), (None, 4, "D"), (5, 5, "z"), (5, 5, "y")])
+    assert rows(reconcile_rows(src, dst)) == sorted(
+        [
+            ("source", 1, 2, 2, "b"),
+            ("landed", 1, 2, 9, None),
+            ("source", 1, 3, 3, "c"),
+            ("landed", 1, 4, 4, "e"),
+            ("source", 1, None, 4, "d"),
+            ("landed", 1, None, 4, "D"),
+            ("source", 1, 5, 5, "x"),
+            ("landed", 1, 5, 5, "z"),
+        ],
+        key=repr,
+    )
+    assert rows(reconcile_cells(src, dst, ["k"])) == sorted(
+        [
+            (2, "changed", "v", "2", "9"),
+            (2, "changed", "w", "b", None),
+            (3, "missing", "v", "3", None),
+            (3, "missing", "w", "c", None),
+            (4, "extra", "v", None, "4"),
+            (4, "extra", "w", None, "e"),
+            (None, "changed", "w", "d", "D"),
+            (5, "changed", "w", "x", "z"),
+        ],
+        key=repr,
+    )
+
+
+def test_ambiguous_keys_and_copies(spark):
+    src = frame(spark, [(1, 1, "a")] * 3 + [(2, 1, "a"), (2, 2, "b")])
+    dst = frame(spark, [(1, 1, "a"), (2, 3, "c")])
+    assert rows(reconcile_rows(src, dst).where("k = 1")) == [("source", 2, 1, 1, "a")]
+    assert rows(reconcile_cells(src, dst, ["k"])) == [
+        (1, "ambiguous", None, "2", "0"),
+        (2, "ambiguous", None, "2", "1"),
+    ]
+
+
+def test_keys_alone_and_odd_names(spark):
+    src = spark.createDataFrame([(1, 2), (3, 4)], "`a.b` int, `Kind Of` int")
+    dst = src.where("`a.b` = 1")
+    assert rows(reconcile_cells(src, dst, ["a.b", "Kind Of"])) == [(3, 4, "missing", None, None, None)]
+    assert rows(reconcile_cells(src, dst, ["a.b"])) == [(3, "missing", "Kind Of", "4", None)]
+
+
+def test_nested_types(spark):
+    schema = "k int, m map<string,int>, a array<double>"
+    src = spark.createDataFrame([(1, {"a": 1, "b": 2}, [0.0, None]), (2, {"a": 1}, [1.0])], schema)
+    dst = spark.createDataFrame([(1, {"b": 2, "a": 1}, [-0.0, None]), (2, {"a": 2}, [1.0])], schema)
+    assert reconcile(src, dst).first() == (2, 2, 1, 1)
+    cell = reconcile_cells(src, dst, ["k"]).collect()
+    assert [(c["k"], c["column"]) for c in cell] == [(2, "m")]
+
+
+def test_align_by_name_position_and_type(spark):
+    src = frame(spark, [(1, 2, "x")])
+    upper = spark.createDataFrame([("x", "2", "1")], "W string, V string, K string")
+    assert reconcile(src, upper).first() == (1, 1, 0, 0)
+    renamed = spark.createDataFrame([("1", "2", "x")], "_c0 string, _c1 string, _c2 string")
+    assert reconcile(src, renamed, by_position=True).first() == (1, 1, 0, 0)
+    with pytest.raises(ValueError, match="columns differ"):
+        reconcile(src, renamed)
+    with pytest.raises(ValueError, match="columns differ"):
+        reconcile(src, upper.withColumn("more", F.lit(1)))
+    bad = spark.createDataFrame([("x", "two", "1")], "W string, V string, K string")
+    with pytest.raises(Exception, match="landed v is no int: two"):
+        align(bad, src.schema).collect()
+
+
+def test_sample_compares_the_first_rows(spark):
+    src = spark.range(100).withColumn("v", F.col("id"))
+    dst = src.withColumn("v", F.when(F.col("id") > 50, -1).otherwise(F.col("v")))
+    assert reconcile_sample(src, dst, ["id"], 50).count() == 0
+    assert reconcile_sample(src, dst, ["id"], 60).count() == 9
+
+
+def test_a_third_of_all_rows_may_be_one_row(spark):
+    """Copies of one row, and rows of one key, on either side."""
+    i = F.col("id")
+    src = spark.range(9000).select(
+        F.when(i % 3 == 2, i).otherwise(-1).alias("k"), F.when(i % 3 == 0, -1).otherwise(i).alias("v")
+    )
+    dst = src.where("not (k = -1 and v = -1)").unionAll(spark.sql("select -1L, -1L"))
+    assert reconcile(src, dst).first() == (9000, 6001, 2999, 0)
+    assert rows(reconcile_rows(src, dst)) == [("source", 2999, -1, -1)]
+    shifted = src.withColumn("v", F.when(F.col("k") == -1, F.col("v") + 100_000).otherwise(F.col("v")))
+    assert rows(reconcile_cells(src, shifted, ["k"])) == [(-1, "ambiguous", None, "6000", "6000")]
+
+
+def test_few_differences_are_found_without_moving_the_tables(spark, capsys):
+    src = spark.range(1000).withColumn("v", F.col("id"))
+    reconcile_rows(src, src.where("id <> 5")).explain()
+    plan = capsys.readouterr().out
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+cells_of = st.lists(
+    st.tuples(st.sampled_from([1, 2, None]), st.sampled_from([0, 1]), st.sampled_from(["", "x", None])),
+    max_size=8,
+)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(cells_of, cells_of)
+def test_summary_equals_multiset_difference(spark, left, right):
+    a, b = Counter(left), Counter(right)
+    got = reconcile(frame(spark, left), frame(spark, right)).first()
+    assert got == (len(left), len(right), sum((a - b).values()), sum((b - a).values()))
