@@ -2,7 +2,7 @@
 
 from ferry.operators.activity import ActivityLog, activity_status, read_events
 from ferry.operators.preflight import missing_lakes, problems, profile, writable
-from ferry.operators.reconcile import (
+from ferry.operators.reconciling import (
     align,
     reconcile,
     reconcile_cells,
@@ -10,7 +10,7 @@ from ferry.operators.reconcile import (
     reconcile_sample,
 )
 from ferry.operators.shape import constrain, day_bucket
-from ferry.operators.upsert import DuplicateKeys, latest, upsert, upsert_all
+from ferry.operators.upserts import DuplicateKeys, latest, upsert, upsert_all
 
 __all__ = [
     "ActivityLog",

@@ -168,7 +168,10 @@ class ActivityLog:
         now = datetime.now(timezone.utc)
         row = (self.name, self.host, table, start, event, now, config, trace, run_id, landing)
         try:
-            df = self.spark.createDataFrame([row], EVENT_SCHEMA).coalesce(1)
+            # Literals stay inside the JVM; a list of rows would go through Python's pickles.
+            df = self.spark.range(0, 1, 1, 1).select(
+                *[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, EVENT_SCHEMA.fields)]
+            )
             if self.lake.is_jdbc:
                 self._append(df)
             else:

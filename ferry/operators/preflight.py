@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ferry.functions.columns import column
-from ferry.sinks.land import fits_csv
+from ferry.sinks.landing import fits_csv
 from ferry.sources import files, jdbc
 from ferry.sources.lake import Lake
-from ferry.sources.scan import scan
+from ferry.sources.scans import scan
 from ferry.workspace import new_run_id
 
 # The sinks a source is judged against.

@@ -1,6 +1,6 @@
 """Proving that a landed copy equals its source, over every row and every cell.
 
-Rows are matched by fingerprint: each side is read once, one row becomes 32 bytes, equal
+Rows are matched by fingerprint: each side is read once, one row becomes 16 bytes, equal
 rows of a task are counted together before the shuffle, and only rows that differ are ever
 moved whole. Neither a key nor a row that holds much of the table lands on one task.
 """
@@ -87,7 +87,7 @@ def reconcile_rows(src: DataFrame, dst: DataFrame, by_position: bool = False) ->
     dst = align(dst, src.schema, by_position)
     path = scratch(spark, "reconcile")
     _counted(src, dst).where("n_src <> n_dst").write.parquet(path)
-    differing = spark.read.schema("__fp binary, n_src long, n_dst long").parquet(path)
+    differing = spark.read.schema("__fp struct<a:long,b:long>, n_src long, n_dst long").parquet(path)
 
     def side(df: DataFrame, label: str, ahead: Column) -> DataFrame:
         marked = differing.where(ahead > 0).select("__fp", ahead.alias("__copies"))

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 
 from ferry.functions.columns import column, day_of, predicate
-from ferry.sinks.land import BUCKET
+from ferry.sinks.landing import BUCKET
 
 
 def constrain(df: DataFrame, constraints: Iterable[str]) -> DataFrame:

@@ -15,15 +15,15 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ferry.operators.activity import FAILED, LANDED, STARTED, SUCCESS, ActivityLog
-from ferry.operators.reconcile import reconcile
+from ferry.operators.reconciling import reconcile
 from ferry.operators.shape import constrain, day_bucket
-from ferry.operators.upsert import upsert_all
+from ferry.operators.upserts import upsert_all
 from ferry.plans.control import expand_control
 from ferry.plans.transfer import Archive, DatabaseMerge, Plan, Route, Transfer, Upsert
-from ferry.sinks.land import BUCKET, Landing, SelfOverwrite, land, read_landing
+from ferry.sinks.landing import BUCKET, Landing, SelfOverwrite, land, read_landing
 from ferry.sources import files, jdbc
 from ferry.sources.lake import Lake
-from ferry.sources.scan import is_subselect, read_files, scan
+from ferry.sources.scans import is_subselect, read_files, scan
 from ferry.workspace import new_run_id
 
 log = logging.getLogger(__name__)

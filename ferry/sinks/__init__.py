@@ -1,5 +1,5 @@
 """Sinks: landing a DataFrame in a lake."""
 
-from ferry.sinks.land import Landing, SelfOverwrite, land, read_landing
+from ferry.sinks.landing import Landing, SelfOverwrite, land, read_landing
 
 __all__ = ["Landing", "SelfOverwrite", "land", "read_landing"]

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 from ferry.functions.columns import backticked, column
 from ferry.sources import files, jdbc
 from ferry.sources.lake import Lake
-from ferry.sources.scan import escape_nulls, read_files, scan
+from ferry.sources.scans import escape_nulls, read_files, scan
 from ferry.workspace import new_run_id
 
 BUCKET = "bucket_val"

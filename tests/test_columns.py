@@ -9,7 +9,7 @@ from ferry.functions import column, fingerprint, quoted_names, redact, strip_url
 
 
 def prints(df):
-    return [bytes(r[0]) for r in df.select(fingerprint(df)).collect()]
+    return [tuple(r[0]) for r in df.select(fingerprint(df)).collect()]
 
 
 def test_column_names_may_be_quoted_and_hold_dots(spark):
@@ -38,7 +38,15 @@ def test_quoted_names_touch_only_columns():
 )
 def test_fingerprints_tell_rows_apart(spark, schema, left, right):
     a, b = prints(spark.createDataFrame([left, right], schema))
-    assert a != b and len(a) == 32
+    assert a[0] != b[0] and a[1] != b[1] and a[0] != a[1]
+
+
+def test_fingerprints_of_many_columns_see_every_null(spark):
+    names = [f"c{i}" for i in range(130)]
+    df = spark.range(131).select(
+        *[F.when(F.col("id") != i, F.lit("x")).alias(n) for i, n in enumerate(names)]
+    )
+    assert len(set(prints(df))) == 131
 
 
 def test_fingerprints_keep_microseconds(spark):

@@ -87,7 +87,7 @@ def test_hot_and_null_keys_merge_whole(spark, broadcast):
 
 
 def test_null_keys_are_shuffled_apart(spark):
-    from ferry.operators.upsert import _spread_nulls
+    from ferry.operators.upserts import _spread_nulls
 
     df = spark.range(1000).select(F.lit(None).cast("long").alias("k"), F.col("id").alias("v"))
     spread = _spread_nulls(df, ["k"]).repartition(4, "k", "__spread")
