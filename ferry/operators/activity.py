@@ -13,12 +13,13 @@ import uuid
 from collections.abc import Iterable, Mapping
 from datetime import datetime, timezone
 from typing import Any
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ferry.functions.credentials import without_credentials
 from ferry.sources import files, jdbc
-from ferry.sources.lake import Lake
+from ferry.sources.lake import Lake, join_uri
 
 log = logging.getLogger(__name__)
 
@@ -78,11 +79,16 @@ def activity_status(events: DataFrame) -> DataFrame:
     )
 
 
-def read_events(spark: SparkSession, path: str) -> DataFrame:
+def read_events(spark: SparkSession, path: str, below: str = "") -> DataFrame:
     """Events of a file log, old and new: columns that a file lacks read as null."""
-    if not files.exists(spark, path):
+    if not files.exists(spark, join_uri(path, below)):
         return spark.createDataFrame([], EVENT_SCHEMA)
-    return spark.read.schema(EVENT_SCHEMA).orc(path)
+    reader = spark.read.schema(EVENT_SCHEMA).option("basePath", path)
+    return reader.orc(join_uri(path, below))
+
+
+def _of_table(table: str) -> str:
+    return f"{ACTIVITY_TABLE}/table_name={quote(table, safe='')}"
 
 
 class ActivityLog:
@@ -137,13 +143,15 @@ class ActivityLog:
             "append"
         ).save()
 
-    def events(self) -> DataFrame:
+    def events(self, table: str | None = None) -> DataFrame:
+        """All events, or those of one table, for which only its directory is listed."""
         if not self.lake.is_jdbc:
-            return read_events(self.spark, self.lake.path(ACTIVITY_TABLE))
+            below = "" if table is None else _of_table(table).removeprefix(ACTIVITY_TABLE)
+            return read_events(self.spark, self.lake.path(ACTIVITY_TABLE), below)
         options = self.lake.jdbc_options() | {"preferTimestampNTZ": "false"}
-        df = self.spark.read.format("jdbc").options(**options).option("dbtable", ACTIVITY_TABLE)
-        held = df.load()
-        return held.select([F.col(f.name).cast(f.dataType) for f in EVENT_SCHEMA.fields])
+        held = self.spark.read.format("jdbc").options(**options).option("dbtable", ACTIVITY_TABLE)
+        events = held.load().select([F.col(f.name).cast(f.dataType) for f in EVENT_SCHEMA.fields])
+        return events if table is None else events.where(F.col("table_name") == table)
 
     def status(self) -> DataFrame:
         return activity_status(self.events())
@@ -177,8 +185,8 @@ class ActivityLog:
             else:
                 # A directory of its own per event: writers in one directory would clear
                 # away each other's unfinished files.
-                place = f"{ACTIVITY_TABLE}/event={event}/run_id={run_id}"
-                df.drop("event", "run_id").write.orc(self.lake.path(place))
+                place = f"{_of_table(table)}/event={event}/run_id={run_id}"
+                df.drop("table_name", "event", "run_id").write.orc(self.lake.path(place))
         except Exception:
             if must:
                 raise
@@ -187,8 +195,8 @@ class ActivityLog:
     def latest(self, table: str) -> str | None:
         """The landing of the last run of a table that succeeded: its committed version."""
         row = (
-            self.events()
-            .where((F.col("table_name") == table) & (F.col("event") == SUCCESS))
+            self.events(table)
+            .where(F.col("event") == SUCCESS)
             .where(F.col("landing").isNotNull())
             .agg(F.max_by("landing", "start"))
             .first()
@@ -197,8 +205,7 @@ class ActivityLog:
 
     def leftovers(self, table: str) -> list[str]:
         """Landings of runs after the last success that landed but were never merged."""
-        events = self.events().where(F.col("table_name") == table)
-        runs = events.groupBy("run_id").agg(
+        runs = self.events(table).groupBy("run_id").agg(
             F.min("start").alias("start"),
             F.max(F.when(F.col("event") == LANDED, F.col("landing"))).alias("landing"),
             F.max(F.col("event") == SUCCESS).alias("done"),

@@ -93,8 +93,10 @@ def reconcile_rows(src: DataFrame, dst: DataFrame, by_position: bool = False) ->
         marked = differing.where(ahead > 0).select("__fp", ahead.alias("__copies"))
         row = F.struct(*[column(c) for c in df.columns]).alias("__row")
         found = df.select(row, fingerprint(df).alias("__fp")).join(marked, "__fp")
-        # Copies of a row are equal: each task keeps one of them before the next shuffle.
-        single = found.groupBy("__fp").agg(
+        # Copies of a row are equal: each task keeps one of them before the next shuffle. That
+        # shuffle is by another order of the hashes, so that adaptive execution is free to
+        # split the join for a row with many copies.
+        single = found.groupBy(F.struct("__fp.b", "__fp.a").alias("__same")).agg(
             F.any_value("__row").alias("__row"), F.any_value("__copies").alias("__copies")
         )
         return single.select(F.lit(label).alias("_side"), F.col("__copies").alias("_copies"), "__row.*")

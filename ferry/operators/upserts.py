@@ -81,11 +81,10 @@ def _keys_of(df: DataFrame, keys: Sequence[str], *more: Column) -> DataFrame:
     return df.where(_whole(keys)).select(*key, F.xxhash64(*key).alias(_SPREAD), *more)
 
 
-def _without(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``df`` whose key is not among those of ``other``."""
-    spread = _spread_nulls(df, keys)
-    on = [*keys, _SPREAD]
-    return spread.join(_keys_of(other, keys), on, "left_anti").select(*[column(c) for c in df.columns])
+def _without(df: DataFrame, keyed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` whose key is not among those of ``keyed``, which ``_keys_of`` made."""
+    left = _spread_nulls(df, keys).join(keyed, [*keys, _SPREAD], "left_anti")
+    return left.select(*[column(c) for c in df.columns])
 
 
 def _unmatched(staging: DataFrame, master: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -94,8 +93,12 @@ def _unmatched(staging: DataFrame, master: DataFrame, keys: Sequence[str]) -> Da
     The master's keys are first reduced to those that are staged. When staging is small enough
     to broadcast, that costs one scan of the master's key columns and no shuffle of them.
     """
-    known = _keys_of(master, keys).join(_keys_of(staging, keys), [*keys, _SPREAD], "left_semi")
-    return _without(staging, known, keys)
+    staged = _keys_of(staging, keys)
+    known = _keys_of(master, keys).join(staged, [*keys, _SPREAD], "left_semi")
+    # Made distinct by key alone, which takes a shuffle: only then may adaptive execution split
+    # the join above for a key that holds much of the master.
+    once = known.select(*[column(k) for k in keys]).distinct()
+    return _without(staging, _keys_of(once, keys), keys)
 
 
 def upsert(
@@ -128,7 +131,7 @@ def upsert(
     if on_match == IGNORE:
         return master.unionByName(_unmatched(staging, master, keys))
     if set_columns is None:
-        return _without(master, staging, keys).unionByName(staging)
+        return _without(master, _keys_of(staging, keys), keys).unionByName(staging)
     return _set(master, staging, keys, set_columns).unionByName(
         _unmatched(staging, master, keys)
     )

@@ -17,10 +17,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ferry.operators.activity import FAILED, LANDED, STARTED, SUCCESS, ActivityLog
 from ferry.operators.reconciling import reconcile
 from ferry.operators.shape import constrain, day_bucket
-from ferry.operators.upserts import upsert_all
 from ferry.plans.control import expand_control
 from ferry.plans.transfer import Archive, DatabaseMerge, Plan, Route, Transfer, Upsert
 from ferry.sinks.landing import BUCKET, Landing, SelfOverwrite, land, read_landing
+from ferry.sinks.masters import land_master, land_partitions
 from ferry.sources import files, jdbc
 from ferry.sources.lake import Lake
 from ferry.sources.scans import is_subselect, read_files, scan
@@ -267,24 +267,19 @@ def _merge_files(
     # This run's own landing is open as well until it succeeds.
     staged = [x for x in leftovers if x.run_id != landing.run_id] + [landing]
     frames = [read_landing(spark, lake, x) for x in staged]
-    master = None
-    if activity:
-        committed = activity.latest(merge.master)
-        if committed:
-            master = read_landing(spark, master_lake, Landing(**json.loads(committed)))
+    keys, run_id = list(merge.keys), f"{landing.run_id}-master"
+    how = {
+        "on_match": merge.on_match,
+        "set_columns": merge.set_columns,
+        "order_by": merge.order_by,
+    }
+    if merge.partition is not None:
+        version = land_partitions(
+            spark, frames, lake, merge.master, keys, merge.partition, run_id=run_id, **how
+        )
     else:
-        current = files.latest_run(spark, lake.path(merge.master))
-        if current:
-            master = read_files(spark, master_lake, current, frames[-1].schema)
-    merged = upsert_all(
-        master,
-        frames,
-        list(merge.keys),
-        on_match=merge.on_match,
-        set_columns=merge.set_columns,
-        order_by=merge.order_by,
-    )
-    version = land(merged, master_lake, merge.master, run_id=f"{landing.run_id}-master")
+        master = _current_master(spark, lake, merge.master, frames[-1].schema, activity)
+        version = land_master(master, frames, lake, merge.master, keys, run_id=run_id, **how)
     if activity:
         activity.record(
             merge.master,
@@ -296,6 +291,17 @@ def _merge_files(
         )
 
 
+def _current_master(
+    spark: SparkSession, lake: Lake, name: str, schema: T.StructType, activity: ActivityLog | None
+) -> DataFrame | None:
+    versions = replace(lake, snapshots=True, write_mode="overwrite")
+    if activity:
+        committed = activity.latest(name)
+        return read_landing(spark, versions, Landing(**json.loads(committed))) if committed else None
+    current = files.latest_run(spark, lake.path(name))
+    return read_files(spark, versions, current, schema) if current else None
+
+
 def reconcile_run(spark: SparkSession, plan: Plan, done: Run, by_position: bool = False) -> DataFrame:
     """Read both sides of every landing again and compare all rows: one row per landing."""
     parts = []

@@ -14,13 +14,18 @@ from ferry.sources.lake import Lake
 
 @dataclass(frozen=True)
 class Upsert:
-    """Merge landed files into a master table of the same lake, see ``operators.upsert``."""
+    """Merge landed files into a master table of the same lake, see ``operators.upsert``.
+
+    With ``partition``, a key column, the master is partitioned by it and only the partitions
+    that landed rows fall into are rewritten; otherwise every merge writes a whole new version.
+    """
 
     master: str
     keys: tuple[str, ...]
     on_match: str = "update"
     set_columns: tuple[str, ...] | None = None
     order_by: tuple[str, ...] | None = None
+    partition: str | None = None
 
 
 @dataclass(frozen=True)

@@ -1,5 +1,6 @@
-"""Sinks: landing a DataFrame in a lake."""
+"""Sinks: landing a DataFrame in a lake, and masters that landed rows are merged into."""
 
 from ferry.sinks.landing import Landing, SelfOverwrite, land, read_landing
+from ferry.sinks.masters import land_master, land_partitions
 
-__all__ = ["Landing", "SelfOverwrite", "land", "read_landing"]
+__all__ = ["Landing", "SelfOverwrite", "land", "land_master", "land_partitions", "read_landing"]

@@ -10,7 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
-from ferry.functions.columns import backticked, column
+from ferry.functions.columns import backticked, column, comparable
 from ferry.sources import files, jdbc
 from ferry.sources.lake import Lake
 from ferry.sources.scans import escape_nulls, read_files, scan
@@ -18,6 +18,9 @@ from ferry.workspace import new_run_id
 
 BUCKET = "bucket_val"
 
+# Without adaptive execution a day's size is unknown, so every day is cut into as many parts.
+_TASKS_PER_DAY = 16
+
 
 class SelfOverwrite(ValueError):
     """A transfer would overwrite the table it reads."""
@@ -114,7 +117,9 @@ def _to_files(
 ) -> tuple[str, int | None]:
     spark = df.sparkSession
     path = lake.path(name, files.RUN + run_id) if lake.snapshots else lake.path(name)
-    if mode == "overwrite" and not lake.snapshots:
+    # Replacing single days happens after everything is read; replacing a directory, before.
+    by_day = bucket is not None and keep_other_days
+    if mode == "overwrite" and not lake.snapshots and not by_day:
         if files.reads_from(df, path):
             raise SelfOverwrite(f"{name} in lake {lake.name} would overwrite its own source")
     if mode == "ignore" and files.exists(spark, path):
@@ -128,18 +133,26 @@ def _to_files(
     if files_per_table is not None:
         df = df.repartition(files_per_table)
     elif bucket is not None and cluster:
-        df = df.hint("rebalance", column(bucket))
+        df = _by_day(df, bucket)
     # Counted in the writing stage itself, whose tasks report once even if they ran twice.
     counted, seen = _counted(df)
     writer = counted.write.format(lake.format).options(**lake.write_options()).mode(mode)
     if bucket is not None:
         writer = writer.partitionBy(bucket)
-        if keep_other_days and mode == "overwrite" and not lake.snapshots:
+        if by_day and mode == "overwrite" and not lake.snapshots:
             writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.save(path)
     return path, seen.get["rows"]
 
 
+def _by_day(df: DataFrame, bucket: str) -> DataFrame:
+    """Bring the rows of a day together, but never more than a task should write."""
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        return df.hint("rebalance", column(bucket))
+    row = [column(f.name) for f in df.schema.fields if comparable(f.dataType)]
+    return df.repartition(column(bucket), F.pmod(F.xxhash64(*row), F.lit(_TASKS_PER_DAY)))
+
+
 def fits_csv(dtype: T.DataType) -> bool:
     return not isinstance(
         dtype, (T.ArrayType, T.MapType, T.StructType, T.BinaryType, T.NullType, T.VariantType)
@@ -183,8 +196,8 @@ def _write_table(df: DataFrame, lake: Lake, table: str, column_types: str | None
         options["createTableColumnTypes"] = column_types
     # Every task holds a connection. Spark's own limit would write a copy of the plan that
     # does not report its row count.
-    limit = lake.max_connections or options.pop("numPartitions", None)
-    counted, seen = _counted(df.coalesce(int(limit)) if limit else df)
+    limit = int(options.pop("numPartitions", lake.max_connections))
+    counted, seen = _counted(df.coalesce(limit))
     # With "truncate" in the lake's options a table keeps its definition when overwritten.
     writer = counted.write.format("jdbc").options(**options).option("dbtable", table)
     writer.mode("overwrite").save()

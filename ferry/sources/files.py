@@ -42,15 +42,10 @@ def table_name(path: str) -> str:
     return path.rsplit("/", 1)[-1].split(".", 1)[0]
 
 
-def runs(spark: SparkSession, path: str) -> list[str]:
-    """Completed run directories of a landing, oldest first."""
-    found = (c for c in children(spark, path) if c.rsplit("/", 1)[-1].startswith(RUN))
-    return [r for r in found if exists(spark, join_uri(r, "_SUCCESS"))]
-
-
 def latest_run(spark: SparkSession, path: str) -> str | None:
-    completed = runs(spark, path)
-    return completed[-1] if completed else None
+    """The newest completed run directory of a landing, if it has any."""
+    names = (c for c in reversed(children(spark, path)) if c.rsplit("/", 1)[-1].startswith(RUN))
+    return next((r for r in names if exists(spark, join_uri(r, "_SUCCESS"))), None)
 
 
 def reads_from(df: DataFrame, path: str) -> bool:

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from datetime import date, datetime
 from math import ceil, floor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from ferry.sources.lake import Lake
 
@@ -38,6 +38,8 @@ class Split:
 def read(spark: SparkSession, lake: Lake, source: str, split: Split | None = None) -> DataFrame:
     """A table or ``( select … ) alias``; the text runs in the database."""
     whole = _reader(spark, lake).option("dbtable", source)
+    if split is None and lake.max_connections > 1 and not source.strip().startswith("("):
+        split = _by_primary_key(spark, lake, source)
     if split is None or split.partitions < 2:
         return whole.load()
     lower, upper = split.lower, split.upper
@@ -66,6 +68,18 @@ def read(spark: SparkSession, lake: Lake, source: str, split: Split | None = Non
     )
 
 
+def _by_primary_key(spark: SparkSession, lake: Lake, table: str) -> Split | None:
+    """How to read a table of several fetches in parallel, if it has a number or date as key."""
+    keys = primary_key(spark, lake, table)
+    if len(keys) != 1:
+        return None
+    field = _reader(spark, lake).option("dbtable", table).load().schema[keys[0]]
+    if not isinstance(field.dataType, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return None
+    fetches = ceil(count(spark, lake, table) / lake.fetch_size)
+    return Split(keys[0], min(fetches, lake.max_connections))
+
+
 def _reader(spark: SparkSession, lake: Lake):
     return spark.read.format("jdbc").options(**lake.jdbc_options())
 
@@ -175,6 +189,23 @@ def _connection(spark: SparkSession, lake: Lake) -> Iterator:
         connection.close()
 
 
+def primary_key(spark: SparkSession, lake: Lake, table: str) -> list[str]:
+    """Columns of a table's primary key, as the database describes it."""
+    schema, _, name = table.strip().rpartition(".")
+    with _connection(spark, lake) as connection:
+        about = connection.getMetaData()
+        # Unquoted names are stored in the case that the database prefers.
+        if about.storesUpperCaseIdentifiers():
+            schema, name = schema.upper(), name.upper()
+        elif about.storesLowerCaseIdentifiers():
+            schema, name = schema.lower(), name.lower()
+        found = about.getPrimaryKeys(None, schema or None, name)
+        keys = []
+        while found.next():
+            keys.append((found.getInt("KEY_SEQ"), found.getString("COLUMN_NAME")))
+    return [k for _, k in sorted(keys)]
+
+
 def execute(spark: SparkSession, lake: Lake, statements: Sequence[str]) -> None:
     """Run statements inside the database as one transaction."""
     with _connection(spark, lake) as connection:

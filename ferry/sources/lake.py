@@ -20,6 +20,9 @@ S3 = "s3"
 DEFAULT_CHUNK = 20_000
 DEFAULT_WRITE_MODE = "overwrite"
 
+# A database takes so many connections at once, however large the cluster.
+DEFAULT_CONNECTIONS = 16
+
 FILE_FORMATS = ("csv", "orc", "parquet")
 WRITE_MODES = ("overwrite", "append", "ignore", "error", "errorifexists")
 
@@ -58,6 +61,9 @@ class Lake:
     ``dialect`` is ``lossless`` (what this library writes to CSV) or ``plain`` (Spark's own
     CSV defaults, for files written elsewhere). ``multiline`` reads quoted line breaks; turn
     it off for large foreign files without them, which then can be split between tasks.
+
+    ``max_connections`` limits how many tasks write to a database at once, and how many read a
+    table that has a primary key to split it by.
     """
 
     name: str
@@ -74,7 +80,7 @@ class Lake:
     snapshots: bool | None = None
     dialect: str = "lossless"
     multiline: bool = True
-    max_connections: int | None = None
+    max_connections: int = DEFAULT_CONNECTIONS
     options: Mapping[str, str] = field(default_factory=dict, repr=False)
 
     def __post_init__(self) -> None:

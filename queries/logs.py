@@ -37,7 +37,8 @@ def _started(orders: DataFrame) -> DataFrame:
            '{"priority":"' || o_orderpriority || '"}' AS configuration,
            CASE WHEN o_orderstatus = 'F' THEN 'broken ' || o_orderkey END AS stacktrace
     FROM orders
-    """
+    """,
+    name="activity_status",
 )
 def activity_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order as a run: O still runs, F failed, P succeeded an hour later."""

@@ -75,7 +75,7 @@ def reconcile_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile(*_both(spark, sf_dir))
 
 
-@query(_cells_sql("SELECT * FROM orders", _COPY))
+@query(_cells_sql("SELECT * FROM orders", _COPY), name="reconcile_cells")
 def reconcile_all_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile_cells(*_both(spark, sf_dir), ["o_orderkey"])
 
@@ -84,7 +84,8 @@ def reconcile_all_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     _cells_sql(
         "SELECT * FROM orders ORDER BY o_orderkey LIMIT 12000",
         f"SELECT * FROM ({_COPY}) ORDER BY o_orderkey LIMIT 12000",
-    )
+    ),
+    name="reconcile_sample",
 )
 def reconcile_first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first 12,000 rows of either side by key: the operator's own sample."""

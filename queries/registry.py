@@ -18,10 +18,12 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(sql: str) -> Callable[[Query], Query]:
+def query(sql: str, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a query under its own name, or another where an operator has that one."""
+
     def register(fn: Query) -> Query:
-        QUERIES[fn.__name__] = fn
-        ORACLES[fn.__name__] = sql.strip()
+        QUERIES[name or fn.__name__] = fn
+        ORACLES[name or fn.__name__] = sql.strip()
         return fn
 
     return register

@@ -101,3 +101,32 @@ def upsert_recover_leftover(spark: SparkSession, sf_dir: str) -> DataFrame:
     leftover = urgent.withColumn("o_totalprice", F.col("o_totalprice") * 4)
     merged = upsert_all(_master(spark, sf_dir), [leftover, _staging(spark, sf_dir)], KEYS)
     return read_landing(spark, lake, land(merged, lake, "master"))
+
+
+@query(
+    """
+    SELECT *, CAST(ts AS DATE) AS bucket_val FROM events
+    WHERE event_type <> 'purchase'
+      AND CAST(ts AS DATE) NOT BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'
+    UNION ALL
+    SELECT event_id, ts, user_id, event_type, value * 2 AS value, props,
+           CAST(ts AS DATE) AS bucket_val
+    FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'
+    """
+)
+def upsert_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A master by day: later rows of three days rewrite these days and no others."""
+    lake = target(spark, "orc", snapshots=False)
+    merge = Upsert("master", ("bucket_val", "event_id"), partition="bucket_val")
+    earlier = (
+        "( SELECT *, CAST(ts AS DATE) AS bucket_val FROM events WHERE event_type <> 'purchase' ) e"
+    )
+    later = (
+        "( SELECT event_id, ts, user_id, event_type, value * 2 AS value, props,"
+        " CAST(ts AS DATE) AS bucket_val FROM events"
+        " WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-12' ) e"
+    )
+    for source in (earlier, later):
+        item = Transfer(source, "staging", merge=merge)
+        run(spark, Plan("events", (tables(sf_dir), lake), (Route("tables", "target", (item,)),)))
+    return scan(spark, lake, "master")

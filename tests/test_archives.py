@@ -97,3 +97,15 @@ def test_day_filters_prune_directories(spark, lake, capsys):
     landing = land(_events(spark), to, "e", bucket="bucket_val")
     read_landing(spark, to, landing).where("bucket_val = date'2024-01-02'").explain()
     assert "PartitionFilters: [isnotnull(bucket_val" in capsys.readouterr().out
+
+
+def test_hot_days_without_adaptive_execution(spark, lake):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        to = lake()
+        landing = land(_events(spark), to, "e", bucket="bucket_val")
+        back = read_landing(spark, to, landing)
+        assert back.count() == 3000
+        assert len([f for f in back.inputFiles() if "bucket_val=2024-01-01" in f]) == 4
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

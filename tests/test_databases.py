@@ -130,3 +130,15 @@ def test_connections_may_be_limited(spark, db):
     table = fresh("t")
     landing = land(spark.range(0, 100, 1, 4), replace(db, max_connections=2), table)
     assert landing.rows == 100
+
+
+def test_tables_with_a_key_are_read_in_parallel(spark, db):
+    table = fresh("t")
+    jdbc.execute(spark, db, [f'CREATE TABLE {table} ("id" BIGINT NOT NULL PRIMARY KEY, "v" BIGINT)'])
+    land(spark.range(1000).withColumn("v", F.col("id")), db, table, mode="append")
+    few = replace(db, fetch_size=100, max_connections=4)
+    assert jdbc.primary_key(spark, db, table) == ["id"]
+    assert len(sizes(scan(spark, few, table))) == 4
+    assert scan(spark, replace(few, max_connections=1), table).rdd.getNumPartitions() == 1
+    assert scan(spark, db, table).rdd.getNumPartitions() == 1
+    assert scan(spark, few, table).distinct().count() == 1000

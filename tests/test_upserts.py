@@ -6,6 +6,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from ferry.operators import DuplicateKeys, latest, upsert, upsert_all
+from ferry.sinks import land_partitions, read_landing
 
 SCHEMA = "k int, v int, w string"
 
@@ -130,3 +131,27 @@ def test_merging_together_equals_merging_in_turn(spark, master, first, second, h
     got = upsert_all(frames[0], frames[1:], ["k"], on_match=mode, set_columns=columns)
     step = merged_in_python(master, first, mode, columns)
     assert rows(got) == merged_in_python(step, second, mode, columns)
+
+
+@pytest.mark.parametrize("fmt", ["orc", "csv"])
+def test_only_touched_partitions_are_rewritten(spark, lake, fmt):
+    to = lake(fmt)
+    schema = "k int, v string, day int"
+
+    def go(data, **how):
+        staged = [spark.createDataFrame(data, schema)]
+        landing = land_partitions(spark, staged, to, "m", ["day", "k"], "day", **how)
+        back = read_landing(spark, to, landing)
+        return rows(back), {f for f in back.inputFiles() if "day=2" in f}
+
+    first = [(1, "a", 1), (2, "b", 2), (3, "c", None)]
+    got, second_day = go(first)
+    assert got == sorted(first, key=repr) and second_day
+    got, same_day = go([(1, "A", 1), (9, "n", 1), (3, "d", None)])
+    assert same_day == second_day
+    assert got == sorted([(1, "A", 1), (9, "n", 1), (2, "b", 2), (3, "c", None), (3, "d", None)], key=repr)
+    got, same_day = go([(1, "x", 1), (5, "y", 5)], on_match="ignore")
+    assert same_day == second_day and (1, "A", 1) in got and (5, "y", 5) in got and len(got) == 6
+    assert go([])[0] == got
+    with pytest.raises(ValueError, match="part of the key"):
+        land_partitions(spark, [spark.createDataFrame(first, schema)], to, "m", ["k"], "day")
