@@ -208,7 +208,7 @@ class ActivityLog:
         runs = self.events(table).groupBy("run_id").agg(
             F.min("start").alias("start"),
             F.max(F.when(F.col("event") == LANDED, F.col("landing"))).alias("landing"),
-            F.max(F.col("event") == SUCCESS).alias("done"),
+            F.max((F.col("event") == SUCCESS) & F.col("landing").isNotNull()).alias("done"),
         )
         done = runs.agg(F.max(F.when(F.col("done"), F.col("start")))).first()[0]
         open_ = runs.where(~F.col("done") & F.col("landing").isNotNull())

@@ -1,7 +1,7 @@
 """Plans of transfers, and running them."""
 
 from ferry.plans.control import expand_control
-from ferry.plans.runner import Run, TransferFailed, reconcile_run, run, source_frame
+from ferry.plans.runner import Run, TransferFailed, preflight, reconcile_run, run, source_frame
 from ferry.plans.transfer import Archive, DatabaseMerge, Plan, Route, Transfer, Upsert
 
 __all__ = [
@@ -14,6 +14,7 @@ __all__ = [
     "TransferFailed",
     "Upsert",
     "expand_control",
+    "preflight",
     "reconcile_run",
     "run",
     "source_frame",

@@ -5,16 +5,17 @@ from __future__ import annotations
 import json
 import logging
 import re
+import time
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field, replace
 from datetime import datetime, timezone
-from functools import reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from ferry.operators.activity import FAILED, LANDED, STARTED, SUCCESS, ActivityLog
+from ferry.operators.preflight import problems, writable
 from ferry.operators.reconciling import reconcile
 from ferry.operators.shape import constrain, day_bucket
 from ferry.plans.control import expand_control
@@ -28,6 +29,9 @@ from ferry.workspace import new_run_id
 
 log = logging.getLogger(__name__)
 
+# Ends the run id of a master's version, which begins with that of the rows merged last.
+_MASTER = "-master"
+
 MANIFEST_SCHEMA = (
     T.StructType()
     .add("source_lake", "string")
@@ -200,6 +204,9 @@ def _transfer(
         if isinstance(merge, DatabaseMerge) and jdbc.table_exists(spark, destination, item.destination):
             # Rows that an earlier run landed but could not merge would be overwritten below.
             _merge_in_database(spark, destination, merge)
+        if isinstance(merge, Upsert):
+            # Staged rows get a directory per run, so that none are overwritten unmerged.
+            destination = _with_runs(destination)
         landing = land(
             df,
             destination,
@@ -263,11 +270,10 @@ def _merge_files(
     (without a log, the completion marker of the files) readers see the current version.
     """
     master_lake = replace(lake, snapshots=True, write_mode="overwrite")
-    leftovers = [Landing(**json.loads(x)) for x in activity.leftovers(table)] if activity else []
-    # This run's own landing is open as well until it succeeds.
-    staged = [x for x in leftovers if x.run_id != landing.run_id] + [landing]
-    frames = [read_landing(spark, lake, x) for x in staged]
-    keys, run_id = list(merge.keys), f"{landing.run_id}-master"
+    schema = read_landing(spark, lake, landing).schema
+    frames = _leftovers(spark, lake, table, merge, landing, schema, activity)
+    frames.append(read_landing(spark, lake, landing))
+    keys, run_id = list(merge.keys), landing.run_id + _MASTER
     how = {
         "on_match": merge.on_match,
         "set_columns": merge.set_columns,
@@ -278,7 +284,7 @@ def _merge_files(
             spark, frames, lake, merge.master, keys, merge.partition, run_id=run_id, **how
         )
     else:
-        master = _current_master(spark, lake, merge.master, frames[-1].schema, activity)
+        master = _current_master(spark, lake, merge.master, schema, activity)
         version = land_master(master, frames, lake, merge.master, keys, run_id=run_id, **how)
     if activity:
         activity.record(
@@ -291,34 +297,116 @@ def _merge_files(
         )
 
 
+def _with_runs(lake: Lake) -> Lake:
+    return replace(lake, snapshots=True, write_mode="overwrite")
+
+
 def _current_master(
     spark: SparkSession, lake: Lake, name: str, schema: T.StructType, activity: ActivityLog | None
 ) -> DataFrame | None:
-    versions = replace(lake, snapshots=True, write_mode="overwrite")
     if activity:
         committed = activity.latest(name)
-        return read_landing(spark, versions, Landing(**json.loads(committed))) if committed else None
+        return read_landing(spark, lake, Landing(**json.loads(committed))) if committed else None
     current = files.latest_run(spark, lake.path(name))
-    return read_files(spark, versions, current, schema) if current else None
-
-
-def reconcile_run(spark: SparkSession, plan: Plan, done: Run, by_position: bool = False) -> DataFrame:
-    """Read both sides of every landing again and compare all rows: one row per landing."""
-    parts = []
-    for one in done.landed:
-        source = plan.by_name[one.route.source_lake]
-        destination = plan.by_name[one.route.destination_lake]
-        src = source_frame(spark, source, one.item)
-        dst = read_landing(spark, destination, one.landing)
-        parts.append(
-            reconcile(src, dst, by_position).select(
-                F.lit(source.name).alias("source_lake"),
-                F.lit(destination.name).alias("destination_lake"),
-                F.lit(one.landing.name).alias("table"),
-                "src_rows",
-                "dst_rows",
-                "missing",
-                "extra",
-            )
+    return read_files(spark, lake, current, schema) if current else None
+
+
+def _leftovers(
+    spark: SparkSession,
+    lake: Lake,
+    table: str,
+    merge: Upsert,
+    landing: Landing,
+    schema: T.StructType,
+    activity: ActivityLog | None,
+) -> list[DataFrame]:
+    """What earlier runs landed and could not merge, oldest first."""
+    if activity:
+        open_runs = [Landing(**json.loads(x)) for x in activity.leftovers(table)]
+        # This run's own landing is open as well until it succeeds.
+        return [read_landing(spark, lake, x) for x in open_runs if x.run_id != landing.run_id]
+    # Without a log the master's version says which run it was made from.
+    current = files.latest_run(spark, lake.path(merge.master))
+    if current is None:
+        return []
+    merged = files.run_id(current).removesuffix(_MASTER)
+    newer = files.runs_since(spark, lake.path(table), merged)
+    return [read_files(spark, lake, r, schema) for r in newer if files.run_id(r) != landing.run_id]
+
+
+def preflight(spark: SparkSession, plan: Plan) -> DataFrame:
+    """What would stop a plan: unreadable sources, unfit columns, unwritable lakes.
+
+    Only schemas are read. Rows of control queries are not looked at.
+    """
+    found = []
+    for name in dict.fromkeys(r.destination_lake for r in plan.routes):
+        reason = writable(spark, plan.by_name[name])
+        if reason:
+            found.append((None, name, None, reason))
+    for route in plan.routes:
+        source, destination = plan.by_name[route.source_lake], plan.by_name[route.destination_lake]
+        for item in route.items:
+            if not getattr(item, "control", False):
+                reasons = problems(spark, source, item.source, destination, item.destination)
+                found += [(source.name, destination.name, item.destination, r) for r in reasons]
+    return spark.createDataFrame(
+        found, "source_lake string, destination_lake string, table string, problem string"
+    )
+
+
+RECONCILED_SCHEMA = (
+    T.StructType()
+    .add("source_lake", "string")
+    .add("destination_lake", "string")
+    .add("table", "string")
+    .add("src_rows", "long")
+    .add("dst_rows", "long")
+    .add("missing", "long")
+    .add("extra", "long")
+    .add("seconds", "double")
+)
+
+
+def reconcile_run(
+    spark: SparkSession,
+    plan: Plan,
+    done: Run,
+    by_position: bool = False,
+    max_parallel: int = 4,
+) -> DataFrame:
+    """Read both sides of every landing again and compare all rows: one row per landing.
+
+    Each comparison is recorded like a run of its own: FAILED if rows differ or cannot be read.
+    Only the four counts of a comparison come to the driver.
+    """
+    activity = ActivityLog.of(spark, plan.lakes, plan.name)
+
+    def compare(one: Landed) -> tuple:
+        source, destination = (
+            plan.by_name[one.route.source_lake],
+            plan.by_name[one.route.destination_lake],
         )
-    return reduce(DataFrame.unionAll, parts)
+        run_id, start, began = new_run_id(), datetime.now(timezone.utc), time.monotonic()
+
+        def record(event: str, **more) -> None:
+            if activity:
+                activity.record(one.landing.name, start, event, run_id=run_id, **more)
+
+        record(STARTED, configuration=plan.describe())
+        try:
+            src = source_frame(spark, source, one.item)
+            counts = reconcile(src, read_landing(spark, destination, one.landing), by_position).first()
+        except Exception as e:
+            record(FAILED, error=e)
+            raise
+        if counts["missing"] or counts["extra"]:
+            record(FAILED, error=ValueError(f"{counts['missing']} missing, {counts['extra']} extra"))
+        else:
+            record(SUCCESS)
+        seconds = time.monotonic() - began
+        return (source.name, destination.name, one.landing.name, *counts, seconds)
+
+    with ThreadPoolExecutor(max_parallel) as pool:
+        rows = list(pool.map(inheritable_thread_target(spark)(compare), done.landed))
+    return spark.createDataFrame(rows, RECONCILED_SCHEMA)

@@ -42,10 +42,27 @@ def table_name(path: str) -> str:
     return path.rsplit("/", 1)[-1].split(".", 1)[0]
 
 
+def _runs(spark: SparkSession, path: str) -> list[str]:
+    names = children(spark, path)
+    return [n for n in names if n.rsplit("/", 1)[-1].startswith(RUN)]
+
+
+def _completed(spark: SparkSession, run: str) -> bool:
+    return exists(spark, join_uri(run, "_SUCCESS"))
+
+
+def run_id(path: str) -> str:
+    return path.rsplit("/", 1)[-1].removeprefix(RUN)
+
+
 def latest_run(spark: SparkSession, path: str) -> str | None:
     """The newest completed run directory of a landing, if it has any."""
-    names = (c for c in reversed(children(spark, path)) if c.rsplit("/", 1)[-1].startswith(RUN))
-    return next((r for r in names if exists(spark, join_uri(r, "_SUCCESS"))), None)
+    return next((r for r in reversed(_runs(spark, path)) if _completed(spark, r)), None)
+
+
+def runs_since(spark: SparkSession, path: str, last: str) -> list[str]:
+    """Completed run directories that are newer than the run ``last``, oldest first."""
+    return [r for r in _runs(spark, path) if run_id(r) > last and _completed(spark, r)]
 
 
 def reads_from(df: DataFrame, path: str) -> bool:

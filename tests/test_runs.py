@@ -17,6 +17,7 @@ from ferry.plans import (
     TransferFailed,
     Upsert,
     expand_control,
+    preflight,
     reconcile_run,
     run,
 )
@@ -140,12 +141,19 @@ def test_masters_grow_run_by_run_and_recover_leftovers(spark, lake):
 
 def test_masters_without_a_log(spark, lake):
     source, to = lake("parquet", "source"), lake("csv", "to", snapshots=False)
-    for data in ([(1, "a")], [(1, "b"), (2, "c")]):
+    for data, wrong in (
+        ([(1, "a")], None),
+        ([(7, "left over"), (2, "b")], ("nope",)),
+        ([(1, "b"), (2, "c")], None),
+    ):
         land(spark.createDataFrame(data, "k int, v string"), source, "t")
-        item = Transfer("t", "staging", merge=Upsert("master", ("k",)))
-        run(spark, plan("p", [source, to], ("source", "to", [item])))
+        item = Transfer("t", "staging", merge=Upsert("master", ("k",), set_columns=wrong))
+        try:
+            run(spark, plan("p", [source, to], ("source", "to", [item])))
+        except TransferFailed:
+            assert wrong
     master = scan(spark, replace(to, snapshots=True), "master", spark.createDataFrame([], "k int, v string").schema)
-    assert rows(master) == [(1, "b"), (2, "c")]
+    assert rows(master) == [(1, "b"), (2, "c"), (7, "left over")]
 
 
 def _merge(staging, master):
@@ -231,7 +239,8 @@ def test_control_rows_become_transfers(spark, lake, source):
 def test_control_queries_come_after_plain_items(spark, lake, source, db):
     control = fresh("control")
     rows_ = [("a", "( select id from numbers where id > 4 ) x", "big"), ("b", "few", "all_few")]
-    land(spark.createDataFrame(rows_, "description string, query string, destination string"), db, control)
+    df = spark.createDataFrame(rows_, "description string, query string, destination string")
+    land(df.coalesce(1), db, control)
     to = lake(name="to")
     items = [Transfer(control, "c", control=True, control_lake="database"), Transfer("few", "plain")]
     done = run(spark, plan("p", [source, to, db], ("source", "to", items)))
@@ -265,6 +274,31 @@ def test_preflight(spark, lake, source, db):
     assert "cannot write" in writable(spark, Lake("x", "nofs://x/y", format="orc"))
 
 
+def test_a_plan_is_checked_without_reading_rows(spark, lake, source, db):
+    nowhere = Lake("nowhere", "nofs://x/y", format="orc")
+    p = plan(
+        "p",
+        [source, nowhere, lake("csv", "to")],
+        ("source", "to", [Transfer("few", "f"), Transfer("none", "n")]),
+        ("source", "nowhere", [Transfer("few", "f")]),
+    )
+    found = {(r["destination_lake"], r["table"]): r["problem"] for r in preflight(spark, p).collect()}
+    assert set(found) == {("nowhere", None), ("to", "n")}
+
+
+def test_reconciling_a_run_finds_and_records_differences(spark, lake, source):
+    to = lake(name="to", activity_log=True)
+    p = plan("p", [source, to], ("source", "to", [Transfer("numbers", "n"), Transfer("few", "f")]))
+    done = run(spark, p)
+    land(spark.range(7).withColumn("v", F.col("id") * 2), source, "numbers")
+    got = {r["table"]: r for r in reconcile_run(spark, p, done).collect()}
+    assert (got["n"]["missing"], got["n"]["extra"]) == (0, 3) and got["f"]["src_rows"] == 3
+    log = ActivityLog(spark, to, "p")
+    failed = log.status().where("result = 'FAILED'").collect()
+    assert [r["table_name"] for r in failed] == ["n"] and "0 missing, 3 extra" in failed[0]["stacktrace"]
+    assert Landing(**json.loads(log.latest("n"))).rows == 10 and log.leftovers("n") == []
+
+
 def test_missing_lakes(spark):
     p = spark.createDataFrame([(1, "a", "b"), (2, "a", "x"), (3, "y", "y")], "id int, source_lake string, destination_lake string")
     lakes = spark.createDataFrame([("a",), ("b",), ("a",)], "name string")
