@@ -117,7 +117,8 @@ def upsert(
     (master rows stay). ``set_columns`` limits an update to these columns. Staged rows with
     new keys are inserted either way. An absent master (``None``) is an empty one.
 
-    Staged rows must have unique keys, or ``order_by`` must say which of them is the latest.
+    Staged rows must have unique keys, or ``order_by`` must say which of them is the latest. They
+    take the types of the master's columns.
     """
     if on_match not in (UPDATE, IGNORE):
         raise ValueError(f"on_match must be {UPDATE} or {IGNORE}")
@@ -127,7 +128,8 @@ def upsert(
         require_unique(staging, keys)
     if master is None:
         return staging
-    staging = staging.select(*[column(c) for c in master.columns])
+    # Equal keys hash alike only if their types are equal, too.
+    staging = staging.select(*[column(f.name).cast(f.dataType).alias(f.name) for f in master.schema])
     if on_match == IGNORE:
         return master.unionByName(_unmatched(staging, master, keys))
     if set_columns is None:

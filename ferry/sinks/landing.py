@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import json
+import logging
 import re
 import time
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
@@ -16,8 +17,13 @@ from ferry.sources.lake import Lake
 from ferry.sources.scans import escape_nulls, read_files, scan
 from ferry.workspace import new_run_id
 
+log = logging.getLogger(__name__)
+
 BUCKET = "bucket_val"
 
+# How often a table is overwritten until its rows are those that were sent.
+_ATTEMPTS = 3
+
 # Without adaptive execution a day's size is unknown, so every day is cut into as many parts.
 _TASKS_PER_DAY = 16
 
@@ -95,7 +101,7 @@ def read_landing(spark: SparkSession, lake: Lake, landing: Landing) -> DataFrame
     if lake.format == "csv":
         # Landed by us, so anything malformed is damage and must not turn into nulls.
         strict = {"mode": "FAILFAST", "enforceSchema": "false"} | dict(lake.options)
-        lake = Lake(**{**lake.__dict__, "options": strict})
+        lake = replace(lake, options=strict)
     return read_files(spark, lake, landing.path, schema)
 
 
@@ -165,8 +171,8 @@ def _to_database(
     """Write a table so that a task that ran twice cannot leave its rows twice.
 
     Each task commits on its own, and one that is lost after its commit runs again. So the
-    rows are counted in the database before they are trusted, and appended rows first go to a
-    table of their own, from which a single statement moves them over.
+    rows are counted in the database, and written again if they are too many. Appended rows
+    first go to a table of their own, from which a single statement moves them over.
     """
     spark = df.sparkSession
     there = jdbc.table_exists(spark, lake, table)
@@ -197,15 +203,17 @@ def _write_table(df: DataFrame, lake: Lake, table: str, column_types: str | None
     # Every task holds a connection. Spark's own limit would write a copy of the plan that
     # does not report its row count.
     limit = int(options.pop("numPartitions", lake.max_connections))
-    counted, seen = _counted(df.coalesce(limit))
-    # With "truncate" in the lake's options a table keeps its definition when overwritten.
-    writer = counted.write.format("jdbc").options(**options).option("dbtable", table)
-    writer.mode("overwrite").save()
-    rows = seen.get["rows"]
-    landed = jdbc.count(df.sparkSession, lake, table)
-    if landed != rows:
-        raise RuntimeError(f"table {table}: wrote {rows} rows, found {landed}")
-    return rows
+    for _ in range(_ATTEMPTS):
+        counted, seen = _counted(df.coalesce(limit))
+        # With "truncate" in the lake's options a table keeps its definition when overwritten.
+        writer = counted.write.format("jdbc").options(**options).option("dbtable", table)
+        writer.mode("overwrite").save()
+        rows = seen.get["rows"]
+        landed = jdbc.count(df.sparkSession, lake, table)
+        if landed == rows:
+            return rows
+        log.warning("table %s: wrote %d rows, found %d", table, rows, landed)
+    raise RuntimeError(f"table {table}: wrote {rows} rows, found {landed}")
 
 
 def varchar_types(df: DataFrame, lengths: dict[str, int]) -> str:

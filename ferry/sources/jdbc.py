@@ -73,11 +73,12 @@ def _by_primary_key(spark: SparkSession, lake: Lake, table: str) -> Split | None
     keys = primary_key(spark, lake, table)
     if len(keys) != 1:
         return None
-    field = _reader(spark, lake).option("dbtable", table).load().schema[keys[0]]
-    if not isinstance(field.dataType, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+    schema = _reader(spark, lake).option("dbtable", table).load().schema
+    field = next((f for f in schema if f.name.lower() == keys[0].lower()), None)
+    if field is None or not isinstance(field.dataType, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
         return None
     fetches = ceil(count(spark, lake, table) / lake.fetch_size)
-    return Split(keys[0], min(fetches, lake.max_connections))
+    return Split(field.name, min(fetches, lake.max_connections))
 
 
 def _reader(spark: SparkSession, lake: Lake):

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from ferry.sinks import land, read_landing
 from ferry.sources import scan
+from ferry.sources.files import children
 from queries.registry import query, table, tables, target
 
 
@@ -24,6 +27,16 @@ def csv_header_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(spark, lake, "customer")
 
 
+@query("SELECT * FROM customer")
+def csv_part_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A directory's part files, each scanned by its own name."""
+    customer = table(spark, sf_dir, "customer")
+    lake = target(spark, "csv", snapshots=False)
+    land(customer, lake, "customer", files_per_table=3)
+    parts = [p.removeprefix(lake.url) for p in children(spark, lake.path("customer"))]
+    return reduce(DataFrame.unionAll, [scan(spark, lake, p, customer.schema) for p in parts])
+
+
 @query(
     """
     SELECT CAST(s_suppkey AS INTEGER) AS _c0, s_name AS _c1,

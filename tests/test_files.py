@@ -29,11 +29,23 @@ def test_text_survives_every_format(spark, lake, fmt):
     assert rows(read_landing(spark, to, land(df, to, "t"))) == rows(df)
 
 
+def test_csv_without_header_comes_back_typed(spark, lake):
+    df = spark.createDataFrame(TRICKY, "i int, s string, t string")
+    to = lake("csv", header=False)
+    back = read_landing(spark, to, land(df, to, "t"))
+    assert back.dtypes == df.dtypes and rows(back) == rows(df)
+
+
 text = st.none() | st.text(alphabet='aN\\",\n\r \t\'#é', max_size=6)
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.tuples(text, text, st.none() | st.floats(allow_nan=False), st.none() | st.integers(-9, 9)), max_size=12))
+@given(
+    st.lists(
+        st.tuples(text, text, st.none() | st.floats(allow_nan=False), st.none() | st.integers(-9, 9)),
+        max_size=12,
+    )
+)
 def test_csv_is_lossless_for_any_text(spark, lake, data):
     df = spark.createDataFrame(data, "s string, t string, x double, i int")
     to = lake("csv")

@@ -60,7 +60,28 @@ def test_fan_out_lands_in_order_and_reconciles(spark, lake, source):
     assert got == [(d, t, n) for d in "ab" for t, n in (("n", 10), ("f", 3), ("g", 3))]
     assert list(done.names()["source"]) == ["a", "b"] and len(done.names()["source"]["a"]) == 3
     compared = reconcile_run(spark, p, done).collect()
-    assert [(r["src_rows"], r["missing"], r["extra"]) for r in compared] == [(10, 0, 0), (3, 0, 0), (3, 0, 0)] * 2
+    counts = [(r["src_rows"], r["missing"], r["extra"]) for r in compared]
+    assert counts == [(10, 0, 0), (3, 0, 0), (3, 0, 0)] * 2
+
+
+def test_two_sources_to_two_destinations(spark, lake, source, db):
+    table = fresh("more")
+    land(spark.range(4).withColumn("v", F.col("id")), db, table)
+    a, b = lake("orc", "a", write_mode="append"), lake("csv", "b", write_mode="append")
+    routes = [
+        (s, d, [Transfer(t, "n"), Transfer(f"( select id from {t} where id > 2 ) x", "big")])
+        for s, t in (("source", "numbers"), ("database", table))
+        for d in "ab"
+    ]
+    # The database keeps lower-case names only in quotes.
+    routes[2:] = [
+        (s, d, [i, Transfer(f'( select "id" from {table} where "id" > 2 ) x', "big")])
+        for s, d, (i, _) in routes[2:]
+    ]
+    done = run(spark, plan("p", [source, db, a, b], *routes))
+    assert [x.landing.rows for x in done.landed] == [10, 7, 10, 7, 4, 1, 4, 1]
+    for to in (a, b):
+        assert scan(spark, to, "n").count() == 14 and scan(spark, to, "big").count() == 8
 
 
 def test_one_failure_does_not_stop_the_others(spark, lake, source):
@@ -104,7 +125,10 @@ def test_database_logs_are_created_and_upgraded(spark, lake, source, db):
         ' "table_name" VARCHAR(99), "start" TIMESTAMP, "event" VARCHAR(99), "event_time" TIMESTAMP,'
         ' "run_id" VARCHAR(99))'
     )
-    row = "INSERT INTO integration_activity VALUES ('old', 'h', 't', TIMESTAMP('2024-01-01 00:00:00'), 'STARTED', TIMESTAMP('2024-01-01 00:00:00'), 'r')"
+    row = (
+        "INSERT INTO integration_activity VALUES ('old', 'h', 't', TIMESTAMP('2024-01-01 00:00:00'),"
+        " 'STARTED', TIMESTAMP('2024-01-01 00:00:00'), 'r')"
+    )
     jdbc.execute(spark, db, [older, row])
     to = lake(name="to")
     run(spark, plan("new", [source, log_lake, to], ("source", "to", [Transfer("few", "f")])))
@@ -152,14 +176,16 @@ def test_masters_without_a_log(spark, lake):
             run(spark, plan("p", [source, to], ("source", "to", [item])))
         except TransferFailed:
             assert wrong
-    master = scan(spark, replace(to, snapshots=True), "master", spark.createDataFrame([], "k int, v string").schema)
+    schema = spark.createDataFrame([], "k int, v string").schema
+    master = scan(spark, replace(to, snapshots=True), "master", schema)
     assert rows(master) == [(1, "b"), (2, "c"), (7, "left over")]
 
 
 def _merge(staging, master):
     return DatabaseMerge(
         f'CREATE TABLE {master} ("id" BIGINT NOT NULL PRIMARY KEY, "v" BIGINT)',
-        f'MERGE INTO {master} m USING {staging} s ON m."id" = s."id" WHEN MATCHED THEN UPDATE SET "v" = s."v"'
+        f'MERGE INTO {master} m USING {staging} s ON m."id" = s."id"'
+        ' WHEN MATCHED THEN UPDATE SET "v" = s."v"'
         ' WHEN NOT MATCHED THEN INSERT ("id", "v") VALUES (s."id", s."v")',
         master,
     )
@@ -178,8 +204,9 @@ def test_a_failed_merge_fails_the_transfer(spark, lake, source, db):
     to = lake(name="log", activity_log=True)
     staging = fresh("staging")
     bad = replace(_merge(staging, fresh("master")), merge_sql="MERGE NONSENSE")
+    item = Transfer("numbers", staging, merge=bad)
     with pytest.raises(TransferFailed):
-        run(spark, plan("p", [source, to, db], ("source", "database", [Transfer("numbers", staging, merge=bad)])))
+        run(spark, plan("p", [source, to, db], ("source", "database", [item])))
     assert ActivityLog(spark, to, "p").status().first()["result"] == "FAILED"
     with pytest.raises(TransferFailed, match="for databases"):
         run(spark, plan("p", [source, to], ("source", "log", [Transfer("few", "f", merge=bad)])))
@@ -207,7 +234,8 @@ def test_items_of_one_destination_keep_their_order(spark, lake, source):
 
 def test_archives_run_from_files_and_databases(spark, lake, db):
     source, to = lake("parquet", "source"), lake(name="to")
-    df = spark.createDataFrame([("2009-07-15", 1), ("2009-08-15", 2)], "IncidentDate string, id int")
+    dated = [("2009-07-15", 1), ("2009-08-15", 2)]
+    df = spark.createDataFrame(dated, "IncidentDate string, id int")
     land(df, source, "incidents")
     table = fresh("incidents")
     land(df, db, table, column_types="IncidentDate VARCHAR(10)")
@@ -300,6 +328,10 @@ def test_reconciling_a_run_finds_and_records_differences(spark, lake, source):
 
 
 def test_missing_lakes(spark):
-    p = spark.createDataFrame([(1, "a", "b"), (2, "a", "x"), (3, "y", "y")], "id int, source_lake string, destination_lake string")
+    p = spark.createDataFrame(
+        [(1, "a", "b"), (2, "a", "x"), (3, "y", "y")],
+        "id int, source_lake string, destination_lake string",
+    )
     lakes = spark.createDataFrame([("a",), ("b",), ("a",)], "name string")
-    assert [(r["id"], r["unknown"]) for r in missing_lakes(p, lakes).orderBy("id").collect()] == [(2, "x"), (3, "y")]
+    found = missing_lakes(p, lakes).orderBy("id").select("id", "unknown")
+    assert rows(found) == [(2, "x"), (3, "y")]

@@ -36,6 +36,15 @@ def test_composite_keys_with_partial_nulls(spark):
     assert rows(upsert(master, staging, ["a", "b"])) == [(1, 2, 4), (1, None, 1), (1, None, 3)]
 
 
+@pytest.mark.parametrize("mode", ["update", "ignore"])
+def test_keys_of_other_types_match(spark, mode):
+    master = spark.createDataFrame([(1, 1.5)], "k long, v double")
+    staging = spark.createDataFrame([("1", 2), ("2", 3)], "k string, v int")
+    merged = upsert(master, staging, ["k"], on_match=mode)
+    assert merged.dtypes == master.dtypes
+    assert rows(merged) == [(1, 2.0 if mode == "update" else 1.5), (2, 3.0)]
+
+
 def test_no_master_and_no_staging(spark):
     some, none = frame(spark, [(1, 1, "a")]), frame(spark, [])
     assert rows(upsert(None, some, ["k"])) == rows(some)
