@@ -7,6 +7,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from threading import Lock
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ferry.functions.columns import column
@@ -100,10 +101,9 @@ def _sql_over_files(spark: SparkSession, lake: Lake, source: str) -> DataFrame:
 def _named(spark: SparkSession, lake: Lake, tables: dict[str, str]) -> Iterator[None]:
     """Temporary views for the tables; views of the same name come back afterwards."""
     hidden = {}
-    temporary = {t.name.lower() for t in spark.catalog.listTables() if t.isTemporary}
     try:
         for name, path in tables.items():
-            if name.lower() in temporary:
+            if _is_view(spark, name):
                 hidden[name] = spark.table(name)
             df = read_files(spark, lake, current_path(spark, lake, path))
             df.createOrReplaceTempView(name)
@@ -113,3 +113,10 @@ def _named(spark: SparkSession, lake: Lake, tables: dict[str, str]) -> Iterator[
             spark.catalog.dropTempView(name)
         for name, df in hidden.items():
             df.createOrReplaceTempView(name)
+
+
+def _is_view(spark: SparkSession, name: str) -> bool:
+    try:
+        return spark.catalog.getTable(name).isTemporary
+    except AnalysisException:
+        return False
