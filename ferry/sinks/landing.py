@@ -9,11 +9,11 @@ import time
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ferry.functions.columns import backticked, column, comparable
 from ferry.sources import files, jdbc
-from ferry.sources.lake import Lake
+from ferry.sources.lake import Lake, has_text
 from ferry.sources.scans import escape_nulls, read_files, scan
 from ferry.workspace import new_run_id
 
@@ -136,6 +136,8 @@ def _to_files(
             raise TypeError(f"csv cannot hold the columns {unsupported}")
         if lake.dialect == "lossless":
             df = escape_nulls(df)
+    if bucket is not None and has_text(df.schema[bucket].dataType):
+        df = df.withColumn(bucket, _not_empty(bucket))
     if files_per_table is not None:
         df = df.repartition(files_per_table)
     elif bucket is not None and cluster:
@@ -151,6 +153,12 @@ def _to_files(
     return path, seen.get["rows"]
 
 
+def _not_empty(bucket: str) -> Column:
+    """A text partition value, which as a directory name could not be told from null if empty."""
+    why = F.lit(f"an empty {bucket} would be read back as null")
+    return F.when(column(bucket) == "", F.raise_error(why)).otherwise(column(bucket))
+
+
 def _by_day(df: DataFrame, bucket: str) -> DataFrame:
     """Bring the rows of a day together, but never more than a task should write."""
     if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":

@@ -109,3 +109,11 @@ def test_hot_days_without_adaptive_execution(spark, lake):
         assert len([f for f in back.inputFiles() if "bucket_val=2024-01-01" in f]) == 4
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_text_partitions(spark, lake):
+    to = lake()
+    df = spark.createDataFrame([(1, "a/b=c %"), (2, None), (3, "2024-01-01"), (4, " ")], "id int, p string")
+    assert rows(read_landing(spark, to, land(df, to, "t", bucket="p"))) == rows(df)
+    with pytest.raises(Exception, match="an empty p would be read back as null"):
+        land(spark.sql("select 1 as id, '' as p"), to, "t", bucket="p")
