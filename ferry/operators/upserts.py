@@ -117,8 +117,8 @@ def upsert(
     (master rows stay). ``set_columns`` limits an update to these columns. Staged rows with
     new keys are inserted either way. An absent master (``None``) is an empty one.
 
-    Staged rows must have unique keys, or ``order_by`` must say which of them is the latest. They
-    take the types of the master's columns.
+    Staged rows must have unique keys, which a job of its own checks at once, or ``order_by`` must
+    say which of them is the latest. They take the types of the master's columns.
     """
     if on_match not in (UPDATE, IGNORE):
         raise ValueError(f"on_match must be {UPDATE} or {IGNORE}")
