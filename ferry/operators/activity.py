@@ -120,7 +120,7 @@ class ActivityLog:
             types = ", ".join(f"{c} VARCHAR(512)" for c in short)
             self._append(self.spark.createDataFrame([], EVENT_SCHEMA), types)
             return
-        held = {c.lower() for c in jdbc.read(self.spark, self.lake, ACTIVITY_TABLE).columns}
+        held = {c.lower() for c in jdbc.read(self.spark, self.lake, ACTIVITY_TABLE, jdbc.WHOLE).columns}
         jvm = self.spark._jvm
         dialect = jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(self.lake.url)
         text = dialect.getJDBCType(jvm.org.apache.spark.sql.types.DataTypes.StringType)

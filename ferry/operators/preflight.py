@@ -68,7 +68,7 @@ def problems(
 ) -> list[str]:
     """What would stop a transfer, found from schemas alone; no rows are read."""
     try:
-        schema = scan(spark, source, source_name).schema
+        schema = scan(spark, source, source_name, split=jdbc.WHOLE).schema
     except Exception as e:
         return [f"cannot read {source_name} in lake {source.name}: {type(e).__name__}"]
     found = [
@@ -83,7 +83,7 @@ def problems(
             return found
     elif destination.snapshots or not files.exists(spark, destination.path(table)):
         return found
-    held = {c.lower() for c in scan(spark, destination, table).columns}
+    held = {c.lower() for c in scan(spark, destination, table, split=jdbc.WHOLE).columns}
     given = {c.lower() for c in schema.names}
     found += [f"{table} lacks the column {c}" for c in sorted(given - held)]
     found += [f"{table} has a column {c} that the source lacks" for c in sorted(held - given)]

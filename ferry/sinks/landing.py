@@ -179,8 +179,9 @@ def _to_database(
     """Write a table so that a task that ran twice cannot leave its rows twice.
 
     Each task commits on its own, and one that is lost after its commit runs again. So the
-    rows are counted in the database, and written again if they are too many. Appended rows
-    first go to a table of their own, from which a single statement moves them over.
+    rows are counted in the database, and written again if they are too many. Appended rows,
+    and replacing ones if the lake is atomic, first go to a table of their own, from which a
+    single transaction moves them over.
     """
     spark = df.sparkSession
     there = jdbc.table_exists(spark, lake, table)
@@ -188,15 +189,16 @@ def _to_database(
         return None
     if there and mode in ("error", "errorifexists"):
         raise FileExistsError(f"table {table} in lake {lake.name} exists")
-    if there and mode == "append":
+    if there and (mode == "append" or lake.atomic):
         stage = f"{table}_{re.sub(r'\W', '', run_id)[-16:]}"
         try:
             rows = _write_table(df, lake, stage, column_types)
-            held = {c.lower(): c for c in jdbc.read(spark, lake, table).columns}
+            held = {c.lower(): c for c in jdbc.read(spark, lake, table, jdbc.WHOLE).columns}
             into = ", ".join(jdbc.quote(spark, lake, held[c.lower()]) for c in df.columns)
             names = ", ".join(jdbc.quote(spark, lake, c) for c in df.columns)
+            empty = [] if mode == "append" else [f"DELETE FROM {table}"]
             move = f"INSERT INTO {table} ({into}) SELECT {names} FROM {stage}"
-            jdbc.execute(spark, lake, [move])
+            jdbc.execute(spark, lake, [*empty, move])
         finally:
             if jdbc.table_exists(spark, lake, stage):
                 jdbc.execute(spark, lake, [f"DROP TABLE {stage}"])

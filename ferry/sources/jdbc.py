@@ -35,8 +35,15 @@ class Split:
     balanced: bool = False
 
 
+# Over one connection, without asking the database how a table could be split.
+WHOLE = Split("", 1)
+
+
 def read(spark: SparkSession, lake: Lake, source: str, split: Split | None = None) -> DataFrame:
-    """A table or ``( select … ) alias``; the text runs in the database."""
+    """A table or ``( select … ) alias``; the text runs in the database.
+
+    Without a ``split`` a table is split by its primary key, if that is a number or a date.
+    """
     whole = _reader(spark, lake).option("dbtable", source)
     if split is None and lake.max_connections > 1 and not source.strip().startswith("("):
         split = _by_primary_key(spark, lake, source)

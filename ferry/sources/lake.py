@@ -63,7 +63,8 @@ class Lake:
     it off for large foreign files without them, which then can be split between tasks.
 
     ``max_connections`` limits how many tasks write to a database at once, and how many read a
-    table that has a primary key to split it by.
+    table that has a primary key to split it by. ``atomic`` overwrites a database table in one
+    transaction, which keeps its definition and, until the new rows are there, its old ones.
     """
 
     name: str
@@ -81,6 +82,7 @@ class Lake:
     dialect: str = "lossless"
     multiline: bool = True
     max_connections: int = DEFAULT_CONNECTIONS
+    atomic: bool = False
     options: Mapping[str, str] = field(default_factory=dict, repr=False)
 
     def __post_init__(self) -> None:

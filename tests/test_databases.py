@@ -56,6 +56,22 @@ def test_append_leaves_no_half_batch(spark, db):
     assert scan(spark, db, table).count() == 3
 
 
+def test_atomic_overwrites_keep_the_old_rows_until_the_new_are_there(spark, db):
+    table = fresh("t")
+    jdbc.execute(spark, db, [f'CREATE TABLE {table} ("id" BIGINT NOT NULL PRIMARY KEY)'])
+    safe = replace(db, atomic=True)
+    land(spark.range(3), safe, table)
+    broken = spark.range(5).select(F.raise_error(F.lit("lost")).cast("long").alias("id"))
+    twice = spark.sql("select explode(array(8L, 8L)) as id")
+    for bad in (broken, twice):
+        with pytest.raises(Exception):
+            land(bad, safe, table)
+        assert rows(scan(spark, db, table)) == [(0,), (1,), (2,)]
+    assert land(spark.range(5, 7), safe, table).rows == 2
+    assert rows(scan(spark, db, table)) == [(5,), (6,)]
+    assert jdbc.primary_key(spark, db, table) == ["id"]
+
+
 def test_append_matches_columns_by_name(spark, db):
     table = fresh("t")
     jdbc.execute(spark, db, [f"CREATE TABLE {table} (B VARCHAR(9), A BIGINT)"])
