@@ -1,6 +1,6 @@
 """Plans of transfers, and running them."""
 
-from ferry.plans.control import expand_control
+from ferry.plans.control import every_table, expand_control
 from ferry.plans.runner import Run, TransferFailed, preflight, reconcile_run, run, source_frame
 from ferry.plans.transfer import Archive, DatabaseMerge, Plan, Route, Transfer, Upsert
 
@@ -13,6 +13,7 @@ __all__ = [
     "Transfer",
     "TransferFailed",
     "Upsert",
+    "every_table",
     "expand_control",
     "preflight",
     "reconcile_run",

@@ -1,10 +1,12 @@
-"""Turning the rows of a control query into transfers."""
+"""Turning the rows of a control query, or everything a lake holds, into transfers."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ferry.plans.transfer import DatabaseMerge, Transfer, Upsert
+from ferry.sources import files, jdbc
+from ferry.sources.lake import Lake
 
 
 def expand_control(control: DataFrame) -> list[Transfer]:
@@ -29,3 +31,15 @@ def _transfer(row: dict) -> Transfer:
         keys = tuple(k.strip() for k in row["keys"].split(","))
         merge = Upsert(row["master"], keys, row.get("on_match") or "update")
     return Transfer(row["query"], row["destination"], row["description"] or "", merge)
+
+
+def every_table(spark: SparkSession, lake: Lake, schema: str | None = None) -> list[Transfer]:
+    """One transfer per table of a lake: all tables of a database's catalog, or all of its files."""
+    if lake.is_jdbc:
+        found = jdbc.tables(spark, lake, schema)
+        return [
+            Transfer(".".join(jdbc.quote(spark, lake, p) for p in (owner, name) if p), name.lower())
+            for owner, name in found
+        ]
+    paths = files.children(spark, lake.url)
+    return [Transfer(p.rsplit("/", 1)[-1], files.table_name(p)) for p in paths]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -199,21 +200,37 @@ def _connection(spark: SparkSession, lake: Lake) -> Iterator:
 
 def primary_key(spark: SparkSession, lake: Lake, table: str) -> list[str]:
     """Columns of a table's primary key, as the database describes it."""
-    schema, _, name = table.strip().rpartition(".")
     with _connection(spark, lake) as connection:
         about = connection.getMetaData()
-        # Unquoted names are stored in the case that the database prefers.
-        if about.storesUpperCaseIdentifiers():
-            schema, name = schema.upper(), name.upper()
-        elif about.storesLowerCaseIdentifiers():
-            schema, name = schema.lower(), name.lower()
-        found = about.getPrimaryKeys(None, schema or None, name)
+        *schema, name = [_stored(about, p) for p in re.findall(r'"[^"]+"|[^."]+', table.strip())]
+        found = about.getPrimaryKeys(None, schema[-1] if schema else None, name)
         keys = []
         while found.next():
             keys.append((found.getInt("KEY_SEQ"), found.getString("COLUMN_NAME")))
     return [k for _, k in sorted(keys)]
 
 
+def _stored(about, name: str) -> str:
+    """A name as the catalog holds it: quoted ones as they are, others in its own case."""
+    if name.startswith('"'):
+        return name[1:-1]
+    if about.storesUpperCaseIdentifiers():
+        return name.upper()
+    return name.lower() if about.storesLowerCaseIdentifiers() else name
+
+
+def tables(spark: SparkSession, lake: Lake, schema: str | None = None) -> list[tuple[str, str]]:
+    """(schema, name) of the tables that the database's catalog lists."""
+    kinds = spark.sparkContext._gateway.new_array(spark._jvm.java.lang.String, 1)
+    kinds[0] = "TABLE"
+    with _connection(spark, lake) as connection:
+        found = connection.getMetaData().getTables(None, schema, "%", kinds)
+        names = []
+        while found.next():
+            names.append((found.getString("TABLE_SCHEM") or "", found.getString("TABLE_NAME")))
+    return sorted(names)
+
+
 def execute(spark: SparkSession, lake: Lake, statements: Sequence[str]) -> None:
     """Run statements inside the database as one transaction."""
     with _connection(spark, lake) as connection:

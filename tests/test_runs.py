@@ -16,6 +16,7 @@ from ferry.plans import (
     Transfer,
     TransferFailed,
     Upsert,
+    every_table,
     expand_control,
     preflight,
     reconcile_run,
@@ -277,6 +278,22 @@ def test_control_queries_come_after_plain_items(spark, lake, source, db):
         run(spark, plan("p", [source, to], ("source", "to", [Transfer("nowhere", "c", control=True)])))
 
 
+def test_every_table_of_a_lake(spark, lake, source, db):
+    to = lake(name="to")
+    assert [t.destination for t in every_table(spark, source)] == ["few", "numbers"]
+    run(spark, plan("p", [source, to], ("source", "to", every_table(spark, source))))
+    assert scan(spark, to, "numbers").count() == 10
+
+    schema = fresh("s").upper()
+    keyed = f'CREATE TABLE {schema}."Mixed Case" ("id" BIGINT NOT NULL PRIMARY KEY)'
+    jdbc.execute(spark, db, [f"CREATE SCHEMA {schema}", keyed, f"CREATE TABLE {schema}.B (A INT)"])
+    found = every_table(spark, db, schema)
+    assert [t.source for t in found] == [f'"{schema}"."B"', f'"{schema}"."Mixed Case"']
+    assert jdbc.primary_key(spark, db, found[1].source) == ["id"]
+    done = run(spark, plan("p", [db, to], ("database", "to", found)))
+    assert [x.landing.name for x in done.landed] == ["b", "mixed case"]
+
+
 def test_preflight(spark, lake, source, db):
     df = spark.createDataFrame([(1, None, {"a": 1}), (2, "abc", None)], "i int, s string, m map<string,int>")
     land(df, source, "t")
