@@ -1,0 +1,85 @@
+"""SimHash groups against brute force: every fingerprint from its definition, every pair compared."""
+
+from __future__ import annotations
+
+import random
+import re
+
+import pytest
+import xxhash
+
+from ferry.llm import simhash
+from ferry.llm.components import components
+
+
+def brute_print(text: str | None) -> int:
+    lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", lowered)
+    if not words:
+        return 0
+    n = max(1, len(words) - 2)
+    hashes = [xxhash.xxh64(" ".join(words[i : i + 3]).encode(), seed=42).intdigest() for i in range(n)]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > n)
+
+
+def brute_components(nodes: list, linked) -> dict:
+    root = {x: x for x in nodes}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(nodes):
+        for b in nodes[:i]:
+            if linked(a, b):
+                lo, hi = sorted((find(a), find(b)))
+                root[hi] = lo
+    return {x: find(x) for x in nodes}
+
+
+def test_components_equal_brute_force(spark):
+    rng = random.Random(5)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(400 + i, 401 + i) for i in range(40)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    want = brute_components(sorted({x for e in edges for x in e}), lambda a, b: (a, b) in edges or (b, a) in edges)
+    assert got == {k: v for k, v in want.items() if k != v}
+
+
+def test_no_links(spark):
+    assert components(spark.createDataFrame([(1, 1)], "a long, b long")).count() == 0
+
+
+def test_groups_equal_brute_force(spark):
+    rng = random.Random(3)
+    vocab = [f"w{i}" for i in range(60)] + ["É", "ß", "Straße", "a b"]
+    texts = [None, "", "  \t", "One", "one", "one two", "ONE\x0btwo", "x " * 3000]
+    for _ in range(25):
+        words = [rng.choice(vocab) for _ in range(rng.randrange(3, 400))]
+        texts += [" ".join(words), "\n".join(words), " ".join([*words, "tail"])]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(4, "One"), (None, "one")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = simhash.near_duplicates(docs.withColumnsRenamed({}).selectExpr("*", "1 AS print", "2 AS id", "3 AS key"))
+    prints = {i: brute_print(t) for i, t in rows if i is not None}
+    distinct = sorted(set(prints.values()))
+    of = brute_components(distinct, lambda a, b: (a ^ b).bit_count() <= 2)
+    least = {r: min(i for i, p in prints.items() if of[p] == r) for r in set(of.values())}
+    want = sorted(((i, f"{brute_print(t):016x}", least[of[brute_print(t)]]) for i, t in rows), key=repr)
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == want
+    kept = simhash.one_of_each(docs).select("doc_id").distinct().collect()
+    assert {r[0] for r in kept} == set(least.values())
+
+
+@pytest.mark.parametrize("spread", [1, 3])
+def test_links_connect_all_close_fingerprints(spark, spread):
+    rng = random.Random(spread)
+    base = [rng.getrandbits(64) for _ in range(12)]
+    prints = sorted({b ^ sum(1 << rng.randrange(64) for _ in range(spread)) & (1 << 64) - 1 for b in base for _ in range(8)})
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    got = {r.node: r.root for r in components(simhash.links(spark.createDataFrame([(p,) for p in signed], "print long"))).collect()}
+    want = brute_components(sorted(signed), lambda a, b: ((a ^ b) & (1 << 64) - 1).bit_count() <= 2)
+    assert got == {k: v for k, v in want.items() if k != v}
+
+
+def test_empty_table(spark):
+    assert simhash.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
