@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ferry.llm import simhash
+from ferry.llm import decontaminate, simhash
 from ferry.llm.tables import read, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -17,8 +17,14 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return simhash.one_of_each(docs)
 
 
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which a twentieth or more lies in benchmark windows go."""
+    return decontaminate.without_documents(docs, read(spark, sf_dir, "benchmark"))
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("simhash_near_dedup", simhash_near_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
 ]
 
 #: No stage with a trained model can be said in SQL; tests hold each stage against brute force.

@@ -6,18 +6,30 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ferry.llm import simhash
+from ferry.llm import decontaminate, simhash
 from ferry.llm.tables import read
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+Query = Callable[[SparkSession, str], DataFrame]
+
+QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[fn.__name__] = fn
-    return fn
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def register(fn: Query) -> Query:
+        QUERIES[fn.__name__] = fn
+        if sql:
+            ORACLES[fn.__name__] = sql.strip()
+        return fn
+
+    return register
+
+
+@query(decontaminate.SQL)
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
-@query
+@query()
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))

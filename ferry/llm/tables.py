@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructField, StructType
 
 from ferry.workspace import scratch
 
@@ -28,3 +30,26 @@ def text_or_empty(column: str = "text") -> Column:
 def id_remainder(column: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo; an absent id counts as the empty text."""
     return F.crc32(F.encode(F.coalesce(F.col(column).cast("string"), F.lit("")), "UTF-8")) % modulus
+
+
+def with_results(df: DataFrame, inputs: dict[str, Column], fn, fields: str) -> DataFrame:
+    """Every row as the struct ``row``, beside what ``fn`` makes of the inputs, one Arrow batch at a time.
+
+    ``fn`` gets a batch of the inputs and returns the arrays of ``fields`` (a DDL string). Rows pass
+    through untouched, so columns of any name do.
+    """
+    row = F.struct(*(df[f"`{c}`"] for c in df.columns)).alias("row")
+    narrow = df.select(row, F.struct(*(c.alias(k) for k, c in inputs.items())).alias("inputs"))
+    names = ["row", *(f.split()[0] for f in fields.split(", "))]
+
+    def batches(it):
+        for batch in it:
+            given = pa.RecordBatch.from_struct_array(batch.column(1))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *fn(given)], names=names)
+
+    schema = StructType([StructField("row", narrow.schema["row"].dataType), *StructType.fromDDL(fields).fields])
+    return narrow.mapInArrow(batches, schema)
+
+
+def total(df: DataFrame, column: Column) -> int:
+    return int(df.agg(F.coalesce(F.sum(column), F.lit(0))).first()[0])
