@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ferry.llm import decontaminate, simhash
+from ferry.llm import decontaminate, packing, simhash
+from ferry.llm.queries import tokenizer
 from ferry.llm.tables import read, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -22,9 +23,15 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
     return decontaminate.without_documents(docs, read(spark, sf_dir, "benchmark"))
 
 
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document's pieces and their places in sequences."""
+    return packing.packed(docs, tokenizer(spark))
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("simhash_near_dedup", simhash_near_dedup),
     ("benchmark_decontamination", benchmark_decontamination),
+    ("best_fit_packing", best_fit_packing),
 ]
 
 #: No stage with a trained model can be said in SQL; tests hold each stage against brute force.

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ferry.llm import decontaminate, simhash
+from ferry.llm import decontaminate, packing, simhash
 from ferry.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +26,17 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def tokenizer(spark: SparkSession) -> str:
+    """The vocabulary file of the packing queries; ``spark.ferry.tokenizer`` names another."""
+    named = spark.conf.get("spark.ferry.tokenizer", None)
+    return named or public_tokenizers.path("word_bpe_49k.json")
+
+
+@query()
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(read(spark, sf_dir, "documents"), tokenizer(spark))
+
+
 @query(decontaminate.SQL)
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))

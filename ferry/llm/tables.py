@@ -40,14 +40,15 @@ def with_results(df: DataFrame, inputs: dict[str, Column], fn, fields: str) -> D
     """
     row = F.struct(*(df[f"`{c}`"] for c in df.columns)).alias("row")
     narrow = df.select(row, F.struct(*(c.alias(k) for k, c in inputs.items())).alias("inputs"))
-    names = ["row", *(f.split()[0] for f in fields.split(", "))]
+    made = StructType.fromDDL(fields)
+    names = ["row", *made.names]
 
     def batches(it):
         for batch in it:
             given = pa.RecordBatch.from_struct_array(batch.column(1))
             yield pa.RecordBatch.from_arrays([batch.column(0), *fn(given)], names=names)
 
-    schema = StructType([StructField("row", narrow.schema["row"].dataType), *StructType.fromDDL(fields).fields])
+    schema = StructType([StructField("row", narrow.schema["row"].dataType), *made.fields])
     return narrow.mapInArrow(batches, schema)
 
 
