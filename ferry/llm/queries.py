@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ferry.llm import decontaminate, packing, simhash
+from ferry.llm import decontaminate, extraction, packing, simhash
 from ferry.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,12 @@ def tokenizer(spark: SparkSession) -> str:
     return named or public_tokenizers.path("word_bpe_49k.json")
 
 
+@query()
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = extraction.extract(read(spark, sf_dir, "pages"))
+    return pages.select("row.page_id", "row.url", "text", "n_chars")
+
+
 @query()
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(read(spark, sf_dir, "documents"), tokenizer(spark))
