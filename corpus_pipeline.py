@@ -6,13 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ferry.llm import decontaminate, packing, simhash
+from ferry.llm import decontaminate, packing, simhash, toxicity
 from ferry.llm.queries import tokenizer
 from ferry.llm.tables import read, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier predicts as toxic go."""
+    return toxicity.without_toxic(docs, read(spark, sf_dir, "labels"))
+
+
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays: the one with the smallest id."""
     return simhash.one_of_each(docs)
@@ -29,6 +34,7 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
     ("simhash_near_dedup", simhash_near_dedup),
     ("benchmark_decontamination", benchmark_decontamination),
     ("best_fit_packing", best_fit_packing),

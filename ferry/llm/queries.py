@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ferry.llm import decontaminate, extraction, packing, simhash
+from ferry.llm import decontaminate, extraction, packing, simhash, toxicity
 from ferry.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,11 @@ def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("row.page_id", "row.url", "text", "n_chars")
 
 
+@query()
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 @query()
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(read(spark, sf_dir, "documents"), tokenizer(spark))
