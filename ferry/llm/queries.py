@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ferry.llm import decontaminate, extraction, packing, simhash, toxicity
+from ferry.llm import decontaminate, extraction, packing, sharding, simhash, toxicity
 from ferry.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,11 @@ def tokenizer(spark: SparkSession) -> str:
     return named or public_tokenizers.path("word_bpe_49k.json")
 
 
+@query()
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.report(read(spark, sf_dir, "documents"), ["doc_id", "source", "lang"], 40)
+
+
 @query()
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = extraction.extract(read(spark, sf_dir, "pages"))
