@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ferry.llm import decontaminate, packing, simhash, toxicity
+from ferry.llm import decontaminate, lines, packing, simhash, toxicity
 from ferry.llm.queries import tokenizer
 from ferry.llm.tables import read, written
 
@@ -18,6 +18,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.without_toxic(docs, read(spark, sf_dir, "labels"))
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component of equal and similar lines one line stays; documents stay, with the rest of their lines."""
+    return lines.without_repeated_lines(docs, length="n_chars" if "n_chars" in docs.columns else None)
+
+
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays: the one with the smallest id."""
     return simhash.one_of_each(docs)
@@ -35,6 +40,7 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 STAGES: list[tuple[str, Stage]] = [
     ("toxicity", drop_toxic),
+    ("line_dedup", line_dedup),
     ("simhash_near_dedup", simhash_near_dedup),
     ("benchmark_decontamination", benchmark_decontamination),
     ("best_fit_packing", best_fit_packing),

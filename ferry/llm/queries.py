@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ferry.llm import decontaminate, extraction, packing, quality, sharding, simhash, toxicity
+from ferry.llm import decontaminate, extraction, lines, packing, quality, sharding, simhash, toxicity
 from ferry.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,12 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+@query()
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    edited = lines.deduplicated(read(spark, sf_dir, "documents"))
+    return edited.select("row.doc_id", "text", "n_lines", "n_removed")
+
+
 @query()
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(read(spark, sf_dir, "documents"), tokenizer(spark))
