@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ferry.llm import decontaminate, extraction, lines, packing, quality, sharding, simhash, toxicity
+from ferry.llm import decontaminate, extraction, language_model, lines, packing, quality, sharding, simhash, toxicity
 from ferry.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +69,11 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+@query()
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.report(read(spark, sf_dir, "documents"))
+
+
 @query()
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))

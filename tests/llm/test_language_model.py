@@ -1,0 +1,114 @@
+"""The language model against sums over all state paths, and base scores against brute force."""
+
+from __future__ import annotations
+
+import itertools
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from ferry.llm import language_model as lm
+from ferry.llm.tables import read
+
+
+def model(tokens=5, states=3, seed=0):
+    rng = np.random.default_rng(seed)
+    unit = lambda x, axis: x / x.sum(axis=axis, keepdims=True)
+    return lm.Model(unit(rng.random(states), 0), unit(rng.random((states, states)), 1), unit(rng.random((tokens, states)), 0))
+
+
+def paths(m, ids):
+    """(probability, states) of every path."""
+    for path in itertools.product(range(len(m.start)), repeat=len(ids)):
+        p = m.start[path[0]] * m.emit[ids[0], path[0]]
+        for a, b, i in zip(path, path[1:], ids[1:]):
+            p *= m.move[a, b] * m.emit[i, b]
+        yield p, path
+
+
+SEQUENCES = [np.array(x, np.int32) for x in ([0], [1, 2, 3, 0], [4, 4, 0], [2, 1, 1, 3, 2, 0], [3, 0])]
+
+
+def test_likelihood_is_the_sum_over_paths():
+    m = model()
+    want = [math.log10(sum(p for p, _ in paths(m, x))) for x in SEQUENCES]
+    assert np.allclose(lm.log_likelihoods(m, SEQUENCES), want)
+    assert np.allclose(sum(10 ** lm.log_likelihoods(m, [np.array(x) for x in itertools.product(range(5), repeat=3)])), 1)
+
+
+def test_expected_counts_are_sums_over_paths():
+    m, got = model(), lm.Expected.none(5, 3)
+    got.add(m, SEQUENCES, [True] * 4 + [False])
+    want = lm.Expected.none(5, 3)
+    for x, begins in zip(SEQUENCES, [True] * 4 + [False]):
+        every = list(paths(m, x))
+        total = sum(p for p, _ in every)
+        for p, path in every:
+            want.start[path[0]] += p / total * begins
+            for t, s in enumerate(path):
+                want.emit[s, x[t]] += p / total
+                if t:
+                    want.move[path[t - 1], s] += p / total
+        want.log_likelihood += math.log10(total)
+    for name in ("start", "move", "emit", "log_likelihood"):
+        assert np.allclose(getattr(got, name), getattr(want, name), atol=1e-4)
+
+
+def test_iterations_never_get_worse(spark, monkeypatch):
+    monkeypatch.setattr(lm, "EMISSION_PRIOR", 1e-9)
+    monkeypatch.setattr(lm, "TRANSITION_PRIOR", 1e-9)
+    rng = random.Random(1)
+    texts = [[2 + rng.randrange(6) + 6 * (i % 2) for _ in range(rng.randrange(1, 40))] + [0] for i in range(80)]
+    frame = spark.createDataFrame([(x,) for x in texts], "ids array<int>").repartition(3)
+    weights = np.full(14, 1 / 14)
+    m, logs = lm.initial(weights, 2), []
+    for _ in range(8):
+        m, log = lm.improve(frame, m, weights)
+        logs.append(log)
+    assert all(b >= a - 1e-3 for a, b in zip(logs, logs[1:])) and logs[-1] > logs[0] + 10
+
+
+def brute(rows):
+    def tokens(text):
+        return re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda c: c[0].lower(), text or "")) + [None]
+
+    held = lambda i: zlib.crc32(str("" if i is None else i).encode()) % 7 == 2
+    counts = Counter(t for i, x in rows if not held(i) for t in tokens(x))
+    n, v = sum(counts.values()), len(counts)
+    for i, x in rows:
+        ts = tokens(x)
+        yield i, held(i), len(ts), sum(counts[t] > 0 for t in ts), n, sum(math.log10((counts[t] + 1) / (n + v + 1)) for t in ts)
+
+
+@pytest.mark.parametrize("vocabulary", [4, 1000])
+def test_base_scores_equal_brute_force(spark, vocabulary):
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.choice(["A", "b", "É", "x\x0by", "w%d" % rng.randrange(60)]) for _ in range(rng.randrange(30)))) for i in range(60)]
+    rows += [(60, None), (None, "a"), (3, "a a"), (3, "a a"), (61, "z " * 2000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"n": F.lit("x"), "ids": F.lit(1), "known": F.lit(2), "word": F.lit(1)})
+    got = sorted((tuple(r) for r in lm.report(frame, vocabulary=vocabulary, iterations=1, states=2).collect()), key=repr)
+    want = sorted(brute(rows), key=repr)
+    assert [g[:5] for g in got] == [w[:5] for w in want]
+    assert np.allclose([g[5] for g in got], [w[5] for w in want])
+    assert all(g[6] < 0 for g in got)
+
+
+def test_held_out_texts_are_predicted_better_than_by_the_base(spark):
+    rows = lm.report(read(spark, "/root/testdata/sf0.01", "documents")).where("held_out").collect()
+    base, score, tokens = (sum(r[k] for r in rows) for k in ("base_score", "score", "n_tokens"))
+    assert score / tokens > base / tokens + 0.05
+
+
+def test_empty_and_all_held_out(spark):
+    held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
+    frame = spark.createDataFrame([(held, "a b")], "doc_id long, text string")
+    (row,) = lm.report(frame, iterations=1).collect()
+    assert (row.n_tokens, row.n_known, row.train_tokens) == (3, 0, 0) and row.base_score == 0
+    assert lm.report(frame.limit(0), iterations=1).count() == 0
