@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ferry.llm import decontaminate, extraction, language_model, lines, packing, quality, sharding, simhash, toxicity
+from ferry.llm import decontaminate, extraction, language_model, lines, packing, personal, quality, sharding, simhash, toxicity
 from ferry.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +64,11 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(read(spark, sf_dir, "documents"), tokenizer(spark))
 
 
+@query()
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.report(read(spark, sf_dir, "documents"))
+
+
 @query(decontaminate.SQL)
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
