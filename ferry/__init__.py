@@ -7,7 +7,6 @@ from ferry.operators import (
     day_bucket,
     reconcile,
     reconcile_cells,
-    reconcile_sample,
     upsert,
     upsert_all,
 )
@@ -32,7 +31,6 @@ __all__ = [
     "read_landing",
     "reconcile",
     "reconcile_cells",
-    "reconcile_sample",
     "run",
     "scan",
     "upsert",

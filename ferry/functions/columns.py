@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from functools import reduce
 from operator import add
@@ -15,6 +16,9 @@ TIMESTAMP_NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 # Any constant will do, so long as it stays the same.
 _SECOND_SEED = 0x5DEECE66D
 
+# String literals, names in backticks, and quoted names, whichever begins first.
+_QUOTED = re.compile(r"""'(?:[^'\\]|\\.|'')*'|`[^`]*`|"(?:[^"]|"")*\"""", re.S)
+
 _JSON_OPTIONS = {
     "timestampFormat": TIMESTAMP_FORMAT,
     "timestampNTZFormat": TIMESTAMP_NTZ_FORMAT,
@@ -40,11 +44,22 @@ def quoted_names(text: str, names: Iterable[str]) -> str:
     """SQL text with ``"Name"`` rewritten to a Spark identifier for the given columns.
 
     Outside ANSI identifier mode Spark reads ``"Name"`` as a string literal, which
-    would silently turn a filter on a column into a filter on a constant.
+    would silently turn a filter on a column into a filter on a constant. Names are found whatever
+    their case, an exact one first; a name that is no column raises. What stands in string
+    literals or in backticks is left alone.
     """
-    for name in names:
-        text = text.replace(f'"{name}"', backticked(name))
-    return text
+    held = list(names)
+
+    def resolved(token: re.Match) -> str:
+        if not token[0].startswith('"'):
+            return token[0]
+        wanted = token[0][1:-1].replace('""', '"')
+        found = [n for n in held if n == wanted] or [n for n in held if n.lower() == wanted.lower()]
+        if len(found) != 1:
+            raise ValueError(f"{token[0]} names {len(found) or 'none'} of the columns {held}")
+        return backticked(found[0])
+
+    return _QUOTED.sub(resolved, text)
 
 
 def predicate(text: str, names: Iterable[str]) -> Column:

@@ -7,7 +7,6 @@ from ferry.operators.reconciling import (
     reconcile,
     reconcile_cells,
     reconcile_rows,
-    reconcile_sample,
 )
 from ferry.operators.shape import constrain, day_bucket
 from ferry.operators.upserts import DuplicateKeys, latest, upsert, upsert_all
@@ -27,7 +26,6 @@ __all__ = [
     "reconcile",
     "reconcile_cells",
     "reconcile_rows",
-    "reconcile_sample",
     "upsert",
     "upsert_all",
     "writable",

@@ -11,19 +11,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ferry.functions.columns import column, comparable, fingerprint, rendered
+from ferry.functions.columns import column, fingerprint, rendered
 from ferry.workspace import scratch
 
-# Fixed value: how many rows a sampled comparison takes from each side.
-SAMPLE_ROWS = 12_000
-
 SOURCE, LANDED = "source", "landed"
 
-_QUANTILES = (0.0005, 0.005, 0.05, 0.5)
-_QUANTILE_TYPES = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
-# A sample is narrowed until it is drawn from no more than so many times its rows.
-_FEW = 16
-
 
 def align(df: DataFrame, schema: T.StructType, by_position: bool = False) -> DataFrame:
     """A landed table with the names, order and types of its source.
@@ -178,44 +170,3 @@ def reconcile_cells(
     """Every cell that differs between the two tables; see ``cells`` for the columns."""
     return cells(reconcile_rows(src, dst, by_position), keys)
 
-
-def top(df: DataFrame, keys: Sequence[str], n: int = SAMPLE_ROWS) -> DataFrame:
-    """The first ``n`` rows by key; remaining columns settle ties, so the choice is fixed."""
-    ties = [f.name for f in df.schema.fields if f.name not in keys and comparable(f.dataType)]
-    return _narrowed(df, keys[0], n).orderBy(*[column(c) for c in [*keys, *ties]]).limit(n)
-
-
-def _narrowed(df: DataFrame, key: str, n: int) -> DataFrame:
-    """Rows up to some value of ``key``, at least ``n`` of them and, if it can be, not many more.
-
-    A limit after a sort takes ``n`` rows of every partition to one task, which is too much of
-    a table with many partitions. So quantiles of the key, whose sketches are combined before
-    they are shuffled, first set an upper bound, and the filter reaches the scan.
-    """
-    col = column(key)
-    if not isinstance(df.select(col).schema[0].dataType, _QUANTILE_TYPES):
-        return df
-    kept, previous, rows = df, df, None
-    while True:
-        sketch = F.percentile_approx(col, list(_QUANTILES), 10_000)
-        count, bounds = kept.agg(F.count(F.lit(1)), sketch).first()
-        if rows is not None and (count < n or count >= rows):
-            # Too tight, or one value is all that is left; the former bound stands.
-            return previous
-        chosen = [b for q, b in zip(_QUANTILES, bounds or []) if q * count >= 2 * n]
-        if count <= _FEW * n or not chosen:
-            return kept
-        previous, rows = kept, count
-        # Nulls come first in the order, too.
-        kept = df.where(col.isNull() | (col <= F.lit(chosen[0])))
-
-
-def reconcile_sample(
-    src: DataFrame,
-    dst: DataFrame,
-    keys: Sequence[str],
-    n: int = SAMPLE_ROWS,
-    by_position: bool = False,
-) -> DataFrame:
-    """``reconcile_cells`` over the first ``n`` rows of each side: a quick look, not a proof."""
-    return reconcile_cells(top(src, keys, n), top(align(dst, src.schema, by_position), keys, n), keys)

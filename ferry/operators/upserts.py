@@ -162,8 +162,38 @@ def _set(
 def upsert_all(
     master: DataFrame | None, staged: Sequence[DataFrame], keys: Sequence[str], **options
 ) -> DataFrame:
-    """Merge several staged tables, oldest first, joining the master only once."""
-    merged = upsert(None, staged[0], keys, **options)
-    for later in staged[1:]:
-        merged = upsert(merged, later, keys, **options)
-    return upsert(master, merged, keys, **(options | {"check_unique": False, "order_by": None}))
+    """Merge several staged tables, oldest first, joining the master only once.
+
+    The tables are stacked and each key is reduced to one row by an aggregate that combines before
+    the shuffle, so the plan grows by as much with every table.
+    """
+    types = staged[0].schema
+    ready = [
+        upsert(None, df.select(*[column(f.name).cast(f.dataType).alias(f.name) for f in types]), keys, **options)
+        for df in staged
+    ]
+    merged, unkeyed = (ready[0], None) if len(ready) == 1 else _stacked(ready, keys, options)
+    result = upsert(master, merged, keys, **(options | {"check_unique": False, "order_by": None}))
+    if unkeyed is None:
+        return result
+    # Added last, so that the join is not done for every staged table by itself.
+    return result.unionByName(unkeyed.select(*[column(f.name).cast(f.dataType).alias(f.name) for f in result.schema]))
+
+
+def _stacked(
+    staged: Sequence[DataFrame], keys: Sequence[str], options: dict
+) -> tuple[DataFrame, DataFrame]:
+    """One row per key of staged tables with unique keys, oldest first, and the rows with a null key."""
+    names, set_columns = staged[0].columns, options.get("set_columns")
+    row = F.struct(*[column(c).alias(c) for c in names]).alias("__row")
+    stacked = reduce(DataFrame.unionByName, [df.withColumn("__at", F.lit(i)) for i, df in enumerate(staged)])
+    first, last = F.min_by(row, "__at").alias("__first"), F.max_by(row, "__at").alias("__last")
+    by_key = stacked.where(_whole(keys)).groupBy(*[column(k).alias(f"__k{i}") for i, k in enumerate(keys)])
+    ignore = options.get("on_match", UPDATE) == IGNORE
+
+    def kept(name: str) -> Column:
+        newer = not ignore and (set_columns is None or name in set_columns)
+        return F.col("__last" if newer else "__first")[name].alias(name)
+
+    one = by_key.agg(first, last).select(*[kept(c) for c in names])
+    return one, stacked.where(~_whole(keys)).select(*[column(c) for c in names])

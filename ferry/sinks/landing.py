@@ -24,9 +24,6 @@ BUCKET = "bucket_val"
 # How often a table is overwritten until its rows are those that were sent.
 _ATTEMPTS = 3
 
-# Without adaptive execution a day's size is unknown, so every day is cut into as many parts.
-_TASKS_PER_DAY = 16
-
 
 class SelfOverwrite(ValueError):
     """A transfer would overwrite the table it reads."""
@@ -56,6 +53,7 @@ def land(
     keep_other_days: bool = True,
     cluster: bool = True,
     files_per_table: int | None = None,
+    tasks_per_day: int | None = None,
     column_types: str | None = None,
     run_id: str | None = None,
 ) -> Landing:
@@ -69,6 +67,9 @@ def land(
     ``cluster=False`` skips that shuffle for input already in day order. Overwriting a
     bucketed landing replaces only the days at hand unless ``keep_other_days`` is off.
 
+    Without adaptive execution the size of a day is not known, so every day is cut into ``tasks_per_day``
+    parts, by default as many as the input has: one day may be all of it.
+
     ``files_per_table`` forces a number of files; 1 puts everything through one task.
     """
     run_id = run_id or new_run_id()
@@ -81,7 +82,7 @@ def land(
         path, rows = name, _to_database(df, lake, name, mode, column_types, run_id)
     else:
         path, rows = _to_files(
-            df, lake, name, mode, bucket, keep_other_days, cluster, files_per_table, run_id
+            df, lake, name, mode, bucket, keep_other_days, cluster, files_per_table, tasks_per_day, run_id
         )
         if bucket is not None:
             # Partition columns come last when files are read back.
@@ -119,6 +120,7 @@ def _to_files(
     keep_other_days: bool,
     cluster: bool,
     files_per_table: int | None,
+    tasks_per_day: int | None,
     run_id: str,
 ) -> tuple[str, int | None]:
     spark = df.sparkSession
@@ -141,7 +143,7 @@ def _to_files(
     if files_per_table is not None:
         df = df.repartition(files_per_table)
     elif bucket is not None and cluster:
-        df = _by_day(df, bucket)
+        df = _by_day(df, bucket, tasks_per_day)
     # Counted in the writing stage itself, whose tasks report once even if they ran twice.
     counted, seen = _counted(df)
     writer = counted.write.format(lake.format).options(**lake.write_options()).mode(mode)
@@ -159,12 +161,13 @@ def _not_empty(bucket: str) -> Column:
     return F.when(column(bucket) == "", F.raise_error(why)).otherwise(column(bucket))
 
 
-def _by_day(df: DataFrame, bucket: str) -> DataFrame:
+def _by_day(df: DataFrame, bucket: str, parts: int | None) -> DataFrame:
     """Bring the rows of a day together, but never more than a task should write."""
     if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
         return df.hint("rebalance", column(bucket))
     row = [column(f.name) for f in df.schema.fields if comparable(f.dataType)]
-    return df.repartition(column(bucket), F.pmod(F.xxhash64(*row), F.lit(_TASKS_PER_DAY)))
+    parts = parts or max(1, df.rdd.getNumPartitions())
+    return df.repartition(column(bucket), F.pmod(F.xxhash64(*row), F.lit(parts)))
 
 
 def fits_csv(dtype: T.DataType) -> bool:

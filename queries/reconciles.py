@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ferry.operators import missing_lakes, profile, reconcile, reconcile_cells, reconcile_sample
+from ferry.operators import missing_lakes, profile, reconcile, reconcile_cells
 from ferry.sinks import land, read_landing
 from queries.registry import query, table, target
 
@@ -80,18 +80,6 @@ def reconcile_all_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile_cells(*_both(spark, sf_dir), ["o_orderkey"])
 
 
-@query(
-    _cells_sql(
-        "SELECT * FROM orders ORDER BY o_orderkey LIMIT 12000",
-        f"SELECT * FROM ({_COPY}) ORDER BY o_orderkey LIMIT 12000",
-    ),
-    name="reconcile_sample",
-)
-def reconcile_first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first 12,000 rows of either side by key: the operator's own sample."""
-    return reconcile_sample(*_both(spark, sf_dir), ["o_orderkey"])
-
-
 _EVENT_COLUMNS = {
     "event_id": "bigint",
     "ts": "timestamp_ntz",

@@ -17,8 +17,14 @@ def test_column_names_may_be_quoted_and_hold_dots(spark):
     assert df.select(column('"Incident.Date"'), column("a b")).first() == (1, 2)
 
 
-def test_quoted_names_touch_only_columns():
-    assert quoted_names("\"A\" = 'x' and \"b\" = 1", ["A"]) == "`A` = 'x' and \"b\" = 1"
+def test_quoted_names_are_columns_of_any_case():
+    assert quoted_names("\"A\" = 'x' and \"b\" = 1", ["A", "B"]) == "`A` = 'x' and `B` = 1"
+    assert quoted_names('"a" = "A"', ["a", "A"]) == "`a` = `A`"
+    assert quoted_names("""s = '"ts"' and t = 'it''s "ts"' and u = '\\'"ts"'""", []).count('"ts"') == 3
+    assert quoted_names("""`a"b"` = "x""y\"""", ['x"y']) == """`a"b"` = `x"y`"""
+    for text, names in (('"c" = 1', ["a"]), ('"c" = 1', ["C", "cc", "Ć"][1:]), ('"A" = 1', ["a", "a"])):
+        with pytest.raises(ValueError, match="of the columns"):
+            quoted_names(text, names)
 
 
 @pytest.mark.parametrize(

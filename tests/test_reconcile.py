@@ -7,8 +7,7 @@ from conftest import rows
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from ferry.operators import align, reconcile, reconcile_cells, reconcile_rows, reconcile_sample
-from ferry.operators.reconciling import _narrowed, top
+from ferry.operators import align, reconcile, reconcile_cells, reconcile_rows
 
 SCHEMA = "k int, v int, w string"
 
@@ -99,42 +98,6 @@ def test_align_by_name_position_and_type(spark):
         align(bad, src.schema).collect()
 
 
-def test_sample_compares_the_first_rows(spark):
-    src = spark.range(100).withColumn("v", F.col("id"))
-    dst = src.withColumn("v", F.when(F.col("id") > 50, -1).otherwise(F.col("v")))
-    assert reconcile_sample(src, dst, ["id"], 50).count() == 0
-    assert reconcile_sample(src, dst, ["id"], 60).count() == 9
-
-
-@pytest.mark.parametrize(
-    "key",
-    [
-        "id",
-        "id * 1.5D",
-        "-id",
-        "cast(id as string)",
-        "date_add(date'2024-01-01', cast(id % 400 as int))",
-        "timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, 0, 0, 0, id)",
-        "if(id % 3 = 0, 0, id)",
-        "if(id % 3 = 0, null, id)",
-        "if(id % 3 = 0, 30000, id)",
-        "0",
-        "cast(null as int)",
-    ],
-)
-def test_top_rows_of_large_tables(spark, key):
-    df = spark.range(20_000).select(F.expr(key).alias("k"), (-F.col("id")).alias("v"))
-    got = [tuple(r) for r in top(df, ["k"], 20).collect()]
-    held = [tuple(r) for r in df.collect()]
-    assert got == sorted(held, key=lambda r: (r[0] is not None, r[0] if r[0] is not None else 0, r[1]))[:20]
-
-
-def test_top_rows_are_drawn_from_few(spark):
-    df = spark.range(1_000_000).select(F.col("id").alias("k"))
-    assert 20 <= _narrowed(df, "k", 20).count() <= 2000
-    assert _narrowed(df.limit(100), "k", 20).count() == 100
-
-
 def test_a_third_of_all_rows_may_be_one_row(spark):
     """Copies of one row, and rows of one key, on either side."""
     i = F.col("id")

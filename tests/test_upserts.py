@@ -142,6 +142,17 @@ def test_merging_together_equals_merging_in_turn(spark, master, first, second, h
     assert rows(got) == merged_in_python(step, second, mode, columns)
 
 
+@pytest.mark.parametrize("how", [{}, {"on_match": "ignore"}, {"set_columns": ["v"]}])
+def test_the_plan_grows_in_proportion_to_the_staged_tables(spark, how):
+    def relations(n):
+        staged = [frame(spark, [(1, i, "a")]) for i in range(n)]
+        merged = upsert_all(frame(spark, [(1, 1, "a")]), staged, ["k"], **how)
+        return str(merged._jdf.queryExecution().optimizedPlan()).count("LogicalRDD")
+
+    two, four, eight = (relations(n) for n in (2, 4, 8))
+    assert eight - four == 2 * (four - two)
+
+
 @pytest.mark.parametrize("fmt", ["orc", "csv"])
 def test_only_touched_partitions_are_rewritten(spark, lake, fmt):
     to = lake(fmt)
