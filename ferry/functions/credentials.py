@@ -13,16 +13,34 @@ from ferry.functions.columns import column
 # The fields that never reach a log.
 CREDENTIAL_FIELDS = ("username", "password", "accessKeyId", "secretAccessKey", "properties")
 
-# Credentials written inside a url, as authority and as a parameter.
-URL_AUTHORITY = r"//[^/@]*@"
-URL_PARAMETER = r"(?i)[?;&](user|username|password|pwd|accessKeyId|secretAccessKey)=[^;&]*"
+# Credentials written inside a url: user and password before the last @ of the authority, with
+# slashes in the password too, the same without slashes before them, and parameters named for any.
+URL_PATTERNS = (
+    (r"//[^\s/@:?#;]+:[^\s?#;]*@", "//"),
+    (r"//[^\s/?#;]*@", "//"),
+    (r"(?i)(jdbc:\w+:\w+:)[^\s?;:@/]+/[^\s?;]*@", "$1@"),
+    (
+        r"(?i)[?;&,][^\s=;&?,]*(?:password|passwd|pwd|secret|token|key|user)[^\s=;&?,]*=[^\s;&]*",
+        "",
+    ),
+)
 
 
 def strip_url(url: str | Column) -> Any:
-    """A url, as text or as a column, without ``user:pass@`` and ``;password=…``."""
-    if isinstance(url, Column):
-        return F.regexp_replace(F.regexp_replace(url, URL_AUTHORITY, "//"), URL_PARAMETER, "")
-    return re.sub(URL_PARAMETER, "", re.sub(URL_AUTHORITY, "//", url))
+    """Text or a column of text, in which urls lose ``user:pass@`` and ``;password=…``."""
+    for pattern, left in URL_PATTERNS:
+        if isinstance(url, Column):
+            url = F.regexp_replace(url, pattern, left)
+        else:
+            url = re.sub(pattern, left.replace("$1", r"\1"), url)
+    return url
+
+
+def without_secrets(text: str, secrets: Sequence[str] = ()) -> str:
+    """Free text, such as an error, without urls' credentials and without the given secrets."""
+    for secret in sorted({s for s in secrets if s}, key=len, reverse=True):
+        text = text.replace(secret, "***")
+    return strip_url(text)
 
 
 def without_credentials(config: Any, fields: Sequence[str] = CREDENTIAL_FIELDS) -> Any:

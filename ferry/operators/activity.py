@@ -6,6 +6,7 @@ no row is updated in place and a crashed run simply has no closing event.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import logging
 import socket
@@ -17,7 +18,7 @@ from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ferry.functions.credentials import without_credentials
+from ferry.functions.credentials import without_credentials, without_secrets
 from ferry.sources import files, jdbc
 from ferry.sources.lake import Lake, join_uri
 
@@ -27,6 +28,8 @@ log = logging.getLogger(__name__)
 ACTIVITY_TABLE = "integration_activity"
 KEY = ("integration_name", "host_name", "table_name", "start")
 STARTED, LANDED, SUCCESS, FAILED = "STARTED", "LANDED", "SUCCESS", "FAILED"
+# Ours: what a run landed will not be merged any more.
+ABANDONED = "ABANDONED"
 NO_CONFIGURATION = "{}"
 
 EVENT_SCHEMA = (
@@ -41,8 +44,13 @@ EVENT_SCHEMA = (
     .add("stacktrace", "string")
     .add("run_id", "string")
     .add("landing", "string")
+    .add("table_key", "long")
 )
 
+# Columns of a database log that no user chooses, and how wide they are. Names are text of any
+# length, which some databases cannot compare; the hash beside the table's name is what is asked for.
+_SHORT = {"event": 16, "run_id": 64}
+
 
 def host_name() -> str:
     try:
@@ -91,11 +99,19 @@ def _of_table(table: str) -> str:
     return f"{ACTIVITY_TABLE}/table_name={quote(table, safe='')}"
 
 
+def _key_of(table: str) -> int:
+    """A table's name as a number that any database can compare."""
+    return int.from_bytes(hashlib.blake2b(table.encode(), digest_size=8).digest(), "big", signed=True)
+
+
 class ActivityLog:
     """Appends events to ``integration_activity`` in a lake. A log failure only warns."""
 
-    def __init__(self, spark: SparkSession, lake: Lake, integration_name: str):
+    def __init__(
+        self, spark: SparkSession, lake: Lake, integration_name: str, secrets: Iterable[str] = ()
+    ):
         self.spark, self.lake, self.name = spark, lake, integration_name
+        self.secrets = tuple(secrets)
         self.host = host_name()
         if lake.is_jdbc:
             self._create_or_upgrade()
@@ -103,10 +119,12 @@ class ActivityLog:
     @classmethod
     def of(cls, spark: SparkSession, lakes: Iterable[Lake], name: str) -> ActivityLog | None:
         """The log of the first lake that is marked to hold one, if any can be opened."""
+        lakes = tuple(lakes)
+        secrets = [s for lake in lakes for s in lake.secrets()]
         for lake in lakes:
             if lake.activity_log:
                 try:
-                    return cls(spark, lake, name)
+                    return cls(spark, lake, name, secrets)
                 except Exception:
                     log.exception("no activity log: lake %s cannot be opened", lake.name)
                     return None
@@ -115,21 +133,24 @@ class ActivityLog:
     def _create_or_upgrade(self) -> None:
         """Create the table, or add the columns it lacks, all or none of them."""
         if not jdbc.table_exists(self.spark, self.lake, ACTIVITY_TABLE):
-            # Some databases compare only bounded text.
-            short = ("integration_name", "host_name", "table_name", "event", "run_id")
-            types = ", ".join(f"{c} VARCHAR(512)" for c in short)
+            types = ", ".join(f"{c} VARCHAR({n})" for c, n in _SHORT.items())
             self._append(self.spark.createDataFrame([], EVENT_SCHEMA), types)
             return
         held = {c.lower() for c in jdbc.read(self.spark, self.lake, ACTIVITY_TABLE, jdbc.WHOLE).columns}
         jvm = self.spark._jvm
         dialect = jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(self.lake.url)
-        text = dialect.getJDBCType(jvm.org.apache.spark.sql.types.DataTypes.StringType)
-        text = text.get().databaseTypeDefinition() if text.isDefined() else "TEXT"
+        types = jvm.org.apache.spark.sql.types.DataTypes
+
+        def type_of(f: T.StructField) -> str:
+            long = isinstance(f.dataType, T.LongType)
+            found = dialect.getJDBCType(types.LongType if long else types.StringType)
+            return found.get().databaseTypeDefinition() if found.isDefined() else "BIGINT" if long else "TEXT"
+
         jdbc.execute(
             self.spark,
             self.lake,
             [
-                dialect.getAddColumnQuery(ACTIVITY_TABLE, f.name, text)
+                dialect.getAddColumnQuery(ACTIVITY_TABLE, f.name, type_of(f))
                 for f in EVENT_SCHEMA.fields
                 if f.name not in held
             ],
@@ -151,7 +172,11 @@ class ActivityLog:
         options = self.lake.jdbc_options() | {"preferTimestampNTZ": "false"}
         held = self.spark.read.format("jdbc").options(**options).option("dbtable", ACTIVITY_TABLE)
         events = held.load().select([F.col(f.name).cast(f.dataType) for f in EVENT_SCHEMA.fields])
-        return events if table is None else events.where(F.col("table_name") == table)
+        if table is None:
+            return events
+        key = F.col("table_key")
+        # Compared as an expression, which stays in Spark.
+        return events.where((key == _key_of(table)) | key.isNull()).where(F.concat("table_name", F.lit("")) == table)
 
     def status(self) -> DataFrame:
         return activity_status(self.events())
@@ -172,9 +197,12 @@ class ActivityLog:
         config = None
         if configuration is not None:
             config = json.dumps(without_credentials(configuration), sort_keys=True)
-        trace = f"{type(error).__name__}: {error}" if error is not None else None
+        trace = None
+        if error is not None:
+            trace = without_secrets(f"{type(error).__name__}: {error}", self.secrets)
         now = datetime.now(timezone.utc)
-        row = (self.name, self.host, table, start, event, now, config, trace, run_id, landing)
+        key = _key_of(table)
+        row = (self.name, self.host, table, start, event, now, config, trace, run_id, landing, key)
         try:
             # Literals stay inside the JVM; a list of rows would go through Python's pickles.
             df = self.spark.range(0, 1, 1, 1).select(
@@ -192,26 +220,27 @@ class ActivityLog:
                 raise
             log.exception("could not record %s of %s", event, table)
 
-    def latest(self, table: str) -> str | None:
+    def _of(self, table: str, lake: str | None) -> DataFrame:
+        """Events of this integration about a table, in one lake if that is named."""
+        events = self.events(table).where(F.concat("integration_name", F.lit("")) == self.name)
+        return events if lake is None else events.where(F.get_json_object("landing", "$.lake") == lake)
+
+    def latest(self, table: str, lake: str | None = None) -> str | None:
         """The landing of the last run of a table that succeeded: its committed version."""
-        row = (
-            self.events(table)
-            .where(F.col("event") == SUCCESS)
-            .where(F.col("landing").isNotNull())
-            .agg(F.max_by("landing", "start"))
-            .first()
-        )
-        return row[0]
+        succeeded = F.concat("event", F.lit("")) == SUCCESS
+        row = self._of(table, lake).where(succeeded & F.col("landing").isNotNull())
+        return row.agg(F.max_by("landing", "start")).first()[0]
 
-    def leftovers(self, table: str) -> list[str]:
-        """Landings of runs after the last success that landed but were never merged."""
-        runs = self.events(table).groupBy("run_id").agg(
+    def leftovers(self, table: str, lake: str | None = None) -> list[str]:
+        """Landings of runs after the last success that landed, and were neither merged nor given up."""
+        runs = self._of(table, lake).groupBy("run_id").agg(
             F.min("start").alias("start"),
             F.max(F.when(F.col("event") == LANDED, F.col("landing"))).alias("landing"),
             F.max((F.col("event") == SUCCESS) & F.col("landing").isNotNull()).alias("done"),
+            F.max(F.col("event") == ABANDONED).alias("given_up"),
         )
         done = runs.agg(F.max(F.when(F.col("done"), F.col("start")))).first()[0]
-        open_ = runs.where(~F.col("done") & F.col("landing").isNotNull())
+        open_ = runs.where(~F.col("done") & ~F.col("given_up") & F.col("landing").isNotNull())
         if done is not None:
             open_ = open_.where(F.col("start") > F.lit(done))
         return [r["landing"] for r in open_.orderBy("start").toLocalIterator()]

@@ -37,9 +37,14 @@ def every_table(spark: SparkSession, lake: Lake, schema: str | None = None) -> l
     """One transfer per table of a lake: all tables of a database's catalog, or all of its files."""
     if lake.is_jdbc:
         found = jdbc.tables(spark, lake, schema)
-        return [
-            Transfer(".".join(jdbc.quote(spark, lake, p) for p in (owner, name) if p), name.lower())
-            for owner, name in found
+        names = [name.lower() for _, name in found]
+        # A name that several schemas hold says which one.
+        wanted = [
+            f"{owner}_{name}".lower() if names.count(name.lower()) > 1 else name.lower() for owner, name in found
         ]
-    paths = files.children(spark, lake.url)
-    return [Transfer(p.rsplit("/", 1)[-1], files.table_name(p)) for p in paths]
+        sources = [".".join(jdbc.quote(spark, lake, p) for p in one if p) for one in found]
+        twice = sorted({w for w in wanted if wanted.count(w) > 1})
+        if twice:
+            raise ValueError(f"several tables of lake {lake.name} would be called {twice}")
+        return [Transfer(source, name) for source, name in zip(sources, wanted)]
+    return [Transfer(p.rsplit("/", 1)[-1], n) for n, p in files.named(files.children(spark, lake.url)).items()]

@@ -8,16 +8,18 @@ import re
 import time
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import asdict, dataclass, field, replace
+from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ferry.operators.activity import FAILED, LANDED, STARTED, SUCCESS, ActivityLog
+from ferry.functions.credentials import strip_url
+from ferry.operators.activity import ABANDONED, FAILED, LANDED, STARTED, SUCCESS, ActivityLog
 from ferry.operators.preflight import problems, writable
 from ferry.operators.reconciling import reconcile
 from ferry.operators.shape import constrain, day_bucket
+from ferry.operators.upserts import DuplicateKeys, require_unique
 from ferry.plans.control import expand_control
 from ferry.plans.transfer import Archive, DatabaseMerge, Plan, Route, Transfer, Upsert
 from ferry.sinks.landing import BUCKET, Landing, SelfOverwrite, land, read_landing
@@ -196,14 +198,15 @@ def _transfer(
 
     record(STARTED, configuration=plan.describe())
     try:
-        guard_self_overwrite(source, item.source, destination, item.destination)
+        guard_self_overwrite(spark, source, item.source, destination, item.destination)
         df = source_frame(spark, source, item)
         merge = getattr(item, "merge", None)
         if merge is not None and isinstance(merge, DatabaseMerge) != destination.is_jdbc:
             raise ValueError("DatabaseMerge is for databases and Upsert for files")
         if isinstance(merge, DatabaseMerge) and jdbc.table_exists(spark, destination, item.destination):
             # Rows that an earlier run landed but could not merge would be overwritten below.
-            _merge_in_database(spark, destination, merge)
+            if not jdbc.is_merged(spark, destination, item.destination):
+                _merge_in_database(spark, destination, merge, item.destination)
         if isinstance(merge, Upsert):
             # Staged rows get a directory per run, so that none are overwritten unmerged.
             destination = _with_runs(destination)
@@ -216,43 +219,53 @@ def _transfer(
             column_types=getattr(item, "column_types", None),
             run_id=run_id,
         )
-        record(LANDED, landing=json.dumps(asdict(landing)))
+        record(LANDED, landing=landing.to_log(destination))
         if isinstance(merge, DatabaseMerge):
-            _merge_in_database(spark, destination, merge)
+            jdbc.mark_staged(spark, destination, item.destination)
+            _merge_in_database(spark, destination, merge, item.destination)
         elif merge is not None:
             _merge_files(spark, destination, item.destination, merge, landing, activity, start)
-        record(SUCCESS, landing=json.dumps(asdict(landing)))
+        record(SUCCESS, landing=landing.to_log(destination))
         return landing
     except Exception as e:
         record(FAILED, error=e)
         raise
 
 
-def guard_self_overwrite(source: Lake, text: str, destination: Lake, table: str) -> None:
+def guard_self_overwrite(
+    spark: SparkSession, source: Lake, text: str, destination: Lake, table: str
+) -> None:
     """Refuse to overwrite the table that is being read: its rows would be gone.
 
-    File sinks check the files themselves when they land. A database cannot be asked that, so
-    a subselect over the same database may not mention the table it overwrites.
+    File sinks check the files themselves when they land. In a database both names are looked up as
+    its catalog holds them. What a subselect reads cannot be looked up, so it may not mention the
+    table's name; and lakes whose urls differ only in parameters count as one database.
     """
-    same = destination.is_jdbc and source.url == destination.url
-    if not same or destination.write_mode != "overwrite":
+    if not (destination.is_jdbc and source.is_jdbc) or destination.write_mode != "overwrite":
         return
-    bare = table.strip('"`').lower()
-    mentioned = (
-        re.search(rf"(?<!\w){re.escape(bare)}(?!\w)", text.lower()) is not None
-        if is_subselect(text)
-        else text.strip().strip('"`').lower() == bare
-    )
+    if _database(source.url) != _database(destination.url):
+        return
+    if is_subselect(text) or text.strip().startswith("("):
+        name = jdbc.identity(spark, destination, table)[1]
+        mentioned = re.search(rf"(?<!\w){re.escape(name)}(?!\w)", text, re.I) is not None
+    else:
+        mentioned = jdbc.identity(spark, source, text) == jdbc.identity(spark, destination, table)
     if mentioned:
         raise SelfOverwrite(f"{table} in lake {destination.name} would overwrite its own source")
 
 
-def _merge_in_database(spark: SparkSession, lake: Lake, merge: DatabaseMerge) -> None:
+def _database(url: str) -> str:
+    """A database's url without parameters and credentials."""
+    return re.split("[;?]", strip_url(url))[0].rstrip("/").lower()
+
+
+def _merge_in_database(spark: SparkSession, lake: Lake, merge: DatabaseMerge, staging: str) -> None:
+    """Merge, and note in the same transaction that the staged rows are merged."""
     if not (merge.create_sql.strip() and merge.merge_sql.strip()):
         return
     if merge.master is None or not jdbc.table_exists(spark, lake, merge.master):
         jdbc.execute(spark, lake, [merge.create_sql])
-    jdbc.execute(spark, lake, [merge.merge_sql])
+    jdbc.execute(spark, lake, [merge.merge_sql, *jdbc.merged_statements(spark, lake, staging)])
 
 
 def _merge_files(
@@ -271,7 +284,7 @@ def _merge_files(
     """
     master_lake = replace(lake, snapshots=True, write_mode="overwrite")
     schema = read_landing(spark, lake, landing).schema
-    frames = _leftovers(spark, lake, table, merge, landing, schema, activity)
+    frames = _leftovers(spark, lake, table, merge, landing, schema, activity, start)
     frames.append(read_landing(spark, lake, landing))
     keys, run_id = list(merge.keys), landing.run_id + _MASTER
     how = {
@@ -283,18 +296,24 @@ def _merge_files(
         version = land_partitions(
             spark, frames, lake, merge.master, keys, merge.partition, run_id=run_id, **how
         )
+        files.mark_merged(spark, version.path, landing.run_id)
     else:
         master = _current_master(spark, lake, merge.master, schema, activity)
         version = land_master(master, frames, lake, merge.master, keys, run_id=run_id, **how)
     if activity:
-        activity.record(
-            merge.master,
-            start,
-            SUCCESS,
-            run_id=version.run_id,
-            landing=json.dumps(asdict(version)),
-            must=True,
-        )
+        try:
+            activity.record(
+                merge.master,
+                start,
+                SUCCESS,
+                run_id=version.run_id,
+                landing=version.to_log(lake),
+                must=True,
+            )
+        except Exception:
+            if merge.partition is None:
+                files.uncommit(spark, version.path)
+            raise
 
 
 def _with_runs(lake: Lake) -> Lake:
@@ -304,11 +323,22 @@ def _with_runs(lake: Lake) -> Lake:
 def _current_master(
     spark: SparkSession, lake: Lake, name: str, schema: T.StructType, activity: ActivityLog | None
 ) -> DataFrame | None:
-    if activity:
-        committed = activity.latest(name)
-        return read_landing(spark, lake, Landing(**json.loads(committed))) if committed else None
-    current = files.latest_run(spark, lake.path(name))
-    return read_files(spark, lake, current, schema) if current else None
+    """The version that the log committed; without one, the latest completed run on disk.
+
+    So a log that is switched on later goes on with what is there. Files that are no run are a table
+    that this library did not merge, and are refused.
+    """
+    committed = activity.latest(name, lake.name) if activity else None
+    if committed:
+        return read_landing(spark, lake, Landing(**json.loads(committed)))
+    path = lake.path(name)
+    current = files.latest_run(spark, path)
+    if current is not None:
+        return read_files(spark, lake, current, schema)
+    loose = [c for c in files.children(spark, path) if not c.rsplit("/", 1)[-1].startswith(files.RUN)]
+    if loose:
+        raise ValueError(f"{name} in lake {lake.name} holds files that no merge has written")
+    return None
 
 
 def _leftovers(
@@ -319,19 +349,39 @@ def _leftovers(
     landing: Landing,
     schema: T.StructType,
     activity: ActivityLog | None,
+    start: datetime,
 ) -> list[DataFrame]:
-    """What earlier runs landed and could not merge, oldest first."""
-    if activity:
-        open_runs = [Landing(**json.loads(x)) for x in activity.leftovers(table)]
-        # This run's own landing is open as well until it succeeds.
-        return [read_landing(spark, lake, x) for x in open_runs if x.run_id != landing.run_id]
-    # Without a log the master's version says which run it was made from.
-    current = files.latest_run(spark, lake.path(merge.master))
-    if current is None:
-        return []
-    merged = files.run_id(current).removesuffix(_MASTER)
-    newer = files.runs_since(spark, lake.path(table), merged)
-    return [read_files(spark, lake, r, schema) for r in newer if files.run_id(r) != landing.run_id]
+    """What earlier runs landed and could not merge, oldest first.
+
+    What can never be merged, since it has rows of one key, is given up and named, so that it does
+    not stop the runs after it.
+    """
+    logged = [Landing(**json.loads(x)) for x in activity.leftovers(table, lake.name)] if activity else []
+    # This run's own landing is open as well until it succeeds.
+    open_runs = [(x.run_id, read_landing(spark, lake, x)) for x in logged if x.run_id != landing.run_id]
+    if not activity:
+        # Without a log the master says which run it was made from.
+        path = lake.path(merge.master)
+        if merge.partition is not None:
+            merged = files.merged_last(spark, path)
+        else:
+            current = files.latest_run(spark, path)
+            merged = files.run_id(current).removesuffix(_MASTER) if current else None
+        newer = files.runs_since(spark, lake.path(table), merged) if merged else []
+        open_runs = [
+            (files.run_id(r), read_files(spark, lake, r, schema)) for r in newer if files.run_id(r) != landing.run_id
+        ]
+    frames = []
+    for run_id, frame in open_runs:
+        try:
+            if not merge.order_by:
+                require_unique(frame, list(merge.keys))
+            frames.append(frame)
+        except DuplicateKeys as e:
+            log.warning("run %s of %s is given up: %s", run_id, table, e)
+            if activity:
+                activity.record(table, start, ABANDONED, run_id=run_id, error=e)
+    return frames
 
 
 def preflight(spark: SparkSession, plan: Plan) -> DataFrame:
@@ -368,21 +418,33 @@ RECONCILED_SCHEMA = (
 )
 
 
+class ReconcileFailed(RuntimeError):
+    """Some landings could not be compared; ``compared`` holds the results of the others."""
+
+    def __init__(self, compared: DataFrame, failures: dict[str, BaseException]):
+        self.compared, self.failures = compared, failures
+        what = "; ".join(f"{k}: {type(e).__name__}" for k, e in failures.items())
+        super().__init__(f"{len(failures)} landings could not be compared: {what}")
+
+
 def reconcile_run(
     spark: SparkSession,
     plan: Plan,
     done: Run,
     by_position: bool = False,
     max_parallel: int = 4,
+    split: jdbc.Split | None = None,
 ) -> DataFrame:
     """Read both sides of every landing again and compare all rows: one row per landing.
 
-    Each comparison is recorded like a run of its own: FAILED if rows differ or cannot be read.
-    Only the four counts of a comparison come to the driver.
+    Of an archive the days at hand are compared, and rows that were there before an append are left out
+    of the counts. Each comparison is recorded like a run of its own: FAILED if rows differ or cannot be
+    read; what cannot be read is raised when all others are done. ``split`` reads landed database
+    tables in parallel. Only the four counts of a comparison come to the driver.
     """
     activity = ActivityLog.of(spark, plan.lakes, plan.name)
 
-    def compare(one: Landed) -> tuple:
+    def compare(one: Landed) -> tuple | BaseException:
         source, destination = (
             plan.by_name[one.route.source_lake],
             plan.by_name[one.route.destination_lake],
@@ -396,17 +458,34 @@ def reconcile_run(
         record(STARTED, configuration=plan.describe())
         try:
             src = source_frame(spark, source, one.item)
-            counts = reconcile(src, read_landing(spark, destination, one.landing), by_position).first()
+            dst = read_landing(spark, destination, one.landing, split)
+            if isinstance(one.item, Archive) and not destination.is_jdbc:
+                # Other days stay when an archive is run again; they are not this run's.
+                days = src.select(F.col(BUCKET).alias("__day")).distinct()
+                dst = dst.join(days, F.col(BUCKET).eqNullSafe(F.col("__day")), "left_semi")
+            src_rows, dst_rows, missing, extra = reconcile(src, dst, by_position).first()
+            # Rows that were there before an append are no surplus.
+            before = min(one.landing.rows_before, extra)
+            counts = (src_rows, dst_rows - before, missing, extra - before)
         except Exception as e:
+            log.exception("%s in lake %s cannot be compared", one.landing.name, destination.name)
             record(FAILED, error=e)
-            raise
-        if counts["missing"] or counts["extra"]:
-            record(FAILED, error=ValueError(f"{counts['missing']} missing, {counts['extra']} extra"))
+            return e
+        if missing or extra - before:
+            record(FAILED, error=ValueError(f"{missing} missing, {extra - before} extra"))
         else:
             record(SUCCESS)
         seconds = time.monotonic() - began
         return (source.name, destination.name, one.landing.name, *counts, seconds)
 
     with ThreadPoolExecutor(max_parallel) as pool:
-        rows = list(pool.map(inheritable_thread_target(spark)(compare), done.landed))
-    return spark.createDataFrame(rows, RECONCILED_SCHEMA)
+        results = list(pool.map(inheritable_thread_target(spark)(compare), done.landed))
+    compared = spark.createDataFrame([r for r in results if isinstance(r, tuple)], RECONCILED_SCHEMA)
+    failures = {
+        f"{one.route.source_lake}/{one.route.destination_lake}/{one.landing.name}": r
+        for one, r in zip(done.landed, results)
+        if not isinstance(r, tuple)
+    }
+    if failures:
+        raise ReconcileFailed(compared, failures)
+    return compared

@@ -7,7 +7,7 @@ import logging
 import re
 import time
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from dataclasses import asdict, dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
@@ -41,6 +41,21 @@ class Landing:
     rows: int | None
     seconds: float
     run_id: str
+    # Rows that were there before and stayed, where rows were appended.
+    rows_before: int = 0
+
+    def to_log(self, lake: Lake) -> str:
+        """As JSON that says where in the lake, not where the lake is: its url may hold credentials."""
+        base = lake.path()
+        path = _LAKE + self.path.removeprefix(base) if not lake.is_jdbc and self.path.startswith(base) else self.path
+        return json.dumps(asdict(replace(self, path=path)))
+
+    def place(self, lake: Lake) -> str:
+        return lake.path() + self.path.removeprefix(_LAKE) if self.path.startswith(_LAKE) else self.path
+
+
+# Stands for the lake's url in logged paths.
+_LAKE = "{lake}"
 
 
 def land(
@@ -77,7 +92,9 @@ def land(
     if lake.snapshots and mode != "overwrite":
         raise ValueError(f"lake {lake.name}: snapshots replace, they do not {mode}")
     started = time.monotonic()
-    schema = df.schema
+    schema, before = df.schema, 0
+    if mode == "append":
+        before = _rows_there(df.sparkSession, lake, name)
     if lake.is_jdbc:
         path, rows = name, _to_database(df, lake, name, mode, column_types, run_id)
     else:
@@ -90,20 +107,31 @@ def land(
                 [f for f in schema.fields if f.name != bucket] + [schema[bucket]]
             )
     return Landing(
-        lake.name, name, path, lake.format, schema.json(), rows, time.monotonic() - started, run_id
+        lake.name, name, path, lake.format, schema.json(), rows, time.monotonic() - started, run_id, before
     )
 
 
-def read_landing(spark: SparkSession, lake: Lake, landing: Landing) -> DataFrame:
-    """The landed rows with the types they had when they were written."""
+def read_landing(
+    spark: SparkSession, lake: Lake, landing: Landing, split: jdbc.Split | None = None
+) -> DataFrame:
+    """The landed rows with the types they had when they were written; ``split`` is for databases."""
     if lake.is_jdbc:
-        return scan(spark, lake, landing.path)
+        return scan(spark, lake, landing.path, split=split)
     schema = T.StructType.fromJson(json.loads(landing.schema))
     if lake.format == "csv":
         # Landed by us, so anything malformed is damage and must not turn into nulls.
         strict = {"mode": "FAILFAST", "enforceSchema": "false"} | dict(lake.options)
         lake = replace(lake, options=strict)
-    return read_files(spark, lake, landing.path, schema)
+    return read_files(spark, lake, landing.place(lake), schema)
+
+
+def _rows_there(spark: SparkSession, lake: Lake, name: str) -> int:
+    """How many rows a table holds: a count in the database, or of the files' own row counts."""
+    if lake.is_jdbc:
+        return jdbc.count(spark, lake, name) if jdbc.table_exists(spark, lake, name) else 0
+    if not files.children(spark, lake.path(name)):
+        return 0
+    return read_files(spark, lake, lake.path(name)).count()
 
 
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
@@ -193,7 +221,7 @@ def _to_database(
     if there and mode in ("error", "errorifexists"):
         raise FileExistsError(f"table {table} in lake {lake.name} exists")
     if there and (mode == "append" or lake.atomic):
-        stage = f"{table}_{re.sub(r'\W', '', run_id)[-16:]}"
+        stage = jdbc.beside(table, f"_{re.sub(r'\W', '', run_id)[-16:]}")
         try:
             rows = _write_table(df, lake, stage, column_types)
             held = {c.lower(): c for c in jdbc.read(spark, lake, table, jdbc.WHOLE).columns}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from ferry.sources.lake import join_uri
 
 RUN = "run="
+# Hidden from readers, as every name with an underscore is.
+_MERGED = "_merged_run="
+
+_EXTENSIONS = re.compile(r"(\.(csv|orc|parquet|tsv|txt|json|gz|gzip|bz2|zst|zstd|snappy|lz4|deflate|zlib))+$", re.I)
 
 
 def _open(spark: SparkSession, path: str):
@@ -38,8 +43,22 @@ def children(spark: SparkSession, path: str) -> list[str]:
 
 
 def table_name(path: str) -> str:
-    """The name a file or directory goes by in SQL: no directories, no extension."""
-    return path.rsplit("/", 1)[-1].split(".", 1)[0]
+    """The name a file or directory goes by: no directories, no extensions that tell a format.
+
+    Other dots are part of the name.
+    """
+    return _EXTENSIONS.sub("", path.rsplit("/", 1)[-1])
+
+
+def named(paths: list[str]) -> dict[str, str]:
+    """Paths by table name; two of one name raise, since either would hide the other."""
+    found: dict[str, str] = {}
+    for path in paths:
+        name = table_name(path)
+        if name.lower() in (n.lower() for n in found):
+            raise ValueError(f"several files are called {name}: give their paths")
+        found[name] = path
+    return found
 
 
 def _runs(spark: SparkSession, path: str) -> list[str]:
@@ -65,6 +84,27 @@ def runs_since(spark: SparkSession, path: str, last: str) -> list[str]:
     return [r for r in _runs(spark, path) if run_id(r) > last and _completed(spark, r)]
 
 
+def uncommit(spark: SparkSession, run: str) -> None:
+    """Take back a run's completion, so that readers go on with the former one."""
+    fs, p = _open(spark, join_uri(run, "_SUCCESS"))
+    fs.delete(p, False)
+
+
+def mark_merged(spark: SparkSession, path: str, run: str) -> None:
+    """Leave the name of the run merged last beside a table that has no runs of its own."""
+    fs, p = _open(spark, join_uri(path, _MERGED + run))
+    fs.create(p, True).close()
+
+
+def merged_last(spark: SparkSession, path: str) -> str | None:
+    """The run that was merged last into a table that has no runs of its own."""
+    fs, p = _open(spark, path)
+    if not fs.exists(p):
+        return None
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    return max((n.removeprefix(_MERGED) for n in names if n.startswith(_MERGED)), default=None)
+
+
 def reads_from(df: DataFrame, path: str) -> bool:
     """Whether a DataFrame reads any file at or below ``path``."""
     place = qualified(df.sparkSession, path).replace("file:///", "file:/")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
@@ -11,6 +12,7 @@ from math import ceil, floor
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
+from ferry.functions.credentials import strip_url
 from ferry.sources.lake import Lake
 
 # A histogram this fine per partition keeps equal-count ranges within a few percent.
@@ -192,6 +194,8 @@ def _connection(spark: SparkSession, lake: Lake) -> Iterator:
     for key, value in ({"user": lake.username, "password": lake.password} | dict(lake.options)).items():
         properties.setProperty(key, str(value))
     connection = driver.connect(lake.url, properties)
+    if connection is None:
+        raise ValueError(f"the driver {lake.driver} does not accept {strip_url(lake.url)}")
     try:
         yield connection
     finally:
@@ -202,7 +206,7 @@ def primary_key(spark: SparkSession, lake: Lake, table: str) -> list[str]:
     """Columns of a table's primary key, as the database describes it."""
     with _connection(spark, lake) as connection:
         about = connection.getMetaData()
-        *schema, name = [_stored(about, p) for p in re.findall(r'"[^"]+"|[^."]+', table.strip())]
+        *schema, name = [_stored(about, p) for p in _parts(table)]
         found = about.getPrimaryKeys(None, schema[-1] if schema else None, name)
         keys = []
         while found.next():
@@ -210,6 +214,26 @@ def primary_key(spark: SparkSession, lake: Lake, table: str) -> list[str]:
     return [k for _, k in sorted(keys)]
 
 
+def _parts(table: str) -> list[str]:
+    """The parts of a table's name, quoted ones with their quotes."""
+    return re.findall(r'"(?:[^"]|"")+"|[^."]+', table.strip())
+
+
+def identity(spark: SparkSession, lake: Lake, table: str) -> tuple[str, str]:
+    """(schema, name) as the catalog holds them; a bare name is in the connection's own schema."""
+    with _connection(spark, lake) as connection:
+        about = connection.getMetaData()
+        *schema, name = [_stored(about, p) for p in _parts(table)]
+        return (schema[-1] if schema else connection.getSchema() or ""), name
+
+
+def beside(table: str, suffix: str) -> str:
+    """The name of a table in the same schema, whether quoted or not."""
+    *schema, name = _parts(table)
+    name = f'{name[:-1]}{suffix}"' if name.endswith('"') else name + suffix
+    return ".".join([*schema, name])
+
+
 def _stored(about, name: str) -> str:
     """A name as the catalog holds it: quoted ones as they are, others in its own case."""
     if name.startswith('"'):
@@ -245,6 +269,41 @@ def execute(spark: SparkSession, lake: Lake, statements: Sequence[str]) -> None:
             raise
 
 
+# Holds for every staging table, by the hash of its name, which landing is in it and which was merged.
+_MERGES = "ferry_merges"
+
+
+def _staging_key(spark: SparkSession, lake: Lake, staging: str) -> int:
+    name = ".".join(identity(spark, lake, staging))
+    return int.from_bytes(hashlib.blake2b(name.encode(), digest_size=7).digest(), "big")
+
+
+def mark_staged(spark: SparkSession, lake: Lake, staging: str) -> None:
+    """Note that a staging table holds rows that are not merged yet."""
+    if not table_exists(spark, lake, _MERGES):
+        execute(spark, lake, [f"CREATE TABLE {_MERGES} (staging_key BIGINT, merged INTEGER)"])
+    key = _staging_key(spark, lake, staging)
+    forget = f"DELETE FROM {_MERGES} WHERE staging_key = {key}"
+    execute(spark, lake, [forget, f"INSERT INTO {_MERGES} (staging_key, merged) VALUES ({key}, 0)"])
+
+
+def merged_statements(spark: SparkSession, lake: Lake, staging: str) -> list[str]:
+    """What notes, in the transaction that merges, that a staging table's rows are merged."""
+    if not table_exists(spark, lake, _MERGES):
+        return []
+    key = _staging_key(spark, lake, staging)
+    return [f"UPDATE {_MERGES} SET merged = 1 WHERE staging_key = {key}"]
+
+
+def is_merged(spark: SparkSession, lake: Lake, staging: str) -> bool:
+    """Whether what a staging table holds was merged; if nothing is known, it was not."""
+    if not table_exists(spark, lake, _MERGES):
+        return False
+    key = _staging_key(spark, lake, staging)
+    sql = f"(SELECT merged FROM {_MERGES} WHERE staging_key = {key}) m"
+    return any(r[0] == 1 for r in read(spark, lake, sql).collect())
+
+
 def table_exists(spark: SparkSession, lake: Lake, table: str) -> bool:
     """Whether Spark's own existence check finds the table; a lost connection still raises."""
     jvm = spark._jvm

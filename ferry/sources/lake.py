@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from typing import Any
@@ -151,6 +152,11 @@ class Lake:
             "preferTimestampNTZ": "true",
         } | dict(self.options)
 
+    def secrets(self) -> list[str]:
+        """Values that must not be logged, wherever they turn up."""
+        named = [v for k, v in self.options.items() if re.search("password|pwd|secret|token|key", k, re.I)]
+        return [str(v) for v in (self.password, *named) if len(str(v)) > 3]
+
     def describe(self) -> dict[str, Any]:
         """The lake as it may be logged."""
         return without_credentials(

@@ -45,8 +45,11 @@ def scan(
 
 
 def current_path(spark: SparkSession, lake: Lake, path: str) -> str:
-    """Where a table's rows are: below its latest completed run, if it has runs."""
-    return (files.latest_run(spark, path) if lake.snapshots else None) or path
+    """Where a table's rows are: below its latest completed run, if it has runs.
+
+    What is on disk decides, whatever the lake says: masters have runs in every lake.
+    """
+    return files.latest_run(spark, path) or path
 
 
 def read_files(
@@ -87,16 +90,20 @@ def _sql_over_files(spark: SparkSession, lake: Lake, source: str) -> DataFrame:
     text at once, so the names are needed no longer than this call.
     """
     sql = _SUBSELECT.match(source.strip())["sql"]
-    children = {files.table_name(p): p for p in files.children(spark, lake.url)}
-    mentioned = {
-        name: path
-        for name, path in children.items()
-        if re.search(rf"(?<!\w){re.escape(name)}(?!\w)", sql, re.I)
-    }
+    children = [(_view_name(p), p) for p in files.children(spark, lake.url)]
+    found = [(n, p) for n, p in children if re.search(rf"(?<!\w){re.escape(n)}(?!\w)", sql, re.I)]
+    mentioned = dict(found)
+    if len({n.lower() for n in mentioned}) < len(found):
+        raise ValueError(f"several files of lake {lake.name} are called one of {sorted(mentioned)}")
     with _views, _named(spark, lake, mentioned):
         return spark.sql(sql)
 
 
+def _view_name(path: str) -> str:
+    """A table's name as SQL can say it: what is no letter, digit or underscore becomes one."""
+    return re.sub(r"\W", "_", files.table_name(path))
+
+
 @contextmanager
 def _named(spark: SparkSession, lake: Lake, tables: dict[str, str]) -> Iterator[None]:
     """Temporary views for the tables; views of the same name come back afterwards."""
