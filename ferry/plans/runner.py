@@ -14,7 +14,7 @@ from datetime import datetime, timezone
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ferry.functions.credentials import strip_url
+from ferry.functions.credentials import strip_url, without_secrets
 from ferry.operators.activity import ABANDONED, FAILED, LANDED, STARTED, SUCCESS, ActivityLog
 from ferry.operators.preflight import problems, writable
 from ferry.operators.reconciling import reconcile
@@ -176,7 +176,13 @@ def _expanded(
 
 def source_frame(spark: SparkSession, lake: Lake, item: Transfer | Archive) -> DataFrame:
     """What an item reads, shaped as it is landed."""
-    df = scan(spark, lake, item.source, item.schema, item.split)
+    source, inside = item.source, getattr(item, "database_constraints", ())
+    if inside and not lake.is_jdbc:
+        raise ValueError(f"lake {lake.name} is no database that could check {inside}")
+    if inside:
+        table = source if source.strip().startswith("(") else f"{source} s"
+        source = f"( select * from {table} where {' and '.join(f'({c})' for c in inside)} ) a"
+    df = scan(spark, lake, source, item.schema, item.split)
     if isinstance(item, Archive):
         df = day_bucket(constrain(df, item.constraints), item.column, item.fmt, lenient=item.lenient)
     return df
@@ -201,6 +207,9 @@ def _transfer(
         guard_self_overwrite(spark, source, item.source, destination, item.destination)
         df = source_frame(spark, source, item)
         merge = getattr(item, "merge", None)
+        lacking = unfit(df, merge)
+        if lacking:
+            raise ValueError("; ".join(lacking))
         if merge is not None and isinstance(merge, DatabaseMerge) != destination.is_jdbc:
             raise ValueError("DatabaseMerge is for databases and Upsert for files")
         if isinstance(merge, DatabaseMerge) and jdbc.table_exists(spark, destination, item.destination):
@@ -232,6 +241,16 @@ def _transfer(
         raise
 
 
+def unfit(df: DataFrame, merge: Upsert | DatabaseMerge | None) -> list[str]:
+    """Columns that a merge names and the rows do not have, found before any row is moved."""
+    if not isinstance(merge, Upsert):
+        return []
+    held = {c.lower() for c in df.columns}
+    named = {"keys": merge.keys, "set_columns": merge.set_columns or (), "order_by": merge.order_by or ()}
+    named["partition"] = (merge.partition,) if merge.partition else ()
+    return [f"the merge's {k} name {c}, which is no column" for k, cs in named.items() for c in cs if c.lower() not in held]
+
+
 def guard_self_overwrite(
     spark: SparkSession, source: Lake, text: str, destination: Lake, table: str
 ) -> None:
@@ -399,6 +418,12 @@ def preflight(spark: SparkSession, plan: Plan) -> DataFrame:
         for item in route.items:
             if not getattr(item, "control", False):
                 reasons = problems(spark, source, item.source, destination, item.destination)
+                if not reasons:
+                    try:
+                        shaped = source_frame(spark, source, replace(item, split=item.split or jdbc.WHOLE))
+                        reasons = unfit(shaped, getattr(item, "merge", None))
+                    except Exception as e:
+                        reasons = [f"cannot shape {item.source}: {without_secrets(str(e).splitlines()[0])}"]
                 found += [(source.name, destination.name, item.destination, r) for r in reasons]
     return spark.createDataFrame(
         found, "source_lake string, destination_lake string, table string, problem string"

@@ -62,7 +62,11 @@ class Transfer:
 
 @dataclass(frozen=True)
 class Archive:
-    """Land the rows that satisfy all constraints in one directory per day of ``column``."""
+    """Land the rows that satisfy all constraints in one directory per day of ``column``.
+
+    ``database_constraints`` are in the SQL of a source database, which sends only the rows that
+    satisfy them: for days kept as text, say, which Spark's own filters are not pushed down to.
+    """
 
     source: str
     column: str
@@ -73,6 +77,7 @@ class Archive:
     lenient: bool = False
     schema: T.StructType | None = None
     split: Split | None = None
+    database_constraints: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)

@@ -245,7 +245,8 @@ def _write_table(df: DataFrame, lake: Lake, table: str, column_types: str | None
     # does not report its row count.
     limit = int(options.pop("numPartitions", lake.max_connections))
     for _ in range(_ATTEMPTS):
-        counted, seen = _counted(df.coalesce(limit))
+        # Dealt anew rather than merged into fewer tasks, which would hold for the source's scan as well.
+        counted, seen = _counted(df.repartition(limit) if df.rdd.getNumPartitions() > limit else df)
         # With "truncate" in the lake's options a table keeps its definition when overwritten.
         writer = counted.write.format("jdbc").options(**options).option("dbtable", table)
         writer.mode("overwrite").save()

@@ -45,21 +45,24 @@ WHOLE = Split("", 1)
 def read(spark: SparkSession, lake: Lake, source: str, split: Split | None = None) -> DataFrame:
     """A table or ``( select … ) alias``; the text runs in the database.
 
-    Without a ``split`` a table is split by its primary key, if that is a number or a date.
+    Without a ``split`` a table is split by its primary key or a unique index of one column, if that is a
+    number or a date, else by its first such column: numbers at equal row counts, which the
+    database counts. Texts of a subselect are not looked into.
     """
     whole = _reader(spark, lake).option("dbtable", source)
     if split is None and lake.max_connections > 1 and not source.strip().startswith("("):
-        split = _by_primary_key(spark, lake, source)
+        split = _by_itself(spark, lake, source)
     if split is None or split.partitions < 2:
         return whole.load()
-    lower, upper = split.lower, split.upper
+    lower, upper, rows = split.lower, split.upper, None
     if lower is None or upper is None:
-        lower, upper = _bounds(spark, lake, source, split.column)
+        lower, upper, rows = _bounds(spark, lake, source, split)
     if lower is None:
         return whole.load()
     if split.balanced or isinstance(lower, datetime):
         if split.balanced:
-            cuts = _equal_counts(spark, lake, source, split, float(lower), float(upper))
+            rows = count(spark, lake, source) if rows is None else rows
+            cuts = _equal_counts(spark, lake, source, split, float(lower), float(upper), rows)
         else:
             # Spark's own bounds know no timestamps without time zone.
             step = (upper - lower) / split.partitions
@@ -78,17 +81,19 @@ def read(spark: SparkSession, lake: Lake, source: str, split: Split | None = Non
     )
 
 
-def _by_primary_key(spark: SparkSession, lake: Lake, table: str) -> Split | None:
-    """How to read a table of several fetches in parallel, if it has a number or date as key."""
-    keys = primary_key(spark, lake, table)
-    if len(keys) != 1:
-        return None
-    schema = _reader(spark, lake).option("dbtable", table).load().schema
-    field = next((f for f in schema if f.name.lower() == keys[0].lower()), None)
-    if field is None or not isinstance(field.dataType, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+_SPLITTABLE = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def _by_itself(spark: SparkSession, lake: Lake, table: str) -> Split | None:
+    """How to read a table over as many connections as the lake allows."""
+    fields = [f for f in _reader(spark, lake).option("dbtable", table).load().schema if isinstance(f.dataType, _SPLITTABLE)]
+    by_name = {f.name.lower(): f for f in fields}
+    for keys in [primary_key(spark, lake, table), *unique_indexes(spark, lake, table)]:
+        if len(keys) == 1 and keys[0].lower() in by_name:
+            return Split(by_name[keys[0].lower()].name, lake.max_connections)
+    if not fields:
         return None
-    fetches = ceil(count(spark, lake, table) / lake.fetch_size)
-    return Split(field.name, min(fetches, lake.max_connections))
+    return Split(fields[0].name, lake.max_connections, balanced=isinstance(fields[0].dataType, T.NumericType))
 
 
 def _reader(spark: SparkSession, lake: Lake):
@@ -100,18 +105,19 @@ def _derived(source: str, alias: str) -> str:
     return source if source.strip().startswith("(") else f"{source} {alias}"
 
 
-def _bounds(spark: SparkSession, lake: Lake, source: str, column: str):
-    name = quote(spark, lake, column)
-    sql = f"(SELECT MIN({name}) AS lo, MAX({name}) AS hi FROM {_derived(source, 's')}) b"
-    row = read(spark, lake, sql).first()
-    return row[0], row[1]
+def _bounds(spark: SparkSession, lake: Lake, source: str, split: Split):
+    """Least and greatest value and, where ranges of equal counts are wanted, the rows: one statement."""
+    name = quote(spark, lake, split.column)
+    rows = "COUNT(*)" if split.balanced else "0"
+    sql = f"(SELECT MIN({name}) AS lo, MAX({name}) AS hi, {rows} AS n FROM {_derived(source, 's')}) b"
+    return tuple(read(spark, lake, sql).first())
 
 
 def _equal_counts(
-    spark: SparkSession, lake: Lake, source: str, split: Split, lo: float, hi: float
+    spark: SparkSession, lake: Lake, source: str, split: Split, lo: float, hi: float, rows: int
 ) -> list[str]:
     """Cuts between ranges of about equal row counts."""
-    target = count(spark, lake, source) / split.partitions
+    target = rows / split.partitions
     cuts, filled = [], 0
     edges = _histogram(spark, lake, source, split, lo, hi, target, _MAX_DEPTH)
     for edge, n in edges[:-1]:
@@ -214,6 +220,19 @@ def primary_key(spark: SparkSession, lake: Lake, table: str) -> list[str]:
     return [k for _, k in sorted(keys)]
 
 
+def unique_indexes(spark: SparkSession, lake: Lake, table: str) -> list[list[str]]:
+    """Columns of a table's unique indexes, as the database describes them."""
+    with _connection(spark, lake) as connection:
+        about = connection.getMetaData()
+        *schema, name = [_stored(about, p) for p in _parts(table)]
+        found = about.getIndexInfo(None, schema[-1] if schema else None, name, True, True)
+        indexes: dict[str, list[tuple[int, str]]] = {}
+        while found.next():
+            if found.getString("COLUMN_NAME"):
+                indexes.setdefault(found.getString("INDEX_NAME"), []).append((found.getInt("ORDINAL_POSITION"), found.getString("COLUMN_NAME")))
+    return [[c for _, c in sorted(columns)] for columns in indexes.values()]
+
+
 def _parts(table: str) -> list[str]:
     """The parts of a table's name, quoted ones with their quotes."""
     return re.findall(r'"(?:[^"]|"")+"|[^."]+', table.strip())

@@ -154,7 +154,7 @@ def test_connections_may_be_limited(spark, db):
     assert landing.rows == 100
 
 
-def test_tables_with_a_key_are_read_in_parallel(spark, db):
+def test_tables_are_read_in_parallel(spark, db):
     table = fresh("t")
     jdbc.execute(spark, db, [f'CREATE TABLE {table} ("id" BIGINT NOT NULL PRIMARY KEY, "v" BIGINT)'])
     land(spark.range(1000).withColumn("v", F.col("id")), db, table, mode="append")
@@ -162,5 +162,14 @@ def test_tables_with_a_key_are_read_in_parallel(spark, db):
     assert jdbc.primary_key(spark, db, table) == ["id"]
     assert len(sizes(scan(spark, few, table))) == 4
     assert scan(spark, replace(few, max_connections=1), table).rdd.getNumPartitions() == 1
-    assert scan(spark, db, table).rdd.getNumPartitions() == 1
+    assert scan(spark, db, table).rdd.getNumPartitions() == db.max_connections
     assert scan(spark, few, table).distinct().count() == 1000
+    # Without a key, by a unique index, else by the first number or date.
+    for index in (True, False):
+        table = fresh("t")
+        columns = '"s" VARCHAR(10), "d" DATE, "id" BIGINT NOT NULL'
+        jdbc.execute(spark, db, [f"CREATE TABLE {table} ({columns})"] + [f'CREATE UNIQUE INDEX i_{table} ON {table} ("id")'] * index)
+        rows_ = spark.range(1000).selectExpr("cast(id as string) AS s", "date_add(date'2024-01-01', cast(id % 50 as int)) AS d", "id")
+        land(rows_, db, table, mode="append")
+        assert jdbc.unique_indexes(spark, db, table) == ([["id"]] if index else [])
+        assert len(sizes(scan(spark, few, table))) == 4 and scan(spark, few, table).distinct().count() == 1000
