@@ -83,7 +83,7 @@ def land(
     bucketed landing replaces only the days at hand unless ``keep_other_days`` is off.
 
     Without adaptive execution the size of a day is not known, so every day is cut into ``tasks_per_day``
-    parts, by default as many as the input has: one day may be all of it.
+    parts, by default four for each partition of the input: one day may be all of it.
 
     ``files_per_table`` forces a number of files; 1 puts everything through one task.
     """
@@ -194,7 +194,8 @@ def _by_day(df: DataFrame, bucket: str, parts: int | None) -> DataFrame:
     if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
         return df.hint("rebalance", column(bucket))
     row = [column(f.name) for f in df.schema.fields if comparable(f.dataType)]
-    parts = parts or max(1, df.rdd.getNumPartitions())
+    # More parts than tasks, so that hashing them deals evenly.
+    parts = parts or 4 * max(1, df.rdd.getNumPartitions())
     return df.repartition(column(bucket), F.pmod(F.xxhash64(*row), F.lit(parts)))
 
 

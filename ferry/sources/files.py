@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -106,11 +105,26 @@ def merged_last(spark: SparkSession, path: str) -> str | None:
 
 
 def reads_from(df: DataFrame, path: str) -> bool:
-    """Whether a DataFrame reads any file at or below ``path``."""
-    place = qualified(df.sparkSession, path).replace("file:///", "file:/")
+    """Whether a DataFrame reads anything at, below or around ``path``.
+
+    The plan's relations say where they begin; their files are not listed.
+    """
+    spark = df.sparkSession
+    place = qualified(spark, path).replace("file:///", "file:/")
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves().iterator()
+    roots = []
+    while leaves.hasNext():
+        leaf = leaves.next()
+        if leaf.getClass().getSimpleName() != "LogicalRelation":
+            continue
+        relation = leaf.relation()
+        if relation.getClass().getSimpleName() == "HadoopFsRelation":
+            found = relation.location().rootPaths().iterator()
+            while found.hasNext():
+                roots.append(qualified(spark, found.next().toString()).replace("file:///", "file:/"))
     return any(
-        f == place or f.startswith(place + "/")
-        for f in (unquote(i).replace("file:///", "file:/") for i in df.inputFiles())
+        root == place or root.startswith(place + "/") or place.startswith(root + "/") and exists(spark, path)
+        for root in roots
     )
 
 
