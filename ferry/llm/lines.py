@@ -111,7 +111,8 @@ def links(every: DataFrame) -> DataFrame:
     texts = written(wanted.groupBy("key").agg(F.first("line").alias("line")), "texts")
     sided = pairs.join(texts.select(F.col("key").alias("a"), F.col("line").alias("line_a")), "a")
     sided = sided.join(texts.select(F.col("key").alias("b"), F.col("line").alias("line_b")), "b")
-    return jaccard(sided).where(F.col("similarity") >= SIMILARITY).select("a", "b")
+    # Written first: a filter would be pushed below the sets, and compute them again for every shingle.
+    return written(jaccard(sided), "similar").where(F.col("similarity") >= SIMILARITY).select("a", "b")
 
 
 def repeated(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
