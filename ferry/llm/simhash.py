@@ -39,16 +39,23 @@ def fingerprint(text: bytes, words: int = WORDS) -> int:
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        prints = [fingerprint(x or b"") for x in batch.column(1).to_pylist()]
+        prints = [fingerprint(x or b"") for x in batch.column(2).to_pylist()]
         signed = np.array(prints, np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(signed)], names=["id", "print"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(signed)], names=["id", "whole", "print"])
 
 
 def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, print) for every row; the 64 bits of ``print`` are a signed long. A null text is empty."""
+    """(id, whole, print) for every row; the 64 bits of ``print`` are a signed long. A null text is empty.
+
+    ``whole`` is a hash of the text, which tells rows of one id apart.
+    """
     kind = docs.schema[id].dataType.simpleString()
-    rows = docs.select(F.col(id).alias("id"), F.col(text).cast("binary").alias("text"))
-    return rows.mapInArrow(_fingerprints, f"id {kind}, print bigint")
+    rows = docs.select(F.col(id).alias("id"), _whole(F.col(text)).alias("whole"), F.col(text).cast("binary").alias("text"))
+    return rows.mapInArrow(_fingerprints, f"id {kind}, whole bigint, print bigint")
+
+
+def _whole(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def _ball(print_: Column) -> Column:
@@ -73,8 +80,8 @@ def links(prints: DataFrame) -> DataFrame:
     return pairs.where((F.col("low") != F.col("print")) & near).distinct()
 
 
-def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, fingerprint, component_id) for every row: the smallest id reachable over linked fingerprints.
+def grouped(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, whole, print, component_id) for every row: the smallest id reachable over linked fingerprints.
 
     Texts without words have the fingerprint zero and are linked like any other. Null texts are empty;
     a null id gets its component's smallest id (null if none has one); repeated rows each come back. An
@@ -88,12 +95,22 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     groups = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     # Only roots of several fingerprints need the second table; the others keep their own smallest id.
     of = written(rooted.join(groups, "root").select("print", "component_id"), "groups")
-    return prints.join(of, "print").select(
-        F.col("id").alias(id), F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id"
-    )
+    return prints.join(of, "print").select("id", "whole", "print", "component_id")
+
+
+def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, fingerprint, component_id) for every row, as ``grouped`` says, fingerprints as 16 hex digits."""
+    print_ = F.lower(F.lpad(F.hex("print"), 16, "0"))
+    return grouped(docs, id, text).select(F.col("id").alias(id), print_.alias("fingerprint"), "component_id")
 
 
 def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents whose id is the smallest of their component, with all their columns."""
-    keep = near_duplicates(docs, id, text).where(F.col(id) == F.col("component_id")).select(F.col(id).alias("_kept"))
-    return docs.join(keep.distinct(), docs[id] == F.col("_kept"), "left_semi")
+    """The documents whose id is the smallest of their component, with all their columns.
+
+    Where no document of a component has an id, all of it stay. Rows that repeat id and text are one
+    document, and stay or go together.
+    """
+    keep = grouped(docs, id, text).where(F.col("id").eqNullSafe(F.col("component_id")))
+    keep = keep.select(F.col("id").alias("_kept_id"), F.col("whole").alias("_kept_whole")).distinct()
+    same = docs[id].eqNullSafe(F.col("_kept_id")) & (_whole(docs[text]) == F.col("_kept_whole"))
+    return docs.join(keep, same, "left_semi")

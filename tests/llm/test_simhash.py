@@ -70,6 +70,12 @@ def test_groups_equal_brute_force(spark):
     assert {r[0] for r in kept} == set(least.values())
 
 
+def test_one_of_each_tells_rows_of_one_id_apart(spark):
+    rows = [(1, "a b c d"), (2, "q r s t u"), (2, "a b c d"), (None, "v w x y z"), (None, "A b c d")]
+    kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, kept), key=repr) == sorted([(1, "a b c d"), (2, "q r s t u"), (None, "v w x y z")], key=repr)
+
+
 @pytest.mark.parametrize("spread", [1, 3])
 def test_links_connect_all_close_fingerprints(spark, spread):
     rng = random.Random(spread)
