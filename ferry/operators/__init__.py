@@ -7,6 +7,7 @@ from ferry.operators.reconciling import (
     reconcile,
     reconcile_cells,
     reconcile_rows,
+    rows_if_equal,
 )
 from ferry.operators.shape import constrain, day_bucket
 from ferry.operators.upserts import DuplicateKeys, latest, upsert, upsert_all
@@ -26,6 +27,7 @@ __all__ = [
     "reconcile",
     "reconcile_cells",
     "reconcile_rows",
+    "rows_if_equal",
     "upsert",
     "upsert_all",
     "writable",

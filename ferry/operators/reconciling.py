@@ -73,6 +73,23 @@ def reconcile(src: DataFrame, dst: DataFrame, by_position: bool = False) -> Data
     )
 
 
+def rows_if_equal(src: DataFrame, dst: DataFrame, by_position: bool = False) -> int | None:
+    """The row count of two tables that hold the same rows as often; nothing if they differ.
+
+    Each side is reduced to its count and the sums of its rows' two hashes, one row per task, in one pass: a proof
+    but for a chance of 2^-128, and no row is shuffled. Only tables that differ need ``reconcile``.
+    """
+    dst = align(dst, src.schema, by_position)
+
+    def sums(df: DataFrame) -> DataFrame:
+        hashes = df.select(fingerprint(df).alias("__fp"))
+        wide = [F.sum(F.col("__fp")[c].cast("decimal(20,0)")).alias(c) for c in ("a", "b")]
+        return hashes.agg(F.count(F.lit(1)).alias("n"), *wide)
+
+    left, right = sums(src).unionAll(sums(dst)).collect()
+    return left["n"] if left == right else None
+
+
 def reconcile_rows(src: DataFrame, dst: DataFrame, by_position: bool = False) -> DataFrame:
     """Every row that differs, once, as (_side, _copies, *columns).
 

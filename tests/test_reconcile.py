@@ -7,7 +7,7 @@ from conftest import rows
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from ferry.operators import align, reconcile, reconcile_cells, reconcile_rows
+from ferry.operators import align, reconcile, reconcile_cells, reconcile_rows, rows_if_equal
 
 SCHEMA = "k int, v int, w string"
 
@@ -26,6 +26,15 @@ def test_summary_counts_duplicates(spark):
     assert reconcile(none, src).first() == (0, 4, 0, 4)
 
 
+def test_equal_tables_are_told_by_sums(spark):
+    src = frame(spark, [(1, 1, "a"), (1, 1, "a"), (2, 2, None)])
+    none = frame(spark, [])
+    assert rows_if_equal(src, src.orderBy("v")) == 3 and rows_if_equal(none, none) == 0
+    for data in ([(1, 1, "a"), (2, 2, None)], [(1, 1, "a"), (2, 2, None), (2, 2, None)], [(1, 1, "a"), (1, 1, "a"), (2, None, "2")]):
+        assert rows_if_equal(src, frame(spark, data)) is None
+    assert rows_if_equal(src, none) is None and rows_if_equal(none, src) is None
+
+
 def test_rows_and_cells(spark):
     src = frame(spark, [(1, 1, "a"), (2, 2, "b"), (3, 3, "c"), (None, 4, "d"), (5, 5, "x"), (5, 5, "y")])
     dst = frame(spark, [(1, 1, "a"), (2, 9, None), (4, 4, "e"), (None, 4, "D"), (5, 5, "z"), (5, 5, "y")])
