@@ -32,8 +32,13 @@ def _own_folder() -> str:
 
 
 def scratch(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/ferry/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, whose files go when the driver ends."""
+    folder = f"{shared_folder(spark)}/ferry/{label}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
+    return f"{folder}/{label}"
 
 
 def new_run_id() -> str:
