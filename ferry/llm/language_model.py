@@ -16,6 +16,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 from xxhash import xxh64_intdigest
 
@@ -28,13 +29,13 @@ VOCABULARY = 65_536
 #: Texts are learned from in stretches of so many tokens, and scored whole.
 STRETCH = 512
 #: Tokens that one array operation handles, about.
-AT_ONCE = 400_000
+AT_ONCE = 200_000
 #: The end token, the class of rare words, and the first frequent word.
 END, RARE, FIRST = 0, 1, 2
 #: Weight of the corpus distribution in every state's emissions, in tokens, and of each transition.
 EMISSION_PRIOR, TRANSITION_PRIOR = 200.0, 1.0
-_CACHED_WORDS = 300_000
-_COUNTED_AT_ONCE = 400_000
+_CACHED_WORDS = 200_000
+_COUNTED_AT_ONCE = 200_000
 #: Buckets of a factor of two in the histogram of word counts.
 _BUCKETS = 16
 
@@ -297,7 +298,7 @@ def _scored(load: Callable[[], Model], batch: pa.RecordBatch) -> list[pa.Array]:
     while at < len(order):
         # Texts of like length go together, as many as make up one array operation.
         end, size = at, 0
-        while end < len(order) and (end == at or size < 4 * AT_ONCE):
+        while end < len(order) and (end == at or size < 8 * AT_ONCE):
             size += len(texts[order[end]])
             end += 1
         out[order[at:end]] = log_likelihoods(model, [texts[i] for i in order[at:end]])
@@ -305,16 +306,14 @@ def _scored(load: Callable[[], Model], batch: pa.RecordBatch) -> list[pa.Array]:
     return [pa.array(out)]
 
 
-def _once(make: Callable):
-    """What ``make`` gives, made once in a worker."""
-    made: list = []
+#: What a worker has made of a broadcast value, the last of each kind: tasks that follow go on with it.
+_HELD: dict[str, tuple] = {}
 
-    def load():
-        if not made:
-            made.append(make())
-        return made[0]
 
-    return load
+def _held(kind: str, shared: Broadcast, make: Callable):
+    if kind not in _HELD or _HELD[kind][0] is not shared:
+        _HELD[kind] = (shared, make(shared.value))
+    return _HELD[kind][1]
 
 
 def report(
@@ -332,9 +331,8 @@ def report(
     learned = rows.where("NOT held_out")
     corpus = survey(learned.select("text"), learned.count(), vocabulary)
     shared = spark.sparkContext.broadcast((corpus.frequent, corpus.frequent_counts, corpus.texts))
-    encoder = _once(lambda: Encoder(*shared.value))
     fields = "ids array<int>, part double, known bigint, words array<bigint>, times array<bigint>"
-    kept = with_results(rows, {"text": F.col("text")}, lambda b: _encoded(encoder(), b), fields)
+    kept = with_results(rows, {"text": F.col("text")}, lambda b: _encoded(_held("encoder", shared, lambda x: Encoder(*x)), b), fields)
     kept = kept.select(F.monotonically_increasing_id().alias("n"), "row.id", "row.held_out", "ids", "part", "known", "words", "times")
     encoded = written(kept, "encoded")
 
@@ -350,7 +348,7 @@ def report(
     rare = counted.groupBy("n").agg(F.sum(F.col("times") * F.log10(F.col("count") + F.lit(1))).alias("rare_part"), F.sum("times").alias("rare_known"))
 
     trained = spark.sparkContext.broadcast((model.start, model.move, model.emit.astype(np.float32)))
-    load = _once(lambda: Model(*(x.astype(float) for x in trained.value)))
+    load = lambda: _held("model", trained, lambda x: Model(*(y.astype(float) for y in x)))
     narrow = encoded.select("n", "id", "held_out", "part", "known", F.size("ids").cast("bigint").alias("n_tokens"), F.coalesce(F.aggregate("times", F.lit(0).cast("bigint"), lambda a, x: a + x), F.lit(0)).alias("n_rare"), "ids")
     scored = with_results(narrow, {"ids": F.col("ids")}, lambda b: _scored(load, b), "likelihood double").select(
         *(F.col("row")[c].alias(c) for c in narrow.columns if c != "ids"), "likelihood"
