@@ -24,6 +24,8 @@ BANDS, ROWS = 9, 4
 LONG, SAMPLED = 256, 4
 #: Rows that may be broadcast. Beyond that the same join is done by a shuffle.
 BROADCAST_ROWS = 2_000_000
+#: Pairs that one task verifies, about.
+PAIRS_AT_ONCE = 4_000
 
 _UTF32 = 4
 
@@ -79,21 +81,18 @@ def candidates(signed: DataFrame) -> DataFrame:
     return pairs.select(F.least("key", "end").alias("a"), F.greatest("key", "end").alias("b")).distinct()
 
 
-def _shingle_set(characters: str) -> Column:
-    return F.array_distinct(F.transform(_places(characters), lambda at: _shingle(characters, at)))
-
-
 def jaccard(pairs: DataFrame) -> DataFrame:
-    """(a, b, similarity) from (a, b, line_a, line_b), over all shingles of both."""
-    rows = pairs
-    for side in ("line_a", "line_b"):
-        chars = f"_{side}_chars"
-        rows = rows.withColumn(chars, _characters(side))
-        rows = rows.withColumn(f"_{side}_set", _shingle_set(chars))
-    both = F.size(F.array_intersect("_line_a_set", "_line_b_set"))
-    rows = rows.withColumn("_both", both)
-    either = F.size("_line_a_set") + F.size("_line_b_set") - F.col("_both")
-    return rows.select("a", "b", (F.col("_both") / either).alias("similarity"))
+    """(a, b, similarity) from (a, b, line_a, line_b), over all shingles of both.
+
+    Shingles are rows here, not elements of arrays: rows are hashed and counted in compiled code.
+    """
+    sides = F.array(*(F.struct(F.lit(bit).alias("side"), F.col(c).alias("line")) for bit, c in ((1, "line_a"), (2, "line_b"))))
+    each = pairs.select("a", "b", F.explode(sides).alias("x")).select("a", "b", "x.side", F.col("x.line").alias("line"))
+    each = each.select("a", "b", "side", _characters("line").alias("_chars"))
+    each = each.select("a", "b", "side", "_chars", F.explode(_places("_chars")).alias("_at"))
+    shingles = each.select("a", "b", "side", _shingle("_chars", F.col("_at")).alias("_hash"))
+    held = shingles.groupBy("a", "b", "_hash").agg(F.bit_or("side").alias("sides"))
+    return held.groupBy("a", "b").agg((F.count_if(F.col("sides") == 3) / F.count(F.lit(1))).alias("similarity"))
 
 
 def _small(df: DataFrame, rows: int) -> DataFrame:
@@ -107,12 +106,14 @@ def links(every: DataFrame) -> DataFrame:
     signed = written(signatures(distinct), "signatures")
     pairs = written(candidates(signed), "pairs")
     ends = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "key")
-    wanted = every.select("key", "line").join(_small(ends, 2 * pairs.count()), "key", "left_semi")
+    count = pairs.count()
+    wanted = every.select("key", "line").join(_small(ends, 2 * count), "key", "left_semi")
     texts = written(wanted.groupBy("key").agg(F.first("line").alias("line")), "texts")
     sided = pairs.join(texts.select(F.col("key").alias("a"), F.col("line").alias("line_a")), "a")
     sided = sided.join(texts.select(F.col("key").alias("b"), F.col("line").alias("line_b")), "b")
-    # Written first: a filter would be pushed below the sets, and compute them again for every shingle.
-    return written(jaccard(sided), "similar").where(F.col("similarity") >= SIMILARITY).select("a", "b")
+    # So few pairs at once that the shingles of a task's pairs fit in memory.
+    sided = sided.repartition(-(-count // PAIRS_AT_ONCE) or 1, "a", "b")
+    return jaccard(sided).where(F.col("similarity") >= SIMILARITY).select("a", "b")
 
 
 def repeated(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -159,7 +160,7 @@ def deduplicated(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Dat
     return edited.select(
         "row",
         F.col("_kept").alias("text"),
-        F.coalesce(F.size(F.split(whole, "\n")), F.lit(0)).cast("bigint").alias("n_lines"),
+        F.coalesce(F.length(whole) - F.length(F.replace(whole, F.lit("\n"))) + 1, F.lit(0)).cast("bigint").alias("n_lines"),
         F.coalesce(F.size("gone"), F.lit(0)).cast("bigint").alias("n_removed"),
     )
 
