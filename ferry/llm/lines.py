@@ -127,6 +127,8 @@ def repeated(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFra
     rooted = written(places.join(roots, "key", "left").select("id", "whole", "at", F.coalesce("root", "key").alias("root")), "rooted")
     place = F.struct("id", "whole", "at")
     groups = rooted.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("stays")).where("n > 1").select("root", "stays")
+    # Written, so that both sides of the join are shuffled for it, and a line with very many copies can be cut.
+    groups = written(groups, "stays")
     gone = rooted.join(groups, "root").where(~place.eqNullSafe(F.col("stays")))
     return gone.groupBy("id", "whole").agg(F.sort_array(F.collect_set("at")).alias("gone"))
 
