@@ -3,13 +3,14 @@
 Lines are compared by the Jaccard similarity of their sets of character shingles, after trimming and
 lower-casing. Equal lines are collapsed first, by hash and with a combining aggregate. Each distinct line's shingles
 are hashed once; a row of the MinHash signature is the least hash under the exclusive or with a
-constant. Lines that agree in a band of rows are candidates and are verified on their whole shingle sets.
-Everything is DataFrame operations.
+constant. Lines that agree in a band of rows are candidates and are verified on their whole shingle sets: each pair
+of a bucket, and in a crowded bucket each line beside the two ends. What shares a crowded bucket and is not connected
+by that is joined once more, exactly, on its rarest shingles. Everything is DataFrame operations.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ferry.llm.components import components
 from ferry.llm.tables import SPACE, total, written
@@ -22,6 +23,8 @@ BANDS, ROWS = 9, 4
 #: Lines of more shingles are also signed by a part of them, chosen by hash: one in ``SAMPLED``. Every pair that can
 #: reach the similarity lies within one of the two overlapping ranges, and is signed alike.
 LONG, SAMPLED = 256, 4
+#: A bucket of more lines is not compared each with each.
+CROWDED = 32
 #: Rows that may be broadcast. Beyond that the same join is done by a shuffle.
 BROADCAST_ROWS = 2_000_000
 #: Pairs that one task verifies, about.
@@ -73,12 +76,47 @@ def signatures(distinct: DataFrame) -> DataFrame:
 
 
 def candidates(signed: DataFrame) -> DataFrame:
-    """(a, b), a < b: lines of one bucket, each beside the bucket's least and greatest, never each beside each."""
+    """(a, b), a < b: all pairs of a bucket, or, if it is crowded, each line beside the bucket's least and greatest.
+
+    A line of a crowded bucket is also paired with itself, which marks it for ``rest``.
+    """
     members = signed.select("key", F.explode("bands").alias("bucket"))
-    ends = members.groupBy("bucket").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low < high")
-    beside = members.join(ends, "bucket")
-    pairs = beside.select("key", F.explode(F.array("low", "high")).alias("end")).where("key != end")
-    return pairs.select(F.least("key", "end").alias("a"), F.greatest("key", "end").alias("b")).distinct()
+    ends = members.groupBy("bucket").agg(F.min("key").alias("low"), F.max("key").alias("high"), F.count(F.lit(1)).alias("_n"))
+    beside = members.join(ends.where("low < high"), "bucket")
+    few = beside.where(F.col("_n") <= CROWDED).groupBy("bucket").agg(F.sort_array(F.collect_list("key")).alias("keys"))
+    few = few.select("keys", F.posexplode("keys").alias("at", "a"))
+    few = few.select("a", F.explode(F.slice("keys", F.col("at") + 2, F.size("keys"))).alias("b"))
+    many = beside.where(F.col("_n") > CROWDED).select("key", F.explode(F.array("low", "high", "key")).alias("end"))
+    return few.union(many.select(F.least("key", "end"), F.greatest("key", "end"))).distinct()
+
+
+def rest(texts: DataFrame, linked: DataFrame) -> DataFrame:
+    """(a, b), a < b, from (key, line): every pair that can reach the similarity and is not yet connected by ``linked``.
+
+    A prefix filter: with shingles ordered from the rarest on, two lines of the similarity share one among the
+    first of both. Of the smaller set a shorter prefix is enough. Lines of one component are not paired, so
+    a large group of copies stays linear, whatever its shingles.
+    """
+    roots = components(linked).withColumnRenamed("node", "key")
+    rooted = texts.join(roots, "key", "left").select("key", F.coalesce("root", "key").alias("root"), _characters("line").alias("_chars"))
+    each = rooted.select("key", "root", "_chars", F.explode(_places("_chars")).alias("_at"))
+    shingles = written(each.select("key", "root", _shingle("_chars", F.col("_at")).alias("_hash")).distinct(), "crowded")
+    held = shingles.groupBy("_hash").agg(F.count(F.lit(1)).alias("_lines"), F.mode("root").alias("_main"), F.min("root") == F.max("root"))
+    held = held.toDF("_hash", "_lines", "_main", "_one")
+    line = Window.partitionBy("key")
+    ranked = shingles.join(held, "_hash").withColumn("_size", F.count(F.lit(1)).over(line))
+    ranked = ranked.withColumn("_rank", F.row_number().over(line.orderBy("_lines", "_hash")))
+    # Rounding may lengthen a prefix, never shorten it.
+    first = lambda part: F.col("_rank") <= F.floor(F.col("_size") * part + 1e-6) + 1
+    ranked = ranked.withColumn("_short", first((1 - SIMILARITY) / (1 + SIMILARITY))).where(first(1 - SIMILARITY) & ~F.col("_one"))
+    ranked = written(ranked.select("key", "root", "_hash", "_size", "_short", (F.col("root") != F.col("_main")).alias("_off")), "prefixes")
+    side = lambda df, s: df.select(F.col("_hash"), *(F.col(c).alias(c + s) for c in ("key", "root", "_size", "_off")))
+    small, large = ranked.where("_short"), ranked
+    near = (F.col("root_a") != F.col("root_b")) & (F.col("_size_a") <= F.col("_size_b")) & (F.col("_size_a") >= SIMILARITY * F.col("_size_b") - 1e-6)
+    # A pair of different components has one side at least outside of the shingle's largest component.
+    met = side(small.where("_off"), "_a").join(side(large, "_b"), "_hash").where(near)
+    met = met.union(side(small.where("NOT _off"), "_a").join(side(large.where("_off"), "_b"), "_hash").where(near))
+    return met.select(F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b")).distinct()
 
 
 def jaccard(pairs: DataFrame) -> DataFrame:
@@ -100,8 +138,20 @@ def _small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+def _verified(pairs: DataFrame, count: int, texts: DataFrame) -> DataFrame:
+    """The pairs that reach the similarity."""
+    sided = pairs.join(texts.select(F.col("key").alias("a"), F.col("line").alias("line_a")), "a")
+    sided = sided.join(texts.select(F.col("key").alias("b"), F.col("line").alias("line_b")), "b")
+    # So few pairs at once that the shingles of a task's pairs fit in memory.
+    sided = sided.repartition(-(-count // PAIRS_AT_ONCE) or 1, "a", "b")
+    return jaccard(sided).where(F.col("similarity") >= SIMILARITY).select("a", "b")
+
+
 def links(every: DataFrame) -> DataFrame:
-    """(a, b): verified pairs of distinct lines, from the lines of a corpus."""
+    """(a, b): verified pairs of distinct lines, from the lines of a corpus.
+
+    They connect what all verified pairs of all buckets would connect.
+    """
     distinct = every.groupBy("key").agg(F.first("line").alias("line"))
     signed = written(signatures(distinct), "signatures")
     pairs = written(candidates(signed), "pairs")
@@ -109,11 +159,14 @@ def links(every: DataFrame) -> DataFrame:
     count = pairs.count()
     wanted = every.select("key", "line").join(_small(ends, 2 * count), "key", "left_semi")
     texts = written(wanted.groupBy("key").agg(F.first("line").alias("line")), "texts")
-    sided = pairs.join(texts.select(F.col("key").alias("a"), F.col("line").alias("line_a")), "a")
-    sided = sided.join(texts.select(F.col("key").alias("b"), F.col("line").alias("line_b")), "b")
-    # So few pairs at once that the shingles of a task's pairs fit in memory.
-    sided = sided.repartition(-(-count // PAIRS_AT_ONCE) or 1, "a", "b")
-    return jaccard(sided).where(F.col("similarity") >= SIMILARITY).select("a", "b")
+    crowded = pairs.where("a = b").select(F.col("a").alias("key"))
+    found = _verified(pairs.where("a < b"), count, texts)
+    n_crowded = crowded.count()
+    if not n_crowded:
+        return found
+    found = written(found, "links")
+    more = written(rest(texts.join(_small(crowded, n_crowded), "key", "left_semi"), found), "rest")
+    return found.union(_verified(more, more.count(), texts))
 
 
 def repeated(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -113,3 +113,50 @@ def test_one_very_common_line(spark):
     frame = spark.range(3000).selectExpr("id AS doc_id", "concat('the same line everywhere\\nown line number ', sha2(cast(id AS string), 256)) AS text")
     got = lines.without_repeated_lines(frame)
     assert got.where("text LIKE '%everywhere%'").count() == 1 and got.where("text LIKE '%own%'").count() == 3000
+
+
+def family(seed, n):
+    """Lines of one template that are no copies of each other, and pairs among them that are."""
+    rng = random.Random(seed)
+    noise = lambda k: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(k))
+    frame = noise(150)
+    out = [frame + noise(24) for _ in range(n)]
+    for line in out[::10]:
+        at = rng.randrange(40, 110)
+        out.append(line[:at] + noise(10) + line[at + 10 :])
+    return out
+
+
+def test_pairs_in_crowded_buckets_are_found(spark):
+    texts = family(1, 400)
+    every = lines.lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    names = {r.key: r.line for r in every.select("key", "line").collect()}
+    sets = {x: shingles(x) for x in texts}
+    want = {frozenset((a, b)) for i, a in enumerate(texts) for b in texts[:i] if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])}
+    got = {frozenset((names[r.a], names[r.b])) for r in lines.links(every).collect()}
+    assert len(want) >= 30 and got <= want
+    of = components_of(texts, got)
+    assert sum(of[a] == of[b] for a, b in map(tuple, want)) >= 0.97 * len(want)
+
+
+def components_of(nodes, linked):
+    root = {x: x for x in nodes}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in map(tuple, linked):
+        root[find(a)] = find(b)
+    return {x: find(x) for x in nodes}
+
+
+def test_a_large_group_of_near_copies_is_not_paired_each_with_each(spark):
+    rng = random.Random(4)
+    base = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(200))
+    texts = [base[:100] + f"{i:03d}" + base[103:] for i in range(200)]
+    every = lines.lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    names = {r.key: r.line for r in every.select("key", "line").collect()}
+    got = [(names[r.a], names[r.b]) for r in lines.links(every).collect()]
+    assert len(set(components_of(texts, got).values())) == 1 and len(got) < 20 * len(texts)
