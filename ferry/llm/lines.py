@@ -20,9 +20,6 @@ SHINGLE = 8
 SIMILARITY = 0.8
 #: Lines at the threshold agree in one band at least with a probability of 0.99.
 BANDS, ROWS = 9, 4
-#: Lines of more shingles are also signed by a part of them, chosen by hash: one in ``SAMPLED``. Every pair that can
-#: reach the similarity lies within one of the two overlapping ranges, and is signed alike.
-LONG, SAMPLED = 256, 4
 #: A bucket of more lines is not compared each with each.
 CROWDED = 32
 #: Rows that may be broadcast. Beyond that the same join is done by a shuffle.
@@ -59,19 +56,14 @@ def _shingle(characters: str, at: Column) -> Column:
 
 
 def signatures(distinct: DataFrame) -> DataFrame:
-    """(key, bands) from (key, line): one hash for each band of the signature, per range that the line lies in."""
-    count = F.char_length("line") - SHINGLE + 1
+    """(key, bands) from (key, line): one hash for each band of the signature, over all shingles of the line."""
     # A line of one shingle has no copy but itself.
-    rows = distinct.where(count > 1).select("key", _characters("line").alias("_chars"), count.alias("_count"))
-    short, long = F.col("_count") <= int(LONG / SIMILARITY), F.col("_count") >= LONG
-    ranges = F.when(short & long, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.when(short, F.lit(0)).otherwise(F.lit(1))))
-    rows = rows.select("key", "_chars", F.explode(ranges).alias("_range"))
-    each = rows.select("key", "_range", "_chars", F.explode(_places("_chars")).alias("_at"))
-    hashed = each.select("key", "_range", _shingle("_chars", F.col("_at")).alias("_hash"))
-    hashed = hashed.where((F.col("_range") == 0) | (F.col("_hash").bitwiseAND(F.lit(SAMPLED - 1)) == 0))
+    rows = distinct.where(F.char_length("line") > SHINGLE).select("key", _characters("line").alias("_chars"))
+    each = rows.select("key", "_chars", F.explode(_places("_chars")).alias("_at"))
+    hashed = each.select("key", _shingle("_chars", F.col("_at")).alias("_hash"))
     masks = [(i * 0x9E3779B97F4A7C15 + (1 << 63)) % (1 << 64) - (1 << 63) for i in range(BANDS * ROWS)]
-    signed = hashed.groupBy("key", "_range").agg(*(F.min(F.col("_hash").bitwiseXOR(F.lit(m))).alias(f"_m{i}") for i, m in enumerate(masks)))
-    bands = F.array(*(F.xxhash64(F.lit(b), "_range", *(f"_m{b * ROWS + r}" for r in range(ROWS))) for b in range(BANDS)))
+    signed = hashed.groupBy("key").agg(*(F.min(F.col("_hash").bitwiseXOR(F.lit(m))).alias(f"_m{i}") for i, m in enumerate(masks)))
+    bands = F.array(*(F.xxhash64(F.lit(b), *(f"_m{b * ROWS + r}" for r in range(ROWS))) for b in range(BANDS)))
     return signed.select("key", bands.alias("bands"))
 
 

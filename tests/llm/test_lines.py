@@ -160,3 +160,10 @@ def test_a_large_group_of_near_copies_is_not_paired_each_with_each(spark):
     names = {r.key: r.line for r in every.select("key", "line").collect()}
     got = [(names[r.a], names[r.b]) for r in lines.links(every).collect()]
     assert len(set(components_of(texts, got).values())) == 1 and len(got) < 20 * len(texts)
+
+
+def test_lines_of_few_distinct_shingles_are_signed_whatever_their_length(spark):
+    rules = [(c * 4000, c * 4500) for c in "-=_*.~#+"] + [("the " * 50, "the " * 100), ("ab" * 100, "ab" * 900)]
+    distinct = spark.createDataFrame([(2 * i + j, x.strip()) for i, pair in enumerate(rules) for j, x in enumerate(pair)], "key long, line string")
+    bands = {r.key: r.bands for r in lines.signatures(distinct).collect()}
+    assert all(bands.get(2 * i, 1) == bands.get(2 * i + 1, 2) for i in range(len(rules)))
