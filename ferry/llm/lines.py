@@ -2,7 +2,7 @@
 
 Lines are compared by the Jaccard similarity of their sets of character shingles, after trimming and
 lower-casing. Equal lines are collapsed first, by hash and with a combining aggregate. Each distinct line's shingles
-are hashed once; a row of the MinHash signature is the least hash under the exclusive or with a
+are hashed once; a row of the MinHash signature is the least hash under a rotation and the exclusive or with a
 constant. Lines that agree in a band of rows are candidates and are verified on their whole shingle sets: each pair
 of a bucket, and in a crowded bucket each line beside the two ends. What shares a crowded bucket and is not connected
 by that is joined once more, exactly, on its rarest shingles. Everything is DataFrame operations.
@@ -55,14 +55,20 @@ def _shingle(characters: str, at: Column) -> Column:
     return F.xxhash64(F.substring(F.col(characters), at * _UTF32 + 1, F.lit(SHINGLE * _UTF32)))
 
 
+def _row(row: int) -> Column:
+    """The hash in the row's order. Turned, so that rows are decided by different bits even of few shingles."""
+    turn, mask = row * 7 % 64, (row * 0x9E3779B97F4A7C15 + (1 << 63)) % (1 << 64) - (1 << 63)
+    turned = F.shiftleft("_hash", turn).bitwiseOR(F.shiftrightunsigned("_hash", 64 - turn)) if turn else F.col("_hash")
+    return turned.bitwiseXOR(F.lit(mask))
+
+
 def signatures(distinct: DataFrame) -> DataFrame:
     """(key, bands) from (key, line): one hash for each band of the signature, over all shingles of the line."""
     # A line of one shingle has no copy but itself.
     rows = distinct.where(F.char_length("line") > SHINGLE).select("key", _characters("line").alias("_chars"))
     each = rows.select("key", "_chars", F.explode(_places("_chars")).alias("_at"))
     hashed = each.select("key", _shingle("_chars", F.col("_at")).alias("_hash"))
-    masks = [(i * 0x9E3779B97F4A7C15 + (1 << 63)) % (1 << 64) - (1 << 63) for i in range(BANDS * ROWS)]
-    signed = hashed.groupBy("key").agg(*(F.min(F.col("_hash").bitwiseXOR(F.lit(m))).alias(f"_m{i}") for i, m in enumerate(masks)))
+    signed = hashed.groupBy("key").agg(*(F.min(_row(i)).alias(f"_m{i}") for i in range(BANDS * ROWS)))
     bands = F.array(*(F.xxhash64(F.lit(b), *(f"_m{b * ROWS + r}" for r in range(ROWS))) for b in range(BANDS)))
     return signed.select("key", bands.alias("bands"))
 

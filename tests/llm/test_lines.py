@@ -167,3 +167,13 @@ def test_lines_of_few_distinct_shingles_are_signed_whatever_their_length(spark):
     distinct = spark.createDataFrame([(2 * i + j, x.strip()) for i, pair in enumerate(rules) for j, x in enumerate(pair)], "key long, line string")
     bands = {r.key: r.bands for r in lines.signatures(distinct).collect()}
     assert all(bands.get(2 * i, 1) == bands.get(2 * i + 1, 2) for i in range(len(rules)))
+
+
+def test_pairs_of_few_shingles_meet_as_often_as_long_ones(spark):
+    rng = random.Random(6)
+    noise = lambda k: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(k))
+    # 8 shingles of 10 are shared.
+    pairs = [(x + noise(1), noise(1) + x) for x in (noise(15) for _ in range(2000))]
+    distinct = spark.createDataFrame([(2 * i + j, x) for i, pair in enumerate(pairs) for j, x in enumerate(pair)], "key long, line string")
+    bands = {r.key: set(r.bands) for r in lines.signatures(distinct).collect()}
+    assert sum(not bands[2 * i] & bands[2 * i + 1] for i in range(len(pairs))) <= 0.02 * len(pairs)
