@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ferry.llm import decontaminate, extraction, language_model, lines, packing, personal, quality, sharding, simhash, toxicity
+from ferry.llm import (
+    alignment, decontaminate, extraction, language_model, lines, merkle, packing, personal, quality, sharding, simhash, toxicity, urls,
+)
 from ferry.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +34,12 @@ def tokenizer(spark: SparkSession) -> str:
     return named or public_tokenizers.path("word_bpe_49k.json")
 
 
+def vocabularies(spark: SparkSession) -> tuple[str, str]:
+    """The two vocabulary files of the alignment query; ``spark.ferry.byte_tokenizer`` and ``spark.ferry.piece_tokenizer`` name others."""
+    named = (spark.conf.get(f"spark.ferry.{kind}_tokenizer", None) for kind in ("byte", "piece"))
+    return tuple(a or public_tokenizers.path(b) for a, b in zip(named, ("byte_bpe_50k.json", "piece_bpe_32k.model")))
+
+
 @query()
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.report(read(spark, sf_dir, "documents"), ["doc_id", "source", "lang"], 40)
@@ -82,3 +90,18 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+@query(urls.SQL)
+def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.report(read(spark, sf_dir, "pages"))
+
+
+@query(merkle.SQL)
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.report(read(spark, sf_dir, "documents"))
+
+
+@query()
+def op13_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.report(read(spark, sf_dir, "documents"), *vocabularies(spark))

@@ -1,0 +1,115 @@
+"""Alignment: equal to whole texts aligned one by one, and a hash without gaps or doubles."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers as P
+import pytest
+from hypothesis import given, settings, strategies as st
+from sentencepiece import SentencePieceProcessor
+from tokenizers import Tokenizer
+
+from ferry.llm import alignment
+
+PATHS = P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model")
+A, B = Tokenizer.from_file(PATHS[0]), SentencePieceProcessor(model_file=PATHS[1])
+A.encode_special_tokens = True
+
+
+def groups(text: str | None) -> list[tuple[list[int], list[int]]]:
+    """Every group of a text, found byte by byte."""
+    if not text:
+        return []
+    whole = (" " + text).encode()
+    printed = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    spelled = {**{chr(b): b for b in printed}, **{chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in printed)}}
+    a = A.encode(" " + text, add_special_tokens=False)
+    left = [(i, bytes(spelled[c] for c in A.id_to_token(i))) for i in a.ids]
+    right = [(i, bytes([int(B.id_to_piece(i)[3:5], 16)]) if B.is_byte(i) else B.id_to_piece(i).replace("▁", " ").encode()) for i in B.encode(text)]
+    if b"".join(x for _, x in left) != whole or b"".join(x for _, x in right) != whole:
+        return []
+    ends = []
+    for side in (left, right):
+        at, found = 0, {}
+        for i, x in side:
+            at += len(x)
+            found[at] = i
+        ends.append(found)
+    out, k, m = [], [], []
+    for at in range(1, len(whole) + 1):
+        k += [ends[0][at]] if at in ends[0] else []
+        m += [ends[1][at]] if at in ends[1] else []
+        if at in ends[0] and at in ends[1]:
+            out.append((k, m))
+            k, m = [], []
+    return out
+
+
+def brute(docs: list[tuple[int | None, str | None]]) -> list[tuple]:
+    found = [(i, groups(text)) for i, text in docs]
+    count, highest = Counter(), defaultdict(int)
+    for _, each in found:
+        count.update({(x, y) for k, m in each for x in k for y in m})
+    for (x, _), n in count.items():
+        highest[x] = max(highest[x], n)
+    rows = []
+    for i, each in found:
+        links = [(x, y) for k, m in each for x in k for y in m]
+        spelled = ";".join(",".join(map(str, k)) + "|" + ",".join(map(str, m)) for k, m in each)
+        numbers = [sum(len(k) for k, _ in each), sum(len(m) for _, m in each), len(each), len(links)]
+        best = sum(count[x] == highest[x[0]] for x in links)
+        rows.append((i, *numbers, best, sum(count[x] for x in links), hashlib.sha256(spelled.encode()).hexdigest() if each else ""))
+    return sorted(rows, key=repr)
+
+
+WORDS = ["the", "naïve", "Straße,", "worthless.", "x1", "don't", "日本語", "e.g.", "12,345", "<|endoftext|>", "<s>", "\x1c", "🙂", "a\tb", "\r", "ﬁ", "\u2028"]
+ODD = [None, "", " ", "  ", "\n", "\n\n a\n", "a  b   c ", " lead", "tail \t", "x\u00a0y", ");\r\n {\r", "a\u2581b", "a b ▁ c", "\x00a b", "w" * 3000, "ab " * 500, "é" * 700]
+
+
+def frame(spark, docs):
+    return spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "1 AS id", "2 AS pair", "3 AS n_a", "4 AS `row`")
+
+
+def docs():
+    rng = random.Random(5)
+    made = ["".join(rng.choice(WORDS) + rng.choice([" ", " ", "  ", "\n", ""]) for _ in range(rng.randrange(1, 60))) for _ in range(80)]
+    return list(enumerate([*ODD, *made, made[0], made[0]])) + [(3, made[1]), (3, made[1]), (None, made[2])]
+
+
+def test_equals_brute_force(spark):
+    rows = docs()
+    assert sorted((tuple(r) for r in alignment.report(frame(spark, rows).repartition(5), *PATHS).collect()), key=repr) == brute(rows)
+
+
+def test_several_turns_and_partial_sums(spark, monkeypatch):
+    monkeypatch.setattr(alignment, "BLOCK_PAIRS", 40)
+    monkeypatch.setattr(alignment, "PAIRS_AT_ONCE", 120)
+    monkeypatch.setattr(alignment, "FAN_IN", 2)
+    rows = docs()
+    assert sorted((tuple(r) for r in alignment.report(frame(spark, rows).repartition(7), *PATHS).collect()), key=repr) == brute(rows)
+
+
+def test_empty_table_and_groups(spark):
+    assert alignment.report(frame(spark, docs()).limit(0), *PATHS).count() == 0
+    assert alignment.report(frame(spark, [(1, None), (2, "")]), *PATHS).collect() == [(1, *[0] * 6, ""), (2, *[0] * 6, "")]
+    row = alignment.aligned(frame(spark, [(7, "worthless words")]), *PATHS, with_groups=True).first()
+    assert row["groups"] == ";".join(",".join(map(str, k)) + "|" + ",".join(map(str, m)) for k, m in groups("worthless words"))
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.one_of(st.sampled_from(WORDS), st.text(max_size=6), st.sampled_from([" ", "\n", "\t", "  ", "\r\n", "\x85"])), max_size=12).map("".join))
+def test_word_by_word_equals_whole_texts(text):
+    parts = alignment.aligner(PATHS).parts(text)
+    assert [g for p in parts for g in p.groups.split(";")] == [",".join(map(str, k)) + "|" + ",".join(map(str, m)) for k, m in groups(text)]
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 1000, 30_000])
+def test_hash_is_minimal_and_perfect(n):
+    pairs = np.unique(np.random.default_rng(n).integers(0, 1 << 31, n))
+    levels = alignment.built(pairs)
+    again = alignment.Hash(alignment._unpacked(*alignment._packed(levels)))
+    assert sorted(again.numbers(pairs).tolist()) == list(range(len(pairs)))

@@ -1,0 +1,93 @@
+"""URL filters: equal to every rule tried on every URL."""
+
+from __future__ import annotations
+
+import random
+import re
+
+import pytest
+
+from ferry.llm import urls
+
+
+def parts(url: str | None) -> tuple[str, str, str]:
+    if not url or "://" not in url:
+        return "", "", ""
+    rest = url.split("://", 1)[1]
+    host = re.match(r"[^/?#]*", rest)[0]
+    lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in host)
+    return lower, re.match(r"[^?#]*", rest[len(host) :])[0], lower + rest[len(host) :]
+
+
+def fits(pattern: str, target: str) -> bool:
+    """By hand: where a pattern may begin, and what its signs stand for."""
+    starts = range(len(target) + 1)
+    if pattern.startswith("||"):
+        host = re.match(r"[^/?#]*", target)[0]
+        pattern, starts = pattern[2:], [0, *(i + 1 for i, c in enumerate(host) if c == ".")]
+    elif pattern.startswith("|"):
+        pattern, starts = pattern[1:], [0]
+    end = pattern.endswith("|")
+    pattern = pattern[:-1] if end else pattern
+
+    def at(i: int, k: int) -> bool:
+        if k == len(pattern):
+            return not end or i == len(target)
+        if pattern[k] == "*":
+            return any(at(j, k + 1) for j in range(i, len(target) + 1))
+        if pattern[k] == "^":
+            if i == len(target):
+                return at(i, k + 1)
+            return not (target[i].isascii() and (target[i].isalnum() or target[i] in "_.%-")) and at(i + 1, k + 1)
+        return i < len(target) and target[i] == pattern[k] and at(i + 1, k + 1)
+
+    return any(at(i, 0) for i in starts)
+
+
+def decided(url, rules):
+    target = parts(url)[2]
+    found = [(rank, len(p), verdict == "allow", p, rule, verdict) for rule, p, verdict, rank in rules if fits(p, target)]
+    return (max(found)[4], max(found)[0], max(found)[5]) if found else (None, None, None)
+
+
+URLS = [
+    None, "", "no scheme/example.net/", "http://", "https://NET/", "http://example.net", "http://example.net/en", "http://example.net/en/", "HTTP://A.Example.NET/en/x?y#z",
+    "http://notexample.net/en/", "http://a.org?x=.net/", "http://example.com/de/a/..", "http://example.com/DE/", "http://b.org/fr/é", "x://y://net/", "http://a.net\n/b",
+    "http://ads-x.com/", "http://a.com/casino", "http://a.com/casino?x", "http://a.com/casinos", "http://a.com/?x=1&utm_medium=affiliate", "http://a.com/(x)[y]$", "http://long.com/" + "a/" * 20_000,
+]
+RULES = [
+    *((r, f"||{r}", v, 1) for r, v in urls.SITES), *((p, p, v, 0) for p, v in urls.PATTERNS),
+    ("n", "asin", "block", 0), ("s", "*", "allow", -1), ("b", "|a.com/(x)[y]$|", "block", 0), ("e", "y]$|", "allow", 0), ("o", "|", "allow", -2), ("d", "||com^*x", "block", 0), ("t", "||com^*x", "allow", 0),
+]
+
+
+@pytest.fixture
+def pages(spark):
+    rng = random.Random(4)
+    made = [f"http://{rng.choice(['', 'www.', 'm.ads-'])}{rng.choice('abc')}.{rng.choice(['net', 'org', 'com', 'example.net'])}/{rng.choice(['en', 'fr', 'de'])}/{rng.choice('xyz')}" for _ in range(200)]
+    rows = list(enumerate([*URLS, *made, *["http://hot.net/x"] * 300])) + [(1, "http://a.net/")] * 3 + [(None, "http://a.net/")]
+    return spark.createDataFrame(rows, "page_id long, url string").selectExpr("*", "1 AS host", "2 AS `rule`", "3 AS n", "4 AS target", "5 AS `row`", "6 AS part")
+
+
+@pytest.mark.parametrize("index_bytes", [urls.INDEX_BYTES, 0])
+def test_equals_every_rule_on_every_url(spark, pages, monkeypatch, index_bytes):
+    monkeypatch.setattr(urls, "INDEX_BYTES", index_bytes)
+    rows = urls.judged(pages, urls.rule_table(spark, RULES)).collect()
+    assert len(rows) == pages.count()
+    for r in rows:
+        assert (r["host"], r["path"]) == parts(r["row"]["url"])[:2]
+        assert (r["rule"], r["rank"], r["verdict"]) == decided(r["row"]["url"], RULES), r
+
+
+def test_rules_are_kept_under_their_rarest_token(spark, pages):
+    tokens = spark.createDataFrame([("www.a.net/en/x",), ("b.net/en/y",), ("c.net/rare/z",)], "target string")
+    rules = urls.rule_table(spark, [("r", p, "block", 0) for p in ("||net/en/", "/rare/", "net*unseen^", "ar", "|a*b|")])
+    kept = {r["pattern"]: r["token"] for r in urls.index(urls.compiled(rules), tokens).collect()}
+    assert kept == {"||net/en/": "en", "/rare/": "rare", "net*unseen^": "", "ar": "", "|a*b|": ""}
+
+
+def test_empty(spark, pages):
+    assert urls.judged(pages.limit(0), urls.rule_table(spark, RULES)).count() == 0
+    nothing = urls.judged(pages, urls.rule_table(spark, RULES).limit(0))
+    assert nothing.where("verdict IS NULL").count() == pages.count()
+    assert {r["verdict"] for r in urls.report(pages).collect()} == {"allow", "block"}
