@@ -7,13 +7,12 @@ which every pair that falls alone is marked, so that a pair's number is the rank
 indexed by that number, summed block by block up a tree of tasks. The second pass aligns the documents again and looks the
 counts up; the pair kept under a number is compared with the one asked for.
 
-White space parts words for both tokenizers, so each distinct word is aligned once per worker and remembered.
+Texts are encoded once; both passes align what was written of their ids.
 """
 
 from __future__ import annotations
 
 import hashlib
-import os
 import re
 import uuid
 from collections.abc import Callable, Iterator
@@ -36,10 +35,12 @@ PAIRS_AT_ONCE = 4_000_000
 FAN_IN = 32
 #: Bits of a level for each pair that is left.
 SPARSE = 2
-#: A worker's memory of words: as many, of as many characters. It starts anew when full.
-WORDS, WORD_CHARS = 100_000, 48
-#: Distinct pairs that a task gathers before it passes them on.
-GATHERED = 500_000
+#: Pairs of documents that a task gathers before it adds them up and passes them on.
+GATHERED = 4_000_000
+#: Links whose counts are looked up at once.
+LOOKED_UP = 200_000
+#: A group of more links than this is spelled by its distinct ids.
+LARGE_GROUP = 4096
 
 
 def _letters() -> dict[str, int]:
@@ -49,34 +50,60 @@ def _letters() -> dict[str, int]:
     return {**{chr(b): b for b in printed}, **{chr(256 + i): b for i, b in enumerate(other)}}
 
 
-# Cut in front of a space or line break that follows what is no white space.
-_WORD = re.compile(r"\s*\S+(?:[^\S \n]\s*\S+)*(?:[^\S \n]\s*\Z)?|\s+")
+# Fixed: how the byte-level vocabulary parts a text before it joins bytes.
+_PARTED = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_BLANK = re.compile(r"\s{20000}")
 
 
 class Aligned:
-    """One word or text: its tokens counted, its groups spelled, and its linked pairs with how often each is linked."""
-
-    __slots__ = ("n_a", "n_b", "n_groups", "groups", "pairs", "links", "n_links", "counted_by", "n_best", "count_sum")
-
-    def __init__(self, a: list[int], b: list[int], ends_a: np.ndarray, ends_b: np.ndarray, width: int):
-        cuts = np.intersect1d(ends_a, ends_b, assume_unique=False)
-        at_a = np.searchsorted(ends_a, cuts, "right").tolist()
-        at_b = np.searchsorted(ends_b, cuts, "right").tolist()
-        spelled, linked, i, j = [], {}, 0, 0
-        for k, m in zip(at_a, at_b):
-            left, right = a[i:k], b[j:m]
-            spelled.append(",".join(map(str, left)) + "|" + ",".join(map(str, right)))
-            many: dict[int, int] = {}
-            for y in right:
-                many[y] = many.get(y, 0) + 1
-            for x in left:
-                for y, n in many.items():
-                    linked[x * width + y] = linked.get(x * width + y, 0) + n
-            i, j = k, m
-        self.n_a, self.n_b, self.n_groups, self.groups = len(a), len(b), len(cuts), ";".join(spelled)
-        self.pairs = np.fromiter(linked, np.int64, len(linked))
-        self.links = np.fromiter(linked.values(), np.int64, len(linked))
-        self.n_links, self.counted_by = int(self.links.sum()), ""
+    """A text's tokens, as ids, and the groups that they share."""
+
+    def __init__(self, a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray):
+        self.a, self.b = a, b
+        cuts = ends_a[ends_b[np.searchsorted(ends_b, ends_a)] == ends_a]
+        self.n_groups = len(cuts)
+        self.of_a, self.of_b = np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b)
+
+    def links(self, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """Linked pairs, ``a * width + b``, and how often each is meant; pairs may come several times.
+
+        Groups are a few tokens, all of whose pairs are spelled. Where cuts do not meet for long, ids repeat:
+        there each pair of ids comes once, times their numbers.
+        """
+        many_a, many_b = (np.bincount(x, minlength=self.n_groups) for x in (self.of_a, self.of_b))
+        large = many_a * many_b > LARGE_GROUP
+        times = np.where(large, 0, many_b)[self.of_a]
+        total = int(times.sum())
+        first = np.repeat((np.cumsum(many_b) - many_b)[self.of_a] - (np.cumsum(times) - times), times)
+        pairs = [np.repeat(self.a, times) * width + self.b[np.arange(total) + first]]
+        often = [np.ones(total, np.int64)]
+        for g in np.flatnonzero(large).tolist():
+            (x, n), (y, m) = (np.unique(ids[of == g], return_counts=True) for ids, of in ((self.a, self.of_a), (self.b, self.of_b)))
+            pairs.append((x[:, None] * width + y).ravel())
+            often.append((n[:, None] * m).ravel())
+        return np.concatenate(pairs), np.concatenate(often)
+
+    def spelled(self) -> bytes:
+        """``a1,a2|b1;a3|b2,b3``: the groups in order, ids of both vocabularies in decimal."""
+        group = np.concatenate([self.of_a, self.of_b])
+        side = np.repeat([0, 1], [len(self.a), len(self.b)])
+        order = np.lexsort((side, group))
+        same = np.append(group[order][1:] == group[order][:-1], False)
+        turns = np.append(side[order][1:] != side[order][:-1], False)
+        signs = np.where(~same, 2, np.where(turns, 1, 0))
+        ids = np.concatenate([self.a, self.b])[order]
+        known = _spellings(int(ids.max()))
+        return b"".join(map(known.__getitem__, (ids * 3 + signs).tolist()))[:-1]
+
+
+_SPELLED: list[bytes] = []
+
+
+def _spellings(most: int) -> list[bytes]:
+    """Every id up to the largest, followed by a comma, a bar and a semicolon."""
+    for i in range(len(_SPELLED) // 3, most + 1):
+        _SPELLED.extend(b"%d%c" % (i, c) for c in b",|;")
+    return _SPELLED
 
 
 class Aligner:
@@ -84,63 +111,44 @@ class Aligner:
 
     def __init__(self, path_a: str, path_b: str):
         from sentencepiece import SentencePieceProcessor
+        from tiktoken import Encoding
         from tokenizers import Tokenizer
 
-        # Spark runs a worker on every core already.
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.a = Tokenizer.from_file(path_a)
-        self.a.encode_special_tokens = True
+        letters, tokenizer = _letters(), Tokenizer.from_file(path_a)
+        vocabulary = tokenizer.get_vocab(with_added_tokens=False)
+        # Ids are given in the order of merges. Special tokens are left out, so that their strings are plain text.
+        special = {i for i, t in tokenizer.get_added_tokens_decoder().items() if t.special}
+        ranks = {bytes(map(letters.__getitem__, t)): i for t, i in vocabulary.items() if i not in special}
+        self.tokenizer, tokenizer.encode_special_tokens = tokenizer, True
+        self.a = Encoding("a", pat_str=_PARTED, mergeable_ranks=ranks, special_tokens={})
         self.b = SentencePieceProcessor(model_file=path_b)
-        letters = _letters()
-        self.bytes_a = {i: bytes(map(letters.__getitem__, token)) for token, i in self.a.get_vocab().items() if all(c in letters for c in token)}
+        self.bytes_a = [b""] * (max(ranks.values()) + 1)
+        for token, i in ranks.items():
+            self.bytes_a[i] = token
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        self.width = len(pieces)
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
-        spelled = [p.replace("▁", " ") for i, p in enumerate(pieces) if not self.b.is_byte(i)]
-        # No piece may reach over a cut, or words could not be encoded one by one.
-        self.parted = not any("\n" in p or re.search(r"\S ", p) for p in spelled)
-        self.blank = self.b.piece_to_id("▁")
-        self.words: dict[str, Aligned | None] = {}
-
-    def _b(self, word: str) -> list[int]:
-        """Ids of a word that begins with a space, which the tokenizer adds, or a line break, before which it must go."""
-        if word == " ":
-            return [self.blank]
-        return self.b.encode(word[1:]) if word[0] == " " else self.b.encode(word)[1:]
-
-    def _aligned(self, text: str, a: list[int], b: list[int]) -> Aligned | None:
-        """The alignment of a text, or nothing if either tokenizer does not spell it."""
-        if not all(i in self.bytes_a for i in a):
-            return None
-        spelled_a, spelled_b, raw = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b], text.encode()
-        if b"".join(spelled_a) != raw or b"".join(spelled_b) != raw:
-            return None
-        ends = (np.cumsum(np.fromiter(map(len, s), np.int64, len(s))) for s in (spelled_a, spelled_b))
-        return Aligned(a, b, *ends, self.width)
-
-    def _encoded(self, words: list[str]) -> list[Aligned | None]:
-        a = self.a.encode_batch_fast(words, add_special_tokens=False)
-        return [self._aligned(w, x.ids, self._b(w)) for w, x in zip(words, a)]
+        self.lengths = tuple(np.array([len(x) for x in table]) for table in (self.bytes_a, self.bytes_b))
+        self.kinds = tuple("<u2" if len(x) <= 1 << 16 else "<u4" for x in self.lengths)
+        self.width = len(pieces)
 
-    def parts(self, text: str | None) -> list[Aligned]:
-        """The alignments of a text's words in order; none if the text has no tokens."""
+    def ids(self, text: str | None) -> tuple[bytes, bytes] | None:
+        """A text's ids on either side, as little-endian numbers; nothing if it is empty or a vocabulary does not spell it."""
         if not text:
-            return []
+            return None
         whole = " " + text
-        if self.parted:
-            words = _WORD.findall(whole)
-            new = list(set(words).difference(self.words))
-            found = dict(zip(new, self._encoded(new)))
-            if len(self.words) > WORDS:
-                self.words = {w: self.words[w] for w in set(words).difference(found)}
-            known = self.words
-            kept = {w: x for w, x in found.items() if len(w) <= WORD_CHARS}
-            known.update(kept)
-            parts = [known[w] if w in known else found[w] for w in words] if len(kept) < len(found) else [*map(known.__getitem__, words)]
-            if None not in parts:
-                return parts
-        one = self._aligned(whole, self.a.encode(whole, add_special_tokens=False).ids, self.b.encode(text))
-        return [one] if one else []
+        # The faster encoder gives up on white space without end.
+        slow = len(text) > 20_000 and _BLANK.search(text)
+        a = self.tokenizer.encode(whole, add_special_tokens=False).ids if slow else self.a.encode_ordinary(whole)
+        b, raw = self.b.encode(text), whole.encode()
+        if b"".join(map(self.bytes_a.__getitem__, a)) != raw or b"".join(map(self.bytes_b.__getitem__, b)) != raw:
+            return None
+        return tuple(np.array(x, kind).tobytes() for x, kind in zip((a, b), self.kinds))
+
+    def align(self, a: bytes | None, b: bytes | None) -> Aligned | None:
+        if not a or not b:
+            return None
+        ids = [np.frombuffer(x, kind).astype(np.int64) for x, kind in zip((a, b), self.kinds)]
+        return Aligned(*ids, *(np.cumsum(n[x]) for n, x in zip(self.lengths, ids)))
 
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
@@ -154,11 +162,6 @@ def aligner(paths: tuple[str, str]) -> Aligner:
     return _ALIGNERS[paths]
 
 
-def _distinct(parts: list[Aligned]) -> np.ndarray:
-    each = {id(p): p.pairs for p in parts}
-    return np.unique(np.concatenate([*each.values()])) if each else np.empty(0, np.int64)
-
-
 # Mixes of 64 bits, fixed; a level of the hash turns the pair by its own odd number.
 _MIX_1, _MIX_2, _STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), 0x9E3779B97F4A7C15
 
@@ -181,17 +184,30 @@ def _gathered(waiting: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["bucket", "pair", "docs"])
 
 
+def _encoded(paths: tuple[str, str]) -> Callable:
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = aligner(paths)
+        for batch in it:
+            found = [of.ids(text.as_py()) or (None, None) for text in batch.column(1)]
+            sides = [pa.array([x[i] for x in found], pa.binary()) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *sides], names=["id", "a", "b"])
+
+    return batches
+
+
 def _first_pass(paths: tuple[str, str]) -> Callable:
     """Distinct pairs of the documents of a task, with how many of them hold each."""
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of, waiting, held = aligner(paths), [], 0
         for batch in it:
-            for text in batch.column(0):
-                pairs = _distinct(of.parts(text.as_py()))
-                waiting.append(pairs)
-                held += len(pairs)
-                if held > 8 * GATHERED:
+            for a, b in zip(batch.column(0), batch.column(1)):
+                one = of.align(a.as_py(), b.as_py())
+                if one is None:
+                    continue
+                waiting.append(np.unique(one.links(of.width)[0]))
+                held += len(waiting[-1])
+                if held > GATHERED:
                     yield _gathered(waiting)
                     waiting, held = [], 0
         if held:
@@ -361,23 +377,19 @@ class Counts:
                 out[mine] = counts[at]
         return out
 
-    def count(self, parts: list[Aligned]) -> None:
-        """Put the counts of their links to alignments that lack them."""
-        new = [*{id(p): p for p in parts if p.counted_by != self.name}.values()]
-        if not new:
-            return
-        pairs, links = (np.concatenate([getattr(p, c) for p in new]) for c in ("pairs", "links"))
+    def sums(self, links: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[int, int, int]]:
+        """(links, links whose count is their id's highest, counts of all links) for each text's links."""
+        pairs, often = (np.concatenate([x[i] for x in links]) for i in (0, 1))
         counts = self.look_up(pairs)
-        sums = np.concatenate([[0], np.cumsum(counts * links)])
         # A pair that other blocks hold has the count 0 here, and no id's highest is 0.
-        best = np.concatenate([[0], np.cumsum(links * (counts == self.best[pairs // self.width]))])
-        at = 0
-        for p in new:
-            to = at + len(p.pairs)
-            p.count_sum, p.n_best, p.counted_by, at = int(sums[to] - sums[at]), int(best[to] - best[at]), self.name, to
+        columns = (often, often * (counts == self.best[pairs // self.width]), often * counts)
+        ends = np.cumsum([len(x[0]) for x in links])
+        totals = [np.concatenate([[0], np.cumsum(c)]) for c in columns]
+        return [tuple(int(t[to] - t[to - len(x[0])]) for t in totals) for x, to in zip(links, ends)]
 
 
 _COUNTS: dict[str, Counts] = {}
+_NO_LINKS = np.empty(0, np.int64), np.empty(0, np.int64)
 
 _RESULT = "n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string, groups string"
 _NAMES = [x.split()[0] for x in _RESULT.split(", ")]
@@ -391,15 +403,24 @@ def _second_pass(paths: tuple[str, str], name: str, blocks: int, sent, with_grou
             _COUNTS[name] = Counts(name, blocks, *sent.value, of.width)
         counts = _COUNTS[name]
         for batch in it:
-            out = []
-            for text in batch.column(1):
-                parts = of.parts(text.as_py())
-                counts.count(parts)
-                spelled = ";".join([p.groups for p in parts])
-                numbers = (sum([getattr(p, c) for p in parts]) for c in _NAMES[:6])
-                out.append((*numbers, hashlib.sha256(spelled.encode()).hexdigest() if parts else "", spelled if with_groups else None))
+            out, sums, links, waiting = [], [], [], 0
+            for a, b in zip(batch.column(1), batch.column(2)):
+                one = of.align(a.as_py(), b.as_py())
+                if one is None:
+                    out.append([0, 0, 0, "", None])
+                    links.append(_NO_LINKS)
+                    continue
+                spelled = one.spelled()
+                out.append([len(one.a), len(one.b), one.n_groups, hashlib.sha256(spelled).hexdigest(), spelled.decode() if with_groups else None])
+                links.append(one.links(of.width))
+                waiting += len(links[-1][0])
+                if waiting > LOOKED_UP:
+                    sums += counts.sums(links)
+                    links, waiting = [], 0
+            sums += counts.sums(links) if links else []
+            rows = [(*x[:3], *y, *x[3:]) for x, y in zip(out, sums)]
             kinds = [pa.int64()] * 6 + [pa.string()] * 2
-            columns = [pa.array([row[i] for row in out], kind) for i, kind in enumerate(kinds)]
+            columns = [pa.array([row[i] for row in rows], kind) for i, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["id", *_NAMES])
 
     return batches
@@ -415,14 +436,16 @@ def aligned(docs: DataFrame, tokenizer_a: str, tokenizer_b: str, id: str = "doc_
     """
     spark, paths = docs.sparkSession, (tokenizer_a, tokenizer_b)
     rows = docs.select(docs[id].alias("id"), docs[text].alias("text"))
-    first = rows.select("text").mapInArrow(_first_pass(paths), "bucket long, pair long, docs long")
+    kind = rows.schema["id"].dataType.simpleString()
+    rows = written(rows.mapInArrow(_encoded(paths), f"id {kind}, a binary, b binary"), "ids", compression="zstd")
+    first = rows.select("a", "b").mapInArrow(_first_pass(paths), "bucket long, pair long, docs long")
     counts, blocks = counted(written(first, "aligned"))
     best = _best(counts, aligner(paths).width)
     turns, results = _turns(blocks), []
     for turn in turns:
         here = {r["block"]: (r["bits"], r["sizes"], r["pairs"], r["counts"]) for r in counts.where(F.col("block").between(*turn)).collect()}
         sent = spark.sparkContext.broadcast((here, best))
-        fields = f"id {rows.schema['id'].dataType.simpleString()}, {_RESULT}"
+        fields = f"id {kind}, {_RESULT}"
         results.append(rows.mapInArrow(_second_pass(paths, uuid.uuid4().hex, blocks, sent, with_groups), fields))
     if len(turns) == 1:
         return results[0]

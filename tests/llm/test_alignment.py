@@ -102,9 +102,29 @@ def test_empty_table_and_groups(spark):
 
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.one_of(st.sampled_from(WORDS), st.text(max_size=6), st.sampled_from([" ", "\n", "\t", "  ", "\r\n", "\x85"])), max_size=12).map("".join))
-def test_word_by_word_equals_whole_texts(text):
-    parts = alignment.aligner(PATHS).parts(text)
-    assert [g for p in parts for g in p.groups.split(";")] == [",".join(map(str, k)) + "|" + ",".join(map(str, m)) for k, m in groups(text)]
+def test_groups_equal_those_found_byte_by_byte(text):
+    of = alignment.aligner(PATHS)
+    one = of.align(*(of.ids(text) or (None, None)))
+    found = one.spelled().decode().split(";") if one else []
+    assert found == [",".join(map(str, k)) + "|" + ",".join(map(str, m)) for k, m in groups(text)]
+
+
+def test_long_groups_are_spelled_by_distinct_ids(monkeypatch):
+    """Ends that never meet: every pair of tokens is a link, and each pair of ids comes once."""
+    a, b = np.array([1, 2] * 300 + [3]), np.array([4] * 600 + [5])
+    one = alignment.Aligned(a, b, np.append(np.arange(2, 1202, 2), 1205), np.append(np.arange(1, 1201, 2), 1205))
+    pairs, often = one.links(10)
+    assert one.n_groups == 1 and len(pairs) == 6 and often.sum() == 601 * 601
+    monkeypatch.setattr(alignment, "LARGE_GROUP", 1 << 40)
+    whole, ones = one.links(10)
+    assert Counter(dict(zip(pairs.tolist(), often.tolist()))) == Counter(whole.tolist()) and ones.sum() == often.sum()
+
+
+def test_very_long_texts():
+    of = alignment.aligner(PATHS)
+    for text in ("x" * 300_000, " " * 1_000_000 + "x", "\n" * 300_000, "ha" * 200_000):
+        one = of.align(*of.ids(text))
+        assert one.a.tolist() == A.encode(" " + text, add_special_tokens=False).ids and one.b.tolist() == B.encode(text)
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 1000, 30_000])
