@@ -5,6 +5,7 @@ from ferry.operators.preflight import missing_lakes, problems, profile, writable
 from ferry.operators.reconciling import (
     align,
     reconcile,
+    reconcile_appended,
     reconcile_cells,
     reconcile_rows,
     rows_if_equal,
@@ -25,6 +26,7 @@ __all__ = [
     "profile",
     "read_events",
     "reconcile",
+    "reconcile_appended",
     "reconcile_cells",
     "reconcile_rows",
     "rows_if_equal",

@@ -17,12 +17,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ferry.functions.credentials import strip_url, without_secrets
 from ferry.operators.activity import ABANDONED, FAILED, LANDED, STARTED, SUCCESS, ActivityLog
 from ferry.operators.preflight import problems, writable
-from ferry.operators.reconciling import reconcile, rows_if_equal
+from ferry.operators.reconciling import reconcile, reconcile_appended, rows_if_equal
 from ferry.operators.shape import constrain, day_bucket
 from ferry.operators.upserts import DuplicateKeys, require_unique
 from ferry.plans.control import expand_control
 from ferry.plans.transfer import Archive, DatabaseMerge, Plan, Route, Transfer, Upsert
 from ferry.sinks.landing import BUCKET, Landing, SelfOverwrite, land, read_landing
+from ferry.sinks.ledger import GIVEN_UP, MERGED, STAGED, MergeLedger
 from ferry.sinks.masters import land_master, land_partitions
 from ferry.sources import files, jdbc
 from ferry.sources.lake import Lake
@@ -219,6 +220,7 @@ def _transfer(
         if isinstance(merge, Upsert):
             # Staged rows get a directory per run, so that none are overwritten unmerged.
             destination = _with_runs(destination)
+            MergeLedger(spark, destination, item.destination).stage(run_id, df.schema)
         landing = land(
             df,
             destination,
@@ -299,12 +301,14 @@ def _merge_files(
     """Write the next version of a master beside the current one, then commit it.
 
     Rows of earlier runs that landed but were not merged come first. Until the commit event
-    (without a log, the completion marker of the files) readers see the current version.
+    (without a log, the completion marker of the files) readers see the current version. Then the staging table's
+    ledger is told which runs the version has merged.
     """
     master_lake = replace(lake, snapshots=True, write_mode="overwrite")
     schema = read_landing(spark, lake, landing).schema
-    frames = _leftovers(spark, lake, table, merge, landing, schema, activity, start)
-    frames.append(read_landing(spark, lake, landing))
+    ledger = MergeLedger(spark, lake, table)
+    leftovers = _leftovers(spark, lake, table, merge, landing, schema, activity, start, ledger)
+    frames = [*leftovers.values(), read_landing(spark, lake, landing)]
     keys, run_id = list(merge.keys), landing.run_id + _MASTER
     how = {
         "on_match": merge.on_match,
@@ -333,6 +337,7 @@ def _merge_files(
             if merge.partition is None:
                 files.uncommit(spark, version.path)
             raise
+    ledger.close([*leftovers, landing.run_id], MERGED, version.run_id)
 
 
 def _with_runs(lake: Lake) -> Lake:
@@ -369,35 +374,38 @@ def _leftovers(
     schema: T.StructType,
     activity: ActivityLog | None,
     start: datetime,
-) -> list[DataFrame]:
-    """What earlier runs landed and could not merge, oldest first.
+    ledger: MergeLedger,
+) -> dict[str, DataFrame]:
+    """What earlier runs landed and could not merge, by run, oldest first.
 
-    What can never be merged, since it has rows of one key, is given up and named, so that it does
-    not stop the runs after it.
+    The staging table's ledger says so. What landed before there was one is found by the log or, without a log, by the
+    run that the master names as merged last. What can never be merged, since it has rows of one key, is given up and
+    named, so that it does not stop the runs after it.
     """
-    logged = [Landing(**json.loads(x)) for x in activity.leftovers(table, lake.name)] if activity else []
-    # This run's own landing is open as well until it succeeds.
-    open_runs = [(x.run_id, read_landing(spark, lake, x)) for x in logged if x.run_id != landing.run_id]
-    if not activity:
-        # Without a log the master says which run it was made from.
-        path = lake.path(merge.master)
-        if merge.partition is not None:
-            merged = files.merged_last(spark, path)
-        else:
-            current = files.latest_run(spark, path)
-            merged = files.run_id(current).removesuffix(_MASTER) if current else None
-        newer = files.runs_since(spark, lake.path(table), merged) if merged else []
-        open_runs = [
-            (files.run_id(r), read_files(spark, lake, r, schema)) for r in newer if files.run_id(r) != landing.run_id
-        ]
-    frames = []
-    for run_id, frame in open_runs:
+    states = ledger.states()
+    path, since = lake.path(merge.master), None
+    if merge.partition is not None:
+        since = files.merged_last(spark, path)
+    else:
+        current = files.latest_run(spark, path)
+        since = files.run_id(current).removesuffix(_MASTER) if current else None
+    open_runs = {
+        run: read_files(spark, lake, place, types or schema)
+        for run, (place, types) in ledger.open_runs(landing.run_id, since).items()
+    }
+    if activity and not any(state != STAGED for state in states.values()):
+        logged = [Landing(**json.loads(x)) for x in activity.leftovers(table, lake.name)]
+        # This run's own landing is open as well until it succeeds.
+        open_runs |= {x.run_id: read_landing(spark, lake, x) for x in logged if x.run_id != landing.run_id}
+    frames = {}
+    for run_id, frame in sorted(open_runs.items()):
         try:
             if not merge.order_by:
                 require_unique(frame, list(merge.keys))
-            frames.append(frame)
+            frames[run_id] = frame
         except DuplicateKeys as e:
             log.warning("run %s of %s is given up: %s", run_id, table, e)
+            ledger.close([run_id], GIVEN_UP)
             if activity:
                 activity.record(table, start, ABANDONED, run_id=run_id, error=e)
     return frames
@@ -462,8 +470,8 @@ def reconcile_run(
 ) -> DataFrame:
     """Read both sides of every landing again and compare all rows: one row per landing.
 
-    Of an archive the days at hand are compared, and rows that were there before an append are left out
-    of the counts. Each comparison is recorded like a run of its own: FAILED if rows differ or cannot be
+    Of an archive the days at hand are compared. Rows that were there before an append are left out
+    of the counts, by what they added up to then (or, in a lake that is not anchored, by their number). Each comparison is recorded like a run of its own: FAILED if rows differ or cannot be
     read; what cannot be read is raised when all others are done. ``split`` reads landed database
     tables in parallel. Only the four counts of a comparison come to the driver.
     """
@@ -484,22 +492,28 @@ def reconcile_run(
         try:
             src = source_frame(spark, source, one.item)
             dst = read_landing(spark, destination, one.landing, split)
-            if isinstance(one.item, Archive) and not destination.is_jdbc:
-                # Other days stay when an archive is run again; they are not this run's.
-                days = src.select(F.col(BUCKET).alias("__day")).distinct()
-                dst = dst.join(days, F.col(BUCKET).eqNullSafe(F.col("__day")), "left_semi")
-            same = rows_if_equal(src, dst, by_position)
-            found = (same, same, 0, 0) if same is not None else reconcile(src, dst, by_position).first()
-            src_rows, dst_rows, missing, extra = found
-            # Rows that were there before an append are no surplus.
-            before = min(one.landing.rows_before, extra)
-            counts = (src_rows, dst_rows - before, missing, extra - before)
+            landing = one.landing
+            if landing.anchor:
+                counts = reconcile_appended(src, dst, landing.anchor, by_position)
+            else:
+                if isinstance(one.item, Archive) and not destination.is_jdbc and not landing.rows_before:
+                    # Other days stay when an archive is run again; they are not this run's.
+                    days = src.select(F.col(BUCKET).alias("__day")).distinct()
+                    dst = dst.join(days, F.col(BUCKET).eqNullSafe(F.col("__day")), "left_semi")
+                same = rows_if_equal(src, dst, by_position) if not landing.rows_before else None
+                found = (same, same, 0, 0) if same is not None else reconcile(src, dst, by_position).first()
+                src_rows, dst_rows, missing, extra = found
+                # Rows that were there before an append are no surplus, and stand in for none that are lost.
+                dst_rows -= landing.rows_before
+                missing = max(missing, src_rows - dst_rows)
+                counts = (src_rows, dst_rows, missing, dst_rows - src_rows + missing)
+            missing, extra = counts[2:]
         except Exception as e:
             log.exception("%s in lake %s cannot be compared", one.landing.name, destination.name)
             record(FAILED, error=e)
             return e
-        if missing or extra - before:
-            record(FAILED, error=ValueError(f"{missing} missing, {extra - before} extra"))
+        if missing or extra:
+            record(FAILED, error=ValueError(f"{missing} missing, {extra} extra"))
         else:
             record(SUCCESS)
         seconds = time.monotonic() - began

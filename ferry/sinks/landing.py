@@ -6,12 +6,14 @@ import json
 import logging
 import re
 import time
-from collections.abc import Sequence
-from dataclasses import asdict, dataclass, replace
+from collections.abc import Mapping, Sequence
+from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ferry.functions.columns import backticked, column, comparable
+from ferry.operators.reconciling import align, parts
+from ferry.sinks import days
 from ferry.sources import files, jdbc
 from ferry.sources.lake import Lake, has_text
 from ferry.sources.scans import escape_nulls, read_files, scan
@@ -43,12 +45,14 @@ class Landing:
     run_id: str
     # Rows that were there before and stayed, where rows were appended.
     rows_before: int = 0
+    # What those rows add up to, part by part; not logged.
+    anchor: Mapping[int, tuple[int, int, int]] | None = field(default=None, repr=False)
 
     def to_log(self, lake: Lake) -> str:
         """As JSON that says where in the lake, not where the lake is: its url may hold credentials."""
         base = lake.path()
         path = _LAKE + self.path.removeprefix(base) if not lake.is_jdbc and self.path.startswith(base) else self.path
-        return json.dumps(asdict(replace(self, path=path)))
+        return json.dumps({k: v for k, v in asdict(replace(self, path=path, anchor=None)).items() if k != "anchor"})
 
     def place(self, lake: Lake) -> str:
         return lake.path() + self.path.removeprefix(_LAKE) if self.path.startswith(_LAKE) else self.path
@@ -77,13 +81,13 @@ def land(
     ``mode`` defaults to the lake's write mode and holds for files as well as databases. Lakes
     with snapshots write a new run directory, which replaces the former ones for readers.
 
-    ``bucket`` partitions files by that column. Rows are first brought together by day, with
-    adaptive execution cutting days that outgrow a partition and joining small ones;
-    ``cluster=False`` skips that shuffle for input already in day order. Overwriting a
+    ``bucket`` partitions files by that column. Rows are first brought together by day, by a plan of
+    tasks made from the number of rows of each day: days that outgrow a task are cut, small ones are spread over all cores
+    (what is no plain scan is left to adaptive execution). ``cluster=False`` skips that shuffle for input already in day order. Overwriting a
     bucketed landing replaces only the days at hand unless ``keep_other_days`` is off.
 
-    Without adaptive execution the size of a day is not known, so every day is cut into ``tasks_per_day``
-    parts, by default four for each partition of the input: one day may be all of it.
+    ``tasks_per_day`` cuts every day into as many parts instead. Without it and without adaptive execution, what is no plain
+    scan has four for each partition of the input: one day may be all of it.
 
     ``files_per_table`` forces a number of files; 1 puts everything through one task.
     """
@@ -92,9 +96,9 @@ def land(
     if lake.snapshots and mode != "overwrite":
         raise ValueError(f"lake {lake.name}: snapshots replace, they do not {mode}")
     started = time.monotonic()
-    schema, before = df.schema, 0
+    schema, before, anchor = df.schema, 0, None
     if mode == "append":
-        before = _rows_there(df.sparkSession, lake, name)
+        before, anchor = _rows_there(df, lake, name)
     if lake.is_jdbc:
         path, rows = name, _to_database(df, lake, name, mode, column_types, run_id)
     else:
@@ -107,7 +111,7 @@ def land(
                 [f for f in schema.fields if f.name != bucket] + [schema[bucket]]
             )
     return Landing(
-        lake.name, name, path, lake.format, schema.json(), rows, time.monotonic() - started, run_id, before
+        lake.name, name, path, lake.format, schema.json(), rows, time.monotonic() - started, run_id, before, anchor
     )
 
 
@@ -125,13 +129,23 @@ def read_landing(
     return read_files(spark, lake, landing.place(lake), schema)
 
 
-def _rows_there(spark: SparkSession, lake: Lake, name: str) -> int:
-    """How many rows a table holds: a count in the database, or of the files' own row counts."""
-    if lake.is_jdbc:
-        return jdbc.count(spark, lake, name) if jdbc.table_exists(spark, lake, name) else 0
-    if not files.children(spark, lake.path(name)):
-        return 0
-    return read_files(spark, lake, lake.path(name)).count()
+def _rows_there(df: DataFrame, lake: Lake, name: str) -> tuple[int, Mapping[int, tuple[int, int, int]] | None]:
+    """How many rows a table holds before ``df`` is appended and, in an anchored lake, what they add up to.
+
+    Without an anchor this is a count in the database, or of the files' own row counts.
+    """
+    spark = df.sparkSession
+    if not (jdbc.table_exists(spark, lake, name) if lake.is_jdbc else files.children(spark, lake.path(name))):
+        return 0, {}
+    if lake.anchored:
+        held = scan(spark, lake, name) if lake.is_jdbc else read_files(spark, lake, lake.path(name), df.schema)
+        try:
+            sums = parts(align(held, df.schema))
+        except ValueError as e:
+            log.warning("%s in lake %s is counted only: %s", name, lake.name, e)
+        else:
+            return sum(n for n, _, _ in sums.values()), sums
+    return jdbc.count(spark, lake, name) if lake.is_jdbc else read_files(spark, lake, lake.path(name)).count(), None
 
 
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
@@ -189,9 +203,19 @@ def _not_empty(bucket: str) -> Column:
     return F.when(column(bucket) == "", F.raise_error(why)).otherwise(column(bucket))
 
 
+# What is read again at the cost of a scan. Anything else is computed once.
+_SCANNED = {"Project", "Filter", "SubqueryAlias", "View", "LogicalRelation", "LogicalRDD", "LocalRelation", "Range", "Union"}
+
+
 def _by_day(df: DataFrame, bucket: str, parts: int | None) -> DataFrame:
-    """Bring the rows of a day together, but never more than a task should write."""
-    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+    """Bring the rows of a day together, but never more than a task should write, nor many days into one task.
+
+    Tasks are planned from the rows of each day, which are counted first. What comes from joins or aggregates would be
+    computed twice for that: there adaptive execution joins small days and cuts large ones.
+    """
+    if parts is None and _only_scans(df):
+        return days.by_partition(df, bucket)
+    if parts is None and df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
         return df.hint("rebalance", column(bucket))
     row = [column(f.name) for f in df.schema.fields if comparable(f.dataType)]
     # More parts than tasks, so that hashing them deals evenly.
@@ -199,6 +223,18 @@ def _by_day(df: DataFrame, bucket: str, parts: int | None) -> DataFrame:
     return df.repartition(column(bucket), F.pmod(F.xxhash64(*row), F.lit(parts)))
 
 
+def _only_scans(df: DataFrame) -> bool:
+    waiting = [df._jdf.queryExecution().optimizedPlan()]
+    while waiting:
+        node = waiting.pop()
+        if node.nodeName() not in _SCANNED and not node.nodeName().startswith("Relation"):
+            return False
+        below = node.children().iterator()
+        while below.hasNext():
+            waiting.append(below.next())
+    return True
+
+
 def fits_csv(dtype: T.DataType) -> bool:
     return not isinstance(
         dtype, (T.ArrayType, T.MapType, T.StructType, T.BinaryType, T.NullType, T.VariantType)
@@ -208,12 +244,13 @@ def fits_csv(dtype: T.DataType) -> bool:
 def _to_database(
     df: DataFrame, lake: Lake, table: str, mode: str, column_types: str | None, run_id: str
 ) -> int | None:
-    """Write a table so that a task that ran twice cannot leave its rows twice.
+    """Write a table so that a task that ran twice cannot leave its rows twice, and old rows go last.
 
     Each task commits on its own, and one that is lost after its commit runs again. So the
-    rows are counted in the database, and written again if they are too many. Appended rows,
-    and replacing ones if the lake is atomic, first go to a table of their own, from which a
-    single transaction moves them over.
+    rows are counted in the database, and written again if they are too many. Where a table is there, they
+    first go to one of their own beside it: its rows may be read by the very scan that replaces them, through a view
+    or a synonym. Only when all staged rows are proven to be there they take the place of the old ones, or are
+    added to them, in one step that counts them again.
     """
     spark = df.sparkSession
     there = jdbc.table_exists(spark, lake, table)
@@ -221,21 +258,20 @@ def _to_database(
         return None
     if there and mode in ("error", "errorifexists"):
         raise FileExistsError(f"table {table} in lake {lake.name} exists")
-    if there and (mode == "append" or lake.atomic):
-        stage = jdbc.beside(table, f"_{re.sub(r'\W', '', run_id)[-16:]}")
-        try:
-            rows = _write_table(df, lake, stage, column_types)
-            held = {c.lower(): c for c in jdbc.read(spark, lake, table, jdbc.WHOLE).columns}
-            into = ", ".join(jdbc.quote(spark, lake, held[c.lower()]) for c in df.columns)
-            names = ", ".join(jdbc.quote(spark, lake, c) for c in df.columns)
-            empty = [] if mode == "append" else [f"DELETE FROM {table}"]
-            move = f"INSERT INTO {table} ({into}) SELECT {names} FROM {stage}"
-            jdbc.execute(spark, lake, [*empty, move])
-        finally:
-            if jdbc.table_exists(spark, lake, stage):
-                jdbc.execute(spark, lake, [f"DROP TABLE {stage}"])
-        return rows
-    return _write_table(df, lake, table, column_types)
+    if not there:
+        return _write_table(df, lake, table, column_types)
+    stage = jdbc.beside(table, f"_{re.sub(r'\W', '', run_id)[-16:]}")
+    keeps_definition = mode == "append" or lake.atomic or str(lake.options.get("truncate", "")).lower() == "true"
+    try:
+        rows = _write_table(df, lake, stage, column_types)
+        if keeps_definition:
+            jdbc.move(spark, lake, stage, table, df.columns, rows, keep=mode == "append")
+        else:
+            jdbc.swap(spark, lake, stage, table, df.columns, rows)
+    finally:
+        if jdbc.table_exists(spark, lake, stage):
+            jdbc.execute(spark, lake, [f"DROP TABLE {stage}"])
+    return rows
 
 
 def _write_table(df: DataFrame, lake: Lake, table: str, column_types: str | None) -> int:
@@ -248,7 +284,6 @@ def _write_table(df: DataFrame, lake: Lake, table: str, column_types: str | None
     for _ in range(_ATTEMPTS):
         # Dealt anew rather than merged into fewer tasks, which would hold for the source's scan as well.
         counted, seen = _counted(df.repartition(limit) if df.rdd.getNumPartitions() > limit else df)
-        # With "truncate" in the lake's options a table keeps its definition when overwritten.
         writer = counted.write.format("jdbc").options(**options).option("dbtable", table)
         writer.mode("overwrite").save()
         rows = seen.get["rows"]

@@ -83,6 +83,42 @@ def runs_since(spark: SparkSession, path: str, last: str) -> list[str]:
     return [r for r in _runs(spark, path) if run_id(r) > last and _completed(spark, r)]
 
 
+def completed_runs(spark: SparkSession, path: str) -> dict[str, str]:
+    """Run → directory of every completed run, oldest first."""
+    return {run_id(r): r for r in _runs(spark, path) if _completed(spark, r)}
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """The names of all entries directly below a directory, hidden ones too."""
+    fs, p = _open(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, replaced if it is there."""
+    fs, p = _open(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _open(spark, path)
+    into = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(into, "UTF-8")
+    finally:
+        into.close()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete one file, if it is there."""
+    fs, p = _open(spark, path)
+    fs.delete(p, False)
+
+
 def uncommit(spark: SparkSession, run: str) -> None:
     """Take back a run's completion, so that readers go on with the former one."""
     fs, p = _open(spark, join_uri(run, "_SUCCESS"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import logging
 import re
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
@@ -12,9 +13,11 @@ from math import ceil, floor
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
-from ferry.functions.credentials import strip_url
+from ferry.functions.credentials import strip_url, without_secrets
 from ferry.sources.lake import Lake
 
+log = logging.getLogger(__name__)
+
 # A histogram this fine per partition keeps equal-count ranges within a few percent.
 _BINS_PER_PARTITION = 64
 _MAX_BINS = 8192
@@ -274,20 +277,72 @@ def tables(spark: SparkSession, lake: Lake, schema: str | None = None) -> list[t
     return sorted(names)
 
 
-def execute(spark: SparkSession, lake: Lake, statements: Sequence[str]) -> None:
-    """Run statements inside the database as one transaction."""
+class Miscounted(RuntimeError):
+    """A statement touched another number of rows than were sent; nothing was committed."""
+
+
+def execute(spark: SparkSession, lake: Lake, statements: Sequence[str], rows: int | None = None) -> None:
+    """Run statements inside the database as one transaction; with ``rows`` the last must touch as many."""
     with _connection(spark, lake) as connection:
         connection.setAutoCommit(False)
         try:
             statement = connection.createStatement()
             for sql in statements:
                 statement.execute(sql)
+            touched = statement.getUpdateCount()
+            if rows is not None and touched != rows:
+                raise Miscounted(f"{touched} rows in place of {rows}: {statements[-1]}")
             connection.commit()
         except Exception:
             connection.rollback()
             raise
 
 
+def move(spark: SparkSession, lake: Lake, stage: str, table: str, names: Sequence[str], rows: int, keep: bool) -> None:
+    """Add the staged rows to a table, or put them in place of its own unless ``keep``, all or none.
+
+    The table keeps its definition, and views and synonyms of it go on. Columns are matched by name.
+    """
+    held = {c.lower(): c for c in read(spark, lake, table, WHOLE).columns}
+    lacking = [c for c in names if c.lower() not in held]
+    if lacking:
+        raise ValueError(f"table {table} has no columns {lacking}")
+    into = ", ".join(quote(spark, lake, held[c.lower()]) for c in names)
+    given = ", ".join(quote(spark, lake, c) for c in names)
+    empty = [] if keep else [f"DELETE FROM {table}"]
+    execute(spark, lake, [*empty, f"INSERT INTO {table} ({into}) SELECT {given} FROM {stage}"], rows)
+
+
+def swap(spark: SparkSession, lake: Lake, stage: str, table: str, names: Sequence[str], rows: int) -> None:
+    """Put a staged table in a table's place, with the staged definition.
+
+    The old table steps aside under another name and goes last, so at every moment one of the two is there whole, also in
+    databases where such statements are no transaction. What the database does not let go, since a view reads it or
+    since the name is a view or synonym itself, keeps its definition and gets the staged rows, all or none.
+    """
+    aside = beside(table, f"_{hashlib.blake2b(stage.encode(), digest_size=5).hexdigest()}")
+    try:
+        execute(spark, lake, [_rename(lake, table, aside), _rename(lake, stage, table), f"DROP TABLE {aside}"])
+    except Exception as refused:
+        if not table_exists(spark, lake, table) and table_exists(spark, lake, aside):
+            execute(spark, lake, [_rename(lake, aside, table)])
+        if not table_exists(spark, lake, stage):
+            # The staged table has its place, and only the old one could not be dropped.
+            log.warning("table %s is replaced, %s remains: %s", table, aside, without_secrets(str(refused).splitlines()[0]))
+            return
+        move(spark, lake, stage, table, names, rows, keep=False)
+
+
+def _rename(lake: Lake, table: str, to: str) -> str:
+    """How databases rename a table; the new name stays in the schema."""
+    bare = _parts(to)[-1]
+    if lake.url.startswith("jdbc:derby:"):
+        return f"RENAME TABLE {table} TO {bare}"
+    if lake.url.startswith("jdbc:sqlserver:"):
+        return f"EXEC sp_rename '{table}', '{bare.strip(chr(34))}'"
+    return f"ALTER TABLE {table} RENAME TO {bare}"
+
+
 # Holds for every staging table, by the hash of its name, which landing is in it and which was merged.
 _MERGES = "ferry_merges"
 

@@ -64,8 +64,11 @@ class Lake:
     it off for large foreign files without them, which then can be split between tasks.
 
     ``max_connections`` limits how many tasks write to a database at once, and how many read a
-    table that has a primary key to split it by. ``atomic`` overwrites a database table in one
-    transaction, which keeps its definition and, until the new rows are there, its old ones.
+    table that has a primary key to split it by. Overwriting a database table writes the new rows beside the old ones,
+    which go when all are there; ``atomic`` then moves them over in one transaction, which keeps the table's definition.
+
+    ``anchored`` reads a table before rows are appended to it, so that a comparison can tell the new rows from equal ones that were
+    there; without it they are only counted.
     """
 
     name: str
@@ -84,6 +87,7 @@ class Lake:
     multiline: bool = True
     max_connections: int = DEFAULT_CONNECTIONS
     atomic: bool = False
+    anchored: bool = True
     options: Mapping[str, str] = field(default_factory=dict, repr=False)
 
     def __post_init__(self) -> None:

@@ -58,10 +58,37 @@ def read_files(
     reader = spark.read.format(lake.format).options(**lake.read_options(schema))
     if schema is not None:
         reader = reader.schema(schema)
-    df = reader.load(path)
+    with _few_listing_tasks(spark):
+        df = reader.load(path)
     return unescape_nulls(df) if lake.format == "csv" and lake.dialect == "lossless" else df
 
 
+# Directories are listed by so many tasks a core; Spark's own default is one task a directory.
+_LISTING_TASKS = 4
+_LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+_listing_lock = Lock()
+_listing: list[str] = []
+
+
+@contextmanager
+def _few_listing_tasks(spark: SparkSession) -> Iterator[None]:
+    """List directories by a few tasks with many each while a table is opened; the session's own setting comes back.
+
+    The setting is the session's, so threads that open tables at the same time share it: the first keeps what it
+    was, the last puts it back. It decides how many tasks there are, never what they find.
+    """
+    with _listing_lock:
+        _listing.append(spark.conf.get(_LISTING, "10000") if not _listing else _listing[0])
+        spark.conf.set(_LISTING, str(min(int(_listing[0]), _LISTING_TASKS * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        with _listing_lock:
+            before = _listing.pop()
+            if not _listing:
+                spark.conf.set(_LISTING, before)
+
+
 # Null is written as \N, so text that reads \N itself carries one more backslash.
 def _rewrite_text(df: DataFrame, rewrite) -> DataFrame:
     def each(f: T.StructField) -> Column:

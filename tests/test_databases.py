@@ -7,6 +7,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from ferry.operators import reconcile, writable
+from ferry.plans import Plan, Route, Transfer, run
 from ferry.sinks import land, read_landing
 from ferry.sources import jdbc, scan
 from ferry.sources.jdbc import Split
@@ -173,3 +174,60 @@ def test_tables_are_read_in_parallel(spark, db):
         land(rows_, db, table, mode="append")
         assert jdbc.unique_indexes(spark, db, table) == ([["id"]] if index else [])
         assert len(sizes(scan(spark, few, table))) == 4 and scan(spark, few, table).distinct().count() == 1000
+
+
+WAYS = {"plain": {}, "truncate": {"options": {"truncate": "true"}}, "atomic": {"atomic": True}}
+
+
+@pytest.mark.parametrize("way", WAYS)
+@pytest.mark.parametrize("via", ["view", "synonym", "subselect"])
+def test_overwriting_through_other_names_keeps_the_rows(spark, db, way, via):
+    table, shown = fresh("t").upper(), fresh("shown").upper()
+    land(spark.range(7), db, table)
+    of = f'VIEW {shown} AS SELECT * FROM {table} WHERE "id" > 2' if via != "synonym" else f"SYNONYM {shown} FOR {table}"
+    jdbc.execute(spark, db, [f"CREATE {of}"])
+    source = f"( select * from {shown} ) x" if via == "subselect" else shown
+    to = replace(db, name="to", **WAYS[way])
+    run(spark, Plan("p", (db, to), (Route(db.name, "to", (Transfer(source, table),)),)))
+    assert rows(scan(spark, db, table)) == [(i,) for i in range(0 if via == "synonym" else 3, 7)]
+    assert rows(scan(spark, db, shown)) == rows(scan(spark, db, table))
+
+
+@pytest.mark.parametrize("way", WAYS)
+def test_a_failed_overwrite_leaves_the_old_rows_and_no_other_table(spark, db, way, monkeypatch):
+    table, to = fresh("t").upper(), replace(db, **WAYS[way])
+    land(spark.range(3), db, table)
+    before = jdbc.tables(spark, db)
+    broken = spark.range(9).select(F.when(F.col("id") == 8, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        land(broken, to, table)
+    # Staged rows that cannot be proven to be whole never take the place of the old ones.
+    with monkeypatch.context() as m:
+        real = jdbc.count
+        m.setattr(jdbc, "count", lambda *a: real(*a) - 1)
+        with pytest.raises(RuntimeError, match="wrote 9 rows, found 8"):
+            land(spark.range(9), to, table)
+    # Nor do rows that get lost on the way over.
+    if way != "plain":
+        with monkeypatch.context() as m:
+            real_move = jdbc.move
+            m.setattr(jdbc, "move", lambda *a, **k: real_move(*a[:5], a[5] + 1, **k))
+            with pytest.raises(jdbc.Miscounted):
+                land(spark.range(9), to, table)
+    assert rows(scan(spark, db, table)) == [(0,), (1,), (2,)] and jdbc.tables(spark, db) == before
+
+
+def test_a_plain_overwrite_brings_its_own_definition(spark, db):
+    table = fresh("t")
+    land(spark.range(3), db, table)
+    land(spark.sql("select 1.5D as x, 'a' as y"), db, table)
+    assert scan(spark, db, table).columns == ["x", "y"] and rows(scan(spark, db, table)) == [(1.5, "a")]
+
+
+def test_an_overwrite_that_fits_no_view_is_refused_with_the_rows_left(spark, db):
+    table, view = fresh("t").upper(), fresh("v").upper()
+    land(spark.range(3), db, table)
+    jdbc.execute(spark, db, [f"CREATE VIEW {view} AS SELECT * FROM {table}"])
+    with pytest.raises(ValueError, match="has no columns"):
+        land(spark.sql("select 1 as other"), db, table)
+    assert scan(spark, db, view).count() == 3

@@ -13,6 +13,7 @@ from ferry.functions.credentials import strip_url
 from ferry.operators import ActivityLog
 from ferry.plans import Archive, DatabaseMerge, Plan, ReconcileFailed, Route, Transfer, TransferFailed, Upsert, every_table, reconcile_run, run
 from ferry.sinks import SelfOverwrite, land, read_landing
+from ferry.sinks.ledger import MergeLedger
 from ferry.sources import Lake, jdbc, scan
 from queries.registry import fresh
 
@@ -247,3 +248,61 @@ def test_a_driver_that_refuses_the_url_says_so(spark, db):
     wrong = replace(db, url="jdbc:postgresql://u:pw@h/db")
     with pytest.raises(ValueError, match="does not accept jdbc:postgresql://h/db"):
         jdbc.table_exists(spark, wrong, "t")
+
+
+@pytest.mark.parametrize("log", [False, True])
+@pytest.mark.parametrize("partition", [None, "k"])
+@pytest.mark.parametrize("fmt", ["orc", "csv"])
+def test_leftovers_of_the_first_runs_are_merged(spark, lake, staged, log, partition, fmt, monkeypatch):
+    """No master was ever made, and two runs were cut off; a landing that nobody noted is the third."""
+    import ferry.plans.runner as runner
+
+    to = lake(fmt, "to", activity_log=log)
+    item = replace(MERGE, merge=replace(MERGE.merge, partition=partition))
+    with monkeypatch.context() as m:
+        m.setattr(runner, "_merge_files", lambda *a, **k: (_ for _ in ()).throw(OSError("cut off")))
+        for data in ([(9, 1), (8, 1)], [(9, 2)]):
+            with pytest.raises(TransferFailed, match="cut off"):
+                go(spark, staged(data), to, [item])
+    land(spark.createDataFrame([(7, 7)], "k int, v int"), to, "staging")
+    go(spark, staged([(1, 1)]), to, [item])
+    assert sorted((int(r.k), int(r.v)) for r in scan(spark, to, "master").collect()) == [(1, 1), (7, 7), (8, 1), (9, 2)]
+    states = MergeLedger(spark, to, "staging").states()
+    assert sorted(states.values()) == ["merged"] * 4
+    # Nothing is merged again over what a later run brought.
+    go(spark, staged([(9, 3)]), to, [item])
+    go(spark, staged([(8, 3)]), to, [item])
+    assert sorted((int(r.k), int(r.v)) for r in scan(spark, to, "master").collect()) == [(1, 1), (7, 7), (8, 3), (9, 3)]
+
+
+def test_a_lost_log_does_not_lose_leftovers(spark, lake, staged, monkeypatch):
+    """What the log could not record is known by the ledger."""
+    import ferry.plans.runner as runner
+
+    to = lake(name="to", activity_log=True)
+    go(spark, staged([(1, 1)]), to, [MERGE])
+    with monkeypatch.context() as m:
+        m.setattr(ActivityLog, "record", lambda *a, **k: None)
+        m.setattr(runner, "_merge_files", lambda *a, **k: (_ for _ in ()).throw(OSError("cut off")))
+        with pytest.raises(TransferFailed, match="cut off"):
+            go(spark, staged([(2, 2)]), to, [MERGE])
+    go(spark, staged([(3, 3)]), to, [MERGE])
+    assert rows(scan(spark, to, "master")) == [(1, 1), (2, 2), (3, 3)]
+
+
+@pytest.mark.parametrize("anchored", [True, False])
+@pytest.mark.parametrize("kind", ["orc", "jdbc"])
+def test_a_lost_row_that_equals_an_earlier_one_is_missing(spark, lake, db, staged, kind, anchored):
+    source, name = staged([(1, 1), (2, 2)]), fresh("landed")
+    to = replace(db, name="to", write_mode="append", anchored=anchored) if kind == "jdbc" else lake(name="to", write_mode="append", anchored=anchored)
+    plan = Plan("p", (source, to), (Route("source", "to", (Transfer("t", name),)),))
+    run(spark, plan)
+    done = run(spark, plan)
+    whole = reconcile_run(spark, plan, done).first()
+    assert (whole["src_rows"], whole["dst_rows"], whole["missing"], whole["extra"]) == (2, 2, 0, 0)
+    left = read_landing(spark, to, done.landed[0].landing).collect()[:-1]
+    less = spark.createDataFrame(left, "k int, v int")
+    other = land(less, replace(to, write_mode="overwrite"), name + "_less")
+    done.landed[0].landing = replace(done.landed[0].landing, path=other.path)
+    found = reconcile_run(spark, plan, done).first()
+    assert (found["src_rows"], found["dst_rows"], found["missing"], found["extra"]) == (2, 1, 1, 0)

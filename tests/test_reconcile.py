@@ -7,7 +7,8 @@ from conftest import rows
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from ferry.operators import align, reconcile, reconcile_cells, reconcile_rows, rows_if_equal
+from ferry.operators import align, reconcile, reconcile_appended, reconcile_cells, reconcile_rows, rows_if_equal
+from ferry.operators.reconciling import parts
 
 SCHEMA = "k int, v int, w string"
 
@@ -139,3 +140,26 @@ def test_summary_equals_multiset_difference(spark, left, right):
     a, b = Counter(left), Counter(right)
     got = reconcile(frame(spark, left), frame(spark, right)).first()
     assert got == (len(left), len(right), sum((a - b).values()), sum((b - a).values()))
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(*[st.lists(st.tuples(st.integers(0, 3), st.integers(0, 3)), max_size=8)] * 2, st.integers(0, 7), st.booleans())
+def test_appended_rows_are_told_from_those_before(spark, before, sent, lost, add):
+    schema = "k int, v int"
+    old, src = (spark.createDataFrame([(*x, "w") for x in data], schema + ", w string") for data in (before, sent))
+    now = [*before, *sent]
+    gone = [now.pop(lost % len(now))] if now else []
+    now += [(9, 9)] if add else []
+    dst = spark.createDataFrame([(*x, "w") for x in now], schema + ", w string")
+    assert reconcile_appended(src, dst, parts(old)) == (len(sent), len(now) - len(before), len(gone), int(add))
+    assert reconcile_appended(src, old.union(src), parts(old)) == (len(sent), len(sent), 0, 0)
+
+
+def test_a_row_in_place_of_another_in_one_part(spark, monkeypatch):
+    """As many rows as were sent, which add up differently."""
+    import ferry.operators.reconciling as reconciling
+
+    monkeypatch.setattr(reconciling, "PARTS", 1)
+    src = frame(spark, [(1, 1, "a"), (2, 2, "b")])
+    dst = frame(spark, [(1, 1, "a"), (1, 1, "a"), (3, 3, "c")])
+    assert reconcile_appended(src, dst, parts(frame(spark, [(1, 1, "a")]))) == (2, 2, 1, 1)
