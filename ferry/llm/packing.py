@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ferry.llm.tables import with_results, written
+from ferry.llm.tables import CACHES, forget_others, with_results, written
 
 CAPACITY = 4096
 #: Appended to every document.
@@ -35,8 +35,8 @@ SMALL = 4
 STEP = 0.2
 #: Share of each pattern's fractional uses that is realised, round by round.
 ROUNDING = (0.4, 0.5, 0.7, 1.0)
-#: Entries of a worker's dictionary of encoded words.
-CACHED_WORDS = 400_000
+#: Bytes, about, of a worker's dictionaries of encoded words.
+CACHED_BYTES = 48_000_000
 #: Rows of one length that are ranked in one group, about.
 RANKED_AT_ONCE = 100_000
 
@@ -62,6 +62,7 @@ class Encoder:
         self.model = self.tokenizer.model
         self.words: dict[bytes, bytes] = {}
         self.stems: dict[bytes, bytes] = {}
+        self.held = 0
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -95,37 +96,47 @@ class Encoder:
             stems = list({p for parts in new.values() for p in parts if p}.difference(self.stems))
             self.stems.update(zip(stems, map(self._stem, stems)))
             self.words.update((w, self.stems[a] + (self.stems[b] if b else b"")) for w, (a, b) in new.items())
+            # Two entries of a dictionary, and as many short strings, beside what they hold.
+            self.held += sum(240 + 2 * len(w) + 2 * len(self.words[w]) for w in new)
         ids = b"".join(map(self.words.__getitem__, words))
-        if len(self.words) > CACHED_WORDS:
-            self.words, self.stems = {}, {}
+        if self.held > CACHED_BYTES:
+            self.words, self.stems, self.held = {}, {}, 0
         return ids
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[str, Encoder] = CACHES.setdefault("packing", {})
 
 
-def _cut(path: str, capacity: int, batch: pa.RecordBatch) -> list[pa.Array]:
+def _cut(path: str, capacity: int, with_ids: bool, batch: pa.RecordBatch) -> pa.RecordBatch:
     if path not in _ENCODERS:
+        forget_others("packing")
         _ENCODERS[path] = Encoder(path)
-    encoder, end, out = _ENCODERS[path], np.array([END_ID], "<u4").tobytes(), []
-    step = 4 * capacity
-    for text in batch.column(0).to_pylist():
-        ids = encoder.encode(text or b"") + end
-        parts = [(at // 4, ids[at : at + step]) for at in range(0, len(ids), step)]
-        out.append([{"start": at, "length": len(x) // 4, "ids": x, "crc": zlib.crc32(x)} for at, x in parts])
-    kind = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("crc", pa.int64())]))
-    return [pa.array(out, kind)]
-
-
-def pieces(docs: DataFrame, tokenizer: str, id: str = "doc_id", text: str = "text", capacity: int = CAPACITY) -> DataFrame:
+    encoder, end = _ENCODERS[path], np.array([END_ID], "<u4").tobytes()
+    step, counts, starts, lengths, crcs, kept = 4 * capacity, [0], [], [], [], []
+    for text in batch.column(1):
+        ids = encoder.encode(text.as_py() or b"") + end
+        parts = [ids[at : at + step] for at in range(0, len(ids), step)]
+        starts += range(0, len(parts) * capacity, capacity)
+        lengths += [len(x) // 4 for x in parts]
+        crcs += map(zlib.crc32, parts)
+        kept += parts if with_ids else [None] * len(parts)
+        counts.append(len(starts))
+    each = [pa.array(x, kind) for x, kind in ((starts, pa.int64()), (lengths, pa.int64()), (kept, pa.binary()), (crcs, pa.int64()))]
+    cut = pa.ListArray.from_arrays(pa.array(counts, pa.int32()), pa.StructArray.from_arrays(each, ["start", "length", "ids", "crc"]))
+    return pa.RecordBatch.from_arrays([batch.column(0), cut], names=["id", "pieces"])
+
+
+def pieces(
+    docs: DataFrame, tokenizer: str, id: str = "doc_id", text: str = "text", capacity: int = CAPACITY, with_ids: bool = True
+) -> DataFrame:
     """(id, piece, start, length, ids, ids_crc32): every document's ids and the end id, cut at the capacity.
 
-    ``ids`` are little-endian 32-bit numbers. A null text is empty, and has the end id alone.
+    ``ids`` are little-endian 32-bit numbers, null unless they are asked for. A null text is empty, and has the end id alone.
     """
-    fields = "pieces array<struct<start: bigint, length: bigint, ids: binary, crc: bigint>>"
-    rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
-    cut = with_results(rows, {"text": F.col("text").cast("binary")}, lambda b: _cut(tokenizer, capacity, b), fields)
-    each = cut.select(F.col("row.id").alias("id"), F.posexplode("pieces").alias("piece", "p"))
+    rows = docs.select(F.col(id).alias("id"), F.col(text).cast("binary").alias("text"))
+    fields = f"id {rows.schema['id'].dataType.simpleString()}, pieces array<struct<start: bigint, length: bigint, ids: binary, crc: bigint>>"
+    cut = rows.mapInArrow(lambda it: (_cut(tokenizer, capacity, with_ids, batch) for batch in it), fields)
+    each = cut.select("id", F.posexplode("pieces").alias("piece", "p"))
     return each.select("id", "piece", "p.start", "p.length", "p.ids", F.col("p.crc").alias("ids_crc32"))
 
 
@@ -316,6 +327,6 @@ def packed(docs: DataFrame, tokenizer: str, id: str = "doc_id", text: str = "tex
     null id stays null; repeated rows are packed once each; an empty table gives an empty result; other
     columns are not read.
     """
-    cut = pieces(docs, tokenizer, id, text, capacity)
+    cut = pieces(docs, tokenizer, id, text, capacity, with_ids)
     done = pack(written(cut if with_ids else cut.drop("ids"), "pieces"), capacity)
     return done.withColumnRenamed("id", id)

@@ -11,6 +11,16 @@ from ferry.workspace import scratch
 #: White space of all operators on words: `[\x20\x09-\x0D]`.
 SPACE = " \t\n\x0b\x0c\r"
 
+#: What workers remember from task to task, by operator.
+CACHES: dict[str, dict] = {}
+
+
+def forget_others(owner: str) -> None:
+    """Empty what other operators left in this worker: workers go on from stage to stage, and memories would add up."""
+    for name, cache in CACHES.items():
+        if name != owner:
+            cache.clear()
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

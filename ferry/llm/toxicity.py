@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ferry.llm.tables import id_remainder, with_results, written
+from ferry.llm.tables import CACHES, id_remainder, with_results, written
 
 #: Features are hashed to so many bits.
 BITS = 20
@@ -24,7 +24,7 @@ SKIPS = (1, 2, 3)
 _CACHED_WORDS = 500_000
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], np.uint64)
 _FOLD = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
-_WORDS: dict[bytes, int] = {}
+_WORDS: dict[bytes, int] = CACHES.setdefault("toxicity", {})
 
 
 def features(text: str) -> np.ndarray:
