@@ -24,7 +24,8 @@ from ferry.plans.control import expand_control
 from ferry.plans.transfer import Archive, DatabaseMerge, Plan, Route, Transfer, Upsert
 from ferry.sinks.landing import BUCKET, Landing, SelfOverwrite, land, read_landing
 from ferry.sinks.ledger import GIVEN_UP, MERGED, STAGED, MergeLedger
-from ferry.sinks.masters import land_master, land_partitions
+from ferry.sinks.masters import land_partitions
+from ferry.sinks.versions import land_version
 from ferry.sources import files, jdbc
 from ferry.sources.lake import Lake
 from ferry.sources.scans import is_subselect, read_files, scan
@@ -304,7 +305,6 @@ def _merge_files(
     (without a log, the completion marker of the files) readers see the current version. Then the staging table's
     ledger is told which runs the version has merged.
     """
-    master_lake = replace(lake, snapshots=True, write_mode="overwrite")
     schema = read_landing(spark, lake, landing).schema
     ledger = MergeLedger(spark, lake, table)
     leftovers = _leftovers(spark, lake, table, merge, landing, schema, activity, start, ledger)
@@ -319,10 +319,11 @@ def _merge_files(
         version = land_partitions(
             spark, frames, lake, merge.master, keys, merge.partition, run_id=run_id, **how
         )
-        files.mark_merged(spark, version.path, landing.run_id)
     else:
-        master = _current_master(spark, lake, merge.master, schema, activity)
-        version = land_master(master, frames, lake, merge.master, keys, run_id=run_id, **how)
+        current = _current_master(spark, lake, merge.master, activity)
+        version = land_version(
+            spark, current, frames, lake, merge.master, keys, run_id=run_id, schema=schema, number=merge.files, **how
+        )
     if activity:
         try:
             activity.record(
@@ -345,20 +346,21 @@ def _with_runs(lake: Lake) -> Lake:
 
 
 def _current_master(
-    spark: SparkSession, lake: Lake, name: str, schema: T.StructType, activity: ActivityLog | None
-) -> DataFrame | None:
-    """The version that the log committed; without one, the latest completed run on disk.
+    spark: SparkSession, lake: Lake, name: str, activity: ActivityLog | None
+) -> tuple[str, T.StructType | None] | None:
+    """Place and types of the version that the log committed; without one, the latest completed run on disk.
 
     So a log that is switched on later goes on with what is there. Files that are no run are a table
     that this library did not merge, and are refused.
     """
     committed = activity.latest(name, lake.name) if activity else None
     if committed:
-        return read_landing(spark, lake, Landing(**json.loads(committed)))
+        landing = Landing(**json.loads(committed))
+        return landing.place(lake), T.StructType.fromJson(json.loads(landing.schema))
     path = lake.path(name)
     current = files.latest_run(spark, path)
     if current is not None:
-        return read_files(spark, lake, current, schema)
+        return current, None
     loose = [c for c in files.children(spark, path) if not c.rsplit("/", 1)[-1].startswith(files.RUN)]
     if loose:
         raise ValueError(f"{name} in lake {lake.name} holds files that no merge has written")

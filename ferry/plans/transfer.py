@@ -17,7 +17,8 @@ class Upsert:
     """Merge landed files into a master table of the same lake, see ``operators.upsert``.
 
     With ``partition``, a key column, the master is partitioned by it and only the partitions
-    that landed rows fall into are rewritten; otherwise every merge writes a whole new version.
+    that landed rows fall into are rewritten. Otherwise the master is kept in ``files`` files by the hash of its key (as many
+    as its size asks for, if not given), and a new version writes those that landed rows fall into and shares the others.
     """
 
     master: str
@@ -26,6 +27,7 @@ class Upsert:
     set_columns: tuple[str, ...] | None = None
     order_by: tuple[str, ...] | None = None
     partition: str | None = None
+    files: int | None = None
 
 
 @dataclass(frozen=True)

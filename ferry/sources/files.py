@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ferry.sources.lake import join_uri
 
 RUN = "run="
-# Hidden from readers, as every name with an underscore is.
+# Left beside partitioned masters before there were ledgers.
 _MERGED = "_merged_run="
 
 _EXTENSIONS = re.compile(r"(\.(csv|orc|parquet|tsv|txt|json|gz|gzip|bz2|zst|zstd|snappy|lz4|deflate|zlib))+$", re.I)
@@ -125,14 +125,8 @@ def uncommit(spark: SparkSession, run: str) -> None:
     fs.delete(p, False)
 
 
-def mark_merged(spark: SparkSession, path: str, run: str) -> None:
-    """Leave the name of the run merged last beside a table that has no runs of its own."""
-    fs, p = _open(spark, join_uri(path, _MERGED + run))
-    fs.create(p, True).close()
-
-
 def merged_last(spark: SparkSession, path: str) -> str | None:
-    """The run that was merged last into a table that has no runs of its own."""
+    """The run that was merged last into a table that has no runs of its own, where that was noted before there were ledgers."""
     fs, p = _open(spark, path)
     if not fs.exists(p):
         return None

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -12,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from ferry.functions.columns import column
 from ferry.sources import files, jdbc
-from ferry.sources.lake import Lake, has_text
+from ferry.sources.lake import Lake, has_text, join_uri
 
 _SUBSELECT = re.compile(
     r"""^\(\s*(?P<sql>(?:select|with)\b.*)\)\s*(?:as\s+)?["`]?\w*["`]?$""", re.I | re.S
@@ -52,9 +53,26 @@ def current_path(spark: SparkSession, lake: Lake, path: str) -> str:
     return files.latest_run(spark, path) or path
 
 
+# Names the files of a version that shares some with versions before; hidden from readers.
+MANIFEST = "_manifest"
+
+
+def _files_of(spark: SparkSession, path: str | list[str]) -> str | list[str]:
+    """The files that a run's manifest names, if it has one, else the path itself."""
+    if not isinstance(path, str) or not path.rsplit("/", 1)[-1].startswith(files.RUN):
+        return path
+    place = join_uri(path, MANIFEST)
+    if not files.exists(spark, place):
+        return path
+    table = path.rsplit("/", 1)[0]
+    return [join_uri(table, f) for f in json.loads(files.read_text(spark, place))["paths"]] or path
+
+
 def read_files(
     spark: SparkSession, lake: Lake, path: str | list[str], schema: T.StructType | None = None
 ) -> DataFrame:
+    """What is at a path, or in the files that a master's version there is made of."""
+    path = _files_of(spark, path)
     reader = spark.read.format(lake.format).options(**lake.read_options(schema))
     if schema is not None:
         reader = reader.schema(schema)

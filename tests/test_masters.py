@@ -10,11 +10,13 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from ferry.functions.credentials import strip_url
-from ferry.operators import ActivityLog
+from ferry.operators import ActivityLog, upsert
 from ferry.plans import Archive, DatabaseMerge, Plan, ReconcileFailed, Route, Transfer, TransferFailed, Upsert, every_table, reconcile_run, run
 from ferry.sinks import SelfOverwrite, land, read_landing
 from ferry.sinks.ledger import MergeLedger
+from ferry.sinks.versions import Manifest
 from ferry.sources import Lake, jdbc, scan
+from ferry.sources.files import latest_run
 from queries.registry import fresh
 
 
@@ -306,3 +308,61 @@ def test_a_lost_row_that_equals_an_earlier_one_is_missing(spark, lake, db, stage
     done.landed[0].landing = replace(done.landed[0].landing, path=other.path)
     found = reconcile_run(spark, plan, done).first()
     assert (found["src_rows"], found["dst_rows"], found["missing"], found["extra"]) == (2, 1, 1, 0)
+
+
+@pytest.mark.parametrize("fmt", ["orc", "csv"])
+@pytest.mark.parametrize("log", [False, True])
+@pytest.mark.parametrize("how", [{}, {"on_match": "ignore"}, {"set_columns": ("v",)}])
+def test_only_files_that_hold_staged_keys_are_written_again(spark, lake, fmt, log, how):
+    made, to = lake("parquet", "source", snapshots=False), lake(fmt, "to", activity_log=log)
+    item = replace(MERGE, merge=replace(MERGE.merge, files=16, **how))
+    schema = "k int, v int, w string"
+    data = [(i, i, "a") for i in range(300)] + [(None, 5, "n")]
+    land(spark.createDataFrame(data, schema), made, "t")
+    go(spark, made, to, [item])
+    first = scan(spark, to, "master")
+    held = {r[0] for r in first.select("_metadata.file_path").distinct().collect()}
+    assert len(held) == 16
+    staged = [(7, -1, "b"), (1000, -2, "b")]
+    expected = upsert(spark.createDataFrame(data, schema), spark.createDataFrame(staged, schema), ["k"], **how)
+    for n, rows_ in ((2, staged), (0, [])):
+        land(spark.createDataFrame(rows_, schema), made, "t")
+        go(spark, made, to, [item])
+        now = scan(spark, to, "master")
+        alike = expected.selectExpr(*[f"cast({c} as {t}) {c}" for c, t in now.dtypes])
+        assert rows(now) == rows(alike)
+        files_ = {r[0] for r in now.select("_metadata.file_path").distinct().collect()}
+        assert len(files_ - held) <= n and len(held - files_) <= n
+        held = files_
+    assert Manifest.of(spark, latest_run(spark, to.path("master"))).rows == 302
+
+
+def test_masters_of_other_keys_or_sizes_are_written_whole(spark, lake, staged):
+    to = lake(name="to")
+    merge = MERGE.merge
+    for keys, number, data in ((("k",), 4, [(1, 1), (2, 2)]), (("k", "v"), 4, [(1, 1), (1, 2)]), (("k", "v"), 3, [(3, 3)]), (("k", "v"), None, [(4, 4)])):
+        go(spark, staged(data), to, [replace(MERGE, merge=replace(merge, keys=keys, files=number))])
+    assert rows(scan(spark, to, "master")) == [(1, 1), (1, 2), (2, 2), (3, 3), (4, 4)]
+    found = Manifest.of(spark, latest_run(spark, to.path("master")))
+    assert (found.keys, found.buckets, found.rows) == (["k", "v"], 3, 5)
+
+
+def test_a_version_is_not_seen_before_its_manifest(spark, lake, staged, monkeypatch):
+    import ferry.sinks.versions as versions
+
+    to = lake(name="to")
+    go(spark, staged([(i, i) for i in range(40)]), to, [MERGE])
+    real = versions.files.write_text
+
+    def cut_off(spark, path, text):
+        if path.endswith("_manifest"):
+            raise OSError("cut off")
+        real(spark, path, text)
+
+    with monkeypatch.context() as m:
+        m.setattr(versions.files, "write_text", cut_off)
+        with pytest.raises(TransferFailed, match="cut off"):
+            go(spark, staged([(1, -1)]), to, [MERGE])
+    assert scan(spark, to, "master").where("v < 0").count() == 0 and scan(spark, to, "master").count() == 40
+    go(spark, staged([(2, -2)]), to, [MERGE])
+    assert rows(scan(spark, to, "master").where("v < 0")) == [(1, -1), (2, -2)] and scan(spark, to, "master").count() == 40
