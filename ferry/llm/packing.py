@@ -36,7 +36,7 @@ STEP = 0.2
 #: Share of each pattern's fractional uses that is realised, round by round.
 ROUNDING = (0.4, 0.5, 0.7, 1.0)
 #: Bytes, about, of a worker's dictionaries of encoded words.
-CACHED_BYTES = 48_000_000
+CACHED_BYTES = 140_000_000
 #: Rows of one length that are ranked in one group, about.
 RANKED_AT_ONCE = 100_000
 
@@ -63,6 +63,7 @@ class Encoder:
         self.words: dict[bytes, bytes] = {}
         self.stems: dict[bytes, bytes] = {}
         self.held = 0
+        self.raw = [struct.pack("<I", i) for i in range(self.tokenizer.get_vocab_size())]
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -70,6 +71,9 @@ class Encoder:
 
     def _stem(self, stem: bytes) -> bytes:
         """The normalizer only lower-cases composed letters, and the splitter leaves them whole: the model gets them at once."""
+        if stem.isalpha():
+            # ASCII letters, which are spelled as themselves.
+            return b"".join([self.raw[t.id] for t in self.model.tokenize(stem.lower().decode())])
         text = stem.decode()
         lowered = "".join(map(str.lower, text))
         if not lowered.isalpha() or not is_normalized("NFC", text):
