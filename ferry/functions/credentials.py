@@ -20,11 +20,15 @@ URL_PATTERNS = (
     (r"//[^\s/?#;]*@", "//"),
     (r"(?i)(jdbc:\w+:\w+:)[^\s?;:@/]+/[^\s?;]*@", "$1@"),
     (
-        r"(?i)[?;&,][^\s=;&?,]*(?:password|passwd|pwd|secret|token|key|user)[^\s=;&?,]*=[^\s;&]*",
+        # A value in braces may hold what ends others, and a closing brace that is doubled.
+        r"(?i)[?;&,][^\s=;&?,]*(?:password|passwd|pwd|secret|token|key|user)[^\s=;&?,]*=(?:\{(?:[^}]|\}\})*\}|[^\s;&]*)",
         "",
     ),
 )
 
+# A secret named in free text, outside any url.
+_NAMED = re.compile(r"(?i)\b((?:password|passwd|pwd|secret|token)\s*=\s*)(?:\{(?:[^}]|\}\})*\}|'[^']*'|\"[^\"]*\"|[^\s;,&'\"]+)")
+
 
 def strip_url(url: str | Column) -> Any:
     """Text or a column of text, in which urls lose ``user:pass@`` and ``;password=…``."""
@@ -40,7 +44,7 @@ def without_secrets(text: str, secrets: Sequence[str] = ()) -> str:
     """Free text, such as an error, without urls' credentials and without the given secrets."""
     for secret in sorted({s for s in secrets if s}, key=len, reverse=True):
         text = text.replace(secret, "***")
-    return strip_url(text)
+    return _NAMED.sub(r"\1***", strip_url(text))
 
 
 def without_credentials(config: Any, fields: Sequence[str] = CREDENTIAL_FIELDS) -> Any:

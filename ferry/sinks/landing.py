@@ -86,8 +86,8 @@ def land(
     (what is no plain scan is left to adaptive execution). ``cluster=False`` skips that shuffle for input already in day order. Overwriting a
     bucketed landing replaces only the days at hand unless ``keep_other_days`` is off.
 
-    ``tasks_per_day`` cuts every day into as many parts instead. Without it and without adaptive execution, what is no plain
-    scan has four for each partition of the input: one day may be all of it.
+    ``tasks_per_day`` cuts every day into as many parts instead. Without adaptive execution that is how it is done, by
+    default with four for each partition of the input: one day may be all of it.
 
     ``files_per_table`` forces a number of files; 1 puts everything through one task.
     """
@@ -213,10 +213,8 @@ def _by_day(df: DataFrame, bucket: str, parts: int | None) -> DataFrame:
     Tasks are planned from the rows of each day, which are counted first. What comes from joins or aggregates would be
     computed twice for that: there adaptive execution joins small days and cuts large ones.
     """
-    if parts is None and _only_scans(df):
-        return days.by_partition(df, bucket)
     if parts is None and df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
-        return df.hint("rebalance", column(bucket))
+        return days.by_partition(df, bucket) if _only_scans(df) else df.hint("rebalance", column(bucket))
     row = [column(f.name) for f in df.schema.fields if comparable(f.dataType)]
     # More parts than tasks, so that hashing them deals evenly.
     parts = parts or 4 * max(1, df.rdd.getNumPartitions())

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ferry.functions import column, fingerprint, quoted_names, redact, strip_url, without_credentials
+from ferry.functions.credentials import without_secrets
 
 
 def prints(df):
@@ -90,3 +91,12 @@ def test_redaction_of_columns_and_text_agree(spark):
 def test_without_credentials_goes_deep():
     config = {"lakes": [{"name": "a", "password": "x", "properties": {"password": "y"}}], "username": "z"}
     assert without_credentials(config) == {"lakes": [{"name": "a"}]}
+
+
+def test_braced_and_named_secrets_go_whole(spark):
+    urls = ["jdbc:sqlserver://h;password={a;b}", "jdbc:sqlserver://h;user=u;password={a}};b c};encrypt=true", "jdbc:sqlserver://h;password={open;x=1"]
+    cleaned = [strip_url(u) for u in urls]
+    assert cleaned == ["jdbc:sqlserver://h", "jdbc:sqlserver://h;encrypt=true", "jdbc:sqlserver://h;x=1"]
+    frame = spark.createDataFrame([(u,) for u in urls], "u string")
+    assert [r[0] for r in frame.select(strip_url(frame.u)).collect()] == cleaned
+    assert without_secrets("login failed: password=x, pwd = 'a b'; token={q;r} keys=3") == "login failed: password=***, pwd = ***; token=*** keys=3"
