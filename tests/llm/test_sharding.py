@@ -77,3 +77,12 @@ def test_written_shards_hold_every_row(spark, tmp_path):
     assert back.drop("shard").exceptAll(docs).count() == 0 and back.count() == docs.count()
     sizes = [r[0] for r in back.groupBy("shard").agg(F.sum(F.octet_length("text") + 16)).collect()]
     assert len(sizes) > 4 and max(sizes) <= 60_000 + 20_000
+
+
+def test_many_repeated_rows_are_cut(spark):
+    docs = [(7, "the same text, many times")] * 2000 + [(100 + i, f"{i:024d}x") for i in range(2000)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    sizes = check(sharding.report(frame, ["doc_id"], 8).collect(), [t for _, t in docs], 8)
+    mean = sum(sizes.values()) / 8
+    # The group is cut to a 2048th of it, of a few rows by chance.
+    assert max(abs(s - mean) for s in sizes.values()) <= 10 * 41
