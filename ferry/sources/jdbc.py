@@ -50,10 +50,11 @@ def read(spark: SparkSession, lake: Lake, source: str, split: Split | None = Non
 
     Without a ``split`` a table is split by its primary key or a unique index of one column, if that is a
     number or a date, else by its first such column: numbers at equal row counts, which the
-    database counts. Texts of a subselect are not looked into.
+    database counts. So is a ``( select … ) alias``, by its first such column, unless its rows may differ when it
+    is asked again; every connection asks for its range of it.
     """
     whole = _reader(spark, lake).option("dbtable", source)
-    if split is None and lake.max_connections > 1 and not source.strip().startswith("("):
+    if split is None and lake.max_connections > 1 and _repeatable(source):
         split = _by_itself(spark, lake, source)
     if split is None or split.partitions < 2:
         return whole.load()
@@ -84,14 +85,28 @@ def read(spark: SparkSession, lake: Lake, source: str, split: Split | None = Non
     )
 
 
-_SPLITTABLE = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+# Floating-point numbers may be NaN or infinite, which are no bounds.
+_SPLITTABLE = (T.IntegralType, T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+# Words of a subselect whose rows, or their order, may be others when it is asked again, or that would be lost in ranges.
+_UNREPEATABLE = re.compile(
+    r"\b(limit|fetch|offset|top|rownum|order|over|sample|tablesample|rand|random|uuid|newid|sys_guid|nextval|next\s+value|identity\w*|sysdate|systimestamp|now|getdate|current\w*|localtime\w*)\b",
+    re.IGNORECASE,
+)
+_QUOTED = re.compile(r"'[^']*'|\"[^\"]*\"|`[^`]*`|\[[^\]]*\]")
+
+
+def _repeatable(source: str) -> bool:
+    """Whether every connection that asks for a part of the source sees the same rows of it."""
+    return not source.strip().startswith("(") or _UNREPEATABLE.search(_QUOTED.sub("''", source)) is None
 
 
 def _by_itself(spark: SparkSession, lake: Lake, table: str) -> Split | None:
-    """How to read a table over as many connections as the lake allows."""
+    """How to read a table or a subselect over as many connections as the lake allows."""
     fields = [f for f in _reader(spark, lake).option("dbtable", table).load().schema if isinstance(f.dataType, _SPLITTABLE)]
     by_name = {f.name.lower(): f for f in fields}
-    for keys in [primary_key(spark, lake, table), *unique_indexes(spark, lake, table)]:
+    indexed = [] if table.strip().startswith("(") else [primary_key(spark, lake, table), *unique_indexes(spark, lake, table)]
+    for keys in indexed:
         if len(keys) == 1 and keys[0].lower() in by_name:
             return Split(by_name[keys[0].lower()].name, lake.max_connections)
     if not fields:
@@ -113,7 +128,7 @@ def _bounds(spark: SparkSession, lake: Lake, source: str, split: Split):
     name = quote(spark, lake, split.column)
     rows = "COUNT(*)" if split.balanced else "0"
     sql = f"(SELECT MIN({name}) AS lo, MAX({name}) AS hi, {rows} AS n FROM {_derived(source, 's')}) b"
-    return tuple(read(spark, lake, sql).first())
+    return tuple(read(spark, lake, sql, WHOLE).first())
 
 
 def _equal_counts(
@@ -156,7 +171,7 @@ def _histogram(
         f") h GROUP BY b) g"
     )
     edges: list[tuple[float, int]] = []
-    for b, n in sorted((int(b), int(n)) for b, n in read(spark, lake, sql).toLocalIterator()):
+    for b, n in sorted((int(b), int(n)) for b, n in read(spark, lake, sql, WHOLE).toLocalIterator()):
         low, high = lo + b * width, lo + (b + 1) * width
         if n > target and depth > 0:
             edges += _histogram(spark, lake, source, split, low, high, target, depth - 1)
@@ -185,7 +200,7 @@ def quote(spark: SparkSession, lake: Lake, name: str) -> str:
 
 def count(spark: SparkSession, lake: Lake, source: str) -> int:
     sql = f"(SELECT COUNT(*) AS n FROM {_derived(source, 's')}) c"
-    return int(read(spark, lake, sql).first()[0])
+    return int(read(spark, lake, sql, WHOLE).first()[0])
 
 
 @contextmanager
@@ -375,7 +390,7 @@ def is_merged(spark: SparkSession, lake: Lake, staging: str) -> bool:
         return False
     key = _staging_key(spark, lake, staging)
     sql = f"(SELECT merged FROM {_MERGES} WHERE staging_key = {key}) m"
-    return any(r[0] == 1 for r in read(spark, lake, sql).collect())
+    return any(r[0] == 1 for r in read(spark, lake, sql, WHOLE).collect())
 
 
 def table_exists(spark: SparkSession, lake: Lake, table: str) -> bool:

@@ -176,6 +176,29 @@ def test_tables_are_read_in_parallel(spark, db):
         assert len(sizes(scan(spark, few, table))) == 4 and scan(spark, few, table).distinct().count() == 1000
 
 
+def test_subselects_are_read_in_parallel(spark, db):
+    table = fresh("t")
+    nulls = "CASE WHEN id % 10 = 0 THEN NULL ELSE id END AS k"
+    land(spark.range(1000).selectExpr("cast(id AS string) AS s", "id / 7 AS x", nulls, "id"), db, table)
+    few = replace(db, fetch_size=100, max_connections=4)
+    rows = scan(spark, few, f'( select "s", "x", "k", "id" from {table} where "id" >= 200 ) q')
+    assert len(sizes(rows)) == 4 and max(sizes(rows)) < 400
+    assert rows.count() == 800 and rows.distinct().count() == 800 and rows.where("k IS NULL").count() == 80
+    sums = scan(spark, few, f'( select mod("id", 20) as "g", count(*) as "n", \'order by\' as "t" from {table} group by mod("id", 20) ) q')
+    assert sums.rdd.getNumPartitions() > 1 and sorted((r.g, r.n) for r in sums.collect()) == [(g, 50) for g in range(20)]
+    # One connection where rows may be others when asked again, where no column can be cut, or where one is wanted.
+    for text, n in (
+        (f'( select "id" from {table} fetch first 10 rows only ) q', 10),
+        (f'( select row_number() over () as "i" from {table} ) q', 1000),
+        (f'( select "s", "x" from {table} ) q', 1000),
+    ):
+        one = scan(spark, few, text)
+        assert one.rdd.getNumPartitions() == 1 and one.count() == n
+    whole = scan(spark, few, f'( select "id" from {table} ) q', split=jdbc.WHOLE)
+    assert whole.rdd.getNumPartitions() == 1 and whole.count() == 1000
+    assert scan(spark, few, f'( select "id" from {table} where "id" < 0 ) q').count() == 0
+
+
 WAYS = {"plain": {}, "truncate": {"options": {"truncate": "true"}}, "atomic": {"atomic": True}}
 
 
