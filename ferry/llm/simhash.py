@@ -108,9 +108,10 @@ def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
     """The documents whose id is the smallest of their component, with all their columns.
 
     Where no document of a component has an id, all of it stay. Rows that repeat id and text are one
-    document, and stay or go together.
+    document, and stay or go together. Columns may have any names.
     """
+    rows = docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row"))
     keep = grouped(docs, id, text).where(F.col("id").eqNullSafe(F.col("component_id")))
     keep = keep.select(F.col("id").alias("_kept_id"), F.col("whole").alias("_kept_whole")).distinct()
-    same = docs[id].eqNullSafe(F.col("_kept_id")) & (_whole(docs[text]) == F.col("_kept_whole"))
-    return docs.join(keep, same, "left_semi")
+    same = F.col("row")[id].eqNullSafe(F.col("_kept_id")) & (_whole(F.col("row")[text]) == F.col("_kept_whole"))
+    return rows.join(keep, same, "left_semi").select(*(F.col("row")[c].alias(c) for c in docs.columns))

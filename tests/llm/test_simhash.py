@@ -76,6 +76,14 @@ def test_one_of_each_tells_rows_of_one_id_apart(spark):
     assert sorted(map(tuple, kept), key=repr) == sorted([(1, "a b c d"), (2, "q r s t u"), (None, "v w x y z")], key=repr)
 
 
+def test_one_of_each_keeps_columns_of_any_name(spark):
+    clash = ("_kept_id", "_kept_whole", "row", "print", "a.b")
+    rows = [(1, "a b c d", *clash), (2, "a b c d", *clash), (3, None, *clash)]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", *clash])
+    kept = simhash.one_of_each(docs)
+    assert kept.columns == docs.columns and sorted(map(tuple, kept.collect())) == [rows[0], rows[2]]
+
+
 @pytest.mark.parametrize("spread", [1, 3])
 def test_links_connect_all_close_fingerprints(spark, spread):
     rng = random.Random(spread)
