@@ -99,13 +99,27 @@ class TransferFailed(RuntimeError):
         super().__init__(f"{len(run.failures)} transfers failed: {what}")
 
 
-def run(spark: SparkSession, plan: Plan, max_parallel: int = 4) -> Run:
+class PlanRefused(RuntimeError):
+    """A plan has problems, each a row as ``preflight`` lists them; nothing was moved."""
+
+    def __init__(self, problems: list):
+        self.problems = problems
+        what = "; ".join(f"{r['source_lake']}/{r['destination_lake']}/{r['table']}: {r['problem']}" for r in problems)
+        super().__init__(f"{len(problems)} problems: {what}")
+
+
+def run(spark: SparkSession, plan: Plan, max_parallel: int = 4, checked: bool = False) -> Run:
     """Run every item of a plan; failures are raised once all items had their turn.
 
     Routes run in order, since a later one may read what an earlier one wrote. Within a route
     items run side by side as independent Spark jobs, except that those with one destination
     keep their order, and so do all items of a route within one lake.
+
+    A ``checked`` run raises what ``preflight`` finds before a row is moved. It is not for plans whose later
+    routes read what is only there after earlier ones.
     """
+    if checked and (found := preflight(spark, plan).collect()):
+        raise PlanRefused(found)
     lakes = plan.by_name
     activity = ActivityLog.of(spark, plan.lakes, plan.name)
     done = Run()
