@@ -3,9 +3,10 @@
 Lines are compared by the Jaccard similarity of their sets of character shingles, after trimming and
 lower-casing. Equal lines are collapsed first, by hash and with a combining aggregate. Each distinct line's shingles
 are hashed once; a row of the MinHash signature is the least hash under a rotation and the exclusive or with a
-constant. Lines that agree in a band of rows are candidates and are verified on their whole shingle sets: each pair
-of a bucket, and in a crowded bucket each line beside the two ends. What shares a crowded bucket and is not connected
-by that is joined once more, exactly, on its rarest shingles. Everything is DataFrame operations.
+constant. Lines that agree in a band of rows share a bucket and are candidates, verified on their whole shingle sets.
+First comes what is linear: in each round the lines of a bucket are compared with one line of it, and
+components are formed. What then shares a bucket but no component is compared each with each, so that the result is connected
+as if all pairs of all buckets had been verified, whatever the size of a bucket. Everything is DataFrame operations.
 """
 
 from __future__ import annotations
@@ -18,10 +19,11 @@ from ferry.llm.tables import SPACE, total, written
 #: Characters of a shingle. A shorter line is one shingle.
 SHINGLE = 8
 SIMILARITY = 0.8
-#: Lines at the threshold agree in one band at least with a probability of 0.99.
-BANDS, ROWS = 9, 4
-#: A bucket of more lines is not compared each with each.
-CROWDED = 32
+#: Bands are the lines of the affine plane of this order, rows its points: each row is in several bands, and lines that
+#: agree in 10 of the 16 rows share a bucket for certain. At the threshold that misses fewer than one pair in a hundred.
+ORDER = 4
+#: Rounds in which a bucket's lines are compared with one of them.
+ROUNDS = 3
 #: Rows that may be broadcast. Beyond that the same join is done by a shuffle.
 BROADCAST_ROWS = 2_000_000
 #: Pairs that one task verifies, about.
@@ -62,59 +64,60 @@ def _row(row: int) -> Column:
     return turned.bitwiseXOR(F.lit(mask))
 
 
+def plane() -> list[list[int]]:
+    """The bands as lists of rows: 20 lines of 4 points each, two of which share a point at most."""
+    times = lambda a, b: 0 if 0 in (a, b) else (a + b - 2) % 3 + 1
+    sloped = [[x * ORDER + (times(m, x) ^ c) for x in range(ORDER)] for m in range(ORDER) for c in range(ORDER)]
+    return sloped + [[c * ORDER + y for y in range(ORDER)] for c in range(ORDER)]
+
+
 def signatures(distinct: DataFrame) -> DataFrame:
     """(key, bands) from (key, line): one hash for each band of the signature, over all shingles of the line."""
     # A line of one shingle has no copy but itself.
     rows = distinct.where(F.char_length("line") > SHINGLE).select("key", _characters("line").alias("_chars"))
     each = rows.select("key", "_chars", F.explode(_places("_chars")).alias("_at"))
     hashed = each.select("key", _shingle("_chars", F.col("_at")).alias("_hash"))
-    signed = hashed.groupBy("key").agg(*(F.min(_row(i)).alias(f"_m{i}") for i in range(BANDS * ROWS)))
-    bands = F.array(*(F.xxhash64(F.lit(b), *(f"_m{b * ROWS + r}" for r in range(ROWS))) for b in range(BANDS)))
+    signed = hashed.groupBy("key").agg(*(F.min(_row(i)).alias(f"_m{i}") for i in range(ORDER * ORDER)))
+    bands = F.array(*(F.xxhash64(F.lit(b), *(f"_m{r}" for r in band)) for b, band in enumerate(plane())))
     return signed.select("key", bands.alias("bands"))
 
 
-def candidates(signed: DataFrame) -> DataFrame:
-    """(a, b), a < b: all pairs of a bucket, or, if it is crowded, each line beside the bucket's least and greatest.
-
-    A line of a crowded bucket is also paired with itself, which marks it for ``rest``.
-    """
+def meetings(signed: DataFrame) -> DataFrame:
+    """(bucket, key): the lines of every bucket that holds two or more."""
     members = signed.select("key", F.explode("bands").alias("bucket"))
-    ends = members.groupBy("bucket").agg(F.min("key").alias("low"), F.max("key").alias("high"), F.count(F.lit(1)).alias("_n"))
-    beside = members.join(ends.where("low < high"), "bucket")
-    few = beside.where(F.col("_n") <= CROWDED).groupBy("bucket").agg(F.sort_array(F.collect_list("key")).alias("keys"))
-    few = few.select("keys", F.posexplode("keys").alias("at", "a"))
-    few = few.select("a", F.explode(F.slice("keys", F.col("at") + 2, F.size("keys"))).alias("b"))
-    many = beside.where(F.col("_n") > CROWDED).select("key", F.explode(F.array("low", "high", "key")).alias("end"))
-    return few.union(many.select(F.least("key", "end"), F.greatest("key", "end"))).distinct()
+    shared = members.groupBy("bucket").agg((F.min("key") < F.max("key")).alias("_shared")).where("_shared")
+    return members.join(shared, "bucket", "left_semi").select("bucket", "key")
 
 
-def rest(texts: DataFrame, linked: DataFrame) -> DataFrame:
-    """(a, b), a < b, from (key, line): every pair that can reach the similarity and is not yet connected by ``linked``.
+def _rooted(met: DataFrame, found: DataFrame | None) -> DataFrame:
+    """(bucket, key, root) of the buckets that hold several components of what was found."""
+    if found is None:
+        return met.withColumn("root", F.col("key"))
+    roots = components(found).withColumnRenamed("node", "key")
+    rooted = written(met.join(roots, "key", "left").select("bucket", "key", F.coalesce("root", "key").alias("root")), "rooted")
+    several = rooted.groupBy("bucket").agg((F.min("root") < F.max("root")).alias("_several")).where("_several")
+    return rooted.join(several, "bucket", "left_semi")
 
-    A prefix filter: with shingles ordered from the rarest on, two lines of the similarity share one among the
-    first of both. Of the smaller set a shorter prefix is enough. Lines of one component are not paired, so
-    a large group of copies stays linear, whatever its shingles.
-    """
-    roots = components(linked).withColumnRenamed("node", "key")
-    rooted = texts.join(roots, "key", "left").select("key", F.coalesce("root", "key").alias("root"), _characters("line").alias("_chars"))
-    each = rooted.select("key", "root", "_chars", F.explode(_places("_chars")).alias("_at"))
-    shingles = written(each.select("key", "root", _shingle("_chars", F.col("_at")).alias("_hash")).distinct(), "crowded")
-    held = shingles.groupBy("_hash").agg(F.count(F.lit(1)).alias("_lines"), F.mode("root").alias("_main"), F.min("root") == F.max("root"))
-    held = held.toDF("_hash", "_lines", "_main", "_one")
-    line = Window.partitionBy("key")
-    ranked = shingles.join(held, "_hash").withColumn("_size", F.count(F.lit(1)).over(line))
-    ranked = ranked.withColumn("_rank", F.row_number().over(line.orderBy("_lines", "_hash")))
-    # Rounding may lengthen a prefix, never shorten it.
-    first = lambda part: F.col("_rank") <= F.floor(F.col("_size") * part + 1e-6) + 1
-    ranked = ranked.withColumn("_short", first((1 - SIMILARITY) / (1 + SIMILARITY))).where(first(1 - SIMILARITY) & ~F.col("_one"))
-    ranked = written(ranked.select("key", "root", "_hash", "_size", "_short", (F.col("root") != F.col("_main")).alias("_off")), "prefixes")
-    side = lambda df, s: df.select(F.col("_hash"), *(F.col(c).alias(c + s) for c in ("key", "root", "_size", "_off")))
-    small, large = ranked.where("_short"), ranked
-    near = (F.col("root_a") != F.col("root_b")) & (F.col("_size_a") <= F.col("_size_b")) & (F.col("_size_a") >= SIMILARITY * F.col("_size_b") - 1e-6)
-    # A pair of different components has one side at least outside of the shingle's largest component.
-    met = side(small.where("_off"), "_a").join(side(large, "_b"), "_hash").where(near)
-    met = met.union(side(small.where("NOT _off"), "_a").join(side(large.where("_off"), "_b"), "_hash").where(near))
-    return met.select(F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b")).distinct()
+
+def _new(a: Column, b: Column, rows: DataFrame, seen: DataFrame | None) -> DataFrame:
+    """The pairs (a, b), a < b, that were not compared before."""
+    pairs = rows.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
+    return pairs if seen is None else pairs.join(seen, ["a", "b"], "left_anti")
+
+
+def beside_one(rooted: DataFrame, turn: int, seen: DataFrame | None) -> DataFrame:
+    """(a, b): each line beside one of its bucket, another one each turn, unless both are in one component."""
+    order = F.struct(F.xxhash64("key", F.lit(turn)).alias("_order"), "key", "root")
+    one = rooted.groupBy("bucket").agg(F.min(order).alias("_one"))
+    rows = rooted.join(one, "bucket").where(F.col("root") != F.col("_one.root"))
+    return _new(F.col("key"), F.col("_one.key"), rows, seen)
+
+
+def each_with_each(rooted: DataFrame, seen: DataFrame | None) -> DataFrame:
+    """(a, b): all pairs of a bucket that are in different components."""
+    other = rooted.select("bucket", F.col("key").alias("_key"), F.col("root").alias("_root"))
+    rows = rooted.join(other, "bucket").where((F.col("key") < F.col("_key")) & (F.col("root") != F.col("_root")))
+    return _new(F.col("key"), F.col("_key"), rows, seen)
 
 
 def jaccard(pairs: DataFrame) -> DataFrame:
@@ -151,20 +154,20 @@ def links(every: DataFrame) -> DataFrame:
     They connect what all verified pairs of all buckets would connect.
     """
     distinct = every.groupBy("key").agg(F.first("line").alias("line"))
-    signed = written(signatures(distinct), "signatures")
-    pairs = written(candidates(signed), "pairs")
-    ends = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "key")
-    count = pairs.count()
-    wanted = every.select("key", "line").join(_small(ends, 2 * count), "key", "left_semi")
+    met = written(meetings(written(signatures(distinct), "signatures")), "met")
+    keys = met.select("key").distinct()
+    wanted = every.select("key", "line").join(_small(keys, met.count()), "key", "left_semi")
     texts = written(wanted.groupBy("key").agg(F.first("line").alias("line")), "texts")
-    crowded = pairs.where("a = b").select(F.col("a").alias("key"))
-    found = _verified(pairs.where("a < b"), count, texts)
-    n_crowded = crowded.count()
-    if not n_crowded:
-        return found
-    found = written(found, "links")
-    more = written(rest(texts.join(_small(crowded, n_crowded), "key", "left_semi"), found), "rest")
-    return found.union(_verified(more, more.count(), texts))
+    found = seen = None
+    for turn in range(ROUNDS + 1):
+        rooted = _rooted(met, found)
+        pairs = written(beside_one(rooted, turn, seen) if turn < ROUNDS else each_with_each(rooted, seen), "pairs")
+        count = pairs.count()
+        if found is not None and not count:
+            continue
+        near = written(_verified(pairs, count, texts), "links")
+        seen, found = (pairs, near) if found is None else (seen.union(pairs), found.union(near))
+    return found
 
 
 def repeated(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
