@@ -53,11 +53,17 @@ class Node:
 
 
 class _Tree(HTMLParser):
-    """A tree of elements and decoded text; tags left open are closed where HTML closes them."""
+    """A tree of elements and decoded text; tags left open are closed where HTML closes them.
+
+    The depths of open elements are kept by tag, so that an end tag is answered without a walk, however deep the page.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("html", None)
+        self.path: list[Node] = []
+        self.depths: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
 
     def handle_starttag(self, tag, attrs):
         if tag in _CLOSES_P:
@@ -72,29 +78,44 @@ class _Tree(HTMLParser):
         node = Node(tag, self.at, names, unseen or tag in DROPPED)
         self.at.children.append(node)
         if tag not in VOID:
-            self.at = node
+            self._open(node)
 
     def handle_startendtag(self, tag, attrs):
         # "<div/>" opens a div in HTML; void elements close themselves.
         self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag):
-        node = self.at
-        while node.parent and node.tag != tag:
-            # An end tag of inline text does not close blocks, nor does one of a block its table cell or article.
-            if tag not in BLOCKS and tag not in DROPPED and node.tag in BLOCKS or tag == "p" and node.tag in BLOCKS:
-                return
-            node = node.parent
-        if node.parent:
-            self.at = node.parent
+        depth = self._depth(tag)
+        # An end tag of inline text does not close blocks, nor does one of a paragraph other blocks.
+        within = tag not in BLOCKS and tag not in DROPPED or tag == "p"
+        if depth >= 0 and not (within and self.blocks and self.blocks[-1] > depth):
+            self._cut(depth)
+
+    def _depth(self, tag: str) -> int:
+        """Where the innermost open element of the tag is, or -1."""
+        open_ = self.depths.get(tag)
+        return open_[-1] if open_ else -1
+
+    def _open(self, node: Node) -> None:
+        self.at = node
+        self.depths.setdefault(node.tag, []).append(len(self.path))
+        if node.tag in BLOCKS:
+            self.blocks.append(len(self.path))
+        self.path.append(node)
+
+    def _cut(self, depth: int) -> None:
+        """Close the element at the depth and what is open in it."""
+        while len(self.path) > depth:
+            tag = self.path.pop().tag
+            self.depths[tag].pop()
+            if tag in BLOCKS:
+                self.blocks.pop()
+        self.at = self.path[-1] if self.path else self.root
 
     def _close(self, tag: str, within: frozenset[str] | set[str]) -> None:
-        node = self.at
-        while node.parent and node.tag not in within:
-            if node.tag == tag:
-                self.at = node.parent
-                return
-            node = node.parent
+        depth = self._depth(tag)
+        if depth >= 0 and all(self._depth(other) < depth for other in within):
+            self._cut(depth)
 
     def handle_data(self, data):
         self.at.children.append(data)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import random
+import time
 
 import pyarrow.parquet as pq
 import pytest
@@ -65,3 +66,55 @@ def test_clashing_names_and_nulls(spark):
     got = extraction.extract(frame).select("row.page_id", "row.text", "text", "n_chars").collect()
     assert sorted((r[2], r[3]) for r in got) == [("", 0), ("", 0), ("a", 1)]
     assert extraction.extract(frame.limit(0)).count() == 0
+
+
+class Walking(extraction._Tree):
+    """The same tree by walking up from the open element for every tag."""
+
+    def _open(self, node):
+        self.at = node
+
+    def handle_endtag(self, tag):
+        node = self.at
+        while node.parent and node.tag != tag:
+            if tag not in extraction.BLOCKS and tag not in extraction.DROPPED and node.tag in extraction.BLOCKS or tag == "p" and node.tag in extraction.BLOCKS:
+                return
+            node = node.parent
+        if node.parent:
+            self.at = node.parent
+
+    def _close(self, tag, within):
+        node = self.at
+        while node.parent and node.tag not in within:
+            if node.tag == tag:
+                self.at = node.parent
+                return
+            node = node.parent
+
+
+def outline(node):
+    return (node.tag, [c if isinstance(c, str) else outline(c) for c in node.children])
+
+
+def test_tag_soup_gives_the_tree_of_a_plain_walk():
+    rng = random.Random(5)
+    tags = "p div b i span li ul td tr table article section nav br option select dt dl html".split()
+    for _ in range(400):
+        soup = "".join(f"<{rng.choice(('', '', '/'))}{rng.choice(tags)}>" + rng.choice(("", "x, ")) for _ in range(rng.randrange(60)))
+        trees = []
+        for kind in (extraction._Tree, Walking):
+            tree = kind()
+            tree.feed(soup)
+            tree.close()
+            trees.append(outline(tree.root))
+        assert trees[0] == trees[1], soup
+
+
+@pytest.mark.parametrize("start, end", [("<b>", "</i>"), ("<i>", "</b>"), ("<div>", "</p>"), ("<b><div>", "</b>")])
+def test_end_tags_that_close_nothing_cost_no_walk(start, end):
+    page = f"<b><p><div>{start * 40_000}{end * 40_000}word"
+    began = time.process_time()
+    tree = extraction._Tree()
+    tree.feed(page)
+    tree.close()
+    assert time.process_time() - began < 20
