@@ -3,14 +3,15 @@
 Lines are compared by the Jaccard similarity of their sets of character shingles, after trimming and
 lower-casing. Equal lines are collapsed first, by hash and with a combining aggregate. Each distinct line's shingles
 are hashed once; a row of the MinHash signature is the least hash under a rotation and the exclusive or with a
-constant. Lines that agree in a band of rows are candidates and are verified on their whole shingle sets: each pair
-of a bucket, and in a crowded bucket each line beside the two ends. What shares a crowded bucket and is not connected
-by that is joined once more, exactly, on its rarest shingles. Everything is DataFrame operations.
+constant. Lines that agree in a band of rows are candidates and are verified on their whole shingle sets, though not
+pair by pair: each line of a bucket is compared with one pivot, and what differs from the pivot decides all other
+pairs, in part by numbers alone and else by a join on the differences. There is one rule for buckets of any size. Everything is
+DataFrame operations.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ferry.llm.components import components
 from ferry.llm.tables import SPACE, total, written
@@ -18,18 +19,29 @@ from ferry.llm.tables import SPACE, total, written
 #: Characters of a shingle. A shorter line is one shingle.
 SHINGLE = 8
 SIMILARITY = 0.8
-#: Lines at the threshold agree in one band at least with a probability of 0.99.
-BANDS, ROWS = 9, 4
-#: A bucket of more lines is not compared each with each.
-CROWDED = 32
+#: Sets reach the similarity if they differ in one part of so many of the sum of their sizes at most.
+PART = round((1 + SIMILARITY) / (1 - SIMILARITY))
+#: Bands are lines of the affine plane over 16 signature rows, so that two bands share one row and no more. Of its 20
+#: lines 18 are enough: lines at the threshold agree in one band at least with a probability of 0.99.
+ROWS, BANDS_USED = 16, 18
 #: Rows that may be broadcast. Beyond that the same join is done by a shuffle.
 BROADCAST_ROWS = 2_000_000
-#: Pairs that one task verifies, about.
-PAIRS_AT_ONCE = 4_000
+#: Lines that one task compares with their pivots, about.
+LINES_AT_ONCE = 4_000
 
 _UTF32 = 4
 
 
+def _plane() -> list[list[int]]:
+    """The lines of the plane over the field of four elements; point (x, y) is row 4 x + y."""
+    times = lambda a, b: 0 if not a or not b else (a + b - 2) % 3 + 1  # noqa: E731  with logarithms: 2 is the generator, 3 its square
+    upright = [[4 * x + y for y in range(4)] for x in range(4)]
+    return upright + [[4 * x + (times(m, x) ^ c) for x in range(4)] for m in range(4) for c in range(4)]
+
+
+BANDS = _plane()[:BANDS_USED]
+
+
 def _normal(line: Column) -> Column:
     return F.lower(F.btrim(line, F.lit(SPACE)))
 
@@ -62,73 +74,123 @@ def _row(row: int) -> Column:
     return turned.bitwiseXOR(F.lit(mask))
 
 
-def signatures(distinct: DataFrame) -> DataFrame:
-    """(key, bands) from (key, line): one hash for each band of the signature, over all shingles of the line."""
+def _minima(distinct: DataFrame) -> DataFrame:
+    """(key, m0, m1, …) from (key, line): the signature, over all shingles of the line; 31 bits of each least hash."""
     # A line of one shingle has no copy but itself.
     rows = distinct.where(F.char_length("line") > SHINGLE).select("key", _characters("line").alias("_chars"))
     each = rows.select("key", "_chars", F.explode(_places("_chars")).alias("_at"))
     hashed = each.select("key", _shingle("_chars", F.col("_at")).alias("_hash"))
-    signed = hashed.groupBy("key").agg(*(F.min(_row(i)).alias(f"_m{i}") for i in range(BANDS * ROWS)))
-    bands = F.array(*(F.xxhash64(F.lit(b), *(f"_m{b * ROWS + r}" for r in range(ROWS))) for b in range(BANDS)))
-    return signed.select("key", bands.alias("bands"))
+    signed = hashed.groupBy("key").agg(*(F.min(_row(i)).alias(f"_m{i}") for i in range(ROWS)))
+    return signed.select("key", *(F.col(f"_m{i}").bitwiseAND(0x7FFFFFFF).cast("int").alias(f"m{i}") for i in range(ROWS)))
+
 
+def _banded(signed: DataFrame) -> DataFrame:
+    """(key, bands): one hash for each band of the signature."""
+    return signed.select("key", F.array(*(F.xxhash64(F.lit(b), *(f"m{r}" for r in band)) for b, band in enumerate(BANDS))).alias("bands"))
 
-def candidates(signed: DataFrame) -> DataFrame:
-    """(a, b), a < b: all pairs of a bucket, or, if it is crowded, each line beside the bucket's least and greatest.
 
-    A line of a crowded bucket is also paired with itself, which marks it for ``rest``.
+def signatures(distinct: DataFrame) -> DataFrame:
+    """(key, bands) from (key, line)."""
+    return _banded(_minima(distinct))
+
+
+def shared(signed: DataFrame) -> DataFrame:
+    """(bucket, key): the members of every bucket of two lines or more."""
+    each = signed.select("key", F.explode("bands").alias("bucket"))
+    buckets = written(each.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket"), "buckets")
+    return each.join(_small(buckets, buckets.count()), "bucket")
+
+
+def led(members: DataFrame) -> DataFrame:
+    """(bucket, key, pivot): the pivot of a bucket is the member that shares buckets with the most others."""
+    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    met = members.join(sizes, "bucket").groupBy("key").agg(F.sum("n").alias("met"))
+    pivots = members.join(met, "key").groupBy("bucket").agg(F.max(F.struct("met", "key")).getField("key").alias("pivot"))
+    return members.join(pivots, "bucket")
+
+
+def differences(pairs: DataFrame, count: int, texts: DataFrame) -> DataFrame:
+    """(key, pivot, size, pivot_size, off) from (key, pivot): how many shingles both have, and those that one of them has alone.
+
+    Shingles are rows here, not elements of arrays: rows are hashed and counted in compiled code.
     """
-    members = signed.select("key", F.explode("bands").alias("bucket"))
-    ends = members.groupBy("bucket").agg(F.min("key").alias("low"), F.max("key").alias("high"), F.count(F.lit(1)).alias("_n"))
-    beside = members.join(ends.where("low < high"), "bucket")
-    few = beside.where(F.col("_n") <= CROWDED).groupBy("bucket").agg(F.sort_array(F.collect_list("key")).alias("keys"))
-    few = few.select("keys", F.posexplode("keys").alias("at", "a"))
-    few = few.select("a", F.explode(F.slice("keys", F.col("at") + 2, F.size("keys"))).alias("b"))
-    many = beside.where(F.col("_n") > CROWDED).select("key", F.explode(F.array("low", "high", "key")).alias("end"))
-    return few.union(many.select(F.least("key", "end"), F.greatest("key", "end"))).distinct()
-
-
-def rest(texts: DataFrame, linked: DataFrame) -> DataFrame:
-    """(a, b), a < b, from (key, line): every pair that can reach the similarity and is not yet connected by ``linked``.
-
-    A prefix filter: with shingles ordered from the rarest on, two lines of the similarity share one among the
-    first of both. Of the smaller set a shorter prefix is enough. Lines of one component are not paired, so
-    a large group of copies stays linear, whatever its shingles.
+    sided = pairs.join(texts.select(F.col("key").alias("pivot"), F.col("line").alias("_theirs")), "pivot").join(texts, "key")
+    # So few lines at once that the shingles of a task's lines fit in memory.
+    sided = sided.repartition(-(-count // LINES_AT_ONCE) or 1, "key", "pivot")
+    sides = F.array(*(F.struct(F.lit(bit).alias("side"), F.col(c).alias("line")) for bit, c in ((1, "line"), (2, "_theirs"))))
+    each = sided.select("key", "pivot", F.explode(sides).alias("x")).select("key", "pivot", "x.side", _characters("x.line").alias("_chars"))
+    each = each.select("key", "pivot", "side", "_chars", F.explode(_places("_chars")).alias("_at"))
+    shingles = each.select("key", "pivot", "side", _shingle("_chars", F.col("_at")).alias("_hash"))
+    held = shingles.groupBy("key", "pivot", "_hash").agg(F.bit_or("side").alias("sides"))
+    size, theirs = (F.count_if(F.col("sides") != other) for other in (2, 1))
+    off = F.collect_list(F.when(F.col("sides") != 3, F.col("_hash")))
+    return held.groupBy("key", "pivot").agg(size.alias("size"), theirs.alias("pivot_size"), off.alias("off"))
+
+
+def near(sizes: DataFrame) -> DataFrame:
+    """(key, pivot, root, linked) from (key, pivot, size, n_off): which lines of a pivot are linked with its line ``root``.
+
+    What differs between two lines differs between one of them and the centre, so lines are linked if their numbers off
+    the centre add up to what two lines may differ in. The line with the most room left reaches every line that any other
+    line reaches in this way.
     """
-    roots = components(linked).withColumnRenamed("node", "key")
-    rooted = texts.join(roots, "key", "left").select("key", F.coalesce("root", "key").alias("root"), _characters("line").alias("_chars"))
-    each = rooted.select("key", "root", "_chars", F.explode(_places("_chars")).alias("_at"))
-    shingles = written(each.select("key", "root", _shingle("_chars", F.col("_at")).alias("_hash")).distinct(), "crowded")
-    held = shingles.groupBy("_hash").agg(F.count(F.lit(1)).alias("_lines"), F.mode("root").alias("_main"), F.min("root") == F.max("root"))
-    held = held.toDF("_hash", "_lines", "_main", "_one")
-    line = Window.partitionBy("key")
-    ranked = shingles.join(held, "_hash").withColumn("_size", F.count(F.lit(1)).over(line))
-    ranked = ranked.withColumn("_rank", F.row_number().over(line.orderBy("_lines", "_hash")))
-    # Rounding may lengthen a prefix, never shorten it.
-    first = lambda part: F.col("_rank") <= F.floor(F.col("_size") * part + 1e-6) + 1
-    ranked = ranked.withColumn("_short", first((1 - SIMILARITY) / (1 + SIMILARITY))).where(first(1 - SIMILARITY) & ~F.col("_one"))
-    ranked = written(ranked.select("key", "root", "_hash", "_size", "_short", (F.col("root") != F.col("_main")).alias("_off")), "prefixes")
-    side = lambda df, s: df.select(F.col("_hash"), *(F.col(c).alias(c + s) for c in ("key", "root", "_size", "_off")))
-    small, large = ranked.where("_short"), ranked
-    near = (F.col("root_a") != F.col("root_b")) & (F.col("_size_a") <= F.col("_size_b")) & (F.col("_size_a") >= SIMILARITY * F.col("_size_b") - 1e-6)
-    # A pair of different components has one side at least outside of the shingle's largest component.
-    met = side(small.where("_off"), "_a").join(side(large, "_b"), "_hash").where(near)
-    met = met.union(side(small.where("NOT _off"), "_a").join(side(large.where("_off"), "_b"), "_hash").where(near))
-    return met.select(F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b")).distinct()
-
-
-def jaccard(pairs: DataFrame) -> DataFrame:
-    """(a, b, similarity) from (a, b, line_a, line_b), over all shingles of both.
+    room = F.col("size") - PART * F.col("n_off")
+    widest = sizes.groupBy("pivot").agg(F.max(F.struct(room.alias("room"), "key")).alias("_widest"))
+    linked = F.col("_widest.room") + room >= 0
+    return sizes.join(widest, "pivot").select("key", "pivot", F.col("_widest.key").alias("root"), linked.alias("linked"))
 
-    Shingles are rows here, not elements of arrays: rows are hashed and counted in compiled code.
+
+def _links(near: DataFrame) -> DataFrame:
+    return near.where("linked AND key != root").select(F.col("key").alias("a"), F.col("root").alias("b"))
+
+
+def undecided(placed: DataFrame, roots: DataFrame) -> DataFrame:
+    """(key, pivot): lines of buckets that hold lines of different components, without the pivots, whose pairs are decided."""
+    rooted = placed.where("key != pivot").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    unlike = rooted.groupBy("bucket").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).where("_low != _high")
+    return rooted.join(unlike.select("bucket"), "bucket", "left_semi").select("key", "pivot").distinct()
+
+
+def centred(apart: DataFrame) -> DataFrame:
+    """(key, pivot, size, off) from the same: the sets moved from the pivot to a centre, the shingles that most lines of the pivot hold.
+
+    Two sets differ in as much as before, since all are changed by the same shingles; but they are as small as they can be.
     """
-    sides = F.array(*(F.struct(F.lit(bit).alias("side"), F.col(c).alias("line")) for bit, c in ((1, "line_a"), (2, "line_b"))))
-    each = pairs.select("a", "b", F.explode(sides).alias("x")).select("a", "b", "x.side", F.col("x.line").alias("line"))
-    each = each.select("a", "b", "side", _characters("line").alias("_chars"))
-    each = each.select("a", "b", "side", "_chars", F.explode(_places("_chars")).alias("_at"))
-    shingles = each.select("a", "b", "side", _shingle("_chars", F.col("_at")).alias("_hash"))
-    held = shingles.groupBy("a", "b", "_hash").agg(F.bit_or("side").alias("sides"))
-    return held.groupBy("a", "b").agg((F.count_if(F.col("sides") == 3) / F.count(F.lit(1))).alias("similarity"))
+    n = apart.groupBy("pivot").agg(F.count(F.lit(1)).alias("_n"))
+    held = apart.select("pivot", F.explode("off").alias("_hash")).groupBy("pivot", "_hash").agg(F.count(F.lit(1)).alias("_lines"))
+    most = held.join(n, "pivot").where("2 * _lines > _n").groupBy("pivot").agg(F.collect_list("_hash").alias("_moved"))
+    off = F.concat(F.array_except("off", "_moved"), F.array_except("_moved", "off"))
+    return apart.join(most, "pivot", "left").select("key", "pivot", "size", F.when(F.col("_moved").isNull(), F.col("off")).otherwise(off).alias("off"))
+
+
+def rest(apart: DataFrame) -> DataFrame:
+    """(a, b), a < b, from (key, pivot, root, linked, size, off): pairs of one pivot and different roots that reach the similarity.
+
+    What two lines differ in is what their sets off the pivot differ in. If sets of m and n may differ in d shingles, and shingles are
+    ordered from the rarest on, the first one they share has at most (m - n + d) / 2 before it in the one, (n - m + d) / 2 in the
+    other. Sets that share none have been linked.
+    """
+    each = apart.select("key", "pivot", F.explode("off").alias("_hash"))
+    held = each.groupBy("pivot", "_hash").agg(F.count(F.lit(1)).alias("_lines"))
+    order = each.join(held, ["pivot", "_hash"]).groupBy("key", "pivot").agg(F.sort_array(F.collect_list(F.struct("_lines", "_hash"))).alias("_order"))
+    ranked = apart.join(order, ["key", "pivot"]).select("key", "pivot", "root", "linked", "size", F.size("off").alias("n_off"), F.posexplode("_order").alias("_at", "_held"))
+    # What one line alone holds meets nothing, but has its place in the order.
+    ranked = written(ranked.where("_held._lines > 1").withColumn("_hash", F.col("_held._hash")).drop("_held"), "ranked")
+    side = lambda df, s: df.select("pivot", "_hash", *(F.col(c).alias(c + s) for c in ("key", "root", "linked", "size", "n_off", "_at")))
+    both = F.col("size_a") + F.col("size_b")
+    more = F.col("n_off_a") - F.col("n_off_b")
+    met = (
+        (F.col("root_a") != F.col("root_b"))
+        & (F.col("linked_b") | (F.col("key_a") < F.col("key_b")))
+        & (PART * F.abs(F.col("size_a") - F.col("size_b")) <= both)
+        & (PART * (2 * F.col("_at_a") - more) <= both)
+        & (PART * (2 * F.col("_at_b") + more) <= both)
+    )
+    pairs = side(ranked.where("NOT linked"), "_a").join(side(ranked, "_b"), ["pivot", "_hash"]).where(met).select("pivot", "key_a", "key_b").distinct()
+    whole = lambda s: apart.select("pivot", *(F.col(c).alias(c + s) for c in ("key", "size", "off")))
+    differ = F.size("off_a") + F.size("off_b") - 2 * F.size(F.array_intersect("off_a", "off_b"))
+    near = pairs.join(whole("_a"), ["pivot", "key_a"]).join(whole("_b"), ["pivot", "key_b"]).where(PART * differ <= both)
+    return near.select(F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b")).distinct()
 
 
 def _small(df: DataFrame, rows: int) -> DataFrame:
@@ -136,35 +198,33 @@ def _small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
-def _verified(pairs: DataFrame, count: int, texts: DataFrame) -> DataFrame:
-    """The pairs that reach the similarity."""
-    sided = pairs.join(texts.select(F.col("key").alias("a"), F.col("line").alias("line_a")), "a")
-    sided = sided.join(texts.select(F.col("key").alias("b"), F.col("line").alias("line_b")), "b")
-    # So few pairs at once that the shingles of a task's pairs fit in memory.
-    sided = sided.repartition(-(-count // PAIRS_AT_ONCE) or 1, "a", "b")
-    return jaccard(sided).where(F.col("similarity") >= SIMILARITY).select("a", "b")
-
-
 def links(every: DataFrame) -> DataFrame:
-    """(a, b): verified pairs of distinct lines, from the lines of a corpus.
+    """(a, b): pairs of distinct lines that reach the similarity, from the lines of a corpus.
 
-    They connect what all verified pairs of all buckets would connect.
+    They connect what all such pairs of all buckets would connect.
     """
     distinct = every.groupBy("key").agg(F.first("line").alias("line"))
-    signed = written(signatures(distinct), "signatures")
-    pairs = written(candidates(signed), "pairs")
-    ends = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "key")
-    count = pairs.count()
-    wanted = every.select("key", "line").join(_small(ends, 2 * count), "key", "left_semi")
+    members = written(shared(_banded(written(_minima(distinct), "signatures"))), "members")
+    keys = written(members.select("key").distinct(), "keys")
+    wanted = every.select("key", "line").join(_small(keys, keys.count()), "key", "left_semi")
     texts = written(wanted.groupBy("key").agg(F.first("line").alias("line")), "texts")
-    crowded = pairs.where("a = b").select(F.col("a").alias("key"))
-    found = _verified(pairs.where("a < b"), count, texts)
-    n_crowded = crowded.count()
-    if not n_crowded:
+    placed = written(led(members), "placed")
+    pairs = written(placed.where("key != pivot").select("key", "pivot").distinct(), "pairs")
+    sizes = written(differences(pairs, pairs.count(), texts).withColumn("n_off", F.size("off")).drop("off"), "sizes")
+    pivots = sizes.groupBy(F.col("pivot").alias("key"), "pivot").agg(F.max("pivot_size").alias("size"), F.lit(0).alias("n_off"))
+    found = _links(written(near(sizes.select("key", "pivot", "size", "n_off").union(pivots)), "near"))
+    left = written(undecided(placed, components(found).withColumnRenamed("node", "key")), "undecided")
+    count = left.count()
+    if not count:
         return found
-    found = written(found, "links")
-    more = written(rest(texts.join(_small(crowded, n_crowded), "key", "left_semi"), found), "rest")
-    return found.union(_verified(more, more.count(), texts))
+    # The sets themselves are written only where they are needed: they are larger than the texts.
+    apart = written(centred(written(differences(left, count, texts).drop("pivot_size"), "apart")), "centred")
+    closer = written(near(apart.select("key", "pivot", "size", F.size("off").alias("n_off"))), "near")
+    found = found.union(_links(closer))
+    roots = components(found).withColumnRenamed("node", "key")
+    still = written(undecided(placed, roots), "undecided").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    apart = apart.join(closer.drop("root"), ["key", "pivot"]).join(still, ["key", "pivot"])
+    return found.union(rest(written(apart, "apart")))
 
 
 def repeated(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -172,8 +232,8 @@ def repeated(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFra
 
     Of a component the line of the smallest (id, text hash, place) stays.
     """
-    every = lines(docs, id, text)
-    places = written(every.drop("line"), "places")
+    every = written(lines(docs, id, text), "lines", compression="zstd")
+    places = every.drop("line")
     roots = components(links(every)).select(F.col("node").alias("key"), "root")
     rooted = written(places.join(roots, "key", "left").select("id", "whole", "at", F.coalesce("root", "key").alias("root")), "rooted")
     place = F.struct("id", "whole", "at")

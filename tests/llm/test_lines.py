@@ -177,3 +177,27 @@ def test_pairs_of_few_shingles_meet_as_often_as_long_ones(spark):
     distinct = spark.createDataFrame([(2 * i + j, x) for i, pair in enumerate(pairs) for j, x in enumerate(pair)], "key long, line string")
     bands = {r.key: set(r.bands) for r in lines.signatures(distinct).collect()}
     assert sum(not bands[2 * i] & bands[2 * i + 1] for i in range(len(pairs))) <= 0.02 * len(pairs)
+
+
+def test_lines_of_one_template_are_not_compared_each_with_each(spark, monkeypatch):
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(2, 8))) for _ in range(90)]
+    # Each line lacks some words, so that many pairs lack one in common, and few reach the similarity.
+    texts = sorted({" ".join(w for w in words if rng.random() > part) for part in (0.04, 0.09) for _ in range(150)})
+    sets = {x: shingles(x) for x in texts}
+    want = {frozenset((a, b)) for i, a in enumerate(texts) for b in texts[:i] if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])}
+    every = lines.lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    names = {r.key: r.line for r in every.select("key", "line").collect()}
+    paired, write = [], lines.written
+
+    def counted(df, label, **options):
+        made = write(df, label, **options)
+        if made.columns[:2] == ["a", "b"]:
+            paired.append(made.count())
+        return made
+
+    monkeypatch.setattr(lines, "written", counted)
+    got = {frozenset((names[r.a], names[r.b])) for r in lines.links(every).collect()}
+    of = components_of(texts, got)
+    assert got <= want and sum(of[a] == of[b] for a, b in map(tuple, want)) >= 0.97 * len(want)
+    assert sum(paired) + len(got) < 10 * len(texts)
