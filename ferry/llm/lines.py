@@ -1,12 +1,12 @@
 """Line deduplication over a corpus: exact and near copies of lines, one of each component stays.
 
 Lines are compared by the Jaccard similarity of their sets of character shingles, after trimming and
-lower-casing. Equal lines are collapsed first, by hash and with a combining aggregate. Each distinct line's shingles
-are hashed once; a row of the MinHash signature is the least hash under a rotation and the exclusive or with a
-constant. Lines that agree in a band of rows are candidates and are verified on their whole shingle sets, though not
-pair by pair: each line of a bucket is compared with one pivot, and what differs from the pivot decides all other
-pairs, in part by numbers alone and else by a join on the differences. There is one rule for buckets of any size. Everything is
-DataFrame operations.
+lower-casing. Equal lines have one key and one signature, made with a combining aggregate; texts are not shuffled for it. A row
+of the MinHash signature is the least hash of a shingle under a rotation and the exclusive or with a
+constant. Lines that agree in a band of rows are candidates and are verified on their whole shingle sets: each line of a
+bucket is compared with one pivot. Where few lines of a pivot are open after that, they are compared with each other; where
+many are, what differs from the pivot decides all other pairs, in part by numbers alone and else by a join on the
+differences. Both ways are exact. Everything is DataFrame operations.
 """
 
 from __future__ import annotations
@@ -26,8 +26,10 @@ PART = round((1 + SIMILARITY) / (1 - SIMILARITY))
 ROWS, BANDS_USED = 16, 18
 #: Rows that may be broadcast. Beyond that the same join is done by a shuffle.
 BROADCAST_ROWS = 2_000_000
-#: Lines that one task compares with their pivots, about.
-LINES_AT_ONCE = 4_000
+#: Shingles that meet a line's signature at once.
+UNROLLED = 4
+#: So many open lines of a pivot are compared each with each; the differences of more are joined. It decides on costs, not on results.
+FEW = 8
 
 _UTF32 = 4
 
@@ -48,8 +50,10 @@ def _normal(line: Column) -> Column:
 
 def lines(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, whole, at, key, line): every line with a character, normalised; ``whole`` tells texts of one id apart."""
-    each = docs.select(F.col(id).alias("id"), F.xxhash64(text).alias("whole"), F.posexplode(F.split(text, "\n")).alias("at", "line"))
-    normal = each.select("id", "whole", "at", _normal(F.col("line")).alias("line")).where("line != ''")
+    # The text is hashed before it is split, not once a line. ``outer`` spares a filter that splits every text once more.
+    texts = docs.select(F.col(id).alias("id"), F.xxhash64(text).alias("whole"), F.col(text).alias("text"))
+    each = texts.select("id", "whole", F.posexplode_outer(F.split("text", "\n")).alias("at", "line"))
+    normal = each.where(F.btrim("line", F.lit(SPACE)) != "").select("id", "whole", "at", _normal(F.col("line")).alias("line"))
     return normal.select("id", "whole", "at", F.xxhash64("line").alias("key"), "line")
 
 
@@ -58,29 +62,32 @@ def _characters(line: str) -> Column:
     return F.encode(F.col(line), "UTF-32")
 
 
-def _places(characters: str) -> Column:
-    """Where shingles begin, from 0."""
-    return F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor(F.octet_length(characters) / _UTF32).cast("int") - SHINGLE))
-
-
 def _shingle(characters: str, at: Column) -> Column:
     return F.xxhash64(F.substring(F.col(characters), at * _UTF32 + 1, F.lit(SHINGLE * _UTF32)))
 
 
-def _row(row: int) -> Column:
+def _shingles(line: str) -> Column:
+    """All shingles of a line of one at least, by one expression that is compiled, unlike functions over arrays' elements."""
+    return F.regexp_extract_all(line, F.lit(f"(?s)(?=(.{{{SHINGLE}}}))."), F.lit(1))
+
+
+def _row(row: int, hash: str) -> Column:
     """The hash in the row's order. Turned, so that rows are decided by different bits even of few shingles."""
     turn, mask = row * 7 % 64, (row * 0x9E3779B97F4A7C15 + (1 << 63)) % (1 << 64) - (1 << 63)
-    turned = F.shiftleft("_hash", turn).bitwiseOR(F.shiftrightunsigned("_hash", 64 - turn)) if turn else F.col("_hash")
+    turned = F.shiftleft(hash, turn).bitwiseOR(F.shiftrightunsigned(hash, 64 - turn)) if turn else F.col(hash)
     return turned.bitwiseXOR(F.lit(mask))
 
 
-def _minima(distinct: DataFrame) -> DataFrame:
-    """(key, m0, m1, …) from (key, line): the signature, over all shingles of the line; 31 bits of each least hash."""
+def _minima(every: DataFrame) -> DataFrame:
+    """(key, m0, m1, …) from (key, line), where lines may repeat: the signature, over all shingles of the line; 31 bits of each least hash."""
     # A line of one shingle has no copy but itself.
-    rows = distinct.where(F.char_length("line") > SHINGLE).select("key", _characters("line").alias("_chars"))
-    each = rows.select("key", "_chars", F.explode(_places("_chars")).alias("_at"))
-    hashed = each.select("key", _shingle("_chars", F.col("_at")).alias("_hash"))
-    signed = hashed.groupBy("key").agg(*(F.min(_row(i)).alias(f"_m{i}") for i in range(ROWS)))
+    rows = every.where(F.char_length("line") > SHINGLE).select("key", _characters("line").alias("_chars"))
+    rows = rows.withColumn("_last", F.floor(F.octet_length("_chars") / _UTF32).cast("int") - SHINGLE)
+    # Some shingles a row, the last one repeated where none is left: the least of them meets the aggregate.
+    each = rows.select("key", "_chars", "_last", F.explode_outer(F.sequence(F.lit(0), "_last", F.lit(UNROLLED))).alias("_at"))
+    hashes = [f"_hash{j}" for j in range(UNROLLED)]
+    hashed = each.select("key", *(_shingle("_chars", F.least(F.col("_at") + j, "_last")).alias(h) for j, h in enumerate(hashes)))
+    signed = hashed.groupBy("key").agg(*(F.min(F.least(*(_row(i, h) for h in hashes))).alias(f"_m{i}") for i in range(ROWS)))
     return signed.select("key", *(F.col(f"_m{i}").bitwiseAND(0x7FFFFFFF).cast("int").alias(f"m{i}") for i in range(ROWS)))
 
 
@@ -89,9 +96,9 @@ def _banded(signed: DataFrame) -> DataFrame:
     return signed.select("key", F.array(*(F.xxhash64(F.lit(b), *(f"m{r}" for r in band)) for b, band in enumerate(BANDS))).alias("bands"))
 
 
-def signatures(distinct: DataFrame) -> DataFrame:
+def signatures(every: DataFrame) -> DataFrame:
     """(key, bands) from (key, line)."""
-    return _banded(_minima(distinct))
+    return _banded(_minima(every))
 
 
 def shared(signed: DataFrame) -> DataFrame:
@@ -109,22 +116,26 @@ def led(members: DataFrame) -> DataFrame:
     return members.join(pivots, "bucket")
 
 
-def differences(pairs: DataFrame, count: int, texts: DataFrame) -> DataFrame:
+def differences(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """(key, pivot, size, pivot_size, off) from (key, pivot): how many shingles both have, and those that one of them has alone.
 
-    Shingles are rows here, not elements of arrays: rows are hashed and counted in compiled code.
+    Conditions on it would be moved below it and compare the lines once more: they are for the written table.
     """
     sided = pairs.join(texts.select(F.col("key").alias("pivot"), F.col("line").alias("_theirs")), "pivot").join(texts, "key")
-    # So few lines at once that the shingles of a task's lines fit in memory.
-    sided = sided.repartition(-(-count // LINES_AT_ONCE) or 1, "key", "pivot")
-    sides = F.array(*(F.struct(F.lit(bit).alias("side"), F.col(c).alias("line")) for bit, c in ((1, "line"), (2, "_theirs"))))
-    each = sided.select("key", "pivot", F.explode(sides).alias("x")).select("key", "pivot", "x.side", _characters("x.line").alias("_chars"))
-    each = each.select("key", "pivot", "side", "_chars", F.explode(_places("_chars")).alias("_at"))
-    shingles = each.select("key", "pivot", "side", _shingle("_chars", F.col("_at")).alias("_hash"))
-    held = shingles.groupBy("key", "pivot", "_hash").agg(F.bit_or("side").alias("sides"))
-    size, theirs = (F.count_if(F.col("sides") != other) for other in (2, 1))
-    off = F.collect_list(F.when(F.col("sides") != 3, F.col("_hash")))
-    return held.groupBy("key", "pivot").agg(size.alias("size"), theirs.alias("pivot_size"), off.alias("off"))
+    sets = sided.select("key", "pivot", _shingles("line").alias("_mine"), _shingles("_theirs").alias("_theirs"))
+    alone = sets.select(
+        "key",
+        "pivot",
+        F.array_except("_mine", "_theirs").alias("_mine"),
+        F.array_except("_theirs", "_mine").alias("_theirs"),
+        F.size(F.array_intersect("_mine", "_theirs")).alias("_both"),
+    )
+    size, theirs = (F.col("_both") + F.size(c) for c in ("_mine", "_theirs"))
+    return alone.select("key", "pivot", size.alias("size"), theirs.alias("pivot_size"), F.concat("_mine", "_theirs").alias("off"))
+
+
+def _counted(differing: DataFrame) -> DataFrame:
+    return differing.select("key", "pivot", "size", "pivot_size", F.size("off").alias("n_off"))
 
 
 def near(sizes: DataFrame) -> DataFrame:
@@ -145,10 +156,17 @@ def _links(near: DataFrame) -> DataFrame:
 
 
 def undecided(placed: DataFrame, roots: DataFrame) -> DataFrame:
-    """(key, pivot): lines of buckets that hold lines of different components, without the pivots, whose pairs are decided."""
+    """(key, pivot, root): lines of buckets that hold lines of different components, without the pivots, whose pairs are decided."""
     rooted = placed.where("key != pivot").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
     unlike = rooted.groupBy("bucket").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).where("_low != _high")
-    return rooted.join(unlike.select("bucket"), "bucket", "left_semi").select("key", "pivot").distinct()
+    return rooted.join(unlike.select("bucket"), "bucket", "left_semi").select("key", "pivot", "root").distinct()
+
+
+def each_with_each(left: DataFrame) -> DataFrame:
+    """(key, pivot) from (key, pivot, root): the pairs of lines of one pivot and different roots, one of them as the other's pivot."""
+    side = lambda s: left.select("pivot", *(F.col(c).alias(c + s) for c in ("key", "root")))
+    met = side("_a").join(side("_b"), "pivot").where("key_a < key_b AND root_a != root_b")
+    return met.select(F.col("key_a").alias("key"), F.col("key_b").alias("pivot")).distinct()
 
 
 def centred(apart: DataFrame) -> DataFrame:
@@ -172,10 +190,13 @@ def rest(apart: DataFrame) -> DataFrame:
     """
     each = apart.select("key", "pivot", F.explode("off").alias("_hash"))
     held = each.groupBy("pivot", "_hash").agg(F.count(F.lit(1)).alias("_lines"))
-    order = each.join(held, ["pivot", "_hash"]).groupBy("key", "pivot").agg(F.sort_array(F.collect_list(F.struct("_lines", "_hash"))).alias("_order"))
-    ranked = apart.join(order, ["key", "pivot"]).select("key", "pivot", "root", "linked", "size", F.size("off").alias("n_off"), F.posexplode("_order").alias("_at", "_held"))
-    # What one line alone holds meets nothing, but has its place in the order.
-    ranked = written(ranked.where("_held._lines > 1").withColumn("_hash", F.col("_held._hash")).drop("_held"), "ranked")
+    # What one line alone holds meets nothing, but has its place in the order: it comes first.
+    shared = each.join(held.where("_lines > 1"), ["pivot", "_hash"])
+    order = shared.groupBy("key", "pivot").agg(F.sort_array(F.collect_list(F.struct("_lines", "_hash"))).alias("_order"))
+    numbered = apart.select("key", "pivot", "root", "linked", "size", F.size("off").alias("n_off"))
+    ranked = numbered.join(order, ["key", "pivot"]).withColumn("_alone", F.col("n_off") - F.size("_order"))
+    ranked = ranked.select("key", "pivot", "root", "linked", "size", "n_off", "_alone", F.posexplode("_order").alias("_place", "_held"))
+    ranked = written(ranked.withColumns({"_at": F.col("_alone") + F.col("_place"), "_hash": F.col("_held._hash")}).drop("_alone", "_place", "_held"), "ranked")
     side = lambda df, s: df.select("pivot", "_hash", *(F.col(c).alias(c + s) for c in ("key", "root", "linked", "size", "n_off", "_at")))
     both = F.col("size_a") + F.col("size_b")
     more = F.col("n_off_a") - F.col("n_off_b")
@@ -203,26 +224,28 @@ def links(every: DataFrame) -> DataFrame:
 
     They connect what all such pairs of all buckets would connect.
     """
-    distinct = every.groupBy("key").agg(F.first("line").alias("line"))
-    members = written(shared(_banded(written(_minima(distinct), "signatures"))), "members")
+    members = written(shared(_banded(written(_minima(every), "signatures"))), "members")
     keys = written(members.select("key").distinct(), "keys")
     wanted = every.select("key", "line").join(_small(keys, keys.count()), "key", "left_semi")
     texts = written(wanted.groupBy("key").agg(F.first("line").alias("line")), "texts")
     placed = written(led(members), "placed")
-    pairs = written(placed.where("key != pivot").select("key", "pivot").distinct(), "pairs")
-    sizes = written(differences(pairs, pairs.count(), texts).withColumn("n_off", F.size("off")).drop("off"), "sizes")
+    pairs = placed.where("key != pivot").select("key", "pivot").distinct()
+    sizes = written(_counted(differences(pairs, texts)), "sizes")
     pivots = sizes.groupBy(F.col("pivot").alias("key"), "pivot").agg(F.max("pivot_size").alias("size"), F.lit(0).alias("n_off"))
     found = _links(written(near(sizes.select("key", "pivot", "size", "n_off").union(pivots)), "near"))
-    left = written(undecided(placed, components(found).withColumnRenamed("node", "key")), "undecided")
-    count = left.count()
-    if not count:
+    left = undecided(placed, components(found).withColumnRenamed("node", "key"))
+    left = written(left.join(left.groupBy("pivot").agg(F.count(F.lit(1)).alias("n")), "pivot"), "undecided")
+    met = written(_counted(differences(each_with_each(left.where(F.col("n") <= FEW)), texts)), "met")
+    found = found.union(met.where(PART * F.col("n_off") <= F.col("size") + F.col("pivot_size")).select(F.col("key").alias("a"), F.col("pivot").alias("b")))
+    many = left.where(F.col("n") > FEW).select("key", "pivot")
+    if many.isEmpty():
         return found
     # The sets themselves are written only where they are needed: they are larger than the texts.
-    apart = written(centred(written(differences(left, count, texts).drop("pivot_size"), "apart")), "centred")
+    apart = differences(many, texts).select("key", "pivot", "size", F.transform("off", lambda x: F.xxhash64(x)).alias("off"))
+    apart = written(centred(written(apart, "apart")), "centred")
     closer = written(near(apart.select("key", "pivot", "size", F.size("off").alias("n_off"))), "near")
     found = found.union(_links(closer))
-    roots = components(found).withColumnRenamed("node", "key")
-    still = written(undecided(placed, roots), "undecided").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    still = undecided(placed, components(found).withColumnRenamed("node", "key"))
     apart = apart.join(closer.drop("root"), ["key", "pivot"]).join(still, ["key", "pivot"])
     return found.union(rest(written(apart, "apart")))
 
@@ -232,8 +255,9 @@ def repeated(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFra
 
     Of a component the line of the smallest (id, text hash, place) stays.
     """
-    every = written(lines(docs, id, text), "lines", compression="zstd")
-    places = every.drop("line")
+    # Texts are split again where lines are needed: they would be the largest of the tables.
+    every = lines(docs, id, text)
+    places = written(every.drop("line"), "places")
     roots = components(links(every)).select(F.col("node").alias("key"), "root")
     rooted = written(places.join(roots, "key", "left").select("id", "whole", "at", F.coalesce("root", "key").alias("root")), "rooted")
     place = F.struct("id", "whole", "at")

@@ -201,3 +201,35 @@ def test_lines_of_one_template_are_not_compared_each_with_each(spark, monkeypatc
     of = components_of(texts, got)
     assert got <= want and sum(of[a] == of[b] for a, b in map(tuple, want)) >= 0.97 * len(want)
     assert sum(paired) + len(got) < 10 * len(texts)
+
+
+def test_texts_are_written_only_of_lines_that_may_have_copies(spark, monkeypatch):
+    rng = random.Random(9)
+    noise = lambda k: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(k))
+    copied = noise(200)
+    docs = [(i, "\n".join(noise(200) for _ in range(5))) for i in range(60)] + [(60, copied), (61, copied[:-4] + noise(4))]
+    kept, write = {}, lines.written
+
+    def counted(df, label, **options):
+        made = write(df, label, **options)
+        if "line" in made.columns:
+            kept[label] = made.count()
+        return made
+
+    monkeypatch.setattr(lines, "written", counted)
+    rows = lines.without_repeated_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.text for r in rows} == {**dict(docs), 61: ""}
+    assert sum(kept.values()) < 10
+
+
+def test_few_open_lines_of_a_pivot_and_many_are_decided_alike(spark, monkeypatch):
+    texts = family(3, 150) + [line + " é🙂" for line in family(5, 12)]
+    every = lines.lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    names = {r.key: r.line for r in every.select("key", "line").collect()}
+    found = []
+    for few in (0, 1000):
+        monkeypatch.setattr(lines, "FEW", few)
+        got = {frozenset((names[r.a], names[r.b])) for r in lines.links(every).collect()}
+        of = components_of(texts, got)
+        found.append({frozenset(x for x in texts if of[x] == root) for root in set(of.values())})
+    assert found[0] == found[1] and len(found[0]) < len(texts)
