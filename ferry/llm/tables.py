@@ -17,9 +17,11 @@ CACHES: dict[str, dict] = {}
 
 def forget_others(owner: str) -> None:
     """Empty what other operators left in this worker: workers go on from stage to stage, and memories would add up."""
-    for name, cache in CACHES.items():
-        if name != owner:
-            cache.clear()
+    left = [cache for name, cache in CACHES.items() if name != owner and cache]
+    for cache in left:
+        cache.clear()
+    if left:
+        pa.default_memory_pool().release_unused()
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ferry.llm.tables import CACHES, id_remainder, with_results, written
+from ferry.llm.tables import forget_others, id_remainder, with_results, written
 
 #: Features are hashed to so many bits.
 BITS = 20
@@ -21,20 +21,14 @@ ALPHA, BETA, L1, L2 = 3.0, 1.0, 4.0, 1.0
 THRESHOLD = 0.7
 #: Distances between the words of a pair: 1 is a bigram, the others are skip-grams.
 SKIPS = (1, 2, 3)
-_CACHED_WORDS = 500_000
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], np.uint64)
 _FOLD = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
-_WORDS: dict[bytes, int] = CACHES.setdefault("toxicity", {})
 
 
 def features(text: str) -> np.ndarray:
     """The distinct hashed features of a text: its words, and pairs of words at the distances of ``SKIPS``."""
     words = text.lower().encode().translate(_FOLD).split()
-    if len(_WORDS) > _CACHED_WORDS:
-        _WORDS.clear()
-    for w in set(words).difference(_WORDS):
-        _WORDS[w] = zlib.crc32(w)
-    ids = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words)) + np.uint64(1)
+    ids = np.fromiter(map(zlib.crc32, words), np.uint64, len(words)) + np.uint64(1)
     grams = [ids * _FACTORS[0]] + [ids[:-k] * _FACTORS[k] + (ids[k:] ^ np.uint64(k)) * _FACTORS[0] for k in SKIPS if len(ids) > k]
     hashed = np.concatenate(grams)
     return ((hashed ^ hashed >> np.uint64(29)) * _FACTORS[1] >> np.uint64(64 - BITS)).astype(np.int32)
@@ -65,7 +59,12 @@ def _squash(x: float) -> float:
 
 
 def _learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    rows = [(np.array(f.as_py(), np.int32), y) for b in batches for f, y in zip(b.column(0), b.column(1).to_pylist())]
+    forget_others("toxicity")
+    rows = []
+    for batch in batches:
+        # Views of what Arrow holds: a row's features are not copied.
+        held, ends = batch.column(0).values.to_numpy(), batch.column(0).offsets.to_numpy()
+        rows += zip((held[a:z] for a, z in zip(ends, ends[1:])), batch.column(1).to_pylist())
     model, order = Ftrl(), np.random.default_rng(7)
     for _ in range(EPOCHS):
         for i in order.permutation(len(rows)):
@@ -76,6 +75,7 @@ def _learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _featured(batch: pa.RecordBatch) -> list[pa.Array]:
+    forget_others("toxicity")
     return [pa.array([np.unique(features(t or "")) for t in batch.column(0).to_pylist()], pa.list_(pa.int32()))]
 
 
@@ -105,6 +105,7 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
 
 
 def _scored(weights: dict[str, np.ndarray], batch: pa.RecordBatch) -> list[pa.Array]:
+    forget_others("toxicity")
     dense, scores = weights["dense"], []
     for text in batch.column(0).to_pylist():
         at = features(text or "")

@@ -101,3 +101,17 @@ def test_nulls_repeats_and_empty_tables(spark):
     assert len(got) == 4 and len({r.score for r in got if r.doc_id != 2}) == 1
     assert {r.score for r in toxicity.report(docs, labels.limit(0)).collect()} == {0.5}
     assert toxicity.report(docs.limit(0), labels).count() == 0
+
+
+def test_workers_give_up_what_earlier_stages_left_and_remember_no_words(spark):
+    import pyarrow as pa
+
+    from ferry.llm import tables
+
+    texts = pa.record_batch([pa.array(["some words of a text", None])], names=["text"])
+    weights = {"dense": np.zeros((1 << toxicity.BITS) + 1)}
+    learn = pa.record_batch([pa.array([[1, 2], [], [3]], pa.list_(pa.int32())), pa.array([1, 0, 0])], names=["features", "label"])
+    for step in (toxicity._featured, lambda b: toxicity._scored(weights, b), lambda b: list(toxicity._learned(iter([learn.slice(1), learn])))):
+        tables.CACHES.setdefault("packing", {})["left"] = b"x"
+        step(texts)
+        assert not any(tables.CACHES.values())
