@@ -102,26 +102,27 @@ def signatures(every: DataFrame) -> DataFrame:
 
 
 def shared(signed: DataFrame) -> DataFrame:
-    """(bucket, key): the members of every bucket of two lines or more."""
+    """(bucket, key, n): the members of every bucket of two lines or more, and how many it has."""
     each = signed.select("key", F.explode("bands").alias("bucket"))
-    buckets = written(each.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket"), "buckets")
+    buckets = written(each.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
     return each.join(_small(buckets, buckets.count()), "bucket")
 
 
 def led(members: DataFrame) -> DataFrame:
     """(bucket, key, pivot): the pivot of a bucket is the member that shares buckets with the most others."""
-    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
-    met = members.join(sizes, "bucket").groupBy("key").agg(F.sum("n").alias("met"))
+    met = members.groupBy("key").agg(F.sum("n").alias("met"))
     pivots = members.join(met, "key").groupBy("bucket").agg(F.max(F.struct("met", "key")).getField("key").alias("pivot"))
-    return members.join(pivots, "bucket")
+    return members.select("bucket", "key").join(pivots, "bucket")
 
 
 def differences(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """(key, pivot, size, pivot_size, off) from (key, pivot): how many shingles both have, and those that one of them has alone.
 
-    Conditions on it would be moved below it and compare the lines once more: they are for the written table.
+    Only texts that the pairs name are shuffled, so give a written table of pairs. Conditions on the result would be moved below
+    it and compare the lines once more: they are for the written table.
     """
-    sided = pairs.join(texts.select(F.col("key").alias("pivot"), F.col("line").alias("_theirs")), "pivot").join(texts, "key")
+    theirs = _named(texts, pairs.select(F.col("pivot").alias("key"))).select(F.col("key").alias("pivot"), F.col("line").alias("_theirs"))
+    sided = pairs.join(theirs, "pivot").join(_named(texts, pairs.select("key")), "key")
     sets = sided.select("key", "pivot", _shingles("line").alias("_mine"), _shingles("_theirs").alias("_theirs"))
     alone = sets.select(
         "key",
@@ -134,6 +135,11 @@ def differences(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return alone.select("key", "pivot", size.alias("size"), theirs.alias("pivot_size"), F.concat("_mine", "_theirs").alias("off"))
 
 
+def _named(texts: DataFrame, keys: DataFrame) -> DataFrame:
+    wanted = written(keys.distinct(), "wanted")
+    return texts.join(_small(wanted, wanted.count()), "key", "left_semi")
+
+
 def _counted(differing: DataFrame) -> DataFrame:
     return differing.select("key", "pivot", "size", "pivot_size", F.size("off").alias("n_off"))
 
@@ -219,35 +225,51 @@ def _small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
-def links(every: DataFrame) -> DataFrame:
-    """(a, b): pairs of distinct lines that reach the similarity, from the lines of a corpus.
-
-    They connect what all such pairs of all buckets would connect.
-    """
+def _linked(every: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Links (a, b) from the lines of a corpus in two parts, and the components (node, root) of the first part."""
     members = written(shared(_banded(written(_minima(every), "signatures"))), "members")
     keys = written(members.select("key").distinct(), "keys")
     wanted = every.select("key", "line").join(_small(keys, keys.count()), "key", "left_semi")
     texts = written(wanted.groupBy("key").agg(F.first("line").alias("line")), "texts")
     placed = written(led(members), "placed")
-    pairs = placed.where("key != pivot").select("key", "pivot").distinct()
+    pairs = written(placed.where("key != pivot").select("key", "pivot").distinct(), "pairs")
     sizes = written(_counted(differences(pairs, texts)), "sizes")
     pivots = sizes.groupBy(F.col("pivot").alias("key"), "pivot").agg(F.max("pivot_size").alias("size"), F.lit(0).alias("n_off"))
     found = _links(written(near(sizes.select("key", "pivot", "size", "n_off").union(pivots)), "near"))
-    left = undecided(placed, components(found).withColumnRenamed("node", "key"))
+    roots = components(found)
+    left = undecided(placed, roots.withColumnRenamed("node", "key"))
     left = written(left.join(left.groupBy("pivot").agg(F.count(F.lit(1)).alias("n")), "pivot"), "undecided")
-    met = written(_counted(differences(each_with_each(left.where(F.col("n") <= FEW)), texts)), "met")
-    found = found.union(met.where(PART * F.col("n_off") <= F.col("size") + F.col("pivot_size")).select(F.col("key").alias("a"), F.col("pivot").alias("b")))
-    many = left.where(F.col("n") > FEW).select("key", "pivot")
+    few = written(each_with_each(left.where(F.col("n") <= FEW)), "few")
+    met = written(_counted(differences(few, texts)), "met")
+    met = met.where(PART * F.col("n_off") <= F.col("size") + F.col("pivot_size")).select(F.col("key").alias("a"), F.col("pivot").alias("b"))
+    many = written(left.where(F.col("n") > FEW).select("key", "pivot"), "many")
     if many.isEmpty():
-        return found
+        return found, met, roots
     # The sets themselves are written only where they are needed: they are larger than the texts.
     apart = differences(many, texts).select("key", "pivot", "size", F.transform("off", lambda x: F.xxhash64(x)).alias("off"))
     apart = written(centred(written(apart, "apart")), "centred")
     closer = written(near(apart.select("key", "pivot", "size", F.size("off").alias("n_off"))), "near")
-    found = found.union(_links(closer))
-    still = undecided(placed, components(found).withColumnRenamed("node", "key"))
+    new = met.union(_links(closer))
+    # What is contracted once is not contracted again: components of components and new links are those of all links.
+    roots = components(roots.union(new))
+    still = undecided(placed, roots.withColumnRenamed("node", "key"))
     apart = apart.join(closer.drop("root"), ["key", "pivot"]).join(still, ["key", "pivot"])
-    return found.union(rest(written(apart, "apart")))
+    return found.union(new), rest(written(apart, "apart")), roots
+
+
+def links(every: DataFrame) -> DataFrame:
+    """(a, b): pairs of distinct lines that reach the similarity, from the lines of a corpus.
+
+    They connect what all such pairs of all buckets would connect.
+    """
+    first, last, _ = _linked(every)
+    return first.union(last)
+
+
+def rooted(every: DataFrame) -> DataFrame:
+    """(node, root): the components of these links."""
+    _, last, roots = _linked(every)
+    return components(roots.union(last))
 
 
 def repeated(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -258,13 +280,13 @@ def repeated(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFra
     # Texts are split again where lines are needed: they would be the largest of the tables.
     every = lines(docs, id, text)
     places = written(every.drop("line"), "places")
-    roots = components(links(every)).select(F.col("node").alias("key"), "root")
-    rooted = written(places.join(roots, "key", "left").select("id", "whole", "at", F.coalesce("root", "key").alias("root")), "rooted")
+    roots = rooted(every).withColumnRenamed("node", "key")
+    of = written(places.join(roots, "key", "left").select("id", "whole", "at", F.coalesce("root", "key").alias("root")), "rooted")
     place = F.struct("id", "whole", "at")
-    groups = rooted.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("stays")).where("n > 1").select("root", "stays")
+    groups = of.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("stays")).where("n > 1").select("root", "stays")
     # Written, so that both sides of the join are shuffled for it, and a line with very many copies can be cut.
     groups = written(groups, "stays")
-    gone = rooted.join(groups, "root").where(~place.eqNullSafe(F.col("stays")))
+    gone = of.join(groups, "root").where(~place.eqNullSafe(F.col("stays")))
     return gone.groupBy("id", "whole").agg(F.sort_array(F.collect_set("at")).alias("gone"))
 
 

@@ -233,3 +233,23 @@ def test_few_open_lines_of_a_pivot_and_many_are_decided_alike(spark, monkeypatch
         of = components_of(texts, got)
         found.append({frozenset(x for x in texts if of[x] == root) for root in set(of.values())})
     assert found[0] == found[1] and len(found[0]) < len(texts)
+
+
+def test_components_of_contracted_links_are_those_of_all_links(spark, monkeypatch):
+    texts = family(7, 120)
+    every = lines.lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    names = {r.key: r.line for r in every.select("key", "line").collect()}
+    for few in (0, 1000):
+        monkeypatch.setattr(lines, "FEW", few)
+        want = components_of(texts, {frozenset((names[r.a], names[r.b])) for r in lines.links(every).collect()})
+        got = {names[r.node]: names[r.root] for r in lines.rooted(every).collect()}
+        assert len(got) >= 8 and all((got.get(a, a) == got.get(b, b)) == (want[a] == want[b]) for a in texts for b in texts)
+
+
+def test_only_texts_that_pairs_name_are_shuffled_for_them(spark, monkeypatch):
+    texts = spark.createDataFrame([(i, f"line of text number {i}") for i in range(500)], "key long, line string")
+    pairs = spark.createDataFrame([(1, 2), (3, 2)], "key long, pivot long")
+    named, of = [], lines._named
+    monkeypatch.setattr(lines, "_named", lambda *args: named.append(of(*args)) or named[-1])
+    rows = {(r.key, r.pivot): (r.size, r.pivot_size, len(r.off)) for r in lines.differences(pairs, texts).collect()}
+    assert rows == {(1, 2): (14, 14, 2), (3, 2): (14, 14, 2)} and [x.count() for x in named] == [1, 2]
