@@ -11,7 +11,7 @@ differences. Both ways are exact. Everything is DataFrame operations.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ferry.llm.components import components
 from ferry.llm.tables import SPACE, total, written
@@ -62,13 +62,16 @@ def _characters(line: str) -> Column:
     return F.encode(F.col(line), "UTF-32")
 
 
-def _shingle(characters: str, at: Column) -> Column:
-    return F.xxhash64(F.substring(F.col(characters), at * _UTF32 + 1, F.lit(SHINGLE * _UTF32)))
+def _shingle(characters: Column, at: Column) -> Column:
+    return F.xxhash64(F.substring(characters, at * _UTF32 + 1, F.lit(SHINGLE * _UTF32)))
 
 
 def _shingles(line: str) -> Column:
-    """All shingles of a line of one at least, by one expression that is compiled, unlike functions over arrays' elements."""
-    return F.regexp_extract_all(line, F.lit(f"(?s)(?=(.{{{SHINGLE}}}))."), F.lit(1))
+    """Hashes of all shingles of a line of one at least. The characters go through an array, since what a function over an array's
+    elements takes from outside is copied for each of them, and its own element is not."""
+    last = lambda chars: F.floor(F.octet_length(chars) / _UTF32).cast("int") - SHINGLE
+    each = lambda chars: F.transform(F.sequence(F.lit(0), last(chars)), lambda at: _shingle(chars, at))
+    return F.get(F.transform(F.array(_characters(line)), each), 0)
 
 
 def _row(row: int, hash: str) -> Column:
@@ -86,7 +89,7 @@ def _minima(every: DataFrame) -> DataFrame:
     # Some shingles a row, the last one repeated where none is left: the least of them meets the aggregate.
     each = rows.select("key", "_chars", "_last", F.explode_outer(F.sequence(F.lit(0), "_last", F.lit(UNROLLED))).alias("_at"))
     hashes = [f"_hash{j}" for j in range(UNROLLED)]
-    hashed = each.select("key", *(_shingle("_chars", F.least(F.col("_at") + j, "_last")).alias(h) for j, h in enumerate(hashes)))
+    hashed = each.select("key", *(_shingle(F.col("_chars"), F.least(F.col("_at") + j, "_last")).alias(h) for j, h in enumerate(hashes)))
     signed = hashed.groupBy("key").agg(*(F.min(F.least(*(_row(i, h) for h in hashes))).alias(f"_m{i}") for i in range(ROWS)))
     return signed.select("key", *(F.col(f"_m{i}").bitwiseAND(0x7FFFFFFF).cast("int").alias(f"m{i}") for i in range(ROWS)))
 
@@ -192,17 +195,19 @@ def rest(apart: DataFrame) -> DataFrame:
 
     What two lines differ in is what their sets off the pivot differ in. If sets of m and n may differ in d shingles, and shingles are
     ordered from the rarest on, the first one they share has at most (m - n + d) / 2 before it in the one, (n - m + d) / 2 in the
-    other. Sets that share none have been linked.
+    other. As m - n is d at most, that is d or less, and d is at most 2 / (PART - 1) of the size of either line: what comes later in the
+    order is left out before the join. Sets that share none have been linked.
     """
     each = apart.select("key", "pivot", F.explode("off").alias("_hash"))
     held = each.groupBy("pivot", "_hash").agg(F.count(F.lit(1)).alias("_lines"))
     # What one line alone holds meets nothing, but has its place in the order: it comes first.
     shared = each.join(held.where("_lines > 1"), ["pivot", "_hash"])
-    order = shared.groupBy("key", "pivot").agg(F.sort_array(F.collect_list(F.struct("_lines", "_hash"))).alias("_order"))
+    line = Window.partitionBy("key", "pivot")
+    place, n_shared = F.row_number().over(line.orderBy("_lines", "_hash")) - 1, F.count(F.lit(1)).over(line)
+    placed = shared.select("key", "pivot", "_hash", (place - n_shared).cast("int").alias("_from_last"))
     numbered = apart.select("key", "pivot", "root", "linked", "size", F.size("off").alias("n_off"))
-    ranked = numbered.join(order, ["key", "pivot"]).withColumn("_alone", F.col("n_off") - F.size("_order"))
-    ranked = ranked.select("key", "pivot", "root", "linked", "size", "n_off", "_alone", F.posexplode("_order").alias("_place", "_held"))
-    ranked = written(ranked.withColumns({"_at": F.col("_alone") + F.col("_place"), "_hash": F.col("_held._hash")}).drop("_alone", "_place", "_held"), "ranked")
+    ranked = numbered.join(placed, ["key", "pivot"]).withColumn("_at", F.col("n_off") + F.col("_from_last")).drop("_from_last")
+    ranked = written(ranked.where((PART - 1) * F.col("_at") <= 2 * F.col("size")), "ranked")
     side = lambda df, s: df.select("pivot", "_hash", *(F.col(c).alias(c + s) for c in ("key", "root", "linked", "size", "n_off", "_at")))
     both = F.col("size_a") + F.col("size_b")
     more = F.col("n_off_a") - F.col("n_off_b")
@@ -210,6 +215,7 @@ def rest(apart: DataFrame) -> DataFrame:
         (F.col("root_a") != F.col("root_b"))
         & (F.col("linked_b") | (F.col("key_a") < F.col("key_b")))
         & (PART * F.abs(F.col("size_a") - F.col("size_b")) <= both)
+        & (PART * F.abs(more) <= both)
         & (PART * (2 * F.col("_at_a") - more) <= both)
         & (PART * (2 * F.col("_at_b") + more) <= both)
     )
@@ -246,8 +252,8 @@ def _linked(every: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     if many.isEmpty():
         return found, met, roots
     # The sets themselves are written only where they are needed: they are larger than the texts.
-    apart = differences(many, texts).select("key", "pivot", "size", F.transform("off", lambda x: F.xxhash64(x)).alias("off"))
-    apart = written(centred(written(apart, "apart")), "centred")
+    apart = written(differences(many, texts).select("key", "pivot", "size", "off"), "apart")
+    apart = written(centred(apart), "centred")
     closer = written(near(apart.select("key", "pivot", "size", F.size("off").alias("n_off"))), "near")
     new = met.union(_links(closer))
     # What is contracted once is not contracted again: components of components and new links are those of all links.
@@ -279,9 +285,8 @@ def repeated(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFra
     """
     # Texts are split again where lines are needed: they would be the largest of the tables.
     every = lines(docs, id, text)
-    places = written(every.drop("line"), "places")
     roots = rooted(every).withColumnRenamed("node", "key")
-    of = written(places.join(roots, "key", "left").select("id", "whole", "at", F.coalesce("root", "key").alias("root")), "rooted")
+    of = written(every.drop("line").join(roots, "key", "left").select("id", "whole", "at", F.coalesce("root", "key").alias("root")), "rooted")
     place = F.struct("id", "whole", "at")
     groups = of.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("stays")).where("n > 1").select("root", "stays")
     # Written, so that both sides of the join are shuffled for it, and a line with very many copies can be cut.

@@ -253,3 +253,37 @@ def test_only_texts_that_pairs_name_are_shuffled_for_them(spark, monkeypatch):
     monkeypatch.setattr(lines, "_named", lambda *args: named.append(of(*args)) or named[-1])
     rows = {(r.key, r.pivot): (r.size, r.pivot_size, len(r.off)) for r in lines.differences(pairs, texts).collect()}
     assert rows == {(1, 2): (14, 14, 2), (3, 2): (14, 14, 2)} and [x.count() for x in named] == [1, 2]
+
+
+def test_differences_count_shingles_by_their_hashes(spark):
+    texts = ["one line of text, é🙂 and more", "one line of text, é🙂🙂 and more", "ab" * 40, "ab" * 90, "x y\u0085z" * 5, "exactly9c"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "key long, line string")
+    pairs = [(i, j) for i in range(len(texts)) for j in range(i)]
+    made = lines.differences(spark.createDataFrame(pairs, "key long, pivot long"), frame)
+    assert made.schema["off"].dataType.elementType.simpleString() == "bigint"
+    sets = [shingles(x) for x in texts]
+    want = {(i, j): (len(sets[i]), len(sets[j]), len(sets[i] ^ sets[j])) for i, j in pairs}
+    assert {(r.key, r.pivot): (r.size, r.pivot_size, len(set(r.off))) for r in made.collect()} == want
+
+
+def test_only_differences_that_can_meet_first_are_joined(spark, monkeypatch):
+    rng = random.Random(11)
+    near, size = [], 100
+    for _ in range(30):
+        off = rng.sample(range(400), 60)
+        near += [off, off[:50] + rng.sample(range(400, 800), rng.randrange(6, 16))]
+    rows = [(i, 0, i, False, size, off) for i, off in enumerate(near)]
+    ranked, write = [], lines.written
+
+    def counted(df, label, **options):
+        made = write(df, label, **options)
+        if label == "ranked":
+            ranked.append(made.count())
+        return made
+
+    monkeypatch.setattr(lines, "written", counted)
+    apart = spark.createDataFrame(rows, "key long, pivot long, root long, linked boolean, size int, off array<bigint>")
+    got = {(r.a, r.b) for r in lines.rest(apart).collect()}
+    want = {(i, j) for j, b in enumerate(near) for i, a in enumerate(near[:j]) if 9 * len(set(a) ^ set(b)) <= 2 * size}
+    assert got == want and 10 < len(want) < 30
+    assert sum(ranked) <= len(near) * (size // 4 + 1)
