@@ -11,10 +11,13 @@ differences. Both ways are exact. Everything is DataFrame operations.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ferry.llm.components import components
-from ferry.llm.tables import SPACE, total, written
+from ferry.llm.tables import SPACE, small, total, written
 
 #: Characters of a shingle. A shorter line is one shingle.
 SHINGLE = 8
@@ -24,8 +27,6 @@ PART = round((1 + SIMILARITY) / (1 - SIMILARITY))
 #: Bands are lines of the affine plane over 16 signature rows, so that two bands share one row and no more. Of its 20
 #: lines 18 are enough: lines at the threshold agree in one band at least with a probability of 0.99.
 ROWS, BANDS_USED = 16, 18
-#: Rows that may be broadcast. Beyond that the same join is done by a shuffle.
-BROADCAST_ROWS = 2_000_000
 #: Shingles that meet a line's signature at once.
 UNROLLED = 4
 #: So many open lines of a pivot are compared each with each; the differences of more are joined. It decides on costs, not on results.
@@ -45,7 +46,10 @@ BANDS = _plane()[:BANDS_USED]
 
 
 def _normal(line: Column) -> Column:
-    return F.lower(F.btrim(line, F.lit(SPACE)))
+    """Trimmed and lower-cased. Trimming at the end walks over the whole line, so only lines that end in white space are."""
+    ends = reduce(or_, (F.endswith(line, F.lit(c)) for c in SPACE))
+    begun = F.ltrim(line, F.lit(SPACE))
+    return F.lower(F.when(ends, F.rtrim(begun, F.lit(SPACE))).otherwise(begun))
 
 
 def lines(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -53,7 +57,7 @@ def lines(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     # The text is hashed before it is split, not once a line. ``outer`` spares a filter that splits every text once more.
     texts = docs.select(F.col(id).alias("id"), F.xxhash64(text).alias("whole"), F.col(text).alias("text"))
     each = texts.select("id", "whole", F.posexplode_outer(F.split("text", "\n")).alias("at", "line"))
-    normal = each.where(F.btrim("line", F.lit(SPACE)) != "").select("id", "whole", "at", _normal(F.col("line")).alias("line"))
+    normal = each.where(F.ltrim("line", F.lit(SPACE)) != "").select("id", "whole", "at", _normal(F.col("line")).alias("line"))
     return normal.select("id", "whole", "at", F.xxhash64("line").alias("key"), "line")
 
 
@@ -67,10 +71,12 @@ def _shingle(characters: Column, at: Column) -> Column:
 
 
 def _shingles(line: str) -> Column:
-    """Hashes of all shingles of a line of one at least. The characters go through an array, since what a function over an array's
-    elements takes from outside is copied for each of them, and its own element is not."""
-    last = lambda chars: F.floor(F.octet_length(chars) / _UTF32).cast("int") - SHINGLE
-    each = lambda chars: F.transform(F.sequence(F.lit(0), last(chars)), lambda at: _shingle(chars, at))
+    """Hashes of all shingles of a line; a shorter line is one. The characters go through an array, since what a function over an array's
+    elements takes from outside is copied for each of them, and its own element is not. Places are counted in bytes: such a function
+    is not compiled, and each step in it counts."""
+    last = lambda chars: F.greatest(F.octet_length(chars) - (SHINGLE * _UTF32 - 1), F.lit(1))
+    shingle = lambda chars, at: F.xxhash64(F.substring(chars, at, F.lit(SHINGLE * _UTF32)))
+    each = lambda chars: F.transform(F.sequence(F.lit(1), last(chars), F.lit(_UTF32)), lambda at: shingle(chars, at))
     return F.get(F.transform(F.array(_characters(line)), each), 0)
 
 
@@ -83,11 +89,12 @@ def _row(row: int, hash: str) -> Column:
 
 def _minima(every: DataFrame) -> DataFrame:
     """(key, m0, m1, …) from (key, line), where lines may repeat: the signature, over all shingles of the line; 31 bits of each least hash."""
-    # A line of one shingle has no copy but itself.
-    rows = every.where(F.char_length("line") > SHINGLE).select("key", _characters("line").alias("_chars"))
+    rows = every.select("key", _characters("line").alias("_chars"))
     rows = rows.withColumn("_last", F.floor(F.octet_length("_chars") / _UTF32).cast("int") - SHINGLE)
-    # Some shingles a row, the last one repeated where none is left: the least of them meets the aggregate.
-    each = rows.select("key", "_chars", "_last", F.explode_outer(F.sequence(F.lit(0), "_last", F.lit(UNROLLED))).alias("_at"))
+    # Some shingles a row, the last one repeated where none is left: the least of them meets the aggregate. A line of one shingle has no
+    # copy but itself; it goes after the explosion, since a filter before it would make every line once more.
+    places = F.when(F.col("_last") > 0, F.sequence(F.lit(0), "_last", F.lit(UNROLLED)))
+    each = rows.select("key", "_chars", "_last", F.explode_outer(places).alias("_at")).where("_at IS NOT NULL")
     hashes = [f"_hash{j}" for j in range(UNROLLED)]
     hashed = each.select("key", *(_shingle(F.col("_chars"), F.least(F.col("_at") + j, "_last")).alias(h) for j, h in enumerate(hashes)))
     signed = hashed.groupBy("key").agg(*(F.min(F.least(*(_row(i, h) for h in hashes))).alias(f"_m{i}") for i in range(ROWS)))
@@ -108,7 +115,7 @@ def shared(signed: DataFrame) -> DataFrame:
     """(bucket, key, n): the members of every bucket of two lines or more, and how many it has."""
     each = signed.select("key", F.explode("bands").alias("bucket"))
     buckets = written(each.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
-    return each.join(_small(buckets, buckets.count()), "bucket")
+    return each.join(small(buckets, buckets.count()), "bucket")
 
 
 def led(members: DataFrame) -> DataFrame:
@@ -140,7 +147,7 @@ def differences(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def _named(texts: DataFrame, keys: DataFrame) -> DataFrame:
     wanted = written(keys.distinct(), "wanted")
-    return texts.join(_small(wanted, wanted.count()), "key", "left_semi")
+    return texts.join(small(wanted, wanted.count()), "key", "left_semi")
 
 
 def _counted(differing: DataFrame) -> DataFrame:
@@ -166,7 +173,7 @@ def _links(near: DataFrame) -> DataFrame:
 
 def undecided(placed: DataFrame, roots: DataFrame) -> DataFrame:
     """(key, pivot, root): lines of buckets that hold lines of different components, without the pivots, whose pairs are decided."""
-    rooted = placed.where("key != pivot").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    rooted = placed.where("key != pivot").join(small(roots, roots.count()), "key", "left").withColumn("root", F.coalesce("root", "key"))
     unlike = rooted.groupBy("bucket").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).where("_low != _high")
     return rooted.join(unlike.select("bucket"), "bucket", "left_semi").select("key", "pivot", "root").distinct()
 
@@ -185,9 +192,11 @@ def centred(apart: DataFrame) -> DataFrame:
     """
     n = apart.groupBy("pivot").agg(F.count(F.lit(1)).alias("_n"))
     held = apart.select("pivot", F.explode("off").alias("_hash")).groupBy("pivot", "_hash").agg(F.count(F.lit(1)).alias("_lines"))
-    most = held.join(n, "pivot").where("2 * _lines > _n").groupBy("pivot").agg(F.collect_list("_hash").alias("_moved"))
+    most = held.join(small(n, apart.count()), "pivot").where("2 * _lines > _n").groupBy("pivot").agg(F.collect_list("_hash").alias("_moved"))
+    most = written(most, "centres")
     off = F.concat(F.array_except("off", "_moved"), F.array_except("_moved", "off"))
-    return apart.join(most, "pivot", "left").select("key", "pivot", "size", F.when(F.col("_moved").isNull(), F.col("off")).otherwise(off).alias("off"))
+    moved = apart.join(small(most, total(most, F.size("_moved"))), "pivot", "left")
+    return moved.select("key", "pivot", "size", F.when(F.col("_moved").isNull(), F.col("off")).otherwise(off).alias("off"))
 
 
 def rest(apart: DataFrame) -> DataFrame:
@@ -226,16 +235,11 @@ def rest(apart: DataFrame) -> DataFrame:
     return near.select(F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b")).distinct()
 
 
-def _small(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcast what was counted and found small; otherwise leave the join to a shuffle."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
-
-
 def _linked(every: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Links (a, b) from the lines of a corpus in two parts, and the components (node, root) of the first part."""
     members = written(shared(_banded(written(_minima(every), "signatures"))), "members")
     keys = written(members.select("key").distinct(), "keys")
-    wanted = every.select("key", "line").join(_small(keys, keys.count()), "key", "left_semi")
+    wanted = every.select("key", "line").join(small(keys, keys.count()), "key", "left_semi")
     texts = written(wanted.groupBy("key").agg(F.first("line").alias("line")), "texts")
     placed = written(led(members), "placed")
     pairs = written(placed.where("key != pivot").select("key", "pivot").distinct(), "pairs")
@@ -286,7 +290,8 @@ def repeated(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFra
     # Texts are split again where lines are needed: they would be the largest of the tables.
     every = lines(docs, id, text)
     roots = rooted(every).withColumnRenamed("node", "key")
-    of = written(every.drop("line").join(roots, "key", "left").select("id", "whole", "at", F.coalesce("root", "key").alias("root")), "rooted")
+    rooted_lines = every.drop("line").join(small(roots, roots.count()), "key", "left")
+    of = written(rooted_lines.select("id", "whole", "at", F.coalesce("root", "key").alias("root")), "rooted")
     place = F.struct("id", "whole", "at")
     groups = of.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("stays")).where("n > 1").select("root", "stays")
     # Written, so that both sides of the join are shuffled for it, and a line with very many copies can be cut.
@@ -317,7 +322,7 @@ def deduplicated(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Dat
     rows = rows.withColumns({"_id": F.col("row")[id], "_whole": F.xxhash64(F.col("row")[text])})
     marked = gone.select(F.col("id").alias("_gone_id"), F.col("whole").alias("_gone_whole"), "gone")
     same = F.col("_id").eqNullSafe(F.col("_gone_id")) & (F.col("_whole") == F.col("_gone_whole"))
-    joined = rows.join(_small(marked, size), same, "left")
+    joined = rows.join(small(marked, size), same, "left")
     whole = F.col("row")[text]
     mask, kept = _kept_text(whole, F.col("gone"))
     edited = joined.withColumn("_mask", mask).withColumn("_kept", F.when(F.col("gone").isNull(), whole).otherwise(kept))

@@ -11,6 +11,9 @@ from ferry.workspace import scratch
 #: White space of all operators on words: `[\x20\x09-\x0D]`.
 SPACE = " \t\n\x0b\x0c\r"
 
+#: Rows that may be broadcast. Beyond that the same join is done by a shuffle.
+BROADCAST_ROWS = 2_000_000
+
 #: What workers remember from task to task, by operator.
 CACHES: dict[str, dict] = {}
 
@@ -35,6 +38,11 @@ def written(df: DataFrame, label: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """Broadcast what was counted and found small; otherwise leave the join to a shuffle."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

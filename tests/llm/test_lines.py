@@ -6,7 +6,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from ferry.llm import lines
+from ferry.llm import components, lines
 from ferry.llm.tables import read
 
 SPACE = " \t\n\x0b\x0c\r"
@@ -287,3 +287,42 @@ def test_only_differences_that_can_meet_first_are_joined(spark, monkeypatch):
     want = {(i, j) for j, b in enumerate(near) for i, a in enumerate(near[:j]) if 9 * len(set(a) ^ set(b)) <= 2 * size}
     assert got == want and 10 < len(want) < 30
     assert sum(ranked) <= len(near) * (size // 4 + 1)
+
+
+def test_counted_small_tables_are_broadcast_whatever_their_bytes(spark, monkeypatch):
+    texts = family(3, 120)
+    plans, write = {}, lines.written
+
+    def seen(df, label, **options):
+        plans.setdefault(label, []).append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, label, **options)
+
+    monkeypatch.setattr(lines, "written", seen)
+    monkeypatch.setattr(lines, "FEW", 0)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = lines.without_repeated_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+        assert 0 < got.where("text = ''").count() < len(texts)
+        monkeypatch.setattr(components, "written", seen)
+        assert components.components(spark.range(1, 90).selectExpr("id AS a", "id - 1 AS b")).where("root = 0").count() == 89
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert {"components", "centred", "rooted"} <= set(plans)
+    assert not [label for label in ("components", "centred", "rooted") for plan in plans[label] if "SortMergeJoin" in plan]
+
+
+def test_lines_are_made_once_for_their_signatures(spark):
+    every = lines.lines(spark.createDataFrame([(1, "One line\nand another line")], "doc_id long, text string"))
+    plan = lines._minima(every)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("lower(") == 1
+
+
+def test_shingles_of_short_lines_and_white_space_of_any_kind(spark):
+    texts = ["abc", "é🙂", "eight ch", "nine char", "nine char" * 3]
+    frame = spark.createDataFrame([(x,) for x in texts], "line string")
+    made = {r.line: r.made for r in frame.select("line", lines._shingles("line").alias("made")).collect()}
+    assert {x: len(made[x]) for x in texts} == {"abc": 1, "é🙂": 1, "eight ch": 1, "nine char": 2, "nine char" * 3: 20}
+    odd = [f"{a}x{s}Y{b}" for s in SPACE if s != "\n" for a in ("", s, s + " ") for b in ("", s, " " + s, " ", "\u0085" + s)] + [s * 3 for s in SPACE if s != "\n"]
+    rows = lines.lines(spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string")).collect()
+    assert {r.id: r.line for r in rows} == {i: x.strip(SPACE).lower() for i, x in enumerate(odd) if x.strip(SPACE)}
